@@ -1,0 +1,23 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension we are willing to ship to every executor.  A dimension of
+# (int id, <=50-char name) rows is < 100 bytes a row, so this caps the
+# broadcast at roughly 100 MB.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` when ``df`` has at most ``max_rows`` rows,
+    else ``df`` unchanged so the planner falls back to a shuffle join.
+
+    The check is ``limit(max_rows + 1).count()``: for a parquet-backed
+    dimension it stops after ``max_rows + 1`` rows, for an aggregate it
+    costs one pass over that aggregate.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
