@@ -46,13 +46,15 @@ def logged(spark: SparkSession, log_path: str | None, log_name: str, event: str,
 
 
 def last_event(log: DataFrame, id_col: str = "log_id", event_col: str = "event",
-               type_col: str = "event_type", ts_col: str = "execution_date_time",
+               type_col: str | None = "event_type", ts_col: str = "execution_date_time",
                as_written: bool = False) -> DataFrame:
     """The most recent log row: (event, event_type, execution_date_time text).
 
     ``orderBy(desc).limit(1)`` plans as a top-1 (TakeOrderedAndProject): each
     task keeps its local maximum, no full sort.
     """
-    return (log.orderBy(F.col(id_col).desc()).limit(1)
-               .select(F.col(event_col).alias("event"), F.col(type_col).alias("event_type"),
-                       format_timestamp(ts_col, as_written).alias("execution_date_time")))
+    cols = [F.col(event_col).alias("event")]
+    if type_col:
+        cols.append(F.col(type_col).alias("event_type"))
+    cols.append(format_timestamp(ts_col, as_written).alias("execution_date_time"))
+    return log.orderBy(F.col(id_col).desc()).limit(1).select(*cols)
