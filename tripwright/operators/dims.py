@@ -29,8 +29,7 @@ def upsert_dim(stage: DataFrame, dim: DataFrame, key: str, id_col: str) -> DataF
     the batch; ids already assigned never change.
     """
     start = dim.agg(F.max(id_col)).first()[0] or 0
-    new = new_members(stage, dim, key)
-    return dense_ids(new, [key], id_col, start=int(start))
+    return dense_ids(new_members(stage, dim, key), [key], id_col, start=int(start))
 
 
 def event_time_members(stage: DataFrame, ts_col: str = "datetime") -> DataFrame:

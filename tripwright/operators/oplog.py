@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,24 +16,52 @@ from ..sources.tables import append_log_row
 _log = logging.getLogger("tripwright")
 
 
+class LogWriter:
+    """Appends log rows in order from one background thread, so the small
+    log writes overlap with the pipeline's own jobs.  ``flush`` waits for all
+    rows handed over so far."""
+
+    def __init__(self, spark: SparkSession, log_path: str | None):
+        self.spark = spark
+        self.log_path = log_path
+        self._pool = ThreadPoolExecutor(max_workers=1, thread_name_prefix="tripwright-log")
+        self._pending = []
+
+    def write(self, row: dict) -> None:
+        if self.log_path:
+            self._pending.append(self._pool.submit(self._write, dict(row)))
+
+    def _write(self, row: dict) -> None:
+        try:
+            append_log_row(self.spark, self.log_path, row)
+        except Exception as exc:  # noqa: BLE001 - logging must not break the task
+            _log.warning("could not write log row: %s", exc)
+
+    def flush(self) -> None:
+        pending, self._pending = self._pending, []
+        for f in pending:
+            f.result()
+
+    def close(self) -> None:
+        self.flush()
+        self._pool.shutdown(wait=True)
+
+
 @contextlib.contextmanager
-def logged(spark: SparkSession, log_path: str | None, log_name: str, event: str,
+def logged(spark: SparkSession, log: "str | LogWriter | None", log_name: str, event: str,
            pipeline_version_instance: str = "v1"):
-    """Append ``start`` before the block and ``end``/``failed`` after it,
-    with the elapsed seconds.  A failing log write never fails the task."""
+    """Log ``start`` before the block and ``end``/``failed`` after it, with
+    the elapsed seconds.  A failing log write never fails the task.  ``log``
+    is a log folder (rows written synchronously) or a shared ``LogWriter``."""
+    own = not isinstance(log, LogWriter)
+    writer = LogWriter(spark, log) if own else log
     start = dt.datetime.now()
     base = {"log_name": log_name, "pipeline_version_instance": pipeline_version_instance,
             "event": event}
 
     def write(event_type, when, duration):
-        if not log_path:
-            return
-        try:
-            append_log_row(spark, log_path, dict(base, event_type=event_type,
-                                                  execution_date_time=when,
-                                                  duration_sec=duration))
-        except Exception as exc:  # noqa: BLE001 - logging must not break the task
-            _log.warning("could not write log row: %s", exc)
+        writer.write(dict(base, event_type=event_type, execution_date_time=when,
+                          duration_sec=duration))
 
     write("start", start, 0.0)
     try:
@@ -40,9 +69,13 @@ def logged(spark: SparkSession, log_path: str | None, log_name: str, event: str,
     except BaseException:
         now = dt.datetime.now()
         write("failed", now, (now - start).total_seconds())
+        if own:
+            writer.close()
         raise
     now = dt.datetime.now()
     write("end", now, (now - start).total_seconds())
+    if own:
+        writer.close()
 
 
 def last_event(log: DataFrame, id_col: str = "log_id", event_col: str = "event",

@@ -13,17 +13,18 @@ import threading
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.dims import fill_event_time, upsert_dim
 from ..operators.facts import build_delta, group_trips, insert_if_absent
 from ..operators.joins import bounded_broadcast
-from ..operators.oplog import logged
+from ..operators.oplog import LogWriter, logged
 from ..operators.quality import check_non_empty, require, split_malformed
 from ..session import work_root
 from ..sources.adapter import stage_from_sf
-from ..sources.tables import (TablePaths, months_filter, read_table, touched_months,
-                              write_monthly, write_stage)
+from ..sources.tables import (TablePaths, months_between, months_filter, read_table,
+                              touched_months, write_monthly, write_stage)
 
 
 @dataclass(frozen=True)
@@ -31,7 +32,7 @@ class PipelineOptions:
     stage_mode: str = "overwrite"        # 'overwrite' (replace) or 'append'
     on_duplicate: str = "drop"           # 'drop', 'fail' or 'keep'
     strict: bool = True                  # malformed points raise; else quarantine
-    group_refresh: str = "full"          # 'full' rebuild or 'touched' months only
+    group_refresh: str = "touched"       # 'touched' months only, or 'full' rebuild
     box: str = "as_written"              # group box mode
     check_quality: bool = True
     pipeline_version_instance: str = "v1"
@@ -39,30 +40,39 @@ class PipelineOptions:
 
 
 def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
-               opts: PipelineOptions) -> None:
-    if opts.strict:
-        write_stage(source, paths.path("trips"), opts.stage_mode)
-        return
-    # Lenient: malformed rows go to a quarantine folder, the rest to staging.
-    tmp = f"{paths.root.rstrip('/')}/trips_stage/_incoming/{uuid.uuid4().hex}"
-    source.write.mode("overwrite").parquet(tmp)
-    landed = spark.read.schema(source.schema).parquet(tmp)
-    good, bad = split_malformed(landed)
-    bad.write.mode("append").parquet(f"{paths.root.rstrip('/')}/trips_stage/quarantine")
-    write_stage(good, paths.path("trips"), opts.stage_mode)
-
-
-def update_dimensions(spark: SparkSession, paths: TablePaths) -> list[tuple[int, int]]:
+               opts: PipelineOptions) -> list[tuple[int, int]]:
+    """Write the staging table; return the months the staged rows span.
+
+    The time range is observed while the stage is written (no extra pass).
+    With ``append`` the stage also holds earlier batches, so the months are
+    taken from the whole staging table instead.
+    """
+    if not opts.strict:
+        # Lenient: malformed rows go to a quarantine folder, the rest on.
+        tmp = f"{paths.root.rstrip('/')}/trips_stage/_incoming/{uuid.uuid4().hex}"
+        source.write.mode("overwrite").parquet(tmp)
+        landed = spark.read.schema(source.schema).parquet(tmp)
+        source, bad = split_malformed(landed)
+        bad.write.mode("append").parquet(f"{paths.root.rstrip('/')}/trips_stage/quarantine")
+    obs = Observation("stage_time_range")
+    observed = source.observe(obs, F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
+    write_stage(observed, paths.path("trips"), opts.stage_mode)
+    if opts.stage_mode == "append":
+        return touched_months(read_table(spark, paths, "trips"), "datetime")
+    got = obs.get
+    return months_between(got.get("lo"), got.get("hi"))
+
+
+def update_dimensions(spark: SparkSession, paths: TablePaths,
+                      months: list[tuple[int, int]]) -> None:
     stage = read_table(spark, paths, "trips")
     for table, key, id_col in (("dim_datasource", "datasource", "datasource_id"),
                                ("dim_region", "region", "region_id")):
         dim = read_table(spark, paths, table)
         upsert_dim(stage, dim, key, id_col).write.mode("append").parquet(paths.path(table))
-    months = touched_months(stage, "datetime")
     dim_time = read_table(spark, paths, "dim_event_time")
     rows = fill_event_time(stage, dim_time, months)
     write_monthly(rows, "event_timestamp", paths.path("dim_event_time"), mode="append")
-    return months
 
 
 def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
@@ -97,17 +107,20 @@ def quality_tables(spark: SparkSession, paths: TablePaths) -> dict[str, DataFram
 def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
                  opts: PipelineOptions = PipelineOptions()) -> TablePaths:
     """Run every step in dependency order, each logged to ``trips_log``."""
-    log = paths.path("trips_log")
+    log = LogWriter(spark, paths.path("trips_log"))
     v = opts.pipeline_version_instance
-    with logged(spark, log, opts.log_name, "load_stage", v):
-        load_stage(spark, paths, source, opts)
-    with logged(spark, log, opts.log_name, "update_dimension_tables", v):
-        months = update_dimensions(spark, paths)
-    with logged(spark, log, opts.log_name, "update_fact_tables", v):
-        update_facts(spark, paths, opts, months)
-    if opts.check_quality:
-        with logged(spark, log, opts.log_name, "data_quality", v):
-            require(check_non_empty(quality_tables(spark, paths)))
+    try:
+        with logged(spark, log, opts.log_name, "load_stage", v):
+            months = load_stage(spark, paths, source, opts)
+        with logged(spark, log, opts.log_name, "update_dimension_tables", v):
+            update_dimensions(spark, paths, months)
+        with logged(spark, log, opts.log_name, "update_fact_tables", v):
+            update_facts(spark, paths, opts, months)
+        if opts.check_quality:
+            with logged(spark, log, opts.log_name, "data_quality", v):
+                require(check_non_empty(quality_tables(spark, paths)))
+    finally:
+        log.close()
     return paths
 
 

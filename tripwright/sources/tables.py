@@ -126,13 +126,33 @@ def months_filter(months: list[tuple[int, int]]) -> Column:
     return (F.col("year") * 100 + F.col("month")).isin(keys)
 
 
+_NEXT_LOG_ID: dict[str, int] = {}
+
+
 def append_log_row(spark: SparkSession, path: str, row: dict) -> None:
-    """Append one log row; log_id continues from the largest id present."""
-    current = 0
-    if path_exists(spark, path):
-        mx = spark.read.schema(schemas.TRIPS_LOG).parquet(path).agg(F.max("log_id")).first()[0]
-        current = int(mx or 0)
+    """Append one log row.  log_id continues from the largest id present; the
+    largest id is read once per log folder and then counted in the driver
+    (one writer per warehouse)."""
+    if path not in _NEXT_LOG_ID:
+        current = 0
+        if path_exists(spark, path):
+            mx = spark.read.schema(schemas.TRIPS_LOG).parquet(path).agg(F.max("log_id")).first()[0]
+            current = int(mx or 0)
+        _NEXT_LOG_ID[path] = current + 1
     values = dict(row)
-    values["log_id"] = current + 1
+    values["log_id"] = _NEXT_LOG_ID[path]
     rec = [values.get(f.name) for f in schemas.TRIPS_LOG.fields]
     spark.createDataFrame([rec], schemas.TRIPS_LOG).coalesce(1).write.mode("append").parquet(path)
+    _NEXT_LOG_ID[path] += 1
+
+
+def months_between(lo: dt.datetime | None, hi: dt.datetime | None) -> list[tuple[int, int]]:
+    """Every (year, month) from ``lo`` to ``hi`` inclusive (a superset of the
+    months a batch with that time range touches)."""
+    if lo is None or hi is None:
+        return []
+    out, y, m = [], lo.year, lo.month
+    while (y, m) <= (hi.year, hi.month):
+        out.append((y, m))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
