@@ -1,0 +1,127 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripwright.operators.quality import DataQualityError
+from tripwright.operators.oplog import last_event
+from tripwright.plans import analytics as A
+from tripwright.plans.pipeline import PipelineOptions, Warehouse, run_pipeline
+from tripwright.session import local_path
+from tripwright.sources.csv_trips import file_id_from_share_uri, read_trips
+from tripwright.sources.tables import TablePaths
+from helpers import write_csv
+
+# Invented trips: two cities, three apps, May 2018, plus one June row.
+ROWS = [
+    ("Turin", "POINT (7.60 45.00)", "POINT (7.70 45.10)", "2018-05-05 08:00:00", "cheap_mobile"),
+    ("Turin", "POINT (7.65 45.05)", "POINT (7.62 45.02)", "2018-05-05 09:30:00", "funny_car"),
+    ("Turin", "POINT (7.66 45.07)", "POINT (7.61 45.09)", "2018-05-08 17:15:00", "cheap_mobile"),
+    ("Prague", "POINT (14.40 50.05)", "POINT (14.50 50.10)", "2018-05-05 07:00:00", "baba_car"),
+    ("Prague", "POINT (14.45 50.07)", "POINT (14.41 50.02)", "2018-05-06 00:00:00", "cheap_mobile"),
+    ("Prague", "POINT (14.42 50.08)", "POINT (14.43 50.01)", "2018-06-01 00:00:00", "baba_car"),
+]
+
+
+def csv_of(tmp_path, rows, name="trips.csv"):
+    p = tmp_path / name
+    write_csv(p, [list(r) for r in rows])
+    return str(p)
+
+
+@pytest.fixture()
+def built(spark, scratch, tmp_path):
+    paths = TablePaths(scratch)
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, ROWS)))
+    return Warehouse(spark, paths)
+
+
+def test_tables_after_one_load(built):
+    assert built.dim_region.count() == 2
+    assert built.dim_datasource.count() == 3
+    assert built.fact_trips.count() == 6
+    # 6 trip times + 4 day starts, two of which (05-06, 06-01 midnight) are trip times too
+    assert built.dim_event_time.count() == 8
+    g = {(r["region_id"], str(r["event_date"].date())): r["number_of_trips"]
+         for r in built.fact_group_trips.collect()}
+    assert sum(g.values()) == 6 and len(g) == 5
+
+
+def test_named_queries(built):
+    turin = A.check_position(built.fact_group_trips, built.dim_region, 7.60, 45.00).collect()
+    assert [(r.region, r.event_date, r.number_of_trips) for r in turin] == [("Turin", "2018-05-05", 2)]
+    regions = {r.region for r in A.regions_of_datasource(
+        built.fact_trips, built.dim_region, built.dim_datasource, "cheap_mobile").collect()}
+    assert regions == {"Turin", "Prague"}
+    top = {r.region: r.datasource for r in A.latest_datasource_top(
+        built.fact_trips, built.dim_region, built.dim_datasource, 2).collect()}
+    assert top == {"Turin": "cheap_mobile", "Prague": "baba_car"}
+    avg = {r.region: r.avg_weekly_trips for r in A.weekly_avg_trips(
+        built.fact_group_trips, built.dim_region, built.dim_event_time).collect()}
+    # Turin: week 18 (05-05) 2 trips, week 19 (05-08) 1 trip.
+    assert avg["Turin"] == pytest.approx(1.5)
+
+
+def test_replay_is_idempotent_and_log_written(spark, built, tmp_path):
+    before = built.fact_trips.count()
+    ids = sorted(map(tuple, built.dim_region.collect()))
+    run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, ROWS, "again.csv")))
+    assert built.fact_trips.count() == before
+    assert sorted(map(tuple, built.dim_region.collect())) == ids
+    log = built.trips_log
+    assert log.count() == 16
+    last = last_event(log).first()
+    assert (last.event, last.event_type) == ("data_quality", "end")
+
+
+def test_second_batch_adds_members_and_keeps_ids(spark, built, tmp_path):
+    more = [("Hamburg", "POINT (10.0 53.5)", "POINT (10.1 53.6)", "2018-05-09 10:00:00", "pt_app")]
+    run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, more, "more.csv")))
+    dims = {r.region: r.region_id for r in built.dim_region.collect()}
+    assert dims == {"Prague": 1, "Turin": 2, "Hamburg": 3}
+    assert built.fact_trips.count() == 7
+
+
+def test_strict_load_fails_on_malformed_point(spark, scratch, tmp_path):
+    bad = ROWS[:2] + [("Turin", "POINT (7.1)", "POINT (1 1)", "2018-05-05 10:00:00", "x")]
+    with pytest.raises(Exception):
+        run_pipeline(spark, TablePaths(scratch), read_trips(spark, csv_of(tmp_path, bad)))
+
+
+def test_lenient_load_quarantines(spark, scratch, tmp_path):
+    bad = ROWS[:2] + [("Turin", "POINT (7.1)", "POINT (1 1)", "2018-05-05 10:00:00", "x")]
+    paths = TablePaths(scratch)
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, bad)),
+                 PipelineOptions(strict=False))
+    wh = Warehouse(spark, paths)
+    assert wh.fact_trips.count() == 2
+    q = spark.read.parquet(f"{scratch}/trips_stage/quarantine")
+    assert [r.reason for r in q.collect()] == ["origin_coord"]
+
+
+def test_empty_batch_fails_quality(spark, scratch, tmp_path):
+    with pytest.raises(DataQualityError):
+        run_pipeline(spark, TablePaths(scratch), read_trips(spark, csv_of(tmp_path, [])))
+
+
+def test_failfast_csv(spark, tmp_path):
+    p = tmp_path / "broken.csv"
+    write_csv(p, [["Turin", "POINT (1 1)", "POINT (2 2)", "not-a-time", "x"]])
+    with pytest.raises(Exception):
+        read_trips(spark, str(p)).collect()
+
+
+def test_full_and_touched_refresh_agree(spark, scratch, tmp_path):
+    paths_t = TablePaths(scratch + "_t")
+    paths_f = TablePaths(scratch + "_f")
+    for p, mode in ((paths_t, "touched"), (paths_f, "full")):
+        opts = PipelineOptions(group_refresh=mode)
+        run_pipeline(spark, p, read_trips(spark, csv_of(tmp_path, ROWS[:3], f"a{mode}.csv")), opts)
+        run_pipeline(spark, p, read_trips(spark, csv_of(tmp_path, ROWS[3:], f"b{mode}.csv")), opts)
+    a = Warehouse(spark, paths_t).fact_group_trips
+    b = Warehouse(spark, paths_f).fact_group_trips
+    assert a.count() == 5 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_share_uri_file_id():
+    assert file_id_from_share_uri("https://host/file/d/ABC123/view?usp=sharing") == "ABC123"

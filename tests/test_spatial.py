@@ -1,0 +1,51 @@
+import random
+
+from pyspark.sql import functions as F
+
+from tripwright.operators.spatial import points_in_boxes
+
+BOX = "b struct<x0:double,y0:double,x1:double,y1:double>"
+
+
+def brute(points, boxes):
+    out = set()
+    for pid, x, y in points:
+        for bid, (x0, y0, x1, y1) in boxes:
+            if x0 <= x <= x1 and y0 <= y <= y1:
+                out.add((pid, bid))
+    return out
+
+
+def test_matches_brute_force(spark):
+    rnd = random.Random(7)
+    boxes = []
+    for i in range(300):
+        x0, y0 = rnd.uniform(-50, 50), rnd.uniform(-50, 50)
+        w = rnd.choice([0.0, 0.01, 0.5, 1.0, 3.0, 40.0, 120.0])
+        h = rnd.choice([0.0, 0.2, 1.0, 7.0, 90.0])
+        boxes.append((i, (x0, y0, x0 + w, y0 + h)))
+    points = [(i, rnd.uniform(-60, 60), rnd.uniform(-60, 60)) for i in range(2000)]
+    # points exactly on edges and corners
+    points += [(10_000 + i, b[0], b[1]) for i, (_, b) in enumerate(boxes[:50])]
+    points += [(20_000 + i, b[2], b[3]) for i, (_, b) in enumerate(boxes[:50])]
+    pdf = spark.createDataFrame(points, "pid long, x double, y double")
+    bdf = spark.createDataFrame(boxes, f"bid long, {BOX}")
+    got = {(r.pid, r.bid) for r in points_in_boxes(pdf, bdf, box_col="b", cell=1.0).collect()}
+    assert got == brute(points, boxes)
+
+
+def test_plan_is_equi_join(spark):
+    pdf = spark.createDataFrame([(1, 0.5, 0.5)], "pid long, x double, y double")
+    bdf = spark.createDataFrame([(1, (0.0, 0.0, 1.0, 1.0))], f"bid long, {BOX}")
+    df = points_in_boxes(pdf, bdf, box_col="b")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "Cartesian" not in plan
+    assert df.count() == 1
+
+
+def test_null_and_empty_inputs(spark):
+    pdf = spark.createDataFrame([(1, None, 0.5)], "pid long, x double, y double")
+    bdf = spark.createDataFrame([(1, (0.0, 0.0, 1.0, 1.0)), (2, None)], f"bid long, {BOX}")
+    assert points_in_boxes(pdf, bdf, box_col="b").count() == 0
+    none = spark.createDataFrame([], f"bid long, {BOX}")
+    assert points_in_boxes(pdf, none, box_col="b").count() == 0
