@@ -32,6 +32,7 @@ from .pipeline import warehouse_for
 
 # Fixed query parameters.
 PROBE_X, PROBE_Y = 7.5, 50.5
+ENTRY_PROBE_X, ENTRY_PROBE_Y = 7.5, 45.5   # a cell present at every scale
 DATASOURCE_NAME = "click"
 TOP_K = 2
 DECLARED_MONTH = ("2018-05-01", "2018-06-01")
@@ -214,6 +215,13 @@ def q_check_position_envelope(spark, sf):
                             PROBE_X, PROBE_Y)
 
 
+def flagship(spark, sf):
+    """Position lookup over the true (envelope) daily boxes of every region."""
+    wh = warehouse_for(spark, sf)
+    return A.check_position(group_trips(wh.fact_trips, "envelope"), wh.dim_region,
+                            ENTRY_PROBE_X, ENTRY_PROBE_Y)
+
+
 def q_points_in_boxes(spark, sf):
     wh = warehouse_for(spark, sf)
     return A.trip_origins_in_boxes(wh.fact_trips, group_trips(wh.fact_trips, "envelope"))
