@@ -275,6 +275,34 @@ def q_last_event(spark, sf):
                       ts_col="ts")
 
 
+# ---- streaming -----------------------------------------------------------------
+
+def q_stream_ingest_fact(spark, sf):
+    """Trips streamed from the events file through the per-micro-batch pipeline."""
+    from ..streaming.ingest import ingest_stream, trips_stream_from_events
+    paths = _scratch(spark, "stream_ingest")
+    q = ingest_stream(trips_stream_from_events(spark, sf), paths, f"{paths.root}/_checkpoint")
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return flat_fact(read_table(spark, paths, "fact_trips"))
+
+
+def q_stream_dedupe(spark, sf):
+    """The events file delivered twice, de-duplicated within a 31-day watermark."""
+    from ..streaming.ingest import dedupe_redeliveries, trips_stream_from_events
+    paths = _scratch(spark, "stream_dedupe")
+    out = paths.path("trips")
+    q = (dedupe_redeliveries(trips_stream_from_events(spark, sf, copies=2))
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", f"{paths.root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return read_table(spark, paths, "trips")
+
+
 # ---- quality -------------------------------------------------------------------
 
 def q_dq_row_counts(spark, sf):
@@ -344,6 +372,8 @@ QUERIES: dict[str, Query] = {
     "weekly_avg_trips": q_weekly_avg_trips,
     "weekly_avg_trips_by_year": q_weekly_avg_trips_by_year,
     "last_event": q_last_event,
+    "stream_ingest_fact": q_stream_ingest_fact,
+    "stream_dedupe": q_stream_dedupe,
     "dq_row_counts": q_dq_row_counts,
     "dq_primary_keys": q_dq_primary_keys,
     "dq_partition_bounds": q_dq_partition_bounds,
