@@ -125,3 +125,22 @@ def test_full_and_touched_refresh_agree(spark, scratch, tmp_path):
 
 def test_share_uri_file_id():
     assert file_id_from_share_uri("https://host/file/d/ABC123/view?usp=sharing") == "ABC123"
+
+
+def test_null_datetime_aborts_strict_load(spark, scratch, tmp_path):
+    rows = ROWS[:2] + [("Turin", "POINT (1 1)", "POINT (2 2)", "", "x")]
+    with pytest.raises(Exception):
+        run_pipeline(spark, TablePaths(scratch), read_trips(spark, csv_of(tmp_path, rows)))
+
+
+def test_late_trip_touches_only_its_day(spark, built, tmp_path):
+    """A batch with one late trip (05-05, already a group day) leaves the
+    other days' group rows as they were and adds one trip to that day."""
+    late = [("Turin", "POINT (7.61 45.01)", "POINT (7.63 45.03)", "2018-05-05 23:00:00", "funny_car")]
+    before = {(r.region_id, r.event_date): r.number_of_trips for r in built.fact_group_trips.collect()}
+    run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, late, "late.csv")))
+    after = {(r.region_id, r.event_date): r.number_of_trips for r in built.fact_group_trips.collect()}
+    changed = {k for k in after if after[k] != before.get(k)}
+    assert len(changed) == 1 and set(before) == set(after)
+    (k,) = changed
+    assert after[k] == before[k] + 1

@@ -31,10 +31,18 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
     the original insert); ``keep`` leaves duplicates in.
     """
     s = stage.where(F.col("region").isNotNull() & F.col("datasource").isNotNull())
+    ts = F.col("datetime")
+    if strict:
+        # The timestamp is part of the key: a NULL aborts a strict load, in
+        # the same pass (lenient loads quarantine such rows beforehand).
+        ts = F.when(ts.isNull(), F.raise_error(F.lit("NULL datetime in a staged trip"))) \
+              .otherwise(ts)
+    else:
+        s = s.where(ts.isNotNull())
     j = (s.join(dim_region.select("region_id", "region"), "region", "inner")
           .join(dim_datasource.select("datasource_id", "datasource"), "datasource", "inner"))
     delta = j.select(
-        F.col("datetime").alias("event_timestamp"),
+        ts.cast("timestamp_ntz").alias("event_timestamp"),
         event_id().alias("event_id"),
         F.col("region_id").cast("int").alias("region_id"),
         F.col("datasource_id").cast("int").alias("datasource_id"),
@@ -53,14 +61,18 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
     raise ValueError(f"on_duplicate must be drop, fail or keep, not {on_duplicate!r}")
 
 
-def insert_if_absent(delta: DataFrame, existing: DataFrame, keys: list[str] = FACT_KEY) -> DataFrame:
-    """Rows of ``delta`` whose key is not in ``existing`` (and one per key).
+def insert_if_absent(delta: DataFrame, existing: DataFrame, keys: list[str] = FACT_KEY,
+                     dedupe: bool = True) -> DataFrame:
+    """Rows of ``delta`` whose key is not in ``existing`` (one per key unless
+    ``dedupe=False`` for a delta already unique on ``keys``).
 
-    ``existing`` should already be restricted to the partitions the batch
-    touches.  The de-duplication and the anti-join hash the same keys, so
-    the delta side is shuffled once.
+    ``existing`` should already be narrowed to the days the batch touches
+    (``tables.days_filter``): the key contains the timestamp, so no other
+    day can match.  With a shuffle join the de-duplication and the anti-join
+    hash and sort on the same keys, so the delta side is exchanged once.
     """
-    return delta.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    d = delta.dropDuplicates(keys) if dedupe else delta
+    return d.join(existing.select(*keys), keys, "left_anti")
 
 
 def group_trips(fact: DataFrame, box: str = "as_written") -> DataFrame:

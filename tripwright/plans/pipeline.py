@@ -8,6 +8,7 @@ group fact is an overwrite.  A single writer per warehouse is assumed.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import threading
 import uuid
@@ -23,8 +24,8 @@ from ..operators.oplog import LogWriter, logged
 from ..operators.quality import check_non_empty, require, split_malformed
 from ..session import work_root
 from ..sources.adapter import stage_from_sf
-from ..sources.tables import (TablePaths, months_between, months_filter, read_table,
-                              touched_months, write_monthly, write_stage)
+from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
+                              touched_days, write_monthly, write_stage)
 
 
 @dataclass(frozen=True)
@@ -32,7 +33,7 @@ class PipelineOptions:
     stage_mode: str = "overwrite"        # 'overwrite' (replace) or 'append'
     on_duplicate: str = "drop"           # 'drop', 'fail' or 'keep'
     strict: bool = True                  # malformed points raise; else quarantine
-    group_refresh: str = "touched"       # 'touched' months only, or 'full' rebuild
+    group_refresh: str = "touched"       # 'touched' days only, or 'full' rebuild
     box: str = "as_written"              # group box mode
     check_quality: bool = True
     pipeline_version_instance: str = "v1"
@@ -40,12 +41,12 @@ class PipelineOptions:
 
 
 def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
-               opts: PipelineOptions) -> list[tuple[int, int]]:
-    """Write the staging table; return the months the staged rows span.
+               opts: PipelineOptions) -> list[dt.date]:
+    """Write the staging table; return the calendar days the staged rows cover.
 
-    The time range is observed while the stage is written (no extra pass).
-    With ``append`` the stage also holds earlier batches, so the months are
-    taken from the whole staging table instead.
+    The set of days is observed while the stage is written (no extra pass);
+    it is bounded by the batch's calendar span.  With ``append`` the stage
+    also holds earlier batches, so the days come from the whole table.
     """
     if not opts.strict:
         # Lenient: malformed rows go to a quarantine folder, the rest on.
@@ -54,48 +55,71 @@ def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
         landed = spark.read.schema(source.schema).parquet(tmp)
         source, bad = split_malformed(landed)
         bad.write.mode("append").parquet(f"{paths.root.rstrip('/')}/trips_stage/quarantine")
-    obs = Observation("stage_time_range")
-    observed = source.observe(obs, F.min("datetime").alias("lo"), F.max("datetime").alias("hi"))
+    obs = Observation("stage_days")
+    observed = source.observe(
+        obs, F.array_sort(F.collect_set(F.col("datetime").cast("date"))).alias("days"))
     write_stage(observed, paths.path("trips"), opts.stage_mode)
     if opts.stage_mode == "append":
-        return touched_months(read_table(spark, paths, "trips"), "datetime")
-    got = obs.get
-    return months_between(got.get("lo"), got.get("hi"))
+        return touched_days(read_table(spark, paths, "trips"), "datetime")
+    return list(obs.get.get("days") or [])
 
 
-def update_dimensions(spark: SparkSession, paths: TablePaths,
-                      months: list[tuple[int, int]]) -> None:
+def update_dimensions(spark: SparkSession, paths: TablePaths, days: list[dt.date]) -> None:
     stage = read_table(spark, paths, "trips")
     for table, key, id_col in (("dim_datasource", "datasource", "datasource_id"),
                                ("dim_region", "region", "region_id")):
         dim = read_table(spark, paths, table)
         upsert_dim(stage, dim, key, id_col).write.mode("append").parquet(paths.path(table))
-    dim_time = read_table(spark, paths, "dim_event_time")
-    rows = fill_event_time(stage, dim_time, months)
+    # Only the touched days of the time dimension can hold a batch timestamp.
+    dim_time = read_table(spark, paths, "dim_event_time").where(
+        days_filter(days, "event_timestamp"))
+    rows = fill_event_time(stage, dim_time)
     write_monthly(rows, "event_timestamp", paths.path("dim_event_time"), mode="append")
 
 
 def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
-                 months: list[tuple[int, int]]) -> None:
+                 days: list[dt.date]) -> None:
     stage = read_table(spark, paths, "trips")
     dim_region = bounded_broadcast(read_table(spark, paths, "dim_region"))
     dim_datasource = bounded_broadcast(read_table(spark, paths, "dim_datasource"))
     delta = build_delta(stage, dim_region, dim_datasource, opts.on_duplicate, opts.strict)
     delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
     delta = read_table(spark, paths, "fact_delta_trips")
-    existing = read_table(spark, paths, "fact_trips").where(months_filter(months))
-    new = insert_if_absent(delta, existing)
+    existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+    new = insert_if_absent(delta, existing, dedupe=opts.on_duplicate == "keep")
     write_monthly(new, "event_timestamp", paths.path("fact_trips"), mode="append")
+    refresh_group(spark, paths, opts, days)
+
+
+def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
+                  days: list[dt.date]) -> None:
+    """Rebuild the (day, region) aggregate.
+
+    ``full``: from the whole fact.  ``touched``: only the days the batch
+    touched are recomputed from the fact (partition- and row-group-pruned);
+    the other days of those months are carried over from the aggregate
+    itself.  The merged months are written to a staging folder first, then
+    swapped in with a dynamic partition overwrite - the aggregate is never
+    overwritten by a job that reads it.
+    """
     fact = read_table(spark, paths, "fact_trips")
+    target = paths.path("fact_group_trips")
     if opts.group_refresh == "full":
         group_trips(fact, opts.box).write.mode("overwrite").partitionBy("year", "month") \
-            .parquet(paths.path("fact_group_trips"))
-    elif opts.group_refresh == "touched":
-        touched = group_trips(fact.where(months_filter(months)), opts.box)
-        write_monthly(touched, "event_date", paths.path("fact_group_trips"), mode="overwrite",
-                      dynamic=True)
-    else:
+            .parquet(target)
+        return
+    if opts.group_refresh != "touched":
         raise ValueError(f"group_refresh must be full or touched, not {opts.group_refresh!r}")
+    if not days:
+        return
+    fresh = group_trips(fact.where(days_filter(days, "event_timestamp")), opts.box)
+    kept = (read_table(spark, paths, "fact_group_trips")
+            .where(months_filter(months_of(days)))
+            .where(~days_filter(days, "event_date")))
+    staging = f"{paths.root.rstrip('/')}/_staging/fact_group_trips/{uuid.uuid4().hex}"
+    fresh.unionByName(kept).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
+    merged = spark.read.schema(paths.schema("fact_group_trips")).parquet(staging)
+    write_monthly(merged, "event_date", target, mode="overwrite", dynamic=True)
 
 
 def quality_tables(spark: SparkSession, paths: TablePaths) -> dict[str, DataFrame]:
@@ -111,11 +135,11 @@ def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
     v = opts.pipeline_version_instance
     try:
         with logged(spark, log, opts.log_name, "load_stage", v):
-            months = load_stage(spark, paths, source, opts)
+            days = load_stage(spark, paths, source, opts)
         with logged(spark, log, opts.log_name, "update_dimension_tables", v):
-            update_dimensions(spark, paths, months)
+            update_dimensions(spark, paths, days)
         with logged(spark, log, opts.log_name, "update_fact_tables", v):
-            update_facts(spark, paths, opts, months)
+            update_facts(spark, paths, opts, days)
         if opts.check_quality:
             with logged(spark, log, opts.log_name, "data_quality", v):
                 require(check_non_empty(quality_tables(spark, paths)))

@@ -24,8 +24,8 @@ from ..operators.facts import build_delta, group_trips, insert_if_absent
 from ..operators.oplog import last_event
 from ..session import work_root
 from ..sources.adapter import read_sf, stage_from_sf
-from ..sources.tables import (TablePaths, month_predicate, months_filter, read_table,
-                              touched_months, write_monthly, write_stage)
+from ..sources.tables import (TablePaths, days_filter, month_predicate, read_table,
+                              touched_days, write_monthly, write_stage)
 from . import analytics as A
 from . import scenarios as S
 from .pipeline import warehouse_for
@@ -187,9 +187,9 @@ def q_fact_trips_incremental(spark, sf):
         delta = build_delta(S.calendar_batch(spark, sf, name), dim_region, dim_datasource)
         delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
         delta = read_table(spark, paths, "fact_delta_trips")
-        months = touched_months(delta, "event_timestamp")
-        existing = read_table(spark, paths, "fact_trips").where(months_filter(months))
-        write_monthly(insert_if_absent(delta, existing), "event_timestamp",
+        days = touched_days(delta, "event_timestamp")
+        existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+        write_monthly(insert_if_absent(delta, existing, dedupe=False), "event_timestamp",
                       paths.path("fact_trips"), mode="append")
     return flat_fact(read_table(spark, paths, "fact_trips"))
 

@@ -129,6 +129,44 @@ def months_filter(months: list[tuple[int, int]]) -> Column:
 _NEXT_LOG_ID: dict[str, int] = {}
 
 
+def days_filter(days: list[dt.date], ts_col: str) -> Column:
+    """Rows whose ``ts_col`` falls on one of ``days``: the month partition
+    filter plus one half-open range per day (merged when consecutive), so
+    both partition pruning and row-group skipping on ``ts_col`` apply."""
+    if not days:
+        return F.lit(False)
+    ds = sorted(set(days))
+    ranges, start, prev = [], ds[0], ds[0]
+    for d in ds[1:]:
+        if d == prev + dt.timedelta(days=1):
+            prev = d
+            continue
+        ranges.append((start, prev))
+        start = prev = d
+    ranges.append((start, prev))
+    t = F.col(ts_col)
+    cond = None
+    for a, b in ranges:
+        lo = F.lit(dt.datetime(a.year, a.month, a.day)).cast("timestamp_ntz")
+        end = b + dt.timedelta(days=1)
+        hi = F.lit(dt.datetime(end.year, end.month, end.day)).cast("timestamp_ntz")
+        term = (t >= lo) & (t < hi)
+        cond = term if cond is None else (cond | term)
+    months = sorted({(d.year, d.month) for d in ds})
+    return months_filter(months) & cond
+
+
+def months_of(days: list[dt.date]) -> list[tuple[int, int]]:
+    return sorted({(d.year, d.month) for d in days})
+
+
+def touched_days(df: DataFrame, ts_col: str) -> list[dt.date]:
+    """Distinct calendar days of a batch (bounded by its calendar span)."""
+    rows = (df.select(F.col(ts_col).cast("date").alias("d")).where(F.col("d").isNotNull())
+              .distinct().collect())
+    return sorted(r.d for r in rows)
+
+
 def append_log_row(spark: SparkSession, path: str, row: dict) -> None:
     """Append one log row.  log_id continues from the largest id present; the
     largest id is read once per log folder and then counted in the driver
