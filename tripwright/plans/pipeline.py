@@ -12,6 +12,7 @@ import datetime as dt
 import os
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -65,23 +66,36 @@ def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
 
 
 def update_dimensions(spark: SparkSession, paths: TablePaths, days: list[dt.date]) -> None:
+    """The three dimensions are independent: their jobs are submitted from a
+    small thread pool and share the cluster (Spark schedules concurrent jobs)."""
     stage = read_table(spark, paths, "trips")
-    for table, key, id_col in (("dim_datasource", "datasource", "datasource_id"),
-                               ("dim_region", "region", "region_id")):
+
+    def surrogate(table, key, id_col):
         dim = read_table(spark, paths, table)
         upsert_dim(stage, dim, key, id_col).write.mode("append").parquet(paths.path(table))
-    # Only the touched days of the time dimension can hold a batch timestamp.
-    dim_time = read_table(spark, paths, "dim_event_time").where(
-        days_filter(days, "event_timestamp"))
-    rows = fill_event_time(stage, dim_time)
-    write_monthly(rows, "event_timestamp", paths.path("dim_event_time"), mode="append")
+
+    def event_time():
+        # Only the touched days of the time dimension can hold a batch timestamp.
+        dim_time = read_table(spark, paths, "dim_event_time").where(
+            days_filter(days, "event_timestamp"))
+        write_monthly(fill_event_time(stage, dim_time), "event_timestamp",
+                      paths.path("dim_event_time"), mode="append")
+
+    with ThreadPoolExecutor(max_workers=3, thread_name_prefix="tripwright-dims") as pool:
+        futures = [pool.submit(surrogate, "dim_datasource", "datasource", "datasource_id"),
+                   pool.submit(surrogate, "dim_region", "region", "region_id"),
+                   pool.submit(event_time)]
+        for f in futures:
+            f.result()
 
 
 def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
                  days: list[dt.date]) -> None:
     stage = read_table(spark, paths, "trips")
-    dim_region = bounded_broadcast(read_table(spark, paths, "dim_region"))
-    dim_datasource = bounded_broadcast(read_table(spark, paths, "dim_datasource"))
+    with ThreadPoolExecutor(max_workers=2, thread_name_prefix="tripwright-dims") as pool:
+        dim_region, dim_datasource = pool.map(
+            lambda t: bounded_broadcast(read_table(spark, paths, t)),
+            ["dim_region", "dim_datasource"])
     delta = build_delta(stage, dim_region, dim_datasource, opts.on_duplicate, opts.strict)
     delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
     delta = read_table(spark, paths, "fact_delta_trips")
