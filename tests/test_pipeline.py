@@ -144,3 +144,14 @@ def test_late_trip_touches_only_its_day(spark, built, tmp_path):
     assert len(changed) == 1 and set(before) == set(after)
     (k,) = changed
     assert after[k] == before[k] + 1
+
+
+def test_strict_load_rejects_overlong_region(spark, scratch, tmp_path):
+    rows = ROWS[:2] + [("x" * 51, "POINT (1 1)", "POINT (2 2)", "2018-05-05 10:00:00", "x")]
+    with pytest.raises(Exception):
+        run_pipeline(spark, TablePaths(scratch), read_trips(spark, csv_of(tmp_path, rows)))
+    paths = TablePaths(scratch + "_lenient")
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, rows, "l.csv")),
+                 PipelineOptions(strict=False))
+    q = spark.read.parquet(f"{paths.root}/trips_stage/quarantine")
+    assert [r.reason for r in q.collect()] == ["region_length"]

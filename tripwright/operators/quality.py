@@ -107,17 +107,36 @@ def length_report(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> Dat
 
 
 def malformed_reason(point_cols: tuple[str, ...] = ("origin_coord", "destination_coord"),
-                     ts_col: str = "datetime") -> Column:
-    """NULL for a well-formed staged row, else the first failing field name.
-    NULL point text is allowed (it yields a NULL point); text that does not
-    parse to two numbers is not."""
+                     ts_col: str = "datetime",
+                     limits: dict[str, int] = VARCHAR_LIMITS) -> Column:
+    """NULL for a well-formed staged row, else the first failing field name
+    (``<column>_length`` for text over its declared length).  NULL point
+    text is allowed (it yields a NULL point); text that does not parse to two
+    numbers is not."""
     reason = F.lit(None).cast("string")
     for c in reversed(point_cols):
         bad = F.col(c).isNotNull() & ~point_is_valid(c)
         reason = F.when(bad, F.lit(c)).otherwise(reason)
+    for c in reversed(list(limits)):
+        reason = F.when(F.char_length(F.col(c)) > limits[c], F.lit(f"{c}_length")).otherwise(reason)
     return F.when(F.col(ts_col).isNull(), F.lit(ts_col)).otherwise(reason)
 
 
+def enforce_lengths(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> DataFrame:
+    """Same rows, but text longer than its declared length raises when the
+    row is evaluated - in the pass that writes it, no extra scan."""
+    cols = []
+    for c in df.columns:
+        if c in limits:
+            too_long = F.char_length(F.col(c)) > limits[c]
+            cols.append(F.when(too_long, F.raise_error(F.lit(
+                f"value too long for {c} (limit {limits[c]} characters)"))).otherwise(F.col(c))
+                .alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)
+
+
 def split_malformed(stage: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad) rows; bad rows carry a ``reason`` column for quarantine."""
     tagged = stage.withColumn("reason", malformed_reason())

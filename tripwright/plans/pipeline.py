@@ -22,8 +22,8 @@ from ..operators.dims import fill_event_time, upsert_dim
 from ..operators.facts import build_delta, group_trips, insert_if_absent
 from ..operators.joins import bounded_broadcast
 from ..operators.oplog import LogWriter, logged
-from ..operators.quality import check_non_empty, require, split_malformed
-from ..session import work_root
+from ..operators.quality import check_non_empty, enforce_lengths, require, split_malformed
+from ..session import delete_path, work_root
 from ..sources.adapter import stage_from_sf
 from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
                               touched_days, write_monthly, write_stage)
@@ -56,6 +56,8 @@ def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
         landed = spark.read.schema(source.schema).parquet(tmp)
         source, bad = split_malformed(landed)
         bad.write.mode("append").parquet(f"{paths.root.rstrip('/')}/trips_stage/quarantine")
+    else:
+        source = enforce_lengths(source)
     obs = Observation("stage_days")
     observed = source.observe(
         obs, F.array_sort(F.collect_set(F.col("datetime").cast("date"))).alias("days"))
@@ -134,6 +136,7 @@ def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
     fresh.unionByName(kept).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
     merged = spark.read.schema(paths.schema("fact_group_trips")).parquet(staging)
     write_monthly(merged, "event_date", target, mode="overwrite", dynamic=True)
+    delete_path(spark, staging)
 
 
 def quality_tables(spark: SparkSession, paths: TablePaths) -> dict[str, DataFrame]:

@@ -323,6 +323,21 @@ def q_dq_primary_keys(spark, sf):
     return out
 
 
+def q_dq_duplicate_keys(spark, sf):
+    """Fact keys occurring more than once when overlapping deliveries are
+    appended to the stage and the delta keeps duplicates."""
+    wh = warehouse_for(spark, sf)
+    stage = q_stage_append(spark, sf)
+    delta = build_delta(stage, wh.dim_region, wh.dim_datasource, on_duplicate="keep")
+    dup = Q.duplicate_keys(delta, schemas.PRIMARY_KEYS["fact_trips"])
+    return dup.select("event_timestamp", event_id_hex("event_id").alias("event_id"),
+                      F.col("n").alias("copies"))
+
+
+def q_dq_null_keys(spark, sf):
+    return q_dq_primary_keys(spark, sf).select("table_name", "key_columns", "null_key_rows")
+
+
 def q_dq_partition_bounds(spark, sf):
     return Q.bounds_report(warehouse_for(spark, sf).fact_trips, "event_timestamp", *DECLARED_MONTH)
 
@@ -376,6 +391,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedupe": q_stream_dedupe,
     "dq_row_counts": q_dq_row_counts,
     "dq_primary_keys": q_dq_primary_keys,
+    "dq_duplicate_keys": q_dq_duplicate_keys,
+    "dq_null_keys": q_dq_null_keys,
     "dq_partition_bounds": q_dq_partition_bounds,
     "dq_varchar_length": q_dq_varchar_length,
     "dq_malformed_points": q_dq_malformed_points,
