@@ -42,3 +42,17 @@ def test_daily_counts_close_with_watermark(spark, scratch, tmp_path):
     closed = {(str(r[0].date()), r[2]): r[3] for r in got}
     # days 1 and 2 are closed by the watermark (day 5 - 1 day); day 5 stays open
     assert closed == {("2018-05-01", "Turin"): 3, ("2018-05-02", "Prague"): 2}
+
+
+def test_write_deduplicated_across_batches(spark, scratch, tmp_path):
+    from tripwright.streaming.ingest import write_deduplicated
+    src = tmp_path / "redeliver"
+    src.mkdir()
+    write_csv(src / "1.csv", rows(1, 4) * 3)          # copies inside one batch
+    write_csv(src / "2.csv", rows(1, 2) + rows(3, 2))  # copies across batches
+    out = f"{scratch}/dedup"
+    q = write_deduplicated(trips_file_stream(spark, str(src), max_files_per_trigger=1), out,
+                           f"{scratch}/_ck")
+    q.awaitTermination()
+    df = spark.read.parquet(out)
+    assert df.count() == 6 and df.distinct().count() == 6

@@ -289,10 +289,24 @@ def q_stream_ingest_fact(spark, sf):
 
 
 def q_stream_dedupe(spark, sf):
-    """The events file delivered twice, de-duplicated within a 31-day watermark."""
-    from ..streaming.ingest import dedupe_redeliveries, trips_stream_from_events
+    """The events file delivered twice, each trip written once (per-batch
+    pre-aggregation + insert-if-absent)."""
+    from ..streaming.ingest import TRIP_COLUMNS, trips_stream_from_events, write_deduplicated
     paths = _scratch(spark, "stream_dedupe")
     out = paths.path("trips")
+    q = write_deduplicated(trips_stream_from_events(spark, sf, copies=2), out,
+                           f"{paths.root}/_checkpoint")
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(out).select(*TRIP_COLUMNS)
+
+
+def q_stream_dedupe_watermark(spark, sf):
+    """Same deliveries through the stateful dropDuplicatesWithinWatermark."""
+    from ..streaming.ingest import dedupe_redeliveries, trips_stream_from_events
+    paths = _scratch(spark, "stream_dedupe_wm")
+    out = paths.path("trips")
     q = (dedupe_redeliveries(trips_stream_from_events(spark, sf, copies=2))
          .writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", f"{paths.root}/_checkpoint")
@@ -389,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "last_event": q_last_event,
     "stream_ingest_fact": q_stream_ingest_fact,
     "stream_dedupe": q_stream_dedupe,
+    "stream_dedupe_watermark": q_stream_dedupe_watermark,
     "dq_row_counts": q_dq_row_counts,
     "dq_primary_keys": q_dq_primary_keys,
     "dq_duplicate_keys": q_dq_duplicate_keys,

@@ -2,7 +2,7 @@
 re-delivery de-duplication and event-time daily counts."""
 
 from .ingest import (daily_counts, dedupe_redeliveries, event_time, ingest_stream,
-                     trips_file_stream, trips_stream_from_events)
+                     trips_file_stream, trips_stream_from_events, write_deduplicated)
 
 __all__ = ["daily_counts", "dedupe_redeliveries", "event_time", "ingest_stream",
-           "trips_file_stream", "trips_stream_from_events"]
+           "trips_file_stream", "trips_stream_from_events", "write_deduplicated"]
