@@ -83,3 +83,14 @@ def test_format_timestamp_as_written_uses_12h_and_month(spark):
     assert one(df, timeparts.format_timestamp("datetime")) == "2018-05-07 15:42:07"
     assert one(df, timeparts.format_timestamp("datetime", as_written=True)) == "2018-05-07 03:05:07"
     assert one(df, timeparts.format_day("datetime")) == "2018-05-07"
+
+
+def test_formatting_ignores_session_time_zone(spark):
+    df = stage_df(spark, [("r", None, None, "2018-03-11 02:30:05", "s")])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 is a DST gap
+        assert one(df, timeparts.format_timestamp("datetime")) == "2018-03-11 02:30:05"
+        assert one(df, timeparts.format_day("datetime")) == "2018-03-11"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -41,13 +41,31 @@ def event_time_parts(ts) -> list[Column]:
     ]
 
 
+def ntz_literal(value) -> Column:
+    """A ``timestamp_ntz`` literal built from text, so neither the Python
+    process's zone nor the session zone can shift it."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def format_day(ts) -> Column:
-    return F.date_format(_col(ts), DAY_PATTERN)
+    """``yyyy-MM-dd`` of a timestamp_ntz, read off the value itself
+    (``date_format`` would pass through the session zone)."""
+    return _col(ts).cast("date").cast("string")
 
 
 def format_timestamp(ts, as_written: bool = False) -> Column:
-    pattern = TIMESTAMP_PATTERN_AS_WRITTEN if as_written else TIMESTAMP_PATTERN
-    return F.date_format(_col(ts), pattern)
+    """``yyyy-MM-dd HH:mm:ss`` (24-hour clock, minutes) of a timestamp_ntz.
+
+    ``as_written`` gives ``yyyy-MM-dd hh:MM:ss``: 12-hour clock and the
+    *month* where minutes were meant.  Both are composed from the value's
+    own fields, independent of the session time zone.
+    """
+    t = _col(ts)
+    if not as_written:
+        return F.substring(t.cast("string"), 1, 19)
+    hour12 = (F.hour(t) + 11) % 12 + 1
+    return F.format_string("%s %02d:%02d:%02d", format_day(t), hour12, F.month(t), F.second(t))
 
 
 def month_start(year, month) -> Column:

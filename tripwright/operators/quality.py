@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import point_is_valid
+from ..functions.timeparts import ntz_literal
 from ..schemas import VARCHAR_LIMITS
 
 
@@ -70,8 +71,8 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def outside_bounds(df: DataFrame, ts_col: str, start, end) -> Column:
     """True for rows outside the half-open month range ``[start, end)``."""
     t = F.col(ts_col)
-    s = F.lit(_ts(start)).cast("timestamp_ntz")
-    e = F.lit(_ts(end)).cast("timestamp_ntz")
+    s = ntz_literal(_ts(start))
+    e = ntz_literal(_ts(end))
     return t.isNull() | (t < s) | (t >= e)
 
 

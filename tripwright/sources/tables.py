@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.timeparts import ntz_literal
 from ..session import path_exists
 
 # Table name -> (schema folder, declared schema).  The three folders mirror the
@@ -97,8 +98,8 @@ def month_predicate(start: dt.datetime | str, end: dt.datetime | str,
     ym_hi = last.year * 12 + last.month - 1
     ym = F.col("year") * 12 + F.col("month") - 1
     return ((ym >= ym_lo) & (ym <= ym_hi)
-            & (F.col(ts_col) >= F.lit(s).cast("timestamp_ntz"))
-            & (F.col(ts_col) < F.lit(e).cast("timestamp_ntz")))
+            & (F.col(ts_col) >= ntz_literal(s))
+            & (F.col(ts_col) < ntz_literal(e)))
 
 
 def _as_datetime(v) -> dt.datetime:
@@ -147,9 +148,9 @@ def days_filter(days: list[dt.date], ts_col: str) -> Column:
     t = F.col(ts_col)
     cond = None
     for a, b in ranges:
-        lo = F.lit(dt.datetime(a.year, a.month, a.day)).cast("timestamp_ntz")
+        lo = ntz_literal(dt.datetime(a.year, a.month, a.day))
         end = b + dt.timedelta(days=1)
-        hi = F.lit(dt.datetime(end.year, end.month, end.day)).cast("timestamp_ntz")
+        hi = ntz_literal(dt.datetime(end.year, end.month, end.day))
         term = (t >= lo) & (t < hi)
         cond = term if cond is None else (cond | term)
     months = sorted({(d.year, d.month) for d in ds})
