@@ -155,3 +155,25 @@ def test_strict_load_rejects_overlong_region(spark, scratch, tmp_path):
                  PipelineOptions(strict=False))
     q = spark.read.parquet(f"{paths.root}/trips_stage/quarantine")
     assert [r.reason for r in q.collect()] == ["region_length"]
+
+
+def test_step_retry_logs_once(spark, scratch, tmp_path, monkeypatch):
+    import tripwright.plans.pipeline as P
+    calls = {"n": 0}
+    real = P.update_dimensions
+
+    def flaky(*a, **k):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("transient")
+        return real(*a, **k)
+
+    monkeypatch.setattr(P, "update_dimensions", flaky)
+    paths = TablePaths(scratch)
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, ROWS)),
+                 PipelineOptions(step_attempts=3, retry_wait=(0.0, 0.0)))
+    assert calls["n"] == 2
+    log = Warehouse(spark, paths).trips_log
+    dims = [r.event_type for r in log.where(F.col("event") == "update_dimension_tables")
+            .orderBy("log_id").collect()]
+    assert dims == ["start", "end"]

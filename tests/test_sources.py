@@ -61,3 +61,13 @@ def test_day_and_month_filters(spark):
     assert got == [1, 1, 2, 31]
     win = df.where(month_predicate("2018-05-02", "2018-05-31")).count()
     assert win == 3
+
+
+def test_identifier_parameter(spark, scratch, tmp_path):
+    p = tmp_path / "t.csv"
+    write_csv(p, ROWS)
+    paths = TablePaths(scratch)
+    run_pipeline(spark, paths, read_trips(spark, str(p)))
+    register_catalog(spark, paths)
+    n = run_query(spark, "SELECT count(*) AS n FROM IDENTIFIER(:t)", {"t": "trips.dim_region"})
+    assert n.first().n == 2

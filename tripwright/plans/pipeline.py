@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import random
 import threading
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -39,6 +41,21 @@ class PipelineOptions:
     check_quality: bool = True
     pipeline_version_instance: str = "v1"
     log_name: str = "trips"
+    step_attempts: int = 1               # whole-step retries (steps are re-runnable)
+    retry_wait: tuple[float, float] = (1.0, 2.0)   # random wait between attempts, seconds
+
+
+def with_retries(fn, attempts: int, wait: tuple[float, float]):
+    """Run ``fn`` up to ``attempts`` times.  Spark already retries failed
+    tasks; this covers a whole step failing on the driver side.  Safe because
+    every step's writes are insert-if-absent or overwrite."""
+    for attempt in range(1, max(1, attempts) + 1):
+        try:
+            return fn()
+        except Exception:
+            if attempt >= attempts:
+                raise
+            time.sleep(random.uniform(*wait))
 
 
 def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
@@ -151,15 +168,16 @@ def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
     log = LogWriter(spark, paths.path("trips_log"))
     v = opts.pipeline_version_instance
     try:
-        with logged(spark, log, opts.log_name, "load_stage", v):
-            days = load_stage(spark, paths, source, opts)
-        with logged(spark, log, opts.log_name, "update_dimension_tables", v):
-            update_dimensions(spark, paths, days)
-        with logged(spark, log, opts.log_name, "update_fact_tables", v):
-            update_facts(spark, paths, opts, days)
+        def step(event, fn):
+            # One start and one end/failed row per step, however many attempts.
+            with logged(spark, log, opts.log_name, event, v):
+                return with_retries(fn, opts.step_attempts, opts.retry_wait)
+
+        days = step("load_stage", lambda: load_stage(spark, paths, source, opts))
+        step("update_dimension_tables", lambda: update_dimensions(spark, paths, days))
+        step("update_fact_tables", lambda: update_facts(spark, paths, opts, days))
         if opts.check_quality:
-            with logged(spark, log, opts.log_name, "data_quality", v):
-                require(check_non_empty(quality_tables(spark, paths)))
+            step("data_quality", lambda: require(check_non_empty(quality_tables(spark, paths))))
     finally:
         log.close()
     return paths
