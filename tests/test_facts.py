@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tripwright import schemas
 from tripwright.operators.dims import upsert_dim

@@ -1,7 +1,6 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from tripwright.functions import geo, keys, timeparts
 from helpers import stage_df, ts

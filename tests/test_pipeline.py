@@ -1,5 +1,3 @@
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +5,6 @@ from tripwright.operators.quality import DataQualityError
 from tripwright.operators.oplog import last_event
 from tripwright.plans import analytics as A
 from tripwright.plans.pipeline import PipelineOptions, Warehouse, run_pipeline
-from tripwright.session import local_path
 from tripwright.sources.csv_trips import file_id_from_share_uri, read_trips
 from tripwright.sources.tables import TablePaths
 from helpers import write_csv

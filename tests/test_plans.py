@@ -4,7 +4,6 @@ import contextlib
 import datetime as dt
 import io
 
-from pyspark.sql import functions as F
 
 from tripwright.plans import analytics as A
 from tripwright.plans.pipeline import Warehouse, run_pipeline

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tripwright.operators import quality as Q
 from helpers import stage_df

@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from tripwright.operators.spatial import points_in_boxes
 

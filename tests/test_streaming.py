@@ -1,5 +1,3 @@
-import os
-
 from tripwright.plans.pipeline import Warehouse
 from tripwright.sources.tables import TablePaths
 from tripwright.streaming.ingest import daily_counts, ingest_stream, trips_file_stream

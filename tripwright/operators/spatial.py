@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import box_contains
+from ..session import ensure_checkpoint_dir
 
 
 def _level_of(span, cell: float):
@@ -66,7 +67,10 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str =
     between 2**-1074 and 2**1024 maps to at most ~2,100 values), so the
     short list is brought to the driver to build the point expansion.
     """
-    bc = box_cells(boxes, box_col, cell)
+    # The box side is read twice (levels, then the join): pin it once with a
+    # reliable checkpoint so an aggregate feeding it is not recomputed.
+    ensure_checkpoint_dir(boxes.sparkSession)
+    bc = box_cells(boxes, box_col, cell).checkpoint(eager=True)
     levels = sorted(r[0] for r in bc.select("_lvl").distinct().collect())
     if not levels:
         return (points.join(boxes, F.lit(False), "inner"))
