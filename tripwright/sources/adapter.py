@@ -34,15 +34,18 @@ def stage_from_events(events: DataFrame, customer: DataFrame, nation: DataFrame)
     """Staged trips (schema ``schemas.TRIPS``) from the three driver tables.
 
     No join hint: customer and nation are dimension scans whose on-disk size
-    Catalyst knows, so they are broadcast when under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle-joined otherwise.  A
-    hot user_id is split by AQE's skew-join handling.
+    Catalyst knows, so each is broadcast when under
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle-joined otherwise.
+    Events are joined to customer first: joining customer to nation first
+    would inflate that side's size estimate (a join's estimate is roughly the
+    product of its inputs) and turn the events side into the broadcast one.
+    A hot user_id in a shuffle join is split by AQE's skew-join handling.
     """
     e = events.select("event_id", "ts", "user_id", "event_type")
     c = customer.select("c_custkey", "c_nationkey")
     n = nation.select("n_nationkey", "n_name")
-    cn = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
-    j = e.join(cn, e.user_id == cn.c_custkey, "inner")
+    ec = e.join(c, e.user_id == c.c_custkey, "inner")
+    j = ec.join(n, ec.c_nationkey == n.n_nationkey, "inner")
     bx = F.lit(CELL_X_BASE) + F.col("n_nationkey") % CELL_ROW_WIDTH
     by = F.lit(CELL_Y_BASE) + F.col("n_nationkey") - F.col("n_nationkey") % CELL_ROW_WIDTH
     uid, eid = F.col("user_id"), F.col("event_id")
