@@ -71,3 +71,31 @@ def test_identifier_parameter(spark, scratch, tmp_path):
     register_catalog(spark, paths)
     n = run_query(spark, "SELECT count(*) AS n FROM IDENTIFIER(:t)", {"t": "trips.dim_region"})
     assert n.first().n == 2
+
+
+def test_sql_text_matches_dataframe_queries(spark, scratch, tmp_path):
+    from tripwright.plans import analytics as A
+    from tripwright.plans import sql_text as T
+    from tripwright.plans.pipeline import Warehouse
+    rows = ROWS + [["Turin", "POINT (7.61 45.01)", "POINT (7.62 45.02)", "2018-05-05 09:00:00", "baba_car"]]
+    p = tmp_path / "t.csv"
+    write_csv(p, rows)
+    paths = TablePaths(scratch)
+    run_pipeline(spark, paths, read_trips(spark, str(p)))
+    register_catalog(spark, paths)
+    wh = Warehouse(spark, paths)
+
+    def same(a, b):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+    same(run_query(spark, T.REGIONS_OF_DATASOURCE, {"datasource": "cheap_mobile"}),
+         A.regions_of_datasource(wh.fact_trips, wh.dim_region, wh.dim_datasource, "cheap_mobile"))
+    same(run_query(spark, T.LATEST_DATASOURCE_TOP, {"k": 2}),
+         A.latest_datasource_top(wh.fact_trips, wh.dim_region, wh.dim_datasource, 2))
+    same(run_query(spark, T.WEEKLY_AVG_TRIPS),
+         A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_event_time))
+    same(run_query(spark, T.CHECK_POSITION, {"x": 7.60, "y": 45.00}),
+         A.check_position(wh.fact_group_trips, wh.dim_region, 7.60, 45.00))
+    same(run_query(spark, T.LIST_REGIONS), wh.dim_region)
+    last = run_query(spark, T.LAST_LOG_EVENT).first()
+    assert (last.event, last.event_type) == ("data_quality", "end")
