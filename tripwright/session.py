@@ -58,7 +58,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Local/test fallback only: a cluster names a shared folder itself.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(every executor must reach it)")
+        # Local mode / tests only: one machine, so a local folder is shared.
         configured = tempfile.mkdtemp(prefix="tripwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
