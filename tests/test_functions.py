@@ -93,3 +93,14 @@ def test_formatting_ignores_session_time_zone(spark):
         assert one(df, timeparts.format_day("datetime")) == "2018-03-11"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_strict_parse_raises_without_ansi(spark):
+    df = spark.createDataFrame([("POINT (7.1)",)], "p string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        with pytest.raises(Exception):
+            one(df, geo.parse_point("p", strict=True))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

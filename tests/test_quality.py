@@ -52,3 +52,11 @@ def test_split_malformed(spark):
     assert reasons == ["datetime", "destination_coord", "destination_coord", "origin_coord"]
     rep = Q.malformed_report(s).first()
     assert (rep["bad_origin"], rep["bad_destination"], rep["null_datetime"]) == (1, 2, 1)
+
+
+def test_blueprint_names(spark):
+    s = stage_df(spark, [("r", P, P, "2018-05-01 00:00:00", "a"),
+                         ("r", P, P, "2018-06-01 00:00:00", "a")])
+    assert Q.check_bounds(s, "datetime", "2018-05-01", "2018-06-01").count() == 1
+    assert Q.check_keys(s, ["datetime"], "stage").first()["passed"] is True
+    assert Q.check_lengths(s).count() == 4

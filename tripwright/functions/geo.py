@@ -43,10 +43,13 @@ def parse_point(text, strict: bool = True) -> Column:
     """
     t = _col(text)
     xs, ys = point_parts(t)
+    x, y = xs.try_cast("double"), ys.try_cast("double")
     if strict:
-        x, y = xs.cast("double"), ys.cast("double")
-    else:
-        x, y = xs.try_cast("double"), ys.try_cast("double")
+        # Raise whatever the session's ANSI setting (a plain cast would
+        # quietly give NULL with ANSI off).
+        bad = x.isNull() | y.isNull()
+        err = F.raise_error(F.concat(F.lit("malformed point: "), t))
+        x = F.when(bad, err.cast("double")).otherwise(x)
     return F.when(t.isNull(), F.lit(None)).otherwise(
         F.struct(x.alias("x"), y.alias("y")))
 

@@ -157,3 +157,19 @@ def malformed_report(stage: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("region").isNull(), 1).otherwise(0)).cast("bigint").alias("null_region"),
         F.sum(F.when(F.col("datasource").isNull(), 1).otherwise(0)).cast("bigint").alias("null_datasource"),
     )
+
+
+# Names used by the blueprint's signatures.
+def check_keys(df: DataFrame, keys: list[str], table: str = "table") -> DataFrame:
+    """Primary-key report (unique + not null) - see ``key_report``."""
+    return key_report(df, keys, table)
+
+
+def check_bounds(df: DataFrame, ts_col: str, start, end) -> DataFrame:
+    """Rows outside the half-open range ``[start, end)`` (for quarantine)."""
+    return df.where(outside_bounds(df, ts_col, start, end))
+
+
+def check_lengths(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> DataFrame:
+    """Declared-length report per column - see ``length_report``."""
+    return length_report(df, limits)
