@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.geo import box_contains
 from ..session import ensure_checkpoint_dir
@@ -73,7 +74,10 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str =
     bc = box_cells(boxes, box_col, cell).checkpoint(eager=True)
     levels = sorted(r[0] for r in bc.select("_lvl").distinct().collect())
     if not levels:
-        return (points.join(boxes, F.lit(False), "inner"))
+        # No valid box: the answer is empty, with the joined columns.
+        spark = points.sparkSession
+        schema = StructType(points.schema.fields + boxes.schema.fields)
+        return spark.createDataFrame([], schema)
     pc = point_cells(points, levels, x, y, cell)
     joined = pc.join(bc, ["_lvl", "_cx", "_cy"], "inner")
     hit = joined.where(box_contains(F.col(box_col), F.col(x), F.col(y)))
