@@ -18,6 +18,34 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+POINT_COLUMNS = ("origin_coord", "destination_coord")
+
+
+def dedupe_on_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, through a hash aggregate.
+
+    ``dropDuplicates`` keeps the first value of every other column; over
+    struct columns that buffer is not fixed-width and Spark falls back to a
+    sort-based aggregate.  The point structs are split into their doubles
+    plus a NULL flag for the aggregate and rebuilt after it, so the plan is
+    a partial + final HashAggregate (copies collapse map-side, no sort).
+    """
+    points = [c for c in POINT_COLUMNS if c in df.columns]
+    if not points:
+        return df.dropDuplicates(keys)
+    flat = df
+    for c in points:
+        flat = (flat.withColumn(f"_{c}_null", F.col(c).isNull())
+                    .withColumn(f"_{c}_x", F.col(c)["x"])
+                    .withColumn(f"_{c}_y", F.col(c)["y"])
+                    .drop(c))
+    out = flat.dropDuplicates(keys)
+    for c in points:
+        out = out.withColumn(c, F.when(F.col(f"_{c}_null"), F.lit(None)).otherwise(
+            F.struct(F.col(f"_{c}_x").alias("x"), F.col(f"_{c}_y").alias("y"))))
+    return out.select(*df.columns)
+
+
 def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFrame,
                 on_duplicate: str = "drop", strict: bool = True) -> DataFrame:
     """Typed delta fact of a staged batch.
@@ -50,7 +78,7 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
         parse_point("destination_coord", strict).alias("destination_coord"),
     )
     if on_duplicate == "drop":
-        return delta.dropDuplicates(FACT_KEY)
+        return dedupe_on_key(delta, FACT_KEY)
     if on_duplicate == "fail":
         dup = delta.groupBy(*FACT_KEY).count().where(F.col("count") > 1).limit(1).count()
         if dup:
@@ -71,7 +99,7 @@ def insert_if_absent(delta: DataFrame, existing: DataFrame, keys: list[str] = FA
     day can match.  With a shuffle join the de-duplication and the anti-join
     hash and sort on the same keys, so the delta side is exchanged once.
     """
-    d = delta.dropDuplicates(keys) if dedupe else delta
+    d = dedupe_on_key(delta, keys) if dedupe else delta
     return d.join(existing.select(*keys), keys, "left_anti")
 
 
