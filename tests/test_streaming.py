@@ -54,3 +54,20 @@ def test_write_deduplicated_across_batches(spark, scratch, tmp_path):
     q.awaitTermination()
     df = spark.read.parquet(out)
     assert df.count() == 6 and df.distinct().count() == 6
+
+
+def test_hourly_counts(spark, scratch, tmp_path):
+    src = tmp_path / "hours"
+    src.mkdir()
+    write_csv(src / "1.csv", [["Turin", "POINT (1 1)", "POINT (2 2)", "2018-05-01 10:05:00", "a"],
+                              ["Turin", "POINT (1 1)", "POINT (2 3)", "2018-05-01 10:55:00", "a"],
+                              ["Turin", "POINT (1 1)", "POINT (2 4)", "2018-05-01 11:10:00", "a"]])
+    write_csv(src / "2.csv", [["Turin", "POINT (1 1)", "POINT (2 2)", "2018-05-01 14:00:00", "a"]])
+    got = []
+    q = (daily_counts(trips_file_stream(spark, str(src), max_files_per_trigger=1), delay="1 hour",
+                      hourly=True)
+         .writeStream.outputMode("append")
+         .foreachBatch(lambda df, e: got.extend(tuple(r) for r in df.collect()))
+         .option("checkpointLocation", f"{scratch}/_ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted((r[0].hour, r[3]) for r in got) == [(10, 2), (11, 1)]

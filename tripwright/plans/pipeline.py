@@ -25,7 +25,7 @@ from ..operators.facts import build_delta, group_trips, insert_if_absent
 from ..operators.joins import bounded_broadcast
 from ..operators.oplog import LogWriter, logged
 from ..operators.quality import check_non_empty, enforce_lengths, require, split_malformed
-from ..session import delete_path, work_root
+from ..session import delete_path, path_exists, work_root
 from ..sources.adapter import stage_from_sf
 from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
                               touched_days, write_monthly, write_stage)
@@ -146,6 +146,10 @@ def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
     if not days:
         return
     fresh = group_trips(fact.where(days_filter(days, "event_timestamp")), opts.box)
+    if not any(path_exists(spark, f"{target}/year={y}/month={m}") for y, m in months_of(days)):
+        # Nothing to carry over in these months: write the fresh days directly.
+        write_monthly(fresh, "event_date", target, mode="overwrite", dynamic=True)
+        return
     kept = (read_table(spark, paths, "fact_group_trips")
             .where(months_filter(months_of(days)))
             .where(~days_filter(days, "event_date")))
