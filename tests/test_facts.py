@@ -13,7 +13,7 @@ def dims(spark, stage):
     return r, d
 
 
-ROW = ("Turin", "POINT (0 0)", "POINT (2 2)", "2018-05-01 10:00:00", "app")
+ROW = ("Vienna", "POINT (0 0)", "POINT (2 2)", "2018-05-01 10:00:00", "app")
 
 
 def test_duplicates_drop_fail_keep(spark):
@@ -51,8 +51,8 @@ def test_group_box_modes(spark):
 
 
 def test_group_null_destination_follows_case(spark):
-    s = stage_df(spark, [("Turin", "POINT (1 1)", None, "2018-05-01 10:00:00", "app"),
-                         ("Turin", "POINT (3 3)", "POINT (5 5)", "2018-05-01 11:00:00", "app")])
+    s = stage_df(spark, [("Vienna", "POINT (1 1)", None, "2018-05-01 10:00:00", "app"),
+                         ("Vienna", "POINT (3 3)", "POINT (5 5)", "2018-05-01 11:00:00", "app")])
     r, d = dims(spark, s)
     g = group_trips(build_delta(s, r, d), "as_written").first()
     # NULL destination makes the CASE arm NULL, which MIN/MAX skip.

@@ -11,12 +11,12 @@ from helpers import write_csv
 
 # Invented trips: two cities, three apps, May 2018, plus one June row.
 ROWS = [
-    ("Turin", "POINT (7.60 45.00)", "POINT (7.70 45.10)", "2018-05-05 08:00:00", "cheap_mobile"),
-    ("Turin", "POINT (7.65 45.05)", "POINT (7.62 45.02)", "2018-05-05 09:30:00", "funny_car"),
-    ("Turin", "POINT (7.66 45.07)", "POINT (7.61 45.09)", "2018-05-08 17:15:00", "cheap_mobile"),
-    ("Prague", "POINT (14.40 50.05)", "POINT (14.50 50.10)", "2018-05-05 07:00:00", "baba_car"),
-    ("Prague", "POINT (14.45 50.07)", "POINT (14.41 50.02)", "2018-05-06 00:00:00", "cheap_mobile"),
-    ("Prague", "POINT (14.42 50.08)", "POINT (14.43 50.01)", "2018-06-01 00:00:00", "baba_car"),
+    ("Vienna", "POINT (7.60 45.00)", "POINT (7.70 45.10)", "2018-05-05 08:00:00", "city_hop"),
+    ("Vienna", "POINT (7.65 45.05)", "POINT (7.62 45.02)", "2018-05-05 09:30:00", "fleet_go"),
+    ("Vienna", "POINT (7.66 45.07)", "POINT (7.61 45.09)", "2018-05-08 17:15:00", "city_hop"),
+    ("Lisbon", "POINT (14.40 50.05)", "POINT (14.50 50.10)", "2018-05-05 07:00:00", "bike_net"),
+    ("Lisbon", "POINT (14.45 50.07)", "POINT (14.41 50.02)", "2018-05-06 00:00:00", "city_hop"),
+    ("Lisbon", "POINT (14.42 50.08)", "POINT (14.43 50.01)", "2018-06-01 00:00:00", "bike_net"),
 ]
 
 
@@ -46,17 +46,17 @@ def test_tables_after_one_load(built):
 
 def test_named_queries(built):
     turin = A.check_position(built.fact_group_trips, built.dim_region, 7.60, 45.00).collect()
-    assert [(r.region, r.event_date, r.number_of_trips) for r in turin] == [("Turin", "2018-05-05", 2)]
+    assert [(r.region, r.event_date, r.number_of_trips) for r in turin] == [("Vienna", "2018-05-05", 2)]
     regions = {r.region for r in A.regions_of_datasource(
-        built.fact_trips, built.dim_region, built.dim_datasource, "cheap_mobile").collect()}
-    assert regions == {"Turin", "Prague"}
+        built.fact_trips, built.dim_region, built.dim_datasource, "city_hop").collect()}
+    assert regions == {"Vienna", "Lisbon"}
     top = {r.region: r.datasource for r in A.latest_datasource_top(
         built.fact_trips, built.dim_region, built.dim_datasource, 2).collect()}
-    assert top == {"Turin": "cheap_mobile", "Prague": "baba_car"}
+    assert top == {"Vienna": "city_hop", "Lisbon": "bike_net"}
     avg = {r.region: r.avg_weekly_trips for r in A.weekly_avg_trips(
         built.fact_group_trips, built.dim_region, built.dim_event_time).collect()}
-    # Turin: week 18 (05-05) 2 trips, week 19 (05-08) 1 trip.
-    assert avg["Turin"] == pytest.approx(1.5)
+    # Vienna: week 18 (05-05) 2 trips, week 19 (05-08) 1 trip.
+    assert avg["Vienna"] == pytest.approx(1.5)
 
 
 def test_replay_is_idempotent_and_log_written(spark, built, tmp_path):
@@ -72,21 +72,21 @@ def test_replay_is_idempotent_and_log_written(spark, built, tmp_path):
 
 
 def test_second_batch_adds_members_and_keeps_ids(spark, built, tmp_path):
-    more = [("Hamburg", "POINT (10.0 53.5)", "POINT (10.1 53.6)", "2018-05-09 10:00:00", "pt_app")]
+    more = [("Bergen", "POINT (10.0 53.5)", "POINT (10.1 53.6)", "2018-05-09 10:00:00", "road_app")]
     run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, more, "more.csv")))
     dims = {r.region: r.region_id for r in built.dim_region.collect()}
-    assert dims == {"Prague": 1, "Turin": 2, "Hamburg": 3}
+    assert dims == {"Lisbon": 1, "Vienna": 2, "Bergen": 3}
     assert built.fact_trips.count() == 7
 
 
 def test_strict_load_fails_on_malformed_point(spark, scratch, tmp_path):
-    bad = ROWS[:2] + [("Turin", "POINT (7.1)", "POINT (1 1)", "2018-05-05 10:00:00", "x")]
+    bad = ROWS[:2] + [("Vienna", "POINT (7.1)", "POINT (1 1)", "2018-05-05 10:00:00", "x")]
     with pytest.raises(Exception):
         run_pipeline(spark, TablePaths(scratch), read_trips(spark, csv_of(tmp_path, bad)))
 
 
 def test_lenient_load_quarantines(spark, scratch, tmp_path):
-    bad = ROWS[:2] + [("Turin", "POINT (7.1)", "POINT (1 1)", "2018-05-05 10:00:00", "x")]
+    bad = ROWS[:2] + [("Vienna", "POINT (7.1)", "POINT (1 1)", "2018-05-05 10:00:00", "x")]
     paths = TablePaths(scratch)
     run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, bad)),
                  PipelineOptions(strict=False))
@@ -103,7 +103,7 @@ def test_empty_batch_fails_quality(spark, scratch, tmp_path):
 
 def test_failfast_csv(spark, tmp_path):
     p = tmp_path / "broken.csv"
-    write_csv(p, [["Turin", "POINT (1 1)", "POINT (2 2)", "not-a-time", "x"]])
+    write_csv(p, [["Vienna", "POINT (1 1)", "POINT (2 2)", "not-a-time", "x"]])
     with pytest.raises(Exception):
         read_trips(spark, str(p)).collect()
 
@@ -125,7 +125,7 @@ def test_share_uri_file_id():
 
 
 def test_null_datetime_aborts_strict_load(spark, scratch, tmp_path):
-    rows = ROWS[:2] + [("Turin", "POINT (1 1)", "POINT (2 2)", "", "x")]
+    rows = ROWS[:2] + [("Vienna", "POINT (1 1)", "POINT (2 2)", "", "x")]
     with pytest.raises(Exception):
         run_pipeline(spark, TablePaths(scratch), read_trips(spark, csv_of(tmp_path, rows)))
 
@@ -133,7 +133,7 @@ def test_null_datetime_aborts_strict_load(spark, scratch, tmp_path):
 def test_late_trip_touches_only_its_day(spark, built, tmp_path):
     """A batch with one late trip (05-05, already a group day) leaves the
     other days' group rows as they were and adds one trip to that day."""
-    late = [("Turin", "POINT (7.61 45.01)", "POINT (7.63 45.03)", "2018-05-05 23:00:00", "funny_car")]
+    late = [("Vienna", "POINT (7.61 45.01)", "POINT (7.63 45.03)", "2018-05-05 23:00:00", "fleet_go")]
     before = {(r.region_id, r.event_date): r.number_of_trips for r in built.fact_group_trips.collect()}
     run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, late, "late.csv")))
     after = {(r.region_id, r.event_date): r.number_of_trips for r in built.fact_group_trips.collect()}

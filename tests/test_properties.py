@@ -9,7 +9,7 @@ from tripwright.operators.dims import upsert_dim
 from tripwright.operators.facts import build_delta, insert_if_absent
 from helpers import stage_df
 
-REGIONS = ["Turin", "Prague", "Hamburg", "Oslo", "Lyon"]
+REGIONS = ["Vienna", "Lisbon", "Bergen", "Oslo", "Lyon"]
 
 trip = st.tuples(
     st.sampled_from(REGIONS),

@@ -10,9 +10,9 @@ from tripwright.sources.tables import TablePaths, days_filter, month_predicate
 from helpers import write_csv
 
 ROWS = [
-    ["Turin", "POINT (7.60 45.00)", "POINT (7.70 45.10)", "2018-05-05 08:00:00", "cheap_mobile"],
-    ["Prague", "POINT (14.40 50.05)", "POINT (14.50 50.10)", "2018-05-06 07:00:00", "baba_car"],
-    ["Prague", "POINT (14.41 50.06)", "POINT (14.51 50.11)", "2018-06-01 07:00:00", "cheap_mobile"],
+    ["Vienna", "POINT (7.60 45.00)", "POINT (7.70 45.10)", "2018-05-05 08:00:00", "city_hop"],
+    ["Lisbon", "POINT (14.40 50.05)", "POINT (14.50 50.10)", "2018-05-06 07:00:00", "bike_net"],
+    ["Lisbon", "POINT (14.41 50.06)", "POINT (14.51 50.11)", "2018-06-01 07:00:00", "city_hop"],
 ]
 
 
@@ -27,8 +27,8 @@ def test_sql_over_catalog_tables(spark, scratch, tmp_path):
         FROM trips.dim_datasource dd
         JOIN trips.fact_trips t ON t.datasource_id = dd.datasource_id
         JOIN trips.dim_region dr ON dr.region_id = t.region_id
-        WHERE dd.datasource = :name""", {"name": "cheap_mobile"})
-    assert sorted(r.region for r in got.collect()) == ["Prague", "Turin"]
+        WHERE dd.datasource = :name""", {"name": "city_hop"})
+    assert sorted(r.region for r in got.collect()) == ["Lisbon", "Vienna"]
     months = run_query(spark, "SELECT DISTINCT year, month FROM trips.fact_trips ORDER BY 1, 2")
     assert [tuple(r) for r in months.collect()] == [(2018, 5), (2018, 6)]
     names = register_views(spark, paths, prefix="v_")
@@ -77,7 +77,7 @@ def test_sql_text_matches_dataframe_queries(spark, scratch, tmp_path):
     from tripwright.plans import analytics as A
     from tripwright.plans import sql_text as T
     from tripwright.plans.pipeline import Warehouse
-    rows = ROWS + [["Turin", "POINT (7.61 45.01)", "POINT (7.62 45.02)", "2018-05-05 09:00:00", "baba_car"]]
+    rows = ROWS + [["Vienna", "POINT (7.61 45.01)", "POINT (7.62 45.02)", "2018-05-05 09:00:00", "bike_net"]]
     p = tmp_path / "t.csv"
     write_csv(p, rows)
     paths = TablePaths(scratch)
@@ -88,8 +88,8 @@ def test_sql_text_matches_dataframe_queries(spark, scratch, tmp_path):
     def same(a, b):
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
-    same(run_query(spark, T.REGIONS_OF_DATASOURCE, {"datasource": "cheap_mobile"}),
-         A.regions_of_datasource(wh.fact_trips, wh.dim_region, wh.dim_datasource, "cheap_mobile"))
+    same(run_query(spark, T.REGIONS_OF_DATASOURCE, {"datasource": "city_hop"}),
+         A.regions_of_datasource(wh.fact_trips, wh.dim_region, wh.dim_datasource, "city_hop"))
     same(run_query(spark, T.LATEST_DATASOURCE_TOP, {"k": 2}),
          A.latest_datasource_top(wh.fact_trips, wh.dim_region, wh.dim_datasource, 2))
     same(run_query(spark, T.WEEKLY_AVG_TRIPS),

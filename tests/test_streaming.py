@@ -4,7 +4,7 @@ from tripwright.streaming.ingest import daily_counts, ingest_stream, trips_file_
 from helpers import write_csv
 
 
-def rows(day, n, region="Turin"):
+def rows(day, n, region="Vienna"):
     return [[region, f"POINT (7.{i} 45.{i})", "POINT (7.5 45.5)", f"2018-05-{day:02d} 1{i % 10}:00:00",
              "app"] for i in range(n)]
 
@@ -28,7 +28,7 @@ def test_ingest_stream_picks_up_new_files_only(spark, scratch, tmp_path):
 def test_daily_counts_close_with_watermark(spark, scratch, tmp_path):
     src = tmp_path / "days"
     src.mkdir()
-    write_csv(src / "1.csv", rows(1, 3) + rows(2, 2, "Prague"))
+    write_csv(src / "1.csv", rows(1, 3) + rows(2, 2, "Lisbon"))
     write_csv(src / "2.csv", rows(5, 1))
     got = []
     q = (daily_counts(trips_file_stream(spark, str(src), max_files_per_trigger=1), delay="1 day")
@@ -39,7 +39,7 @@ def test_daily_counts_close_with_watermark(spark, scratch, tmp_path):
     q.awaitTermination()
     closed = {(str(r[0].date()), r[2]): r[3] for r in got}
     # days 1 and 2 are closed by the watermark (day 5 - 1 day); day 5 stays open
-    assert closed == {("2018-05-01", "Turin"): 3, ("2018-05-02", "Prague"): 2}
+    assert closed == {("2018-05-01", "Vienna"): 3, ("2018-05-02", "Lisbon"): 2}
 
 
 def test_write_deduplicated_across_batches(spark, scratch, tmp_path):
@@ -59,10 +59,10 @@ def test_write_deduplicated_across_batches(spark, scratch, tmp_path):
 def test_hourly_counts(spark, scratch, tmp_path):
     src = tmp_path / "hours"
     src.mkdir()
-    write_csv(src / "1.csv", [["Turin", "POINT (1 1)", "POINT (2 2)", "2018-05-01 10:05:00", "a"],
-                              ["Turin", "POINT (1 1)", "POINT (2 3)", "2018-05-01 10:55:00", "a"],
-                              ["Turin", "POINT (1 1)", "POINT (2 4)", "2018-05-01 11:10:00", "a"]])
-    write_csv(src / "2.csv", [["Turin", "POINT (1 1)", "POINT (2 2)", "2018-05-01 14:00:00", "a"]])
+    write_csv(src / "1.csv", [["Vienna", "POINT (1 1)", "POINT (2 2)", "2018-05-01 10:05:00", "a"],
+                              ["Vienna", "POINT (1 1)", "POINT (2 3)", "2018-05-01 10:55:00", "a"],
+                              ["Vienna", "POINT (1 1)", "POINT (2 4)", "2018-05-01 11:10:00", "a"]])
+    write_csv(src / "2.csv", [["Vienna", "POINT (1 1)", "POINT (2 2)", "2018-05-01 14:00:00", "a"]])
     got = []
     q = (daily_counts(trips_file_stream(spark, str(src), max_files_per_trigger=1), delay="1 hour",
                       hourly=True)
