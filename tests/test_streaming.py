@@ -71,3 +71,23 @@ def test_hourly_counts(spark, scratch, tmp_path):
          .option("checkpointLocation", f"{scratch}/_ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted((r[0].hour, r[3]) for r in got) == [(10, 2), (11, 1)]
+
+
+def test_daily_windows_ignore_session_time_zone(spark, scratch, tmp_path):
+    src = tmp_path / "tz"
+    src.mkdir()
+    write_csv(src / "1.csv", rows(1, 3) + rows(2, 2, "Lisbon"))
+    write_csv(src / "2.csv", rows(5, 1))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        q = (daily_counts(trips_file_stream(spark, str(src), max_files_per_trigger=1), delay="1 day")
+             .writeStream.outputMode("append")
+             .foreachBatch(lambda df, e: got.extend(tuple(r) for r in df.collect()))
+             .option("checkpointLocation", f"{scratch}/_ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert sorted((str(r[0]), r[2], r[3]) for r in got) == [
+        ("2018-05-01 00:00:00", "Vienna", 3), ("2018-05-02 00:00:00", "Lisbon", 2)]

@@ -37,6 +37,7 @@ DATASOURCE_NAME = "click"
 TOP_K = 2
 DECLARED_MONTH = ("2018-05-01", "2018-06-01")
 WINDOW = ("2024-01-08", "2024-01-15")
+WATERMARK_DELAY = "1 day"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -317,6 +318,23 @@ def q_stream_dedupe_watermark(spark, sf):
     return read_table(spark, paths, "trips")
 
 
+def q_stream_daily_counts(spark, sf):
+    """Trips per (day, region) from the events stream with a one-day
+    watermark: days whose window closed are emitted (append mode)."""
+    from ..streaming.ingest import daily_counts, trips_stream_from_events
+    paths = _scratch(spark, "stream_daily")
+    out = f"{paths.root}/counts"
+    q = (daily_counts(trips_stream_from_events(spark, sf), delay=WATERMARK_DELAY)
+         .writeStream.format("parquet").outputMode("append").option("path", out)
+         .option("checkpointLocation", f"{paths.root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, "
+                             "region string, number_of_trips bigint").parquet(out)
+
+
 # ---- quality -------------------------------------------------------------------
 
 def q_dq_row_counts(spark, sf):
@@ -404,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_fact": q_stream_ingest_fact,
     "stream_dedupe": q_stream_dedupe,
     "stream_dedupe_watermark": q_stream_dedupe_watermark,
+    "stream_daily_counts": q_stream_daily_counts,
     "dq_row_counts": q_dq_row_counts,
     "dq_primary_keys": q_dq_primary_keys,
     "dq_duplicate_keys": q_dq_duplicate_keys,

@@ -59,7 +59,13 @@ def trips_stream_from_events(spark: SparkSession, sf_dir: str, copies: int = 1)
 
 
 def event_time(df: DataFrame, ts_col: str = "datetime") -> DataFrame:
-    return df.withColumn("event_time", F.col(ts_col).cast("timestamp"))
+    """``event_time``: the trip's wall-clock time read as UTC.  Built from
+    the fields rather than cast, so event-time windows align to calendar
+    days and hours whatever the session time zone."""
+    t = F.col(ts_col)
+    return df.withColumn("event_time", F.make_timestamp(
+        F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+        F.extract(F.lit("SECOND"), t), F.lit("UTC")))
 
 
 def ingest_stream(stream: DataFrame, paths: TablePaths, checkpoint_location: str,
@@ -119,13 +125,23 @@ def write_deduplicated(stream: DataFrame, out_path: str, checkpoint_location: st
     return w.start()
 
 
-def daily_counts(stream: DataFrame, delay: str = "1 day", every: str = "1 day",
-                 hourly: bool = False) -> DataFrame:
+def daily_counts(stream: DataFrame, delay: str = "1 day", hourly: bool = False) -> DataFrame:
     """Trips per (day, region) - or per (hour, region) with ``hourly`` - in
-    event time; late rows within ``delay`` still count."""
-    size = "1 hour" if hourly else every
+    event time.  Late rows within ``delay`` still count; a window is emitted
+    (append mode) once the watermark passes its end.
+
+    The window bounds are reported as ``timestamp_ntz`` taken from the trip
+    time itself (one-to-one with the event-time window)."""
+    t = F.col("datetime")
+    if hourly:
+        size, step = "1 hour", F.expr("INTERVAL 1 HOUR")
+        start = F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
+                                     F.lit(0), F.lit(0))
+    else:
+        size, step = "1 day", F.expr("INTERVAL 1 DAY")
+        start = t.cast("date").cast("timestamp_ntz")
     return (event_time(stream).withWatermark("event_time", delay)
-            .groupBy(F.window("event_time", size).alias("w"), "region")
+            .groupBy(F.window("event_time", size).alias("w"), "region", start.alias("window_start"))
             .agg(F.count(F.lit(1)).alias("number_of_trips"))
-            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+            .select("window_start", (F.col("window_start") + step).alias("window_end"),
                     "region", "number_of_trips"))
