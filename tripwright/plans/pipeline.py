@@ -116,14 +116,32 @@ def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
             lambda t: bounded_broadcast(read_table(spark, paths, t)),
             ["dim_region", "dim_datasource"])
     delta = build_delta(stage, dim_region, dim_datasource, opts.on_duplicate, opts.strict)
-    delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
-    delta = read_table(spark, paths, "fact_delta_trips")
-    existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
-    new = insert_if_absent(delta, existing, dedupe=opts.on_duplicate == "keep")
-    write_monthly(new, "event_timestamp", paths.path("fact_trips"), mode="append")
+    merge_delta(spark, paths, delta, dedupe=opts.on_duplicate == "keep", days=days)
     refresh_group(spark, paths, opts, days)
 
 
+def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe: bool = False,
+                days: list[dt.date] | None = None) -> list[dt.date]:
+    """Write the delta table, then append its rows absent from the fact.
+
+    The fact side of the anti-join is narrowed to the days the delta covers;
+    when they are not given they are observed while the delta is written.
+    Returns those days."""
+    if days is None:
+        obs = Observation("delta_days")
+        delta = delta.observe(obs, F.array_sort(F.collect_set(
+            F.col("event_timestamp").cast("date"))).alias("days"))
+        delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
+        days = list(obs.get.get("days") or [])
+    else:
+        delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
+    written = read_table(spark, paths, "fact_delta_trips")
+    existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+    write_monthly(insert_if_absent(written, existing, dedupe=dedupe), "event_timestamp",
+                  paths.path("fact_trips"), mode="append")
+    return days
+
+
 def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
                   days: list[dt.date]) -> None:
     """Rebuild the (day, region) aggregate.

@@ -20,15 +20,14 @@ from ..functions.keys import event_id, event_id_hex
 from ..functions.timeparts import day_start, event_time_parts, format_day, format_timestamp
 from ..operators import quality as Q
 from ..operators.dims import fill_event_time, new_event_times, new_members, upsert_dim
-from ..operators.facts import build_delta, group_trips, insert_if_absent
+from ..operators.facts import build_delta, group_trips
 from ..operators.oplog import last_event
 from ..session import work_root
 from ..sources.adapter import read_sf, stage_from_sf
-from ..sources.tables import (TablePaths, days_filter, month_predicate, read_table,
-                              touched_days, write_monthly, write_stage)
+from ..sources.tables import TablePaths, month_predicate, read_table, write_stage
 from . import analytics as A
 from . import scenarios as S
-from .pipeline import warehouse_for
+from .pipeline import merge_delta, warehouse_for
 
 # Fixed query parameters.
 PROBE_X, PROBE_Y = 7.5, 50.5
@@ -186,12 +185,7 @@ def q_fact_trips_incremental(spark, sf):
     dim_region, dim_datasource = wh.dim_region, wh.dim_datasource
     for name in ("A", "B", "A"):
         delta = build_delta(S.calendar_batch(spark, sf, name), dim_region, dim_datasource)
-        delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
-        delta = read_table(spark, paths, "fact_delta_trips")
-        days = touched_days(delta, "event_timestamp")
-        existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
-        write_monthly(insert_if_absent(delta, existing, dedupe=False), "event_timestamp",
-                      paths.path("fact_trips"), mode="append")
+        merge_delta(spark, paths, delta)
     return flat_fact(read_table(spark, paths, "fact_trips"))
 
 
