@@ -174,3 +174,14 @@ def test_step_retry_logs_once(spark, scratch, tmp_path, monkeypatch):
     dims = [r.event_type for r in log.where(F.col("event") == "update_dimension_tables")
             .orderBy("log_id").collect()]
     assert dims == ["start", "end"]
+
+
+def test_batch_key_check_catches_planted_duplicate(spark, built, tmp_path):
+    from tripwright.sources.tables import write_monthly
+    fact = built.fact_trips
+    day_row = fact.where(F.col("event_timestamp") == F.lit("2018-05-08 17:15:00").cast("timestamp_ntz"))
+    write_monthly(day_row.drop("year", "month"), "event_timestamp", built.paths.path("fact_trips"),
+                  mode="append")
+    same_day = [("Vienna", "POINT (7.61 45.01)", "POINT (7.63 45.03)", "2018-05-08 20:00:00", "fleet_go")]
+    with pytest.raises(DataQualityError):
+        run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, same_day, "d.csv")))
