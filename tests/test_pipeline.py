@@ -184,4 +184,5 @@ def test_batch_key_check_catches_planted_duplicate(spark, built, tmp_path):
                   mode="append")
     same_day = [("Vienna", "POINT (7.61 45.01)", "POINT (7.63 45.03)", "2018-05-08 20:00:00", "fleet_go")]
     with pytest.raises(DataQualityError):
-        run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, same_day, "d.csv")))
+        run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, same_day, "d.csv")),
+                     PipelineOptions(check_keys=True))
