@@ -33,6 +33,20 @@ def point(x, y) -> Column:
     return F.struct(_col(x).cast("double").alias("x"), _col(y).cast("double").alias("y"))
 
 
+def point_xy(text, strict: bool = True) -> tuple[Column, Column]:
+    """The two coordinates of ``POINT (x y)`` text as doubles (NULL for NULL
+    text).  ``strict`` raises on text that does not parse to two numbers,
+    whatever the session's ANSI setting."""
+    t = _col(text)
+    xs, ys = point_parts(t)
+    x, y = xs.try_cast("double"), ys.try_cast("double")
+    if strict:
+        bad = t.isNotNull() & (x.isNull() | y.isNull())
+        x = F.when(bad, F.raise_error(F.concat(F.lit("malformed point: "), t)).cast("double")) \
+             .otherwise(x)
+    return x, y
+
+
 def parse_point(text, strict: bool = True) -> Column:
     """Parse WKT point text into ``struct<x, y>``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import case_lower, case_upper, parse_point
+from ..functions.geo import case_lower, case_upper, point_xy
 from ..functions.keys import event_id
 from ..functions.timeparts import day_start
 from ..schemas import PRIMARY_KEYS
@@ -46,6 +46,7 @@ def dedupe_on_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return out.select(*df.columns)
 
 
+
 def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFrame,
                 on_duplicate: str = "drop", strict: bool = True) -> DataFrame:
     """Typed delta fact of a staged batch.
@@ -69,24 +70,33 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
         s = s.where(ts.isNotNull())
     j = (s.join(dim_region.select("region_id", "region"), "region", "inner")
           .join(dim_datasource.select("datasource_id", "datasource"), "datasource", "inner"))
-    delta = j.select(
-        ts.cast("timestamp_ntz").alias("event_timestamp"),
-        event_id().alias("event_id"),
-        F.col("region_id").cast("int").alias("region_id"),
-        F.col("datasource_id").cast("int").alias("datasource_id"),
-        parse_point("origin_coord", strict).alias("origin_coord"),
-        parse_point("destination_coord", strict).alias("destination_coord"),
-    )
+    if on_duplicate not in ("drop", "fail", "keep"):
+        raise ValueError(f"on_duplicate must be drop, fail or keep, not {on_duplicate!r}")
+    # Coordinates are parsed once into flat doubles (plus a NULL-point flag);
+    # the key de-duplication runs on those fixed-width columns (a hash
+    # aggregate) and the point structs are packed afterwards.
+    cols = [ts.cast("timestamp_ntz").alias("event_timestamp"),
+            event_id().alias("event_id"),
+            F.col("region_id").cast("int").alias("region_id"),
+            F.col("datasource_id").cast("int").alias("datasource_id")]
+    for c in POINT_COLUMNS:
+        x, y = point_xy(c, strict)
+        cols += [F.col(c).isNull().alias(f"_{c}_null"), x.alias(f"_{c}_x"), y.alias(f"_{c}_y")]
+    flat = j.select(*cols)
     if on_duplicate == "drop":
-        return dedupe_on_key(delta, FACT_KEY)
-    if on_duplicate == "fail":
-        dup = delta.groupBy(*FACT_KEY).count().where(F.col("count") > 1).limit(1).count()
+        flat = flat.dropDuplicates(FACT_KEY)
+    elif on_duplicate == "fail":
+        dup = flat.groupBy(*FACT_KEY).count().where(F.col("count") > 1).limit(1).count()
         if dup:
             raise DuplicateKeyError("batch holds duplicate (event_timestamp, event_id) keys")
-        return delta
-    if on_duplicate == "keep":
-        return delta
-    raise ValueError(f"on_duplicate must be drop, fail or keep, not {on_duplicate!r}")
+    return _pack_points(flat, ["event_timestamp", "event_id", "region_id", "datasource_id"])
+
+
+def _pack_points(flat: DataFrame, leading: list[str]) -> DataFrame:
+    packed = [F.when(F.col(f"_{c}_null"), F.lit(None)).otherwise(
+        F.struct(F.col(f"_{c}_x").alias("x"), F.col(f"_{c}_y").alias("y"))).alias(c)
+        for c in POINT_COLUMNS]
+    return flat.select(*leading, *packed)
 
 
 def insert_if_absent(delta: DataFrame, existing: DataFrame, keys: list[str] = FACT_KEY,
