@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.geo import parse_point
+from ..functions.geo import point_xy
 from ..functions.keys import event_id, event_id_hex
 from ..functions.timeparts import day_start, event_time_parts, format_day, format_timestamp
 from ..operators import quality as Q
@@ -93,9 +93,10 @@ def q_event_hash_id(spark, sf):
 
 def q_parse_points(spark, sf):
     s = stage_from_sf(spark, sf)
-    o, d = parse_point("origin_coord"), parse_point("destination_coord")
-    return s.select("datetime", "region", o["x"].alias("origin_x"), o["y"].alias("origin_y"),
-                    d["x"].alias("destination_x"), d["y"].alias("destination_y"))
+    ox, oy = point_xy("origin_coord")
+    dx, dy = point_xy("destination_coord")
+    return s.select("datetime", "region", ox.alias("origin_x"), oy.alias("origin_y"),
+                    dx.alias("destination_x"), dy.alias("destination_y"))
 
 
 def q_event_day(spark, sf):
