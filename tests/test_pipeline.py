@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripwright.operators.quality import DataQualityError
+from tripwright.operators.facts import group_trips
 from tripwright.operators.oplog import last_event
 from tripwright.plans import analytics as A
 from tripwright.plans.pipeline import PipelineOptions, Warehouse, run_pipeline
@@ -115,9 +116,13 @@ def test_full_and_touched_refresh_agree(spark, scratch, tmp_path):
         opts = PipelineOptions(group_refresh=mode)
         run_pipeline(spark, p, read_trips(spark, csv_of(tmp_path, ROWS[:3], f"a{mode}.csv")), opts)
         run_pipeline(spark, p, read_trips(spark, csv_of(tmp_path, ROWS[3:], f"b{mode}.csv")), opts)
-    a = Warehouse(spark, paths_t).fact_group_trips
-    b = Warehouse(spark, paths_f).fact_group_trips
-    assert a.count() == 5 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for table in ("fact_group_trips", "fact_group_envelope"):
+        a = Warehouse(spark, paths_t).table(table)
+        b = Warehouse(spark, paths_f).table(table)
+        assert a.count() == 5 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    env = Warehouse(spark, paths_t).fact_group_envelope
+    want = group_trips(Warehouse(spark, paths_t).fact_trips, "envelope")
+    assert sorted(map(tuple, env.collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_share_uri_file_id():

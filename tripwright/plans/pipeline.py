@@ -39,7 +39,8 @@ class PipelineOptions:
     on_duplicate: str = "drop"           # 'drop', 'fail' or 'keep'
     strict: bool = True                  # malformed points raise; else quarantine
     group_refresh: str = "touched"       # 'touched' days only, or 'full' rebuild
-    box: str = "as_written"              # group box mode
+    box: str = "as_written"              # box mode of fact_group_trips
+    envelope_table: bool = True          # also keep fact_group_envelope (true envelope)
     check_quality: bool = True
     # Also check fact/group keys on the touched days.  Insert-if-absent
     # already guarantees them; this guards against writes from outside.
@@ -123,6 +124,8 @@ def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
     delta = build_delta(stage, dim_region, dim_datasource, opts.on_duplicate, opts.strict)
     merge_delta(spark, paths, delta, dedupe=opts.on_duplicate == "keep", days=days)
     refresh_group(spark, paths, opts, days)
+    if opts.envelope_table:
+        refresh_group(spark, paths, opts, days, table="fact_group_envelope", box="envelope")
 
 
 def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe: bool = False,
@@ -148,7 +151,8 @@ def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe
 
 
 def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
-                  days: list[dt.date]) -> None:
+                  days: list[dt.date], table: str = "fact_group_trips",
+                  box: str | None = None) -> None:
     """Rebuild the (day, region) aggregate.
 
     ``full``: from the whole fact.  ``touched``: only the days the batch
@@ -158,27 +162,28 @@ def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
     swapped in with a dynamic partition overwrite - the aggregate is never
     overwritten by a job that reads it.
     """
+    box = box or opts.box
     fact = read_table(spark, paths, "fact_trips")
-    target = paths.path("fact_group_trips")
+    target = paths.path(table)
     if opts.group_refresh == "full":
-        group_trips(fact, opts.box).write.mode("overwrite").partitionBy("year", "month") \
+        group_trips(fact, box).write.mode("overwrite").partitionBy("year", "month") \
             .parquet(target)
         return
     if opts.group_refresh != "touched":
         raise ValueError(f"group_refresh must be full or touched, not {opts.group_refresh!r}")
     if not days:
         return
-    fresh = group_trips(fact.where(days_filter(days, "event_timestamp")), opts.box)
+    fresh = group_trips(fact.where(days_filter(days, "event_timestamp")), box)
     if not any(path_exists(spark, f"{target}/year={y}/month={m}") for y, m in months_of(days)):
         # Nothing to carry over in these months: write the fresh days directly.
         write_monthly(fresh, "event_date", target, mode="overwrite", dynamic=True)
         return
-    kept = (read_table(spark, paths, "fact_group_trips")
+    kept = (read_table(spark, paths, table)
             .where(months_filter(months_of(days)))
             .where(~days_filter(days, "event_date")))
-    staging = f"{paths.root.rstrip('/')}/_staging/fact_group_trips/{uuid.uuid4().hex}"
+    staging = f"{paths.root.rstrip('/')}/_staging/{table}/{uuid.uuid4().hex}"
     fresh.unionByName(kept).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
-    merged = spark.read.schema(paths.schema("fact_group_trips")).parquet(staging)
+    merged = spark.read.schema(paths.schema(table)).parquet(staging)
     write_monthly(merged, "event_date", target, mode="overwrite", dynamic=True)
     delete_path(spark, staging)
 

@@ -20,7 +20,7 @@ from ..functions.keys import event_id, event_id_hex
 from ..functions.timeparts import day_start, event_time_parts, format_day, format_timestamp
 from ..operators import quality as Q
 from ..operators.dims import fill_event_time, new_event_times, new_members, upsert_dim
-from ..operators.facts import build_delta, group_trips
+from ..operators.facts import build_delta
 from ..operators.oplog import last_event
 from ..session import work_root
 from ..sources.adapter import read_sf, stage_from_sf
@@ -195,7 +195,7 @@ def q_fact_group_trips(spark, sf):
 
 
 def q_fact_group_envelope(spark, sf):
-    return A.flat_group(group_trips(warehouse_for(spark, sf).fact_trips, "envelope"))
+    return A.flat_group(warehouse_for(spark, sf).fact_group_envelope)
 
 
 # ---- named questions -----------------------------------------------------------
@@ -207,20 +207,19 @@ def q_check_position(spark, sf):
 
 def q_check_position_envelope(spark, sf):
     wh = warehouse_for(spark, sf)
-    return A.check_position(group_trips(wh.fact_trips, "envelope"), wh.dim_region,
-                            PROBE_X, PROBE_Y)
+    return A.check_position(wh.fact_group_envelope, wh.dim_region, PROBE_X, PROBE_Y)
 
 
 def flagship(spark, sf):
     """Position lookup over the true (envelope) daily boxes of every region."""
     wh = warehouse_for(spark, sf)
-    return A.check_position(group_trips(wh.fact_trips, "envelope"), wh.dim_region,
+    return A.check_position(wh.fact_group_envelope, wh.dim_region,
                             ENTRY_PROBE_X, ENTRY_PROBE_Y)
 
 
 def q_points_in_boxes(spark, sf):
     wh = warehouse_for(spark, sf)
-    return A.trip_origins_in_boxes(wh.fact_trips, group_trips(wh.fact_trips, "envelope"))
+    return A.trip_origins_in_boxes(wh.fact_trips, wh.fact_group_envelope)
 
 
 def q_regions_of_datasource(spark, sf):

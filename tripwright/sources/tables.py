@@ -23,11 +23,13 @@ TABLES = {
     "dim_event_time": ("trips", schemas.DIM_EVENT_TIME),
     "fact_trips": ("trips", schemas.FACT_TRIPS),
     "fact_group_trips": ("trips", schemas.FACT_GROUP_TRIPS),
+    # True-envelope variant of the group fact (same schema).
+    "fact_group_envelope": ("trips", schemas.FACT_GROUP_TRIPS),
     "trips_log": ("logs", schemas.TRIPS_LOG),
 }
 
 # Tables stored with month partitions (year=/month= folders).
-MONTHLY = {"dim_event_time", "fact_trips", "fact_group_trips"}
+MONTHLY = {"dim_event_time", "fact_trips", "fact_group_trips", "fact_group_envelope"}
 
 
 @dataclass(frozen=True)
