@@ -191,3 +191,14 @@ def test_batch_key_check_catches_planted_duplicate(spark, built, tmp_path):
     with pytest.raises(DataQualityError):
         run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, same_day, "d.csv")),
                      PipelineOptions(check_keys=True))
+
+
+def test_stage_append_mode_accumulates_and_facts_stay_unique(spark, scratch, tmp_path):
+    paths = TablePaths(scratch)
+    opts = PipelineOptions(stage_mode="append")
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, ROWS[:4], "a.csv")), opts)
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, ROWS[2:], "b.csv")), opts)
+    wh = Warehouse(spark, paths)
+    assert wh.trips.count() == 8            # the stage keeps both deliveries
+    assert wh.fact_trips.count() == 6       # each trip once
+    assert wh.fact_group_trips.count() == 5
