@@ -1,11 +1,12 @@
 """Best-fit packing of token sequences, certified by lower bounds.
 
 Texts are tokenized once; what is packed are the pieces' lengths.  Pieces are
-dealt to groups of bounded size, each packed by best-fit decreasing.  A
-dual-feasible-function bound tells how few bins the group's pieces need: a
-group that meets it is certified and gives back only its emptiest bin, a group
-with a gap gives back every bin with room.  What was given back is dealt anew
-(pieces of different groups meet) and packed again, until it fits one group.
+dealt to groups of bounded size, each packed by best-fit decreasing.  A group
+whose bins are as few as its volume needs is certified and gives back only its
+emptiest bin, a group with a gap gives back every bin with room.  What was given
+back is held against dual-feasible-function bounds: if its bins are as few as
+these allow, it stays; else it is dealt anew (pieces of different groups meet)
+and packed again, until it fits one group.
 """
 
 from __future__ import annotations
@@ -108,12 +109,13 @@ def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
 # ---- packing ---------------------------------------------------------------------
 
-def least_bins(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Lower bound on the bins: the best of the dual feasible functions that
-    round lengths over ``capacity - t`` up to a whole bin and lengths under
-    ``t`` down to nothing, for each ``t`` up to half a bin (0: plain volume),
-    and of the one that counts lengths over half a bin."""
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
+def least_bins_of(count: np.ndarray) -> int:
+    """Lower bound on the bins for ``count[n]`` pieces of each length ``n`` up
+    to the capacity: the best of the dual feasible functions that round lengths
+    over ``capacity - t`` up to a whole bin and lengths under ``t`` down to
+    nothing, for each ``t`` up to half a bin (0: plain volume), and of the one
+    that counts lengths over half a bin."""
+    capacity = len(count) - 1
     volume = np.concatenate([[0], np.cumsum(count * np.arange(capacity + 1))])   # of lengths < i
     number = np.concatenate([[0], np.cumsum(count)])
     t = np.arange(capacity // 2 + 1)
@@ -123,6 +125,10 @@ def least_bins(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
     return max(bound, int(number[-1] - number[capacity // 2 + 1]))
 
 
+def least_bins(lengths: np.ndarray, capacity: int = CAPACITY) -> int:
+    return least_bins_of(np.bincount(lengths, minlength=capacity + 1).astype(np.int64))
+
+
 def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best-fit decreasing: bin and offset of each length, and the bins' fill.
     Open bins are kept by free room; a bit mask finds the tightest that fits."""
@@ -150,12 +156,14 @@ def best_fit(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray,
 
 
 def settle(lengths: np.ndarray, last: bool, capacity: int = CAPACITY):
-    """Pack one group: bin, offset and whether it stays, per piece."""
+    """Pack one group: bin, offset and whether it stays, per piece.  Full bins
+    stay; all but the emptiest do if their number is the bound by volume, which
+    no exchange can lower."""
     at, offset, fill = best_fit(lengths, capacity)
     stays = fill == capacity
     if last:
         stays[:] = True
-    elif len(fill) == least_bins(lengths, capacity):
+    elif len(fill) == -(-int(lengths.sum()) // capacity):
         stays[:] = True
         worst = int(np.argmin(fill))
         stays[worst] = fill[worst] == capacity
@@ -192,6 +200,17 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
         placed = save(dealt.groupBy("__group").applyInArrow(
             packer(turn, last, capacity), f"{schema}, __row long, sequence_id long, offset long, __stays boolean"), "packed")
         drop(rest)
+        if not last:
+            # What was given back is certified too if its bins are as few as its bound.
+            back = placed.where("not __stays")
+            count = back.groupBy("length").agg(F.count("*").alias("n")).collect()    # at most `capacity` rows
+            bins = back.select("sequence_id").distinct().count()
+            number = np.zeros(capacity + 1, np.int64)
+            for r in count:
+                number[r["length"]] = r["n"]
+            last = bins <= least_bins_of(number)
+            if last:
+                placed = placed.withColumn("__stays", F.lit(True))
         stay = placed.where("__stays").select(*columns, "sequence_id", "offset")
         done = stay if done is None else done.union(stay)
         if last:
