@@ -59,8 +59,8 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataF
     a row's text has a seed in common with it there."""
     k1, k2 = marks(F.col(id_col), F.col(text_col))
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), token_hashes(F.col(text_col)).alias("t"))
-    theirs = rows.select("k1", "k2", F.size("t").alias("n"), F.posexplode(_seeds(F.col("t"))).alias("pos", "seed"))
-    ours = items.select("item_id", F.size("t").alias("m"), F.posexplode(_seeds(F.col("t"))).alias("at", "seed"))
+    theirs = rows.select("k1", "k2", F.size("t").alias("n"), F.posexplode_outer(_seeds(F.col("t"))).alias("pos", "seed"))
+    ours = items.select("item_id", F.size("t").alias("m"), F.posexplode_outer(_seeds(F.col("t"))).alias("at", "seed"))
     ours = ours.select("item_id", F.col("seed").alias("own"), _place(F.col("at"), F.col("m")).alias("at"))
     if ours.limit(MAX_BROADCAST_SEEDS + 1).count() <= MAX_BROADCAST_SEEDS:
         ours = F.broadcast(ours)
@@ -68,15 +68,18 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataF
         "k1", "k2", "item_id", (_place(F.col("pos"), F.col("n")) - F.col("at")).alias("shift")).distinct()
 
 
-def _overlap(tokens: Column, item: Column, shift: Column, window: int, least: int) -> Column:
-    """First and last confirmed window, as item positions, and agreement."""
-    same = F.transform(item, lambda x, j: F.coalesce(
-        F.get(tokens, j + shift) == x, F.lit(False)).cast("int"))
-    starts = F.sequence(F.lit(0), F.size(item) - window)
-    good = F.filter(starts, lambda s: F.aggregate(
-        F.slice(same, s + 1, window), F.lit(0), lambda a, b: a + b) >= least)
-    return F.struct(F.array_min(good).alias("first"), (F.array_max(good) + window).alias("stop"),
-                    same.alias("same"))
+def _judge(tokens: str, hits: str, window: int, least: int) -> Column:
+    """Of an array of hits those with a confirmed window, with the first window
+    and the end of the last as item positions and the agreement per token."""
+    laid = F.transform(hits, lambda x: F.struct(
+        x["item_id"].alias("item_id"), x["shift"].alias("shift"),
+        F.transform(x["item"], lambda token, j: F.coalesce(
+            F.get(F.col(tokens), j + x["shift"]) == token, F.lit(False)).cast("int")).alias("same")))
+    good = F.transform(laid, lambda x: F.struct(
+        x["item_id"].alias("item_id"), x["shift"].alias("shift"), x["same"].alias("same"),
+        F.filter(F.sequence(F.lit(0), F.size(x["same"]) - window), lambda s: F.aggregate(
+            F.slice(x["same"], s + 1, window), F.lit(0), lambda a, b: a + b) >= least).alias("good")))
+    return F.filter(good, lambda x: F.size(x["good"]) > 0)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -105,14 +108,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     near = (texts.join(by_row, (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")))
             .dropDuplicates(["d1", "d2"])
             .select("k1", "k2", "__id", token_hashes(F.col("__text")).alias("tokens"), "hits"))
-    judged = near.select("k1", "k2", "__id", F.explode(F.transform("hits", lambda x: F.struct(
-        x["item_id"].alias("item_id"), x["shift"].alias("shift"),
-        _overlap(F.col("tokens"), x["item"], x["shift"], window, window - substitutions).alias("o")))).alias("x"))
-    first, stop = F.col("x.o.first"), F.col("x.o.stop")
-    return judged.where(first.isNotNull()).select(
+    # explode_outer: a plain explode would test the whole expression in a pushed filter as well.
+    x = near.select("k1", "k2", "__id", F.explode_outer(_judge(
+        "tokens", "hits", window, window - substitutions)).alias("x")).where(F.col("x").isNotNull())
+    first, stop = F.array_min("x.good"), F.array_max("x.good") + window
+    return x.select(
         "k1", "k2", F.col("__id").alias(id_col), "x.item_id", (first + F.col("x.shift")).alias("doc_token"),
         first.alias("item_token"), (stop - first).alias("n_tokens"),
-        F.aggregate(F.slice("x.o.same", first + 1, stop - first), F.lit(0), lambda a, b: a + b).alias("n_same"))
+        F.aggregate(F.slice("x.same", first + 1, stop - first), F.lit(0), lambda a, b: a + b).alias("n_same"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,62 +19,53 @@ MIN_LINES = 3
 WORD = r"[^\x20\x09-\x0D]"
 
 
-def _windows(lines: Column, w: int) -> Column:
-    """Array of (i, fp, first, key) of the windows of an array of lines: place,
-    smallest line hash, whether an earlier window selected the same line
-    already, and a digest of the content."""
-    h = F.transform(lines, lambda x: F.xxhash64(x))
-    def window(a, i):
-        return F.slice(a, i + 1, F.lit(w))
-    def selected(i):
-        part = window(h, i)
-        return F.array_position(part, F.array_min(part)) + i
-    every = F.sequence(F.lit(0), F.size(lines) - w)
-    return F.transform(every, lambda i: F.struct(
-        i.alias("i"), F.array_min(window(h, i)).alias("fp"),
-        ((i == 0) | (selected(i) != selected(i - 1))).alias("first"),
-        F.unhex(F.md5(F.concat_ws("\n", window(lines, i)))).alias("key")))
+def repeated_lines(docs: DataFrame, id_col: str, text_col: str, w: int) -> DataFrame:
+    """``(k1, k2, gone)``: per row the numbers of the lines that lie in a window
+    of ``w`` lines (with a word) that occurs earlier: by id (null first), row
+    hash and place."""
+    k1, k2 = marks(F.col(id_col), F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), F.filter(
+        F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(i.alias("no"), x.alias("line"))),
+        lambda x: x["line"].rlike(WORD)).alias("worded")).where(F.size("worded") >= w)
+    rows = rows.select("id", "k1", "k2", F.col("worded.line").alias("lines"), F.col("worded.no").alias("numbers"),
+                       F.transform("worded", lambda x: F.xxhash64(x["line"])).alias("hashes"))
 
+    def part(column, i):
+        return F.slice(column, i + 1, F.lit(w))
 
-def repeated_windows(docs: DataFrame, id_col: str, text_col: str, w: int) -> DataFrame:
-    """``(k1, k2, starts)``: per row the places, among its lines with a word,
-    of the windows of ``w`` lines that occur earlier.  Earlier is by id (null
-    first), row hash and place."""
-    k1, k2 = marks(F.col(id_col), F.col(text_col))
-    found = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), F.filter(
-        F.split(F.col(text_col), "\n", -1), lambda x: x.rlike(WORD)).alias("lines"))
-    rows = (found.where(F.size("lines") >= w).select("id", "k1", "k2", F.explode(
-        _windows(F.col("lines"), w)).alias("x")).select("id", "k1", "k2", "x.*"))
-    rows = save(rows, "line-windows")
+    def selected(i):
+        return F.array_position(part("hashes", i), F.array_min(part("hashes", i))) + i
+
+    windows = F.transform(F.sequence(F.lit(0), F.size("hashes") - w), lambda i: F.struct(
+        i.alias("i"), F.array_min(part("hashes", i)).alias("fp"),
+        ((i == 0) | (selected(i) != selected(i - 1))).alias("first"),
+        F.unhex(F.md5(F.concat_ws("\n", part("lines", i)))).alias("key"), part("numbers", i).alias("numbers")))
+    # explode_outer: a plain explode would test the whole expression in a pushed filter as well.
+    rows = save(rows.select("id", "k1", "k2", F.explode_outer(windows).alias("x")).select(
+        "id", "k1", "k2", "x.*"), "line-windows")
     often = rows.where("first").groupBy("fp").count().where("count > 1").select("fp")
-    hit = rows.join(often, "fp").select("fp", "key", "id", "k1", "k2", "i")
+    hit = rows.join(often, "fp").select("fp", "key", "id", "k1", "k2", "i", "numbers")
     place = F.struct("id", "k1", "k2", "i")
     origin = (hit.groupBy("fp", "key").agg(F.min(place).alias("origin"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
     return (hit.join(origin, ["fp", "key"]).where(place > F.col("origin"))
-            .groupBy("k1", "k2").agg(F.collect_set("i").alias("starts")))
+            .groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("gone")))
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str, w: int) -> DataFrame:
-    """``docs`` with ``__lines`` (all lines), ``__worded`` (numbers of those with
-    a word) and ``__gone`` (numbers of those to delete)."""
-    starts = repeated_windows(docs, id_col, text_col, w)
+    """``docs`` with ``__lines`` (all lines) and ``__gone`` (numbers of those to
+    delete, null for none)."""
+    gone = repeated_lines(docs, id_col, text_col, w)
     k1, k2 = marks(F.col(id_col), F.col(text_col))
     rows = docs.withColumns({"__k1": k1, "__k2": k2})
-    rows = rows.join(starts.select(F.col("k1").alias("__s1"), F.col("k2").alias("__s2"),
-                                   F.col("starts").alias("__starts")),
+    rows = rows.join(gone.select(F.col("k1").alias("__s1"), F.col("k2").alias("__s2"), F.col("gone").alias("__gone")),
                      (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
-    rows = rows.withColumn("__lines", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1))
-    numbered = F.sequence(F.lit(0), F.size("__lines") - 1)
-    rows = rows.withColumn("__worded", F.filter(numbered, lambda i: F.get("__lines", i).rlike(WORD)))
-    inside = F.array_distinct(F.flatten(F.transform("__starts", lambda s: F.sequence(s, s + (w - 1)))))
-    return rows.withColumn("__gone", F.coalesce(
-        F.transform(inside, lambda i: F.get("__worded", i)), F.array().cast("array<int>")))
+    return rows.withColumn("__lines", F.split(F.col(text_col), "\n", -1))
 
 
 def _kept_text(text: Column) -> Column:
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    return F.when(F.size("__gone") == 0, text).otherwise(
+    return F.when(F.col("__gone").isNull(), text).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n"))
 
 
@@ -92,8 +83,9 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = marked(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")),
                   "__id", "__text", min_lines)
-    return rows.select(F.col("__id").alias(id_col), F.size("__worded").cast("long").alias("n_lines"),
-                       F.size("__gone").cast("long").alias("n_deleted"),
+    return rows.select(F.col("__id").alias(id_col), F.coalesce(F.size(F.filter(
+        "__lines", lambda x: x.rlike(WORD))).cast("long"), F.lit(0)).alias("n_lines"),
+                       F.coalesce(F.size("__gone").cast("long"), F.lit(0)).alias("n_deleted"),
                        _kept_text(F.col("__text")).alias("text"))
 
 

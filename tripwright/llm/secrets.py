@@ -20,6 +20,7 @@ MIN_RUN = 20                  # key characters in a row
 TRAINING_ROWS = 10_000        # bound on the labelled findings of each class
 DICTIONARY_COUNT = 20         # times a word of at least DICTIONARY_LETTERS letters
 DICTIONARY_LETTERS = 4        # occurs in the corpus to be in the dictionary
+DICTIONARY_LONGEST = 12       # letters of its longest words
 NEIGHBOURS = 3                # words before a candidate; one after it
 NEIGHBOUR_BUCKETS = 32
 PATH_BUCKETS = 8
@@ -28,7 +29,6 @@ THRESHOLD = 0.5
 
 # Fixed values.
 RUN = rf"[A-Za-z0-9_+/=-]{{{MIN_RUN},}}"
-LETTERS = r"[a-z]+"
 CREDENTIAL = r"(?i)^\W*(?:api|auth|access|secret|private|client)?[_-]?(?:token|key|secret|password|passwd|pwd|credential|bearer)s?\W*$"
 EXAMPLE_PATH = r"(?i)test|example|sample|mock|fixture|demo|docs?\b"
 
@@ -56,27 +56,31 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
         F.slice("words", F.greatest(i - NEIGHBOURS, F.lit(0)) + 1,
                 F.least(i, F.lit(NEIGHBOURS))).alias("before"),
         F.get("words", i + 1).alias("after"))))
-    return found.select("k1", "k2", "id", "path", F.explode("hits").alias("x")).select(
-        "k1", "k2", "id", "path", "x.*")
+    # explode_outer: a plain explode would test the whole expression in a pushed filter as well.
+    return found.select("k1", "k2", "id", "path", F.explode_outer("hits").alias("x")).where(
+        F.col("x").isNotNull()).select("k1", "k2", "id", "path", "x.*")
 
 
 def dictionary(docs: DataFrame, text_col: str) -> DataFrame:
     """Letter words (lower case) that are frequent in the whole corpus."""
     words = F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+", -1))
-    return (docs.select(words.alias("word")).where(F.length("word") >= DICTIONARY_LETTERS)
+    return (docs.select(words.alias("word"))
+            .where(F.length("word").between(DICTIONARY_LETTERS, DICTIONARY_LONGEST))
             .groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= DICTIONARY_COUNT).select("word"))
 
 
 def _coverage(found: DataFrame, words: DataFrame) -> DataFrame:
-    """``(candidate, dictionary_share)``: how much of each different candidate
-    the dictionary words among its letter runs and their pieces spell."""
+    """``(spelled, dictionary_share)``: the share of each different candidate's
+    characters that lie in a dictionary word in it."""
     each = found.select("candidate").distinct()
-    runs = each.select("candidate", F.explode(F.regexp_extract_all(
-        F.lower("candidate"), F.lit(LETTERS), 0)).alias("run")).where(F.length("run") >= DICTIONARY_LETTERS)
-    known = runs.join(words, runs.run == words.word).groupBy("candidate").agg(
-        F.sum(F.length("run")).alias("covered"))
-    return known.select(F.col("candidate").alias("spelled"),
-                        (F.col("covered") / F.length("candidate")).alias("dictionary_share"))
+    sizes = F.sequence(F.lit(DICTIONARY_LETTERS), F.least(F.length("candidate"), F.lit(DICTIONARY_LONGEST)))
+    at = each.select("candidate", F.explode(sizes).alias("size")).select("candidate", "size", F.explode(
+        F.sequence(F.lit(1), F.length("candidate") - F.col("size") + 1)).alias("at"))
+    pieces = at.withColumn("piece", F.lower(F.substring(F.col("candidate"), F.col("at"), F.col("size"))))
+    known = pieces.join(words, pieces.piece == words.word).select("candidate", F.explode(
+        F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("place")).distinct()
+    return known.groupBy(F.col("candidate").alias("spelled")).agg(
+        (F.count("*") / F.first(F.length("candidate"))).alias("dictionary_share"))
 
 
 def features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -102,11 +106,11 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     near = F.transform(F.concat("before", F.array(F.coalesce("after", F.lit("")))), lambda w: F.pmod(
         F.xxhash64(F.regexp_replace(F.lower(w), r"[^\p{L}=:]", "")), F.lit(NEIGHBOUR_BUCKETS)))
     rows = rows.withColumn("__near", near)
-    hashed = F.transform(F.sequence(F.lit(0), F.lit(NEIGHBOUR_BUCKETS - 1)), lambda b: F.array_contains(
-        "__near", b.cast("long")).cast("double"))
     place = F.pmod(F.xxhash64("path"), F.lit(PATH_BUCKETS))
-    paths = F.transform(F.sequence(F.lit(0), F.lit(PATH_BUCKETS - 1)), lambda b: (place == b).cast("double"))
-    vector = F.concat(F.array(*[F.col(n).cast("double") for n in NUMBERS]), hashed, paths)
+    vector = F.array(
+        *[F.col(n).cast("double") for n in NUMBERS],
+        *[F.array_contains("__near", F.lit(b).cast("long")).cast("double") for b in range(NEIGHBOUR_BUCKETS)],
+        *[(place == b).cast("double") for b in range(PATH_BUCKETS)])
     return rows.withColumn("features", array_to_vector(vector)).drop("__near", "spelled")
 
 
