@@ -13,8 +13,8 @@ Which bytes lie in a string of ``LENGTH`` bytes that also starts elsewhere?
    are sorted by a mergesort whose comparisons find the common extension by
    binary search over prefix polynomial hashes, and neighbours that agree in
    ``LENGTH`` bytes are verified byte by byte.  Contexts are dealt to tasks by
-   gram; a gram with very many different contexts is dealt by window content
-   instead, so no task gathers a hot one.
+   gram; a gram with very many different contexts is dealt by the content of
+   ever shorter blocks of windows instead, so no task gathers a hot one.
 4. Covered bytes are merged per document and cut out.
 """
 
@@ -33,6 +33,7 @@ from .common import drop, marks, save
 LENGTH = 200                # bytes of a repeated string
 GRAM = 32                   # bytes of an anchor's gram
 HOT = 2_000                 # different contexts of a gram sorted by one task
+BLOCKS = (16, 4, 1)         # windows per block where there are more
 BUCKET_BYTES = 3_000_000    # of contexts sorted together, about
 STEP = 1 << 20              # windows selected at once
 
@@ -261,15 +262,42 @@ def _sorted_spans(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.groupBy("bucket").applyInArrow(run, SPANS)
 
 
-def _dealt_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many contexts, by window content."""
-    w = contexts.select("k1", "k2", "gram", "n", "at", "low", "bytes",
-                        F.explode(F.sequence("low", "high")).alias("p"))
-    w = w.select("k1", "k2", "n", "p", "gram", (F.col("at") - F.col("p")).alias("o"), F.sha2(
-        F.expr(f"substring(bytes, p - low + 1, {length})"), 256).alias("window"))
-    often = w.groupBy("gram", "o", "window").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-    return (w.where("n = 1").join(often, ["gram", "o", "window"])
-            .select("k1", "k2", F.col("p").alias("start"), (F.col("p") + length).alias("stop")))
+def _narrowed_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """The same for grams with very many contexts, by content instead of by gram.
+
+    The windows of a context are cut into blocks at fixed places relative to
+    the anchor.  A block that occurs twice as a whole is repeated; one whose
+    core, the bytes that all its windows share, occurs once has no repeated
+    window.  Only blocks between the two, those around the end of a match, are
+    cut further, down to single windows.
+    """
+    spans = None
+    rows = contexts.select("k1", "k2", "gram", "at", F.col("low").alias("p0"), F.col("high").alias("p1"),
+                           "bytes", (F.col("n") == 1).alias("open"))
+    for size in BLOCKS:
+        number = lambda p: F.floor((F.col("at") - p) / size).cast("int")
+        cut_ = rows.withColumnRenamed("p0", "q0").withColumnRenamed("p1", "q1").select(
+            "*", F.explode(F.sequence(number(F.col("q1")), number(F.col("q0")))).alias("b"))
+        cut_ = cut_.withColumns({
+            "top": F.col("at") - F.col("b") * size, "p0": F.greatest("q0", F.expr(f"at - b * {size} - {size - 1}")),
+            "p1": F.least("q1", F.expr(f"at - b * {size}"))})
+        cut_ = cut_.select(
+            "k1", "k2", "gram", "at", "b", "p0", "p1", "open",
+            F.sha2(F.expr(f"substring(bytes, top - q0 + 1, {length - size + 1})"), 256).alias("core"),
+            F.expr(f"substring(bytes, p0 - q0 + 1, p1 - p0 + {length})").alias("bytes"))
+        cut_ = save(cut_.withColumn("whole", F.sha2("bytes", 256)).withColumn(
+            "o", F.col("at") - F.col("p0")), f"blocks-{size}")
+        whole = cut_.groupBy("gram", "b", "core", "o", "whole").agg(
+            F.count("*").alias("times"), F.min(F.struct("k1", "k2", "p0")).alias("one"))
+        core = whole.groupBy("gram", "b", "core").agg(F.sum("times").alias("near"))
+        known = cut_.join(whole, ["gram", "b", "core", "o", "whole"])
+        found = known.where("open and times > 1").select(
+            "k1", "k2", F.col("p0").alias("start"), (F.col("p1") + length).alias("stop"))
+        spans = found if spans is None else spans.union(found)
+        rows = known.where(F.struct("k1", "k2", "p0") == F.col("one")).join(
+            core.where("near > 1"), ["gram", "b", "core"]).select(
+            "k1", "k2", "gram", "at", "p0", "p1", "bytes", (F.col("open") & (F.col("times") == 1)).alias("open"))
+    return spans
 
 
 # ---- 2. and 4. ------------------------------------------------------------------------
@@ -301,8 +329,10 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     buckets = max(1, -(-total // BUCKET_BYTES))
     cool = contexts.where(F.col("contexts") <= HOT).withColumn(
         "bucket", F.pmod(F.xxhash64("gram"), F.lit(buckets)))
-    spans = whole.union(_sorted_spans(cool, length)).union(
-        _dealt_spans(contexts.where(F.col("contexts") > HOT), length))
+    spans = whole.union(_sorted_spans(cool, length))
+    hot = contexts.where(F.col("contexts") > HOT)
+    if not hot.isEmpty():
+        spans = spans.union(_narrowed_spans(hot, length))
     out = save(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
     drop(known, by_context, contexts)
     return out
