@@ -44,8 +44,8 @@ def main() -> None:
         t0 = time.perf_counter()
         warehouse_for(spark, sf_dir, opts)
         ingest.append(time.perf_counter() - t0)
-    _BUILT[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), PipelineOptions())] = \
-        _BUILT[(spark.sparkContext.applicationId, os.path.abspath(sf_dir), opts)]
+    _BUILT[(spark.sparkContext.applicationId, sf_dir, PipelineOptions(), "stage_from_sf")] = \
+        _BUILT[(spark.sparkContext.applicationId, sf_dir, opts, "stage_from_sf")]
 
     times: dict[str, float] = {"ingest_pipeline": round(statistics.median(ingest), 3)}
     for name, fn in QUERIES.items():

@@ -34,7 +34,7 @@ def test_null_region_never_becomes_a_member(spark):
 
 def test_dense_ids_range_path_equals_row_number(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 100003).cast("string").alias("k")).distinct()
-    got = dense_ids(df, ["k"], "id", start=10, num_partitions=7, small_rows=0)
+    got = dense_ids(df, ["k"], "id", start=10, num_partitions=7)
     want = df.select((F.row_number().over(Window.orderBy("k")) + 10).cast("int").alias("id"), "k")
     assert got.count() == df.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -57,3 +57,11 @@ def test_fill_event_time_only_new(spark):
     assert got == [ts("2018-05-02 00:00:00"), ts("2018-05-02 08:00:00")]
     row = new.where(F.col("hour") == 8).first()
     assert (row["day"], row["month"], row["year"], row["weekday"]) == (2, 5, 2018, 3)
+
+
+def test_dense_ids_use_no_single_partition(spark):
+    df = spark.createDataFrame([(c,) for c in "dbca"], "k string")
+    got = dense_ids(df, ["k"], "id", start=3)
+    assert "SinglePartition" not in got._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got.collect())) == [(4, "a"), (5, "b"), (6, "c"), (7, "d")]
+    assert dense_ids(df.where("false"), ["k"], "id").collect() == []

@@ -2,7 +2,7 @@ import pytest
 
 from tripwright import schemas
 from tripwright.operators.dims import upsert_dim
-from tripwright.operators.facts import DuplicateKeyError, build_delta, group_trips, insert_if_absent
+from tripwright.operators.facts import build_delta, group_trips, insert_if_absent
 from helpers import stage_df
 
 
@@ -21,8 +21,10 @@ def test_duplicates_drop_fail_keep(spark):
     r, d = dims(spark, s)
     assert build_delta(s, r, d, "drop").count() == 1
     assert build_delta(s, r, d, "keep").count() == 2
-    with pytest.raises(DuplicateKeyError):
-        build_delta(s, r, d, "fail")
+    with pytest.raises(Exception, match="duplicate"):
+        build_delta(s, r, d, "fail").collect()
+    other = stage_df(spark, [ROW, ROW[:3] + ("2018-05-01 10:00:01",) + ROW[4:]])
+    assert build_delta(other, r, d, "fail").count() == 2
 
 
 def test_same_trip_other_second_is_two_facts_same_id(spark):

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripwright.functions import geo, keys, timeparts
 from helpers import stage_df, ts
@@ -10,24 +11,28 @@ def one(df, col):
     return df.select(col.alias("v")).first()["v"]
 
 
-def test_parse_point(spark):
-    df = spark.createDataFrame([("POINT (8.123456789012345 44.98765432109876)",)], "p string")
-    p = one(df, geo.parse_point("p"))
-    assert p["x"] == 8.123456789012345 and p["y"] == 44.98765432109876
+def test_point_xy(spark):
+    df = spark.createDataFrame([("POINT (8.123456789012345 44.98765432109876)",), (None,)], "p string")
+    x, y = geo.point_xy("p")
+    got = [tuple(r) for r in df.select(x, y).collect()]
+    assert got == [(8.123456789012345, 44.98765432109876), (None, None)]
 
 
-def test_parse_point_null_text_gives_null_point(spark):
-    df = spark.createDataFrame([(None,)], "p string")
-    assert one(df, geo.parse_point("p")) is None
+@pytest.mark.parametrize("text,value", [
+    ("45.0", 45.0), ("-7", -7.0), ("+.5", 0.5), ("1.", 1.0), ("1e3", 1000.0), ("2E-1", 0.2), ("45.0d", None), ("1f", None),
+    ("0x1p3", None), ("NaN", None), ("Infinity", None), ("-inf", None), ("1e400", None), ("", None), (" 1", None), ("1 ", None),
+    ("1e", None), (".", None)])
+def test_coordinate_grammar(spark, text, value):
+    assert one(spark.createDataFrame([(text,)], "p string"), geo.coordinate("p")) == value
 
 
-@pytest.mark.parametrize("text", ["POINT (7.1)", "POINT ()", ""])
+@pytest.mark.parametrize("text", ["POINT (7.1)", "POINT ()", "", "POINT (45.0d 1)", "POINT (1 NaN)"])
 def test_parse_point_malformed(spark, text):
     df = spark.createDataFrame([(text,)], "p string")
     with pytest.raises(Exception):
-        one(df, geo.parse_point("p", strict=True))
-    lenient = one(df, geo.parse_point("p", strict=False))
-    assert lenient["x"] is None or lenient["y"] is None
+        one(df, F.struct(*geo.point_xy("p", strict=True)))
+    lenient = one(df, F.struct(*geo.point_xy("p", strict=False)))
+    assert lenient[0] is None or lenient[1] is None
     assert one(df, geo.point_is_valid("p")) is False
 
 
@@ -101,6 +106,6 @@ def test_strict_parse_raises_without_ansi(spark):
     try:
         spark.conf.set("spark.sql.ansi.enabled", "false")
         with pytest.raises(Exception):
-            one(df, geo.parse_point("p", strict=True))
+            one(df, F.struct(*geo.point_xy("p", strict=True)))
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)

@@ -127,6 +127,7 @@ def test_full_and_touched_refresh_agree(spark, scratch, tmp_path):
 
 def test_share_uri_file_id():
     assert file_id_from_share_uri("https://host/file/d/ABC123/view?usp=sharing") == "ABC123"
+    assert file_id_from_share_uri("https://host/file/d/ABC123/") == "ABC123"
 
 
 def test_null_datetime_aborts_strict_load(spark, scratch, tmp_path):
@@ -202,3 +203,50 @@ def test_stage_append_mode_accumulates_and_facts_stay_unique(spark, scratch, tmp
     assert wh.trips.count() == 8            # the stage keeps both deliveries
     assert wh.fact_trips.count() == 6       # each trip once
     assert wh.fact_group_trips.count() == 5
+
+
+def test_crash_before_the_group_refresh_heals(spark, built, tmp_path, monkeypatch):
+    """The fact has a day that the groups have not: the next batch, of another
+    day, makes it good."""
+    import tripwright.plans.pipeline as P
+    more = [("Vienna", "POINT (7.6 45.0)", "POINT (7.7 45.1)", "2018-05-20 10:00:00", "fleet_go")]
+    other = [("Vienna", "POINT (7.6 45.0)", "POINT (7.7 45.1)", "2018-05-25 10:00:00", "fleet_go")]
+
+    def crash(*a, **k):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(P, "refresh_groups", crash)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, more, "m.csv")))
+    run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, other, "o.csv")))
+    assert built.fact_trips.count() == 8
+    for table in P.GROUP_TABLES:
+        assert built.table(table).agg(F.sum("number_of_trips")).first()[0] == 8
+    assert built.pending_days.count() == 0
+
+
+def test_stale_groups_fail_the_check(spark, built):
+    import tripwright.plans.pipeline as P
+    from tripwright.session import delete_path
+    group = built.paths.path("fact_group_envelope")
+    delete_path(spark, f"{group}/year=2018/month=6")
+    with pytest.raises(DataQualityError):
+        P.check_batch(spark, built.paths, [])
+
+
+def test_retried_append_stages_each_row_once(spark, scratch, tmp_path, monkeypatch):
+    import tripwright.plans.pipeline as P
+    real, calls = P.write_stage, {"n": 0}
+
+    def flaky(*a, **k):
+        real(*a, **k)
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("after the write")
+
+    monkeypatch.setattr(P, "write_stage", flaky)
+    paths = TablePaths(scratch)
+    run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, ROWS[:1])),
+                 PipelineOptions(stage_mode="append", step_attempts=2, retry_wait=(0.0, 0.0)))
+    assert Warehouse(spark, paths).trips.count() == 1

@@ -54,9 +54,17 @@ def test_split_malformed(spark):
     assert (rep["bad_origin"], rep["bad_destination"], rep["null_datetime"]) == (1, 2, 1)
 
 
-def test_blueprint_names(spark):
-    s = stage_df(spark, [("r", P, P, "2018-05-01 00:00:00", "a"),
-                         ("r", P, P, "2018-06-01 00:00:00", "a")])
-    assert Q.check_bounds(s, "datetime", "2018-05-01", "2018-06-01").count() == 1
-    assert Q.check_keys(s, ["datetime"], "stage").first()["passed"] is True
-    assert Q.check_lengths(s).count() == 4
+
+def test_trailing_blanks_do_not_count(spark):
+    s = stage_df(spark, [("R" + " " * 60, P, P, "2018-05-01 00:00:00", "a")])
+    assert [r["region"] for r in Q.enforce_lengths(s).collect()] == ["R" + " " * 49]
+    good, bad = Q.split_malformed(s)
+    assert bad.count() == 0 and good.first()["region"] == "R" + " " * 49
+    assert Q.length_report(s).where("rows_over_limit > 0").count() == 0
+    assert s.where(Q.outside_bounds(s, "datetime", "2018-05-01", "2018-06-01")).count() == 0
+
+
+def test_group_total(spark):
+    fact, group = spark.range(5), spark.createDataFrame([(3,), (1,)], "number_of_trips long")
+    r = Q.group_total_report(fact, group, "g").first()
+    assert (r["row_count"], r["group_total"], r["passed"]) == (5, 4, False)

@@ -22,13 +22,8 @@ def test_sql_over_catalog_tables(spark, scratch, tmp_path):
     paths = TablePaths(scratch)
     run_pipeline(spark, paths, read_trips(spark, str(p)))
     register_catalog(spark, paths)
-    got = run_query(spark, """
-        SELECT DISTINCT dr.region
-        FROM trips.dim_datasource dd
-        JOIN trips.fact_trips t ON t.datasource_id = dd.datasource_id
-        JOIN trips.dim_region dr ON dr.region_id = t.region_id
-        WHERE dd.datasource = :name""", {"name": "city_hop"})
-    assert sorted(r.region for r in got.collect()) == ["Lisbon", "Vienna"]
+    got = run_query(spark, "SELECT count_if(hour(event_timestamp) < :h) AS early FROM trips.fact_trips", {"h": 8})
+    assert got.first().early == 2
     months = run_query(spark, "SELECT DISTINCT year, month FROM trips.fact_trips ORDER BY 1, 2")
     assert [tuple(r) for r in months.collect()] == [(2018, 5), (2018, 6)]
     names = register_views(spark, paths, prefix="v_")
@@ -99,3 +94,43 @@ def test_sql_text_matches_dataframe_queries(spark, scratch, tmp_path):
     same(run_query(spark, T.LIST_REGIONS), wh.dim_region)
     last = run_query(spark, T.LAST_LOG_EVENT).first()
     assert (last.event, last.event_type) == ("data_quality", "end")
+
+
+CSV = '''region,origin_coord,destination_coord,datetime,datasource
+"St ""Jo""",POINT (1 1),POINT (2 2),2018-05-01 08:00:00,a
+"St ""Jo"", X",POINT (1 1),POINT (2 2),2018-05-01 08:00:00.25,"a\\"
+'''
+
+
+def test_csv_dialect(spark, tmp_path):
+    (tmp_path / "q.csv").write_text(CSV)
+    got = [(r.region, r.datetime.microsecond, r.datasource) for r in read_trips(spark, str(tmp_path / "q.csv")).collect()]
+    assert got == [('St "Jo"', 0, "a"), ('St "Jo", X', 250000, "a\\")]
+    (tmp_path / "n.csv").write_text(CSV + '"two\nlines",POINT (1 1),POINT (2 2),2018-05-01 08:00:00,a\n')
+    assert [r.region for r in read_trips(spark, str(tmp_path / "n.csv"), multiline=True).collect()][-1] == "two\nlines"
+
+
+def test_lenient_lines_keep_their_text(spark, scratch, tmp_path):
+    from tripwright.plans.pipeline import PipelineOptions, Warehouse
+    bad = ["V,POINT (1 1),POINT (2 2),noon,a", "V,POINT (1 1),POINT (2 2),2018-05-01 08:00:00,a,sixth"]
+    (tmp_path / "b.csv").write_text(CSV + "\n".join(bad) + "\n")
+    paths = TablePaths(scratch)
+    for _ in range(2):     # the same batch again replaces its folders
+        run_pipeline(spark, paths, read_trips(spark, str(tmp_path / "b.csv"), strict=False),
+                     PipelineOptions(strict=False, batch_id="b"))
+    q = spark.read.parquet(f"{scratch}/trips_stage/quarantine")
+    assert sorted(r["_corrupt_record"] for r in q.collect()) == sorted(bad)
+    assert Warehouse(spark, paths).fact_trips.count() == 2
+
+
+def test_new_files_are_loaded_once(spark, scratch, tmp_path):
+    from tripwright.plans.pipeline import Warehouse, ingest_new_files
+    src = tmp_path / "in files"
+    src.mkdir()
+    write_csv(src / "a.csv", ROWS[:1])
+    paths = TablePaths(scratch)
+    assert ingest_new_files(spark, paths, str(src / "*.csv")) == 1
+    write_csv(src / "b.csv", ROWS[1:])
+    assert ingest_new_files(spark, paths, str(src / "*.csv")) == 1
+    assert ingest_new_files(spark, paths, str(src / "*.csv")) == 0
+    assert Warehouse(spark, paths).fact_trips.count() == 3

@@ -1,7 +1,7 @@
 import random
 
 
-from tripwright.operators.spatial import points_in_boxes
+from tripwright.operators.spatial import box_cells, point_cells, points_in_boxes
 
 BOX = "b struct<x0:double,y0:double,x1:double,y1:double>"
 
@@ -48,3 +48,38 @@ def test_null_and_empty_inputs(spark):
     assert points_in_boxes(pdf, bdf, box_col="b").count() == 0
     none = spark.createDataFrame([], f"bid long, {BOX}")
     assert points_in_boxes(pdf, none, box_col="b").count() == 0
+
+
+def test_tiny_boxes_have_few_candidates(spark):
+    rnd = random.Random(3)
+    points = [(i, rnd.random(), rnd.random()) for i in range(3000)]
+    boxes = []
+    for i in range(400):
+        x, y = rnd.random(), rnd.random()
+        boxes.append((i, (x, y, x + 0.01, y + 0.01)))
+    boxes += [(1000 + i, (p[1], p[2], p[1], p[2])) for i, p in enumerate(points[:50])]      # no extent
+    pdf = spark.createDataFrame(points, "pid long, x double, y double")
+    bdf = spark.createDataFrame(boxes, f"bid long, {BOX}")
+    hits = points_in_boxes(pdf, bdf, box_col="b").collect()
+    assert {(r.pid, r.bid) for r in hits} == brute(points, boxes)
+    cells = box_cells(bdf, "b")
+    levels = [r[0] for r in cells.select("_lvl").distinct().collect()]
+    candidates = point_cells(pdf, levels).join(cells, ["_lvl", "_cx", "_cy"]).count()
+    assert candidates <= 12 * len(hits)          # all pairs would be 1,350,000
+
+
+def test_odd_boxes(spark):
+    inf, nan = float("inf"), float("nan")
+    pdf = spark.createDataFrame([(1, 0.5, 0.5), (2, 1e300, -1e300), (3, inf, 0.5), (4, nan, 0.5)], "pid long, x double, y double")
+    bdf = spark.createDataFrame([(1, (-inf, -inf, inf, inf)), (2, (0.0, 0.0, inf, 1.0)), (3, (0.0, 0.0, nan, 1.0)),
+                                 (4, (1.0, 1.0, 0.0, 0.0)), (5, (0.5, 0.5, 0.5, 0.5))], f"bid long, {BOX}")
+    got = {(r.pid, r.bid) for r in points_in_boxes(pdf, bdf, box_col="b").collect()}
+    assert got == {(1, 1), (1, 2), (1, 5), (2, 1), (3, 1), (3, 2)}
+
+
+def test_equal_columns_join_too(spark):
+    pdf = spark.createDataFrame([(1, 0.5, 0.5, "a"), (2, 0.5, 0.5, "b")], "pid long, x double, y double, d string")
+    bdf = spark.createDataFrame([(1, (0.0, 0.0, 1.0, 1.0), "a")], f"bid long, {BOX}, d string")
+    got = points_in_boxes(pdf, bdf, box_col="b", on=["d"])
+    assert got.columns.count("d") == 1 and [r.pid for r in got.collect()] == [1]
+    assert points_in_boxes(pdf, bdf.where("false"), box_col="b", on=["d"]).columns.count("d") == 1

@@ -91,3 +91,27 @@ def test_daily_windows_ignore_session_time_zone(spark, scratch, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert sorted((str(r[0]), r[2], r[3]) for r in got) == [
         ("2018-05-01 00:00:00", "Vienna", 3), ("2018-05-02 00:00:00", "Lisbon", 2)]
+
+
+def test_nulls_are_written_once(spark, scratch):
+    from tripwright.plans.scenarios import delivery_files
+    from tripwright.streaming.ingest import write_deduplicated
+    from helpers import stage_df
+    two = stage_df(spark, [("Vienna", "POINT (1 1)", None, "2018-05-01 10:00:00", "a"),
+                           (None, None, None, None, None), ("Vienna", "POINT (1 1)", "POINT (2 2)", "2018-05-01 10:00:00", "a")])
+    folder = delivery_files(spark, [two, two, two], f"{scratch}/files", 1)
+    write_deduplicated(trips_file_stream(spark, folder, "parquet", 1), f"{scratch}/out", f"{scratch}/_ck").awaitTermination()
+    assert spark.read.parquet(f"{scratch}/out").count() == 3
+
+
+def test_all_windows_without_delay(spark, scratch, tmp_path):
+    from tripwright.streaming.ingest import read_daily_counts, write_daily_counts
+    src = tmp_path / "late"
+    src.mkdir()
+    write_csv(src / "1.csv", rows(20, 1))
+    write_csv(src / "2.csv", rows(1, 3) + rows(2, 2, "Lisbon"))
+    out = f"{scratch}/counts"
+    stream = trips_file_stream(spark, str(src), max_files_per_trigger=1)
+    write_daily_counts(stream, out, f"{scratch}/_ck").awaitTermination()
+    got = {(r.window_start.day, r.region): r.number_of_trips for r in read_daily_counts(spark, out).collect()}
+    assert got == {(20, "Vienna"): 1, (1, "Vienna"): 3, (2, "Lisbon"): 2}

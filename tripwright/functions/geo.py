@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 WKT_POINT_PREFIX = "POINT ("
 WKT_POINT_SUFFIX = ")"
 WKT_SEPARATOR = " "
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
 def _col(c) -> Column:
@@ -29,8 +30,13 @@ def point_parts(text) -> tuple[Column, Column]:
             F.split_part(body, F.lit(WKT_SEPARATOR), F.lit(2)))
 
 
-def point(x, y) -> Column:
-    return F.struct(_col(x).cast("double").alias("x"), _col(y).cast("double").alias("y"))
+def coordinate(text) -> Column:
+    """Double of a plain decimal number (sign, digits, point, exponent), else
+    NULL.  A cast alone would also take ``45.0d``, ``1f``, ``NaN`` or
+    ``Infinity``; a number too large for a double is NULL as well."""
+    t = _col(text)
+    value = F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def point_xy(text, strict: bool = True) -> tuple[Column, Column]:
@@ -38,8 +44,7 @@ def point_xy(text, strict: bool = True) -> tuple[Column, Column]:
     text).  ``strict`` raises on text that does not parse to two numbers,
     whatever the session's ANSI setting."""
     t = _col(text)
-    xs, ys = point_parts(t)
-    x, y = xs.try_cast("double"), ys.try_cast("double")
+    x, y = (coordinate(c) for c in point_parts(t))
     if strict:
         bad = t.isNotNull() & (x.isNull() | y.isNull())
         x = F.when(bad, F.raise_error(F.concat(F.lit("malformed point: "), t)).cast("double")) \
@@ -47,32 +52,10 @@ def point_xy(text, strict: bool = True) -> tuple[Column, Column]:
     return x, y
 
 
-def parse_point(text, strict: bool = True) -> Column:
-    """Parse WKT point text into ``struct<x, y>``.
-
-    strict=True casts with ANSI semantics: an empty or non-numeric coordinate
-    raises, as the load would abort.  strict=False yields NULL coordinates for
-    such rows so they can be quarantined (see quality.split_malformed).
-    NULL text gives a NULL point.
-    """
-    t = _col(text)
-    xs, ys = point_parts(t)
-    x, y = xs.try_cast("double"), ys.try_cast("double")
-    if strict:
-        # Raise whatever the session's ANSI setting (a plain cast would
-        # quietly give NULL with ANSI off).
-        bad = x.isNull() | y.isNull()
-        err = F.raise_error(F.concat(F.lit("malformed point: "), t))
-        x = F.when(bad, err.cast("double")).otherwise(x)
-    return F.when(t.isNull(), F.lit(None)).otherwise(
-        F.struct(x.alias("x"), y.alias("y")))
-
-
 def point_is_valid(text) -> Column:
     """True when the text parses to two finite coordinates (lenient check)."""
     t = _col(text)
-    xs, ys = point_parts(t)
-    x, y = xs.try_cast("double"), ys.try_cast("double")
+    x, y = (coordinate(c) for c in point_parts(t))
     return t.isNotNull() & x.isNotNull() & y.isNotNull()
 
 

@@ -67,6 +67,3 @@ def format_timestamp(ts, as_written: bool = False) -> Column:
     hour12 = (F.hour(t) + 11) % 12 + 1
     return F.format_string("%s %02d:%02d:%02d", format_day(t), hour12, F.month(t), F.second(t))
 
-
-def month_start(year, month) -> Column:
-    return F.make_timestamp_ntz(_col(year), _col(month), F.lit(1), F.lit(0), F.lit(0), F.lit(0))

@@ -4,11 +4,10 @@ from .dims import (distinct_members, event_time_members, event_time_rows,
                    fill_event_time, new_members, upsert_dim)
 from .facts import build_delta, group_trips, insert_if_absent
 from .ids import dense_ids
-from .joins import bounded_broadcast
 from .spatial import points_in_boxes
 
 __all__ = [
     "distinct_members", "event_time_members", "event_time_rows", "fill_event_time",
     "new_members", "upsert_dim", "build_delta", "group_trips", "insert_if_absent",
-    "dense_ids", "bounded_broadcast", "points_in_boxes",
+    "dense_ids", "points_in_boxes",
 ]

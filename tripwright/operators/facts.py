@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import case_lower, case_upper, point_xy
+from ..functions.geo import box, case_lower, case_upper, point_xy
 from ..functions.keys import event_id
 from ..functions.timeparts import day_start
 from ..schemas import PRIMARY_KEYS
@@ -14,11 +14,17 @@ FACT_KEY = PRIMARY_KEYS["fact_trips"]
 GROUP_KEY = PRIMARY_KEYS["fact_group_trips"]
 
 
-class DuplicateKeyError(ValueError):
-    pass
+POINT_COLUMNS = ("origin_coord", "destination_coord")
 
 
-POINT_COLUMNS = ("origin_coord", "destination_coord")
+def _unpacked(c: str, x, y) -> list:
+    """A point as fixed-width columns: a NULL flag and two doubles."""
+    return [F.col(c).isNull().alias(f"_{c}_null"), x.alias(f"_{c}_x"), y.alias(f"_{c}_y")]
+
+
+def _packed(c: str):
+    return F.when(F.col(f"_{c}_null"), F.lit(None)).otherwise(
+        F.struct(F.col(f"_{c}_x").alias("x"), F.col(f"_{c}_y").alias("y"))).alias(c)
 
 
 def dedupe_on_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -31,20 +37,10 @@ def dedupe_on_key(df: DataFrame, keys: list[str]) -> DataFrame:
     a partial + final HashAggregate (copies collapse map-side, no sort).
     """
     points = [c for c in POINT_COLUMNS if c in df.columns]
-    if not points:
-        return df.dropDuplicates(keys)
-    flat = df
-    for c in points:
-        flat = (flat.withColumn(f"_{c}_null", F.col(c).isNull())
-                    .withColumn(f"_{c}_x", F.col(c)["x"])
-                    .withColumn(f"_{c}_y", F.col(c)["y"])
-                    .drop(c))
+    flat = df.select(*[c for c in df.columns if c not in points],
+                     *[u for c in points for u in _unpacked(c, F.col(c)["x"], F.col(c)["y"])])
     out = flat.dropDuplicates(keys)
-    for c in points:
-        out = out.withColumn(c, F.when(F.col(f"_{c}_null"), F.lit(None)).otherwise(
-            F.struct(F.col(f"_{c}_x").alias("x"), F.col(f"_{c}_y").alias("y"))))
-    return out.select(*df.columns)
-
+    return out.select(*[_packed(c) if c in points else F.col(c) for c in df.columns])
 
 
 def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFrame,
@@ -56,8 +52,8 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
     text, WKT points parsed to structs.
 
     on_duplicate: ``drop`` keeps one row per (event_timestamp, event_id);
-    ``fail`` raises when the batch holds a duplicate key (the behaviour of
-    the original insert); ``keep`` leaves duplicates in.
+    ``fail`` raises, when the delta is evaluated, if the batch holds a
+    duplicate key (the behaviour of the original insert); ``keep`` leaves duplicates in.
     """
     s = stage.where(F.col("region").isNotNull() & F.col("datasource").isNotNull())
     ts = F.col("datetime")
@@ -80,23 +76,17 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
             F.col("region_id").cast("int").alias("region_id"),
             F.col("datasource_id").cast("int").alias("datasource_id")]
     for c in POINT_COLUMNS:
-        x, y = point_xy(c, strict)
-        cols += [F.col(c).isNull().alias(f"_{c}_null"), x.alias(f"_{c}_x"), y.alias(f"_{c}_y")]
+        cols += _unpacked(c, *point_xy(c, strict))
     flat = j.select(*cols)
     if on_duplicate == "drop":
         flat = flat.dropDuplicates(FACT_KEY)
     elif on_duplicate == "fail":
-        dup = flat.groupBy(*FACT_KEY).count().where(F.col("count") > 1).limit(1).count()
-        if dup:
-            raise DuplicateKeyError("batch holds duplicate (event_timestamp, event_id) keys")
-    return _pack_points(flat, ["event_timestamp", "event_id", "region_id", "datasource_id"])
-
-
-def _pack_points(flat: DataFrame, leading: list[str]) -> DataFrame:
-    packed = [F.when(F.col(f"_{c}_null"), F.lit(None)).otherwise(
-        F.struct(F.col(f"_{c}_x").alias("x"), F.col(f"_{c}_y").alias("y"))).alias(c)
-        for c in POINT_COLUMNS]
-    return flat.select(*leading, *packed)
+        # In the pass that uses the delta: a second row of a key raises.
+        copies = F.count(F.lit(1)).over(Window.partitionBy(*FACT_KEY))
+        flat = flat.withColumn("event_timestamp", F.when(copies > 1, F.raise_error(F.lit(
+            "batch holds duplicate (event_timestamp, event_id) keys"))).otherwise(F.col("event_timestamp")))
+    return flat.select("event_timestamp", "event_id", "region_id", "datasource_id",
+                       *[_packed(c) for c in POINT_COLUMNS])
 
 
 def insert_if_absent(delta: DataFrame, existing: DataFrame, keys: list[str] = FACT_KEY,
@@ -113,31 +103,37 @@ def insert_if_absent(delta: DataFrame, existing: DataFrame, keys: list[str] = FA
     return d.join(existing.select(*keys), keys, "left_anti")
 
 
-def group_trips(fact: DataFrame, box: str = "as_written") -> DataFrame:
-    """Per (day, region): bounding box of the trips and their count.
-
-    box='as_written' reproduces the original aggregate exactly: the upper
-    corner is the MAX of the *lower* CASE arm (the same CASE as the MIN), so
-    it is not the true envelope.  box='envelope' takes the MAX of the upper
-    arm and yields the true envelope of all origins and destinations.
-    """
+def group_extremes(fact: DataFrame) -> DataFrame:
+    """Per (day, region): the extremes of the trips' lower and upper corners
+    and their number - all that either kind of box needs, in one aggregate."""
     ox, oy = F.col("origin_coord.x"), F.col("origin_coord.y")
     dx, dy = F.col("destination_coord.x"), F.col("destination_coord.y")
     lx, ly = case_lower(ox, dx), case_lower(oy, dy)
-    if box == "as_written":
-        hx, hy = lx, ly
-    elif box == "envelope":
-        hx, hy = case_upper(ox, dx), case_upper(oy, dy)
-    else:
-        raise ValueError(f"box must be as_written or envelope, not {box!r}")
-    g = (fact.groupBy(day_start("event_timestamp").alias("event_date"), "region_id")
-         .agg(F.min(lx).alias("x0"), F.min(ly).alias("y0"),
-              F.max(hx).alias("x1"), F.max(hy).alias("y1"),
-              F.count(F.lit(1)).alias("number_of_trips")))
-    return g.select(
-        "event_date", "region_id",
-        F.struct("x0", "y0", "x1", "y1").alias("box_coord"),
-        F.col("number_of_trips").cast("bigint").alias("number_of_trips"),
+    hx, hy = case_upper(ox, dx), case_upper(oy, dy)
+    return (fact.groupBy(day_start("event_timestamp").alias("event_date"), "region_id")
+            .agg(F.min(lx).alias("min_lx"), F.min(ly).alias("min_ly"),
+                 F.max(lx).alias("max_lx"), F.max(ly).alias("max_ly"),
+                 F.max(hx).alias("max_hx"), F.max(hy).alias("max_hy"),
+                 F.count(F.lit(1)).cast("bigint").alias("number_of_trips")))
+
+
+def group_boxes(extremes: DataFrame, kind: str = "as_written") -> DataFrame:
+    """Group rows of ``group_extremes``: bounding box of the trips and their count.
+
+    ``as_written`` reproduces the original aggregate exactly: the upper corner
+    is the MAX of the *lower* CASE arm (the same CASE as the MIN), so it is not
+    the true envelope.  ``envelope`` takes the MAX of the upper arm and yields
+    the true envelope of all origins and destinations.
+    """
+    if kind not in ("as_written", "envelope"):
+        raise ValueError(f"box must be as_written or envelope, not {kind!r}")
+    high = ("max_lx", "max_ly") if kind == "as_written" else ("max_hx", "max_hy")
+    return extremes.select(
+        "event_date", "region_id", box("min_lx", "min_ly", *high).alias("box_coord"), "number_of_trips",
         F.year("event_date").cast("int").alias("year"),
-        F.month("event_date").cast("int").alias("month"),
-    )
+        F.month("event_date").cast("int").alias("month"))
+
+
+def group_trips(fact: DataFrame, box: str = "as_written") -> DataFrame:
+    """``group_boxes`` of the extremes of ``fact``."""
+    return group_boxes(group_extremes(fact), box)

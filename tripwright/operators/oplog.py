@@ -80,8 +80,9 @@ def logged(spark: SparkSession, log: "str | LogWriter | None", log_name: str, ev
 
 def last_event(log: DataFrame, id_col: str = "log_id", event_col: str = "event",
                type_col: str | None = "event_type", ts_col: str = "execution_date_time",
-               as_written: bool = False) -> DataFrame:
-    """The most recent log row: (event, event_type, execution_date_time text).
+               as_written: bool = False, both: bool = False) -> DataFrame:
+    """The most recent log row: (event, event_type, execution_date_time text);
+    ``both`` adds the other format as ``execution_date_time_as_written``.
 
     ``orderBy(desc).limit(1)`` plans as a top-1 (TakeOrderedAndProject): each
     task keeps its local maximum, no full sort.
@@ -90,4 +91,6 @@ def last_event(log: DataFrame, id_col: str = "log_id", event_col: str = "event",
     if type_col:
         cols.append(F.col(type_col).alias("event_type"))
     cols.append(format_timestamp(ts_col, as_written).alias("execution_date_time"))
+    if both:
+        cols.append(format_timestamp(ts_col, True).alias("execution_date_time_as_written"))
     return log.orderBy(F.col(id_col).desc()).limit(1).select(*cols)

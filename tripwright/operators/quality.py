@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import point_is_valid
 from ..functions.timeparts import ntz_literal
-from ..schemas import VARCHAR_LIMITS
+from ..schemas import CORRUPT, VARCHAR_LIMITS
 
 
 class DataQualityError(AssertionError):
@@ -40,6 +40,17 @@ def require(report: DataFrame, flag: str = "passed") -> None:
         raise DataQualityError(f"data quality check failed: {failed}")
 
 
+def group_total_report(fact: DataFrame, group: DataFrame, table: str) -> DataFrame:
+    """(table_name, row_count, group_total, passed): every trip of the fact is
+    counted in the group table.  A count of parquet rows and a sum over the
+    much smaller aggregate."""
+    n = fact.agg(F.count(F.lit(1)).alias("row_count"))
+    total = group.agg(F.coalesce(F.sum("number_of_trips"), F.lit(0)).alias("group_total"))
+    return n.join(total, F.lit(True)).select(     # one row each
+        F.lit(table).alias("table_name"), "row_count", "group_total",
+        (F.col("row_count") == F.col("group_total")).alias("passed"))
+
+
 def key_report(df: DataFrame, keys: list[str], table: str) -> DataFrame:
     """(table_name, key_columns, row_count, distinct_keys, duplicate_keys,
     null_key_rows, passed) - a primary-key check (unique + not null).
@@ -89,13 +100,19 @@ def bounds_report(df: DataFrame, ts_col: str, start, end) -> DataFrame:
                    F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias("rows_outside")))
 
 
+def text_length(c: str) -> Column:
+    """Characters of a text without its trailing blanks, which don't count
+    against a declared length."""
+    return F.char_length(F.rtrim(F.col(c)))
+
+
 def length_report(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> DataFrame:
     """(column_name, max_length, length_limit, rows_over_limit) per column,
     one aggregate pass for all columns."""
     cols = [c for c in limits if c in df.columns]
     aggs = []
     for c in cols:
-        n = F.char_length(F.col(c))
+        n = text_length(c)
         aggs += [F.max(n).alias(f"{c}__max"),
                  F.sum(F.when(n > limits[c], 1).otherwise(0)).cast("bigint").alias(f"{c}__over")]
     wide = df.agg(*aggs)
@@ -119,19 +136,21 @@ def malformed_reason(point_cols: tuple[str, ...] = ("origin_coord", "destination
         bad = F.col(c).isNotNull() & ~point_is_valid(c)
         reason = F.when(bad, F.lit(c)).otherwise(reason)
     for c in reversed(list(limits)):
-        reason = F.when(F.char_length(F.col(c)) > limits[c], F.lit(f"{c}_length")).otherwise(reason)
+        reason = F.when(text_length(c) > limits[c], F.lit(f"{c}_length")).otherwise(reason)
     return F.when(F.col(ts_col).isNull(), F.lit(ts_col)).otherwise(reason)
 
 
 def enforce_lengths(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> DataFrame:
     """Same rows, but text longer than its declared length raises when the
-    row is evaluated - in the pass that writes it, no extra scan."""
+    row is evaluated - in the pass that writes it, no extra scan.  Blanks at
+    the end beyond that length are cut off instead."""
     cols = []
     for c in df.columns:
         if c in limits:
-            too_long = F.char_length(F.col(c)) > limits[c]
+            too_long = text_length(c) > limits[c]
             cols.append(F.when(too_long, F.raise_error(F.lit(
-                f"value too long for {c} (limit {limits[c]} characters)"))).otherwise(F.col(c))
+                f"value too long for {c} (limit {limits[c]} characters)"))).when(
+                F.char_length(F.col(c)) > limits[c], F.substring(F.col(c), 1, limits[c])).otherwise(F.col(c))
                 .alias(c))
         else:
             cols.append(F.col(c))
@@ -139,9 +158,14 @@ def enforce_lengths(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> D
 
 
 def split_malformed(stage: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) rows; bad rows carry a ``reason`` column for quarantine."""
-    tagged = stage.withColumn("reason", malformed_reason())
-    return tagged.where(F.col("reason").isNull()).drop("reason"), tagged.where(F.col("reason").isNotNull())
+    """(good, bad) rows; bad rows carry a ``reason`` column for quarantine, and
+    the original text of a line the reader could not split (``CORRUPT``)."""
+    reason = malformed_reason()
+    if CORRUPT in stage.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("line")).otherwise(reason)
+    tagged = stage.withColumn("reason", reason)
+    good = tagged.where(F.col("reason").isNull()).drop("reason", CORRUPT)
+    return enforce_lengths(good), tagged.where(F.col("reason").isNotNull())
 
 
 def malformed_report(stage: DataFrame) -> DataFrame:
@@ -158,18 +182,3 @@ def malformed_report(stage: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("datasource").isNull(), 1).otherwise(0)).cast("bigint").alias("null_datasource"),
     )
 
-
-# Names used by the blueprint's signatures.
-def check_keys(df: DataFrame, keys: list[str], table: str = "table") -> DataFrame:
-    """Primary-key report (unique + not null) - see ``key_report``."""
-    return key_report(df, keys, table)
-
-
-def check_bounds(df: DataFrame, ts_col: str, start, end) -> DataFrame:
-    """Rows outside the half-open range ``[start, end)`` (for quarantine)."""
-    return df.where(outside_bounds(df, ts_col, start, end))
-
-
-def check_lengths(df: DataFrame, limits: dict[str, int] = VARCHAR_LIMITS) -> DataFrame:
-    """Declared-length report per column - see ``length_report``."""
-    return length_report(df, limits)

@@ -7,10 +7,15 @@ and AQE can split when one cell is hot; the exact inclusive box test then
 refines the candidates.
 
 Each box picks the smallest level whose cell is at least as wide as the
-box's larger side, so it touches at most 3 x 3 cells at that level (usually
-1-4); every covered cell is emitted, so no candidate is ever dropped and no
-box is capped.  Each point emits one cell per level in use.  A (point, box)
+box's larger side - below the given cell size for small boxes, down to a
+finest level for boxes without extent - so it touches at most 2 x 2 cells at
+that level; every covered cell is emitted, so no candidate is ever dropped and
+no box is capped.  Each point emits one cell per level in use.  A (point, box)
 pair can meet in exactly one cell: the point's cell at the box's level.
+
+A box with a NULL or NaN corner, or whose corners are swapped, holds no point.
+Infinite corners are clamped for the choice of cells only; the exact test uses
+the box as it is.
 """
 
 from __future__ import annotations
@@ -23,28 +28,36 @@ from ..functions.geo import box_contains
 from ..session import ensure_checkpoint_dir
 
 
+FINEST = -30     # level of boxes without extent: cells of cell / 2**30
+COARSEST = 50    # clamp: coordinates beyond cell * 2**49 share the outermost cells
+
+
 def _level_of(span, cell: float):
-    ratio = span / F.lit(float(cell))
-    return (F.when(span.isNull(), F.lit(None))
-             .when(ratio <= 1.0, F.lit(0))
-             .otherwise(F.ceil(F.log2(ratio)))).cast("int")
+    return F.greatest(F.lit(FINEST), F.when(span > 0, F.ceil(F.log2(span / F.lit(float(cell))))).otherwise(
+        F.lit(FINEST))).cast("int")
 
 
 def _cell_size(level, cell: float):
     return F.lit(float(cell)) * F.pow(F.lit(2.0), level.cast("double"))
 
 
+def _clamped(c, cell: float):
+    edge = float(cell) * 2.0 ** (COARSEST - 1)
+    return F.least(F.greatest(c, F.lit(-edge)), F.lit(edge))
+
+
 def box_cells(boxes: DataFrame, box_col: str = "box_coord", cell: float = 1.0) -> DataFrame:
     """Boxes exploded to the grid cells they cover at their own level."""
     b = F.col(box_col)
-    valid = (b.isNotNull() & b["x0"].isNotNull() & b["y0"].isNotNull()
-             & b["x1"].isNotNull() & b["y1"].isNotNull()
-             & (b["x0"] <= b["x1"]) & (b["y0"] <= b["y1"]))
-    span = F.greatest(b["x1"] - b["x0"], b["y1"] - b["y0"])
-    lv = boxes.where(valid).withColumn("_lvl", _level_of(span, cell))
+    corners = [b[c] for c in ("x0", "y0", "x1", "y1")]
+    valid = (b["x0"] <= b["x1"]) & (b["y0"] <= b["y1"])
+    for c in corners:
+        valid &= c.isNotNull() & ~F.isnan(c)
+    x0, y0, x1, y1 = (_clamped(c, cell) for c in corners)
+    lv = boxes.where(valid).withColumn("_lvl", _level_of(F.greatest(x1 - x0, y1 - y0), cell))
     size = _cell_size(F.col("_lvl"), cell)
-    return (lv.withColumn("_cx", F.explode(F.sequence(F.floor(b["x0"] / size), F.floor(b["x1"] / size))))
-              .withColumn("_cy", F.explode(F.sequence(F.floor(b["y0"] / size), F.floor(b["y1"] / size)))))
+    return (lv.withColumn("_cx", F.explode(F.sequence(F.floor(x0 / size), F.floor(x1 / size))))
+              .withColumn("_cy", F.explode(F.sequence(F.floor(y0 / size), F.floor(y1 / size)))))
 
 
 def point_cells(points: DataFrame, levels: list[int], x: str = "x", y: str = "y",
@@ -54,20 +67,22 @@ def point_cells(points: DataFrame, levels: list[int], x: str = "x", y: str = "y"
     lv = points.where(px.isNotNull() & py.isNotNull() & ~F.isnan(px) & ~F.isnan(py))
     lv = lv.withColumn("_lvl", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
     size = _cell_size(F.col("_lvl"), cell)
-    return (lv.withColumn("_cx", F.floor(px / size))
-              .withColumn("_cy", F.floor(py / size)))
+    return (lv.withColumn("_cx", F.floor(_clamped(px, cell) / size))
+              .withColumn("_cy", F.floor(_clamped(py, cell) / size)))
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "y",
-                    box_col: str = "box_coord", cell: float = 1.0) -> DataFrame:
+                    box_col: str = "box_coord", cell: float = 1.0,
+                    on: list[str] | None = None) -> DataFrame:
     """All (point, box) pairs with the point inside the box, edges inclusive.
 
-    Output: every column of ``points`` and of ``boxes`` (names must not
-    clash).  ``cell`` is the finest grid cell side, in coordinate units.
-    The distinct levels in use are integers of bounded range (a box span
-    between 2**-1074 and 2**1024 maps to at most ~2,100 values), so the
-    short list is brought to the driver to build the point expansion.
+    Output: every column of ``points`` and of ``boxes``; names must not clash
+    but for those in ``on``, which must be equal too and join with the cell.
+    ``cell`` is the grid cell side of level 0, in coordinate units.  The levels
+    in use are integers from FINEST to COARSEST + 1, so the short list is
+    brought to the driver to build the point expansion.
     """
+    on = on or []
     # The box side is read twice (levels, then the join): pin it once with a
     # reliable checkpoint so an aggregate feeding it is not recomputed.
     ensure_checkpoint_dir(boxes.sparkSession)
@@ -76,9 +91,9 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, x: str = "x", y: str =
     if not levels:
         # No valid box: the answer is empty, with the joined columns.
         spark = points.sparkSession
-        schema = StructType(points.schema.fields + boxes.schema.fields)
+        schema = StructType(points.schema.fields + [f for f in boxes.schema.fields if f.name not in on])
         return spark.createDataFrame([], schema)
     pc = point_cells(points, levels, x, y, cell)
-    joined = pc.join(bc, ["_lvl", "_cx", "_cy"], "inner")
+    joined = pc.join(bc, [*on, "_lvl", "_cx", "_cy"], "inner")
     hit = joined.where(box_contains(F.col(box_col), F.col(x), F.col(y)))
     return hit.drop("_lvl", "_cx", "_cy")

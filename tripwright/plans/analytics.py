@@ -1,8 +1,9 @@
 """Named questions asked of the warehouse (all DataFrame in / DataFrame out).
 
-Dimension lookups go through ``bounded_broadcast``; every aggregate over the
-fact is a hash aggregate whose partial (map-side) step collapses hot regions
-or days before the shuffle.
+Dimension lookups carry no join hint: the planner broadcasts a side whose size
+in bytes is under its threshold, and adaptive execution decides again at run
+time.  Every aggregate over the fact is a hash aggregate whose partial
+(map-side) step collapses hot regions or days before the shuffle.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import box_contains
 from ..functions.keys import event_id_hex
-from ..functions.timeparts import day_start, format_day, ntz_literal
-from ..operators.joins import bounded_broadcast
+from ..functions.timeparts import day_start, format_day
 from ..operators.spatial import points_in_boxes
 
 
@@ -27,9 +27,9 @@ def regions_of_datasource(fact: DataFrame, dim_region: DataFrame, dim_datasource
     """Distinct regions in which ``datasource`` has trips."""
     ids = dim_datasource.where(F.col("datasource") == F.lit(datasource)).select("datasource_id")
     region_ids = (fact.select("datasource_id", "region_id")
-                      .join(bounded_broadcast(ids), "datasource_id", "left_semi")
+                      .join(ids, "datasource_id", "left_semi")
                       .select("region_id").distinct())
-    return (region_ids.join(bounded_broadcast(dim_region), "region_id", "inner")
+    return (region_ids.join(dim_region, "region_id", "inner")
                       .select("region").distinct())
 
 
@@ -55,34 +55,18 @@ def region_rank(fact: DataFrame) -> DataFrame:
 def latest_datasource_top(fact: DataFrame, dim_region: DataFrame, dim_datasource: DataFrame,
                           k: int = 2) -> DataFrame:
     """For the ``k`` busiest regions: the datasource of the latest trip
-    (lexicographic max when several share that instant) and its time."""
-    top = (region_trip_stats(fact)
-           .orderBy(F.col("number_of_trips").desc(), F.col("region_id").asc())
-           .limit(k)
-           .select("region_id", "event_timestamp"))
-    # ``top`` holds at most k rows (a proven bound).  Its timestamps become a
-    # literal filter: month partition pruning plus an IN on event_timestamp
-    # that parquet row-group statistics skip on (files are sorted by time),
-    # so finding the rows at those instants reads a few row groups, not the
-    # whole fact.
-    spark = fact.sparkSession
-    top_rows = [(r.region_id, r.event_timestamp) for r in top.collect()
-                if r.event_timestamp is not None]
-    stamps = [t for _, t in top_rows]
-    if not stamps:
-        return spark.createDataFrame([], "region string, datasource string, "
-                                         "event_timestamp timestamp_ntz")
-    months = sorted({y * 100 + m for y, m in ((t.year, t.month) for t in stamps)})
-    near = fact.where((F.col("year") * 100 + F.col("month")).isin(months)) \
-        if "year" in fact.columns else fact
-    near = near.where(F.col("event_timestamp").isin([ntz_literal(t) for t in stamps]))
-    top_df = spark.createDataFrame(top_rows, "region_id int, event_timestamp timestamp_ntz")
-    at_latest = near.select("region_id", "event_timestamp", "datasource_id").join(
-        F.broadcast(top_df), ["region_id", "event_timestamp"], "inner")
-    named = (at_latest.join(bounded_broadcast(dim_region), "region_id", "inner")
-                      .join(bounded_broadcast(dim_datasource), "datasource_id", "inner"))
-    return named.groupBy("region").agg(F.max("datasource").alias("datasource"),
-                                       F.max("event_timestamp").alias("event_timestamp"))
+    (lexicographic max when several share that instant) and its time.
+
+    One scan of the fact, into a row per (region, datasource): the regions'
+    counts, their latest time and the datasources at it all follow from that.
+    """
+    pairs = fact.groupBy("region_id", "datasource_id").agg(
+        F.count("region_id").alias("trips"), F.max("event_timestamp").alias("latest"))
+    regions = (pairs.join(dim_datasource, "datasource_id").groupBy("region_id")
+               .agg(F.sum("trips").alias("trips"), F.max(F.struct("latest", "datasource")).alias("last")))
+    top = regions.orderBy(F.col("trips").desc(), F.col("region_id").asc()).limit(k)
+    return top.join(dim_region, "region_id").select(
+        "region", "last.datasource", F.col("last.latest").alias("event_timestamp"))
 
 
 def _midnights(dim_event_time: DataFrame) -> DataFrame:
@@ -106,7 +90,7 @@ def weekly_trips(group: DataFrame, dim_region: DataFrame, dim_event_time: DataFr
     mid = _midnights(dim_event_time).select(F.col("event_timestamp").alias("event_date"), "week")
     j = (group.select("event_date", "region_id", "number_of_trips")
               .join(mid, "event_date", "inner")
-              .join(bounded_broadcast(dim_region), "region_id", "inner"))
+              .join(dim_region, "region_id", "inner"))
     keys = ["week", "region"]
     if by_year:
         j = j.withColumn("iso_year", F.extract(F.lit("YEAROFWEEK"), F.col("event_date")).cast("int"))
@@ -128,7 +112,7 @@ def check_position(group: DataFrame, dim_region: DataFrame, x: float, y: float)
     The four comparisons on the box fields are pushed to the parquet scan.
     """
     hits = group.where(box_contains("box_coord", float(x), float(y)))
-    return (hits.join(bounded_broadcast(dim_region), "region_id", "inner")
+    return (hits.join(dim_region, "region_id", "inner")
                 .select("region", format_day("event_date").alias("event_date"),
                         F.col("number_of_trips").cast("bigint").alias("number_of_trips")))
 
@@ -142,9 +126,12 @@ def flat_group(group: DataFrame) -> DataFrame:
 
 
 def trip_origins_in_boxes(fact: DataFrame, group: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Every (trip, day-region box) pair whose box holds the trip's origin."""
+    """Every (trip, region box) pair of one day whose box holds the trip's
+    origin.  The day joins with the grid cell, so the pairs grow with the trips
+    and not with trips times days."""
     points = fact.select(event_id_hex("event_id").alias("event_id"), "event_timestamp",
+                         day_start("event_timestamp").alias("event_date"),
                          F.col("origin_coord.x").alias("x"), F.col("origin_coord.y").alias("y"))
     boxes = group.select("event_date", F.col("region_id").alias("box_region_id"), "box_coord")
-    return points_in_boxes(points, boxes, "x", "y", "box_coord", cell).select(
+    return points_in_boxes(points, boxes, "x", "y", "box_coord", cell, on=["event_date"]).select(
         "event_id", "event_timestamp", "event_date", "box_region_id")

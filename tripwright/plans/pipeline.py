@@ -3,32 +3,39 @@
 Each step reads the tables the previous step wrote, so lineage is cut at
 every step (a lost executor only re-runs tasks of the current step), and
 every write is re-runnable: dimensions and the fact are insert-if-absent, the
-group fact is an overwrite.  A single writer per warehouse is assumed.
+stage and the quarantine overwrite the folder of their batch, the group fact is
+an overwrite.  Days whose group rows are to be rebuilt are noted in a table
+before the fact changes and stay there until they are, so a run that dies in
+between is made good by the next one, whatever it loads.  A single writer per
+warehouse is assumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
+import hashlib
 import random
 import threading
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dims import fill_event_time, upsert_dim
-from ..operators.facts import build_delta, group_trips, insert_if_absent
-from ..operators.joins import bounded_broadcast
+from ..operators.facts import build_delta, group_boxes, group_extremes, insert_if_absent
 from ..operators.oplog import LogWriter, logged
-from ..operators.quality import (check_non_empty, enforce_lengths, key_report, require,
-                                 split_malformed)
+from ..operators.quality import (check_non_empty, enforce_lengths, group_total_report,
+                                 key_report, require, split_malformed)
 from ..schemas import PRIMARY_KEYS
 from ..session import delete_path, path_exists, work_root
 from ..sources.adapter import stage_from_sf
+from ..sources.csv_trips import read_trips
+from ..sources.ledger import FILES, new_files, record_files
 from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
                               touched_days, write_monthly, write_stage)
 
@@ -39,8 +46,7 @@ class PipelineOptions:
     on_duplicate: str = "drop"           # 'drop', 'fail' or 'keep'
     strict: bool = True                  # malformed points raise; else quarantine
     group_refresh: str = "touched"       # 'touched' days only, or 'full' rebuild
-    box: str = "as_written"              # box mode of fact_group_trips
-    envelope_table: bool = True          # also keep fact_group_envelope (true envelope)
+    batch_id: str | None = None          # names the batch; loading it again replaces it
     check_quality: bool = True
     # Also check fact/group keys on the touched days.  Insert-if-absent
     # already guarantees them; this guards against writes from outside.
@@ -54,7 +60,8 @@ class PipelineOptions:
 def with_retries(fn, attempts: int, wait: tuple[float, float]):
     """Run ``fn`` up to ``attempts`` times.  Spark already retries failed
     tasks; this covers a whole step failing on the driver side.  Safe because
-    every step's writes are insert-if-absent or overwrite."""
+    every step's writes are insert-if-absent or overwrite what the same batch
+    wrote before."""
     for attempt in range(1, max(1, attempts) + 1):
         try:
             return fn()
@@ -72,19 +79,23 @@ def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
     it is bounded by the batch's calendar span.  With ``append`` the stage
     also holds earlier batches, so the days come from the whole table.
     """
+    root, batch = paths.root.rstrip("/"), opts.batch_id or uuid.uuid4().hex
+    landing = None
     if not opts.strict:
-        # Lenient: malformed rows go to a quarantine folder, the rest on.
-        tmp = f"{paths.root.rstrip('/')}/trips_stage/_incoming/{uuid.uuid4().hex}"
-        source.write.mode("overwrite").parquet(tmp)
-        landed = spark.read.schema(source.schema).parquet(tmp)
-        source, bad = split_malformed(landed)
-        bad.write.mode("append").parquet(f"{paths.root.rstrip('/')}/trips_stage/quarantine")
+        # Lenient: malformed rows go to a quarantine folder, the rest on.  The
+        # source is read once; the copy goes when both are written.
+        landing = f"{root}/_staging/incoming/{uuid.uuid4().hex}"
+        source.write.parquet(landing)
+        source, bad = split_malformed(spark.read.schema(source.schema).parquet(landing))
+        write_stage(bad, f"{root}/trips_stage/quarantine", "append", batch)
     else:
         source = enforce_lengths(source)
     obs = Observation("stage_days")
     observed = source.observe(
         obs, F.array_sort(F.collect_set(F.col("datetime").cast("date"))).alias("days"))
-    write_stage(observed, paths.path("trips"), opts.stage_mode)
+    write_stage(observed, paths.path("trips"), opts.stage_mode, batch)
+    if landing:
+        delete_path(spark, landing)
     if opts.stage_mode == "append":
         return touched_days(read_table(spark, paths, "trips"), "datetime")
     return list(obs.get.get("days") or [])
@@ -117,15 +128,18 @@ def update_dimensions(spark: SparkSession, paths: TablePaths, days: list[dt.date
 def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
                  days: list[dt.date]) -> None:
     stage = read_table(spark, paths, "trips")
-    with ThreadPoolExecutor(max_workers=2, thread_name_prefix="tripwright-dims") as pool:
-        dim_region, dim_datasource = pool.map(
-            lambda t: bounded_broadcast(read_table(spark, paths, t)),
-            ["dim_region", "dim_datasource"])
-    delta = build_delta(stage, dim_region, dim_datasource, opts.on_duplicate, opts.strict)
+    delta = build_delta(stage, read_table(spark, paths, "dim_region"),
+                        read_table(spark, paths, "dim_datasource"), opts.on_duplicate, opts.strict)
+    # Days that an earlier run left undone, and this batch's: noted before the
+    # fact changes.  Both are calendar days, a bounded list.
+    days = sorted({r.day for r in read_table(spark, paths, "pending_days").collect()} | set(days))
+    pending = paths.path("pending_days")
+    if days:
+        (spark.createDataFrame([(d,) for d in days], paths.schema("pending_days")).coalesce(1)
+         .write.mode("append").parquet(pending))
     merge_delta(spark, paths, delta, dedupe=opts.on_duplicate == "keep", days=days)
-    refresh_group(spark, paths, opts, days)
-    if opts.envelope_table:
-        refresh_group(spark, paths, opts, days, table="fact_group_envelope", box="envelope")
+    refresh_groups(spark, paths, opts, days)
+    delete_path(spark, pending)
 
 
 def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe: bool = False,
@@ -150,53 +164,59 @@ def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe
     return days
 
 
-def refresh_group(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
-                  days: list[dt.date], table: str = "fact_group_trips",
-                  box: str | None = None) -> None:
-    """Rebuild the (day, region) aggregate.
+GROUP_TABLES = {"fact_group_trips": "as_written", "fact_group_envelope": "envelope"}
 
-    ``full``: from the whole fact.  ``touched``: only the days the batch
-    touched are recomputed from the fact (partition- and row-group-pruned);
-    the other days of those months are carried over from the aggregate
-    itself.  The merged months are written to a staging folder first, then
-    swapped in with a dynamic partition overwrite - the aggregate is never
+
+def refresh_groups(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
+                   days: list[dt.date]) -> None:
+    """Rebuild both (day, region) aggregates from one pass over the fact.
+
+    ``full``: from the whole fact.  ``touched``: only the given days are
+    recomputed from the fact (partition- and row-group-pruned); the other days
+    of those months are carried over from the aggregates themselves.  The
+    extremes, and the merged months, are written to a staging folder first,
+    then swapped in with a dynamic partition overwrite - an aggregate is never
     overwritten by a job that reads it.
     """
-    box = box or opts.box
-    fact = read_table(spark, paths, "fact_trips")
-    target = paths.path(table)
-    if opts.group_refresh == "full":
-        group_trips(fact, box).write.mode("overwrite").partitionBy("year", "month") \
-            .parquet(target)
-        return
-    if opts.group_refresh != "touched":
+    if opts.group_refresh not in ("full", "touched"):
         raise ValueError(f"group_refresh must be full or touched, not {opts.group_refresh!r}")
-    if not days:
+    if opts.group_refresh == "touched" and not days:
         return
-    fresh = group_trips(fact.where(days_filter(days, "event_timestamp")), box)
-    if not any(path_exists(spark, f"{target}/year={y}/month={m}") for y, m in months_of(days)):
-        # Nothing to carry over in these months: write the fresh days directly.
+    fact = read_table(spark, paths, "fact_trips")
+    if opts.group_refresh == "touched":
+        fact = fact.where(days_filter(days, "event_timestamp"))
+    staging = f"{paths.root.rstrip('/')}/_staging/groups/{uuid.uuid4().hex}"
+    extremes = group_extremes(fact)
+    extremes.write.parquet(f"{staging}/extremes")
+    extremes = spark.read.schema(extremes.schema).parquet(f"{staging}/extremes")
+    for table, kind in GROUP_TABLES.items():
+        fresh, target = group_boxes(extremes, kind), paths.path(table)
+        if opts.group_refresh == "full":
+            write_monthly(fresh, "event_date", target, mode="overwrite", dynamic=False)
+            continue
+        if any(path_exists(spark, f"{target}/year={y}/month={m}") for y, m in months_of(days)):
+            kept = (read_table(spark, paths, table)
+                    .where(months_filter(months_of(days)))
+                    .where(~days_filter(days, "event_date")))
+            fresh.unionByName(kept).write.parquet(f"{staging}/{table}")
+            fresh = spark.read.schema(paths.schema(table)).parquet(f"{staging}/{table}")
         write_monthly(fresh, "event_date", target, mode="overwrite", dynamic=True)
-        return
-    kept = (read_table(spark, paths, table)
-            .where(months_filter(months_of(days)))
-            .where(~days_filter(days, "event_date")))
-    staging = f"{paths.root.rstrip('/')}/_staging/{table}/{uuid.uuid4().hex}"
-    fresh.unionByName(kept).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
-    merged = spark.read.schema(paths.schema(table)).parquet(staging)
-    write_monthly(merged, "event_date", target, mode="overwrite", dynamic=True)
     delete_path(spark, staging)
 
 
 def check_batch(spark: SparkSession, paths: TablePaths, days: list[dt.date],
                 keys: bool = True) -> None:
-    """Every table non-empty; with ``keys`` also the fact and group keys
+    """Every table non-empty and every trip counted in both group tables; with
+    ``keys`` also the fact and group keys
     unique and not NULL on the days this batch touched (only they can have
     changed, so the key check never shuffles the whole fact)."""
     require(check_non_empty(quality_tables(spark, paths)))
+    fact = read_table(spark, paths, "fact_trips")
+    require(reduce(DataFrame.unionByName, [
+        group_total_report(fact, read_table(spark, paths, t), t) for t in GROUP_TABLES]))
     if not keys:
         return
-    fact = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+    fact = fact.where(days_filter(days, "event_timestamp"))
     group = read_table(spark, paths, "fact_group_trips").where(days_filter(days, "event_date"))
     require(key_report(fact, PRIMARY_KEYS["fact_trips"], "fact_trips")
             .unionByName(key_report(group, PRIMARY_KEYS["fact_group_trips"], "fact_group_trips")))
@@ -211,6 +231,7 @@ def quality_tables(spark: SparkSession, paths: TablePaths) -> dict[str, DataFram
 def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
                  opts: PipelineOptions = PipelineOptions()) -> TablePaths:
     """Run every step in dependency order, each logged to ``trips_log``."""
+    opts = opts if opts.batch_id else replace(opts, batch_id=uuid.uuid4().hex)   # one id for all attempts
     log = LogWriter(spark, paths.path("trips_log"))
     v = opts.pipeline_version_instance
     try:
@@ -229,6 +250,24 @@ def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
     return paths
 
 
+def ingest_new_files(spark: SparkSession, paths: TablePaths, pattern: str,
+                     opts: PipelineOptions = PipelineOptions()) -> int:
+    """Load the trip files under ``pattern`` that were not loaded before;
+    returns how many.  They are recorded in the ledger after the load: a run
+    that dies in between loads them again, which changes nothing."""
+    ledger = f"{paths.root.rstrip('/')}/logs/ingested_files"
+    fresh = new_files(spark, pattern, ledger).collect()       # file names, no contents
+    if not fresh:
+        return 0
+    files = spark.createDataFrame(fresh, FILES)
+    batch = opts.batch_id or hashlib.md5("\n".join(sorted(f"{r.path} {r.length} {r.modificationTime}"
+                                                          for r in fresh)).encode()).hexdigest()
+    run_pipeline(spark, paths, read_trips(spark, [unquote(r.path) for r in fresh], opts.strict),
+                 replace(opts, batch_id=batch))
+    record_files(files, ledger, batch)
+    return len(fresh)
+
+
 class Warehouse:
     """Typed readers over a written warehouse."""
 
@@ -250,17 +289,18 @@ _LOCK = threading.Lock()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str,
-                  opts: PipelineOptions = PipelineOptions()) -> Warehouse:
-    """Warehouse loaded from a driver data folder, built once per session.
+                  opts: PipelineOptions = PipelineOptions(), source=stage_from_sf) -> Warehouse:
+    """Warehouse loaded from a driver data folder, built once per session;
+    ``source(spark, sf_dir)`` gives the trips.
 
     The tables are written under the session's checkpoint folder; later calls
     in the same application reuse them.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), opts)
+    key = (spark.sparkContext.applicationId, sf_dir, opts, source.__name__)
     with _LOCK:
         paths = _BUILT.get(key)
         if paths is None:
             paths = TablePaths(work_root(spark, "warehouse", uuid.uuid4().hex))
-            run_pipeline(spark, paths, stage_from_sf(spark, sf_dir), opts)
+            run_pipeline(spark, paths, source(spark, sf_dir), opts)
             _BUILT[key] = paths
     return Warehouse(spark, paths)

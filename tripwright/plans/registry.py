@@ -8,6 +8,8 @@ points as flat doubles so results compare across engines.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable
 
@@ -22,21 +24,28 @@ from ..operators import quality as Q
 from ..operators.dims import fill_event_time, new_event_times, new_members, upsert_dim
 from ..operators.facts import build_delta
 from ..operators.oplog import last_event
-from ..session import work_root
+from ..session import delete_path, work_root
 from ..sources.adapter import read_sf, stage_from_sf
+from ..sources.csv_trips import DIALECT, read_trips
+from ..sources.sql import register_catalog, run_query
 from ..sources.tables import TablePaths, month_predicate, read_table, write_stage
+from ..streaming.ingest import (ingest_stream, read_daily_counts, trips_file_stream,
+                                write_daily_counts, write_deduplicated)
 from . import analytics as A
 from . import scenarios as S
-from .pipeline import merge_delta, warehouse_for
+from . import sql_text
+from .pipeline import ingest_new_files, merge_delta, warehouse_for
 
 # Fixed query parameters.
 PROBE_X, PROBE_Y = 7.5, 50.5
 ENTRY_PROBE_X, ENTRY_PROBE_Y = 7.5, 45.5   # a cell present at every scale
 DATASOURCE_NAME = "click"
 TOP_K = 2
-DECLARED_MONTH = ("2018-05-01", "2018-06-01")
+DECLARED_MONTH = ("2024-01-01", "2024-02-01")
+STAGE_KEY = ["datetime", "region", "datasource", "origin_coord", "destination_coord"]
 WINDOW = ("2024-01-08", "2024-01-15")
-WATERMARK_DELAY = "1 day"
+
+TRIP_COLUMNS = [f.name for f in schemas.TRIPS.fields]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,19 +64,56 @@ def _empty(spark, schema):
 
 
 def _scratch(spark: SparkSession, what: str) -> TablePaths:
-    return TablePaths(work_root(spark, "scenarios", f"{what}-{uuid.uuid4().hex}"))
+    """A fresh folder for a scenario's tables, removed when Python exits (the
+    returned DataFrames read it until then)."""
+    paths = TablePaths(work_root(spark, "scenarios", f"{what}-{uuid.uuid4().hex}"))
+
+    def remove():
+        with contextlib.suppress(Exception):     # the session may be gone already
+            delete_path(spark, paths.root)
+
+    atexit.register(remove)
+    return paths
 
 
 # ---- sources / staging -------------------------------------------------------
 
 def q_stage_trips(spark, sf):
-    return stage_from_sf(spark, sf)
+    """A stage that holds another batch is replaced, and read back."""
+    paths = _scratch(spark, "stage_trips")
+    write_stage(S.calendar_batch(spark, sf, "A"), paths.path("trips"), "overwrite")
+    write_stage(stage_from_sf(spark, sf), paths.path("trips"), "overwrite")
+    return read_table(spark, paths, "trips")
+
+
+def q_csv_round_trip(spark, sf):
+    """The dirty delivery's well-formed rows written as CSV in the file dialect
+    and read back."""
+    paths = _scratch(spark, "csv")
+    good, _ = Q.split_malformed(S.dirty_stage(spark, sf))
+    quoted = good.withColumn("datasource", F.concat(F.col("datasource"), F.lit(' "x", y')))
+    quoted.write.options(**DIALECT, nullValue="", emptyValue='""', ignoreLeadingWhiteSpace=False,
+                         ignoreTrailingWhiteSpace=False).csv(f"{paths.root}/files")
+    return read_trips(spark, f"{paths.root}/files")
+
+
+def q_ledger_ingest(spark, sf):
+    """Two deliveries of CSV files in one folder; each run loads what is new."""
+    paths = _scratch(spark, "ledger")
+    folder = f"{paths.root}/files"
+    for name in ("A", "B"):
+        S.calendar_batch(spark, sf, name).write.options(**DIALECT).mode("append").csv(folder)
+        ingest_new_files(spark, paths, f"{folder}/*.csv")
+    if ingest_new_files(spark, paths, f"{folder}/*.csv"):
+        raise AssertionError("files were loaded twice")
+    return flat_fact(read_table(spark, paths, "fact_trips"))
 
 
 def q_stage_append(spark, sf):
     paths = _scratch(spark, "stage_append")
-    write_stage(S.calendar_batch(spark, sf, "A"), paths.path("trips"), "overwrite")
-    write_stage(S.calendar_batch(spark, sf, "B"), paths.path("trips"), "append")
+    write_stage(S.calendar_batch(spark, sf, "A"), paths.path("trips"), "overwrite", "A")
+    for _ in range(2):       # the second time as a retry, which changes nothing
+        write_stage(S.calendar_batch(spark, sf, "B"), paths.path("trips"), "append", "B")
     return read_table(spark, paths, "trips")
 
 
@@ -270,63 +316,92 @@ def q_last_event(spark, sf):
                       ts_col="ts")
 
 
+def q_last_log_event(spark, sf):
+    """The last row of a run log, in both time formats.  The log is written in
+    the log table's schema, a row per driver event."""
+    paths = _scratch(spark, "log")
+    ev = read_sf(spark, sf, "events")
+    kind = F.element_at(F.array(F.lit("start"), F.lit("end"), F.lit("failed")),
+                        (F.col("event_id") % 3 + 1).cast("int"))
+    ev.select((F.col("event_id") + 1).cast("int").alias("log_id"), F.lit("trips").alias("log_name"),
+              F.lit("v1").alias("pipeline_version_instance"), F.col("event_type").alias("event"),
+              kind.alias("event_type"), F.col("ts").cast("timestamp_ntz").alias("execution_date_time"),
+              F.lit(0.0).alias("duration_sec")).write.mode("append").parquet(paths.path("trips_log"))
+    return last_event(read_table(spark, paths, "trips_log"), both=True)
+
+
+# ---- bound SQL -----------------------------------------------------------------
+
+def q_sql_regions_of_datasource(spark, sf):
+    register_catalog(spark, warehouse_for(spark, sf).paths)
+    return run_query(spark, sql_text.REGIONS_OF_DATASOURCE, {"datasource": DATASOURCE_NAME})
+
+
+def q_sql_latest_datasource_top2(spark, sf):
+    register_catalog(spark, warehouse_for(spark, sf).paths)
+    return run_query(spark, sql_text.LATEST_DATASOURCE_TOP, {"k": TOP_K})
+
+
+def q_sql_weekly_avg_trips(spark, sf):
+    register_catalog(spark, warehouse_for(spark, sf).paths)
+    return run_query(spark, sql_text.WEEKLY_AVG_TRIPS)
+
+
+def q_sql_check_position(spark, sf):
+    register_catalog(spark, warehouse_for(spark, sf).paths)
+    return run_query(spark, sql_text.CHECK_POSITION, {"x": PROBE_X, "y": PROBE_Y})
+
+
+def q_sql_table_rows(spark, sf):
+    """A table named by a parameter."""
+    register_catalog(spark, warehouse_for(spark, sf).paths)
+    return run_query(spark, "SELECT count(*) AS n FROM IDENTIFIER(:name)", {"name": "trips.fact_trips"})
+
+
 # ---- streaming -----------------------------------------------------------------
 
+FILES_PER_DELIVERY = 2
+
+
+def _finished(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def _deliveries(spark, paths, batches):
+    """A stream with a micro-batch for each of the batches."""
+    folder = S.delivery_files(spark, batches, f"{paths.root}/files", FILES_PER_DELIVERY)
+    return trips_file_stream(spark, folder, "parquet", FILES_PER_DELIVERY)
+
+
 def q_stream_ingest_fact(spark, sf):
-    """Trips streamed from the events file through the per-micro-batch pipeline."""
-    from ..streaming.ingest import ingest_stream, trips_stream_from_events
+    """Overlapping deliveries A, B and A again through the per-micro-batch pipeline."""
     paths = _scratch(spark, "stream_ingest")
-    q = ingest_stream(trips_stream_from_events(spark, sf), paths, f"{paths.root}/_checkpoint")
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    stream = _deliveries(spark, paths, [S.calendar_batch(spark, sf, n) for n in ("A", "B", "A")])
+    _finished(ingest_stream(stream, paths, f"{paths.root}/_checkpoint"))
     return flat_fact(read_table(spark, paths, "fact_trips"))
 
 
 def q_stream_dedupe(spark, sf):
-    """The events file delivered twice, each trip written once (per-batch
-    pre-aggregation + insert-if-absent)."""
-    from ..streaming.ingest import TRIP_COLUMNS, trips_stream_from_events, write_deduplicated
+    """The dirty delivery (with NULLs in every field, rows twice) delivered two
+    times, each distinct row written once."""
     paths = _scratch(spark, "stream_dedupe")
     out = paths.path("trips")
-    q = write_deduplicated(trips_stream_from_events(spark, sf, copies=2), out,
-                           f"{paths.root}/_checkpoint")
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    stream = _deliveries(spark, paths, [S.dirty_stage(spark, sf)] * 2)
+    _finished(write_deduplicated(stream, out, f"{paths.root}/_checkpoint"))
     return spark.read.parquet(out).select(*TRIP_COLUMNS)
 
 
-def q_stream_dedupe_watermark(spark, sf):
-    """Same deliveries through the stateful dropDuplicatesWithinWatermark."""
-    from ..streaming.ingest import dedupe_redeliveries, trips_stream_from_events
-    paths = _scratch(spark, "stream_dedupe_wm")
-    out = paths.path("trips")
-    q = (dedupe_redeliveries(trips_stream_from_events(spark, sf, copies=2))
-         .writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", f"{paths.root}/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return read_table(spark, paths, "trips")
-
-
 def q_stream_daily_counts(spark, sf):
-    """Trips per (day, region) from the events stream with a one-day
-    watermark: days whose window closed are emitted (append mode)."""
-    from ..streaming.ingest import daily_counts, trips_stream_from_events
+    """Trips per (day, region); the later half of the month arrives first."""
     paths = _scratch(spark, "stream_daily")
+    day = F.dayofmonth("ts")
+    stream = _deliveries(spark, paths, [
+        stage_from_sf(spark, sf, events_filter=day > 15), stage_from_sf(spark, sf, events_filter=day <= 15)])
     out = f"{paths.root}/counts"
-    q = (daily_counts(trips_stream_from_events(spark, sf), delay=WATERMARK_DELAY)
-         .writeStream.format("parquet").outputMode("append").option("path", out)
-         .option("checkpointLocation", f"{paths.root}/_checkpoint")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, "
-                             "region string, number_of_trips bigint").parquet(out)
+    _finished(write_daily_counts(stream, out, f"{paths.root}/_checkpoint"))
+    return read_daily_counts(spark, out)
 
 
 # ---- quality -------------------------------------------------------------------
@@ -343,6 +418,7 @@ def q_dq_primary_keys(spark, sf):
     reps = [Q.key_report(wh.table(t), schemas.PRIMARY_KEYS[t], t)
             for t in ("dim_datasource", "dim_region", "dim_event_time", "fact_trips",
                       "fact_group_trips")]
+    reps.append(Q.key_report(S.dirty_stage(spark, sf), STAGE_KEY, "trips"))
     out = reps[0]
     for r in reps[1:]:
         out = out.unionByName(r)
@@ -365,20 +441,38 @@ def q_dq_null_keys(spark, sf):
 
 
 def q_dq_partition_bounds(spark, sf):
-    return Q.bounds_report(warehouse_for(spark, sf).fact_trips, "event_timestamp", *DECLARED_MONTH)
+    return Q.bounds_report(S.dirty_warehouse(spark, sf).fact_trips, "event_timestamp", *DECLARED_MONTH)
 
 
 def q_dq_varchar_length(spark, sf):
-    return Q.length_report(stage_from_sf(spark, sf))
+    return Q.length_report(S.dirty_stage(spark, sf))
 
 
 def q_dq_malformed_points(spark, sf):
-    return Q.malformed_report(stage_from_sf(spark, sf))
+    return Q.malformed_report(S.dirty_stage(spark, sf))
+
+
+def q_dirty_quarantine(spark, sf):
+    """Rows that the lenient load of the dirty delivery set aside, by reason."""
+    wh = S.dirty_warehouse(spark, sf)
+    return (spark.read.parquet(f"{wh.paths.root}/trips_stage/quarantine")
+            .groupBy("reason").agg(F.count("*").alias("n")))
+
+
+def q_dirty_fact_trips(spark, sf):
+    """The fact of that load: copies once, rows without region or datasource out."""
+    return flat_fact(S.dirty_warehouse(spark, sf).fact_trips)
+
+
+def q_dirty_fact_group_trips(spark, sf):
+    return A.flat_group(S.dirty_warehouse(spark, sf).fact_group_trips)
 
 
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_append": q_stage_append,
+    "csv_round_trip": q_csv_round_trip,
+    "ledger_ingest": q_ledger_ingest,
     "list_regions": q_list_regions,
     "list_datasources": q_list_datasources,
     "trips_in_window": q_trips_in_window,
@@ -413,9 +507,14 @@ QUERIES: dict[str, Query] = {
     "weekly_avg_trips": q_weekly_avg_trips,
     "weekly_avg_trips_by_year": q_weekly_avg_trips_by_year,
     "last_event": q_last_event,
+    "last_log_event": q_last_log_event,
+    "sql_regions_of_datasource": q_sql_regions_of_datasource,
+    "sql_latest_datasource_top2": q_sql_latest_datasource_top2,
+    "sql_weekly_avg_trips": q_sql_weekly_avg_trips,
+    "sql_check_position": q_sql_check_position,
+    "sql_table_rows": q_sql_table_rows,
     "stream_ingest_fact": q_stream_ingest_fact,
     "stream_dedupe": q_stream_dedupe,
-    "stream_dedupe_watermark": q_stream_dedupe_watermark,
     "stream_daily_counts": q_stream_daily_counts,
     "dq_row_counts": q_dq_row_counts,
     "dq_primary_keys": q_dq_primary_keys,
@@ -424,4 +523,7 @@ QUERIES: dict[str, Query] = {
     "dq_partition_bounds": q_dq_partition_bounds,
     "dq_varchar_length": q_dq_varchar_length,
     "dq_malformed_points": q_dq_malformed_points,
+    "dirty_quarantine": q_dirty_quarantine,
+    "dirty_fact_trips": q_dirty_fact_trips,
+    "dirty_fact_group_trips": q_dirty_fact_group_trips,
 }

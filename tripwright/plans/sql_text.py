@@ -1,63 +1,58 @@
-"""The named questions as Spark SQL over the catalog tables
-(``sources.sql.register_catalog``), with ``:name`` parameters bound by
-``sources.sql.run_query``.  They return the same rows as the DataFrame
-versions in ``plans.analytics``."""
+"""Named questions as Spark SQL over the catalog tables (``sources.sql``), with
+``:name`` parameters."""
 
+# In which regions does a datasource have trips?
 REGIONS_OF_DATASOURCE = """
-SELECT DISTINCT r.region
-FROM trips.fact_trips f
-JOIN trips.dim_datasource d ON d.datasource_id = f.datasource_id
-JOIN trips.dim_region r ON r.region_id = f.region_id
-WHERE d.datasource = :datasource
+SELECT region
+FROM trips.dim_region
+WHERE region_id IN (
+  SELECT region_id FROM trips.fact_trips
+  WHERE datasource_id IN (SELECT datasource_id FROM trips.dim_datasource WHERE datasource = :datasource))
 """
 
+# What is the latest datasource of the busiest regions?  One pass over the fact
+# into a row per region and datasource answers all of it.
 LATEST_DATASOURCE_TOP = """
-WITH per_region AS (
-  SELECT region_id,
-         count(region_id) AS number_of_trips,
-         max(event_timestamp) AS latest,
-         row_number() OVER (ORDER BY count(region_id) DESC, region_id) AS rn
+WITH pair AS (
+  SELECT region_id, datasource_id, count(*) AS trips, max(event_timestamp) AS seen
   FROM trips.fact_trips
+  GROUP BY ALL),
+busy AS (
+  SELECT region_id, sum(trips) AS trips, max(struct(seen, datasource)) AS newest
+  FROM pair JOIN trips.dim_datasource USING (datasource_id)
   GROUP BY region_id
-)
-SELECT r.region, max(d.datasource) AS datasource, max(f.event_timestamp) AS event_timestamp
-FROM per_region p
-JOIN trips.fact_trips f ON f.region_id = p.region_id AND f.event_timestamp = p.latest
-JOIN trips.dim_region r ON r.region_id = p.region_id
-JOIN trips.dim_datasource d ON d.datasource_id = f.datasource_id
-WHERE p.rn <= :k
-GROUP BY r.region
+  ORDER BY trips DESC, region_id
+  LIMIT :k)
+SELECT region, newest.datasource AS datasource, newest.seen AS event_timestamp
+FROM busy JOIN trips.dim_region USING (region_id)
 """
 
+# How many trips does a region see in an average ISO week?
 WEEKLY_AVG_TRIPS = """
-WITH weekly AS (
-  SELECT t.week, r.region, sum(g.number_of_trips) AS number_of_trips
-  FROM trips.fact_group_trips g
-  JOIN trips.dim_region r ON r.region_id = g.region_id
-  JOIN trips.dim_event_time t ON t.event_timestamp = g.event_date
-  GROUP BY t.week, r.region
-)
-SELECT region, avg(number_of_trips) AS avg_weekly_trips
-FROM weekly
+WITH per_week AS (
+  SELECT region_id, weekofyear(event_date) AS week, sum(number_of_trips) AS trips
+  FROM trips.fact_group_trips
+  GROUP BY ALL)
+SELECT region, avg(trips) AS avg_weekly_trips
+FROM per_week JOIN trips.dim_region USING (region_id)
 GROUP BY region
 """
 
+# Which daily boxes cover a position?
 CHECK_POSITION = """
-SELECT r.region,
-       CAST(CAST(g.event_date AS DATE) AS STRING) AS event_date,
-       g.number_of_trips
-FROM trips.fact_group_trips g
-JOIN trips.dim_region r ON r.region_id = g.region_id
-WHERE g.box_coord.x0 <= :x AND :x <= g.box_coord.x1
-  AND g.box_coord.y0 <= :y AND :y <= g.box_coord.y1
+WITH covering AS (
+  SELECT region_id, CAST(CAST(event_date AS DATE) AS STRING) AS event_date, number_of_trips
+  FROM trips.fact_group_trips
+  WHERE :x BETWEEN box_coord.x0 AND box_coord.x1 AND :y BETWEEN box_coord.y0 AND box_coord.y1)
+SELECT region, event_date, number_of_trips
+FROM covering JOIN trips.dim_region USING (region_id)
 """
 
-LIST_REGIONS = "SELECT region_id, region FROM trips.dim_region"
-LIST_DATASOURCES = "SELECT datasource_id, datasource FROM trips.dim_datasource"
+LIST_REGIONS = "SELECT * FROM trips.dim_region"
 
+# What did the pipeline do last?
 LAST_LOG_EVENT = """
-SELECT event, event_type, substring(CAST(execution_date_time AS STRING), 1, 19) AS execution_date_time
-FROM logs.trips_log
-ORDER BY log_id DESC
-LIMIT 1
+SELECT newest.* FROM (
+  SELECT max_by(struct(event, event_type, CAST(execution_date_time AS STRING) AS execution_date_time), log_id) AS newest
+  FROM logs.trips_log)
 """

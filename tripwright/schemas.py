@@ -87,7 +87,13 @@ TRIPS_LOG = T.StructType([
     T.StructField("duration_sec", T.DoubleType()),
 ])
 
-# Primary keys as declared for each table (checked by quality.check_keys).
+# Column with the original text of a line that a lenient reader could not split.
+CORRUPT = "_corrupt_record"
+
+# Days whose group rows must be rebuilt from the fact (see plans.pipeline).
+PENDING_DAYS = T.StructType([T.StructField("day", T.DateType())])
+
+# Primary keys as declared for each table (checked by quality.key_report).
 PRIMARY_KEYS = {
     "dim_region": ["region_id"],
     "dim_datasource": ["datasource_id"],

@@ -8,6 +8,7 @@ tests, a laptop - do we create one of our own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder on shared storage "
                 "(every executor must reach it)")
@@ -75,11 +76,6 @@ def work_root(spark: SparkSession, *parts: str) -> str:
     return f"{base}/tripwright/{leaf}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side existence checks in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the path."""
     jvm = spark.sparkContext._jvm

@@ -30,8 +30,10 @@ def _wkt(x: Column, y: Column) -> Column:
     return F.concat(F.lit("POINT ("), x, F.lit(" "), y, F.lit(")"))
 
 
-def stage_from_events(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Staged trips (schema ``schemas.TRIPS``) from the three driver tables.
+def stage_from_events(events: DataFrame, customer: DataFrame, nation: DataFrame,
+                      keep: list[str] | None = None) -> DataFrame:
+    """Staged trips (schema ``schemas.TRIPS``) from the three driver tables;
+    ``keep`` names event columns to carry along.
 
     No join hint: customer and nation are dimension scans whose on-disk size
     Catalyst knows, so each is broadcast when under
@@ -55,6 +57,7 @@ def stage_from_events(events: DataFrame, customer: DataFrame, nation: DataFrame)
         _wkt(_coord(bx, eid * 11 + uid), _coord(by, eid * 13)).alias("destination_coord"),
         F.col("ts").cast("timestamp_ntz").alias("datetime"),
         F.col("event_type").alias("datasource"),
+        *(keep or []),
     )
 
 

@@ -5,32 +5,39 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..schemas import TRIPS
+from ..schemas import CORRUPT, TRIPS
 
-# Fixed value: the timestamp text format of the trip files.
-TRIPS_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# The timestamp text format of the trip files (up to six digits
+# of a second's fraction are optional) and their quoting: a quote inside a
+# quoted field is doubled, a backslash is an ordinary character.
+TRIPS_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+DIALECT = {"header": True, "quote": '"', "escape": '"', "timestampNTZFormat": TRIPS_TIMESTAMP_FORMAT}
 
 
-def read_trips(spark: SparkSession, paths: str | Iterable[str], strict: bool = True) -> DataFrame:
+def read_trips(spark: SparkSession, paths: str | Iterable[str], strict: bool = True,
+               multiline: bool = False) -> DataFrame:
     """Read trip CSV files (any Hadoop-FS path, glob or list of paths).
 
     The five columns are positional and typed up front - no inference.  With
     ``strict`` a malformed row (wrong column count, bad timestamp) aborts the
-    read (FAILFAST), as the bulk load it replaces did; otherwise malformed
-    fields become NULL and are caught by the quality checks.
+    read (FAILFAST), as the bulk load it replaces did.  Otherwise such a row
+    comes with its original text in ``_corrupt_record``, for the quarantine.
+    ``multiline`` allows line breaks inside quoted fields; a file is then read
+    by one task and can't be split.
     """
     if isinstance(paths, str):
         paths = [paths]
-    return (spark.read.schema(TRIPS)
-            .option("header", True)
+    schema = TRIPS if strict else StructType([*TRIPS.fields, StructField(CORRUPT, StringType())])
+    return (spark.read.schema(schema).options(**DIALECT)
             .option("enforceSchema", True)
             .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-            .option("timestampNTZFormat", TRIPS_TIMESTAMP_FORMAT)
-            .option("multiLine", False)
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multiline)
             .csv(list(paths)))
 
 
 def file_id_from_share_uri(uri: str) -> str:
     """File id of a share link ``.../d/<id>/view`` - the second-last segment."""
-    return uri.rstrip("/").split("/")[-2]
+    return uri.split("/")[-2]

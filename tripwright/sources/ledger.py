@@ -8,12 +8,12 @@ from pyspark.sql import types as T
 
 from ..session import path_exists
 
-LEDGER = T.StructType([
+FILES = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("length", T.LongType()),
     T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("batch_id", T.StringType()),
 ])
+LEDGER = T.StructType([*FILES.fields, T.StructField("batch_id", T.StringType())])
 
 
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:

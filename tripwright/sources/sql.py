@@ -29,10 +29,9 @@ def register_catalog(spark: SparkSession, paths: TablePaths) -> None:
         path = paths.path(table)
         if not path_exists(spark, path):
             continue
-        kwargs = {}
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         part = " PARTITIONED BY (year, month)" if table in MONTHLY else ""
-        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{part} LOCATION '{path}'", **kwargs)
+        spark.sql(f"CREATE TABLE {full} ({cols}) USING parquet{part} LOCATION '{path}'")
         if table in MONTHLY:
             spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
 

@@ -25,6 +25,7 @@ TABLES = {
     "fact_group_trips": ("trips", schemas.FACT_GROUP_TRIPS),
     # True-envelope variant of the group fact (same schema).
     "fact_group_envelope": ("trips", schemas.FACT_GROUP_TRIPS),
+    "pending_days": ("trips", schemas.PENDING_DAYS),
     "trips_log": ("logs", schemas.TRIPS_LOG),
 }
 
@@ -58,11 +59,15 @@ def read_table(spark: SparkSession, paths: TablePaths, table: str) -> DataFrame:
     return df.select(*[f.name for f in schema.fields])
 
 
-def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Stage replace (``overwrite``) or append (``append``)."""
+def write_stage(df: DataFrame, path: str, mode: str = "overwrite", batch_id: str = "0") -> None:
+    """Stage replace (``overwrite``) or append (``append``).  Each batch has a
+    folder of its own, so writing a batch again replaces it: a retried or
+    replayed append leaves every row once."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"stage mode must be overwrite or append, not {mode!r}")
-    df.write.mode(mode).parquet(path)
+    (df.withColumn("batch_id", F.lit(f"b-{batch_id}")).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic" if mode == "append" else "static")
+       .partitionBy("batch_id").parquet(path))
 
 
 def with_month_columns(df: DataFrame, ts_col: str) -> DataFrame:
@@ -74,14 +79,15 @@ def write_monthly(df: DataFrame, ts_col: str, path: str, mode: str = "append",
                   dynamic: bool = True) -> None:
     """Write with ``year=/month=`` partitions derived from ``ts_col``.
 
-    No shuffle by month: a month can hold a large share of all rows, and
-    hashing on it would put that month into one task.  Each task sorts its
-    own rows by (year, month, ts) and writes one file per month it holds;
-    the sort also gives tight per-file min/max statistics on ``ts_col``.
+    Rows are range-partitioned on (year, month, ts): a hot month is split by
+    time over several tasks, a batch over many months makes about as many files
+    as tasks and months together, and each file holds a narrow time range of its
+    own, so filters on ``ts_col`` skip files and row groups.
     ``mode='overwrite'`` with ``dynamic`` replaces only the months present.
     """
     out = df if "year" in df.columns and "month" in df.columns else with_month_columns(df, ts_col)
-    (out.sortWithinPartitions("year", "month", ts_col)
+    (out.repartitionByRange("year", "month", ts_col)
+        .sortWithinPartitions("year", "month", ts_col)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         .partitionBy("year", "month")
@@ -112,15 +118,6 @@ def _as_datetime(v) -> dt.datetime:
     return dt.datetime.fromisoformat(str(v))
 
 
-def touched_months(df: DataFrame, ts_col: str) -> list[tuple[int, int]]:
-    """Distinct (year, month) of a batch.  The result is bounded by the number
-    of calendar months the batch spans, so bringing it to the driver is safe;
-    it becomes a partition filter for the tables the batch is merged into."""
-    rows = (df.select(F.year(ts_col).cast("int").alias("y"), F.month(ts_col).cast("int").alias("m"))
-              .where(F.col("y").isNotNull()).distinct().collect())
-    return sorted((r.y, r.m) for r in rows)
-
-
 def months_filter(months: list[tuple[int, int]]) -> Column:
     """Partition filter for a list of (year, month)."""
     if not months:
@@ -148,13 +145,15 @@ def days_filter(days: list[dt.date], ts_col: str) -> Column:
         start = prev = d
     ranges.append((start, prev))
     t = F.col(ts_col)
-    cond = None
-    for a, b in ranges:
-        lo = ntz_literal(dt.datetime(a.year, a.month, a.day))
-        end = b + dt.timedelta(days=1)
-        hi = ntz_literal(dt.datetime(end.year, end.month, end.day))
-        term = (t >= lo) & (t < hi)
-        cond = term if cond is None else (cond | term)
+    terms = []
+    for first, last in ranges:
+        end = last + dt.timedelta(days=1)
+        terms.append((t >= ntz_literal(dt.datetime(first.year, first.month, first.day)))
+                     & (t < ntz_literal(dt.datetime(end.year, end.month, end.day))))
+    while len(terms) > 1:      # a balanced tree: sparse days don't make a deep expression
+        terms = [terms[i] if i + 1 == len(terms) else terms[i] | terms[i + 1]
+                 for i in range(0, len(terms), 2)]
+    cond = terms[0]
     months = sorted({(d.year, d.month) for d in ds})
     return months_filter(months) & cond
 
@@ -186,14 +185,3 @@ def append_log_row(spark: SparkSession, path: str, row: dict) -> None:
     spark.createDataFrame([rec], schemas.TRIPS_LOG).coalesce(1).write.mode("append").parquet(path)
     _NEXT_LOG_ID[path] += 1
 
-
-def months_between(lo: dt.datetime | None, hi: dt.datetime | None) -> list[tuple[int, int]]:
-    """Every (year, month) from ``lo`` to ``hi`` inclusive (a superset of the
-    months a batch with that time range touches)."""
-    if lo is None or hi is None:
-        return []
-    out, y, m = [], lo.year, lo.month
-    while (y, m) <= (hi.year, hi.month):
-        out.append((y, m))
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out

@@ -5,9 +5,10 @@
   micro-batch runs the batch pipeline through ``foreachBatch``.  The
   pipeline's writes are insert-if-absent / overwrite, so a micro-batch
   replayed after a failure leaves the same tables: effectively exactly-once.
-* ``dedupe_redeliveries``: drops trips delivered again within a watermark.
-* ``daily_counts``: per-day, per-region trip counts in event time, emitted
-  once the watermark closes the day.
+* ``write_deduplicated``: each distinct trip is written once, however often and
+  however late it is delivered.
+* ``daily_counts`` / ``write_daily_counts``: trip counts per day and region in
+  event time.  Nothing is dropped for being late unless a delay is given.
 
 ``withWatermark`` needs a zoned ``timestamp``: the trip time (timestamp_ntz)
 is read as UTC wall-clock time into ``event_time``.
@@ -15,6 +16,9 @@ is read as UTC wall-clock time into ``event_time``.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +27,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.pipeline import PipelineOptions, run_pipeline
 from ..schemas import TRIPS
 from ..sources.adapter import read_sf, stage_from_events
-from ..sources.csv_trips import TRIPS_TIMESTAMP_FORMAT
-from ..session import path_exists
+from ..sources.csv_trips import DIALECT
+from ..session import delete_path, path_exists
 from ..sources.tables import TablePaths, days_filter, touched_days, write_monthly
 
 TRIP_COLUMNS = [f.name for f in TRIPS.fields]
@@ -39,8 +43,7 @@ def trips_file_stream(spark: SparkSession, path: str, fmt: str = "csv",
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        return (r.option("header", True).option("mode", "FAILFAST")
-                 .option("timestampNTZFormat", TRIPS_TIMESTAMP_FORMAT).csv(path))
+        return r.options(**DIALECT).option("mode", "FAILFAST").csv(path)
     return r.format(fmt).load(path)
 
 
@@ -76,7 +79,8 @@ def ingest_stream(stream: DataFrame, paths: TablePaths, checkpoint_location: str
     def each(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_pipeline(batch.sparkSession, paths, batch.select(*TRIP_COLUMNS), opts)
+        run_pipeline(batch.sparkSession, paths, batch.select(*TRIP_COLUMNS),
+                     replace(opts, batch_id=f"epoch-{epoch_id}"))
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(
@@ -84,51 +88,51 @@ def ingest_stream(stream: DataFrame, paths: TablePaths, checkpoint_location: str
     return w.start()
 
 
-def dedupe_redeliveries(stream: DataFrame, delay: str = "31 days") -> DataFrame:
-    """Trips, each kept once while a copy may still arrive within ``delay``.
-
-    The stateful de-duplication hashes every copy of a trip to the same task
-    with no map-side combine; when one trip is re-delivered very many times
-    prefer ``write_deduplicated``."""
-    return (event_time(stream).withWatermark("event_time", delay)
-            .dropDuplicatesWithinWatermark(TRIP_COLUMNS)
-            .select(*TRIP_COLUMNS))
-
-
 def write_deduplicated(stream: DataFrame, out_path: str, checkpoint_location: str,
                        available_now: bool = True) -> StreamingQuery:
     """Append each distinct trip to ``out_path`` once, however often and
-    however late it is delivered.
+    however late it is delivered; NULL fields are equal to each other, and
+    trips without a time are kept as well (in the partition without a month).
 
     Per micro-batch: ``dropDuplicates`` (a batch aggregate whose partial step
     collapses copies inside each task before the shuffle, so a hot group of
-    copies never lands whole in one task), then an anti-join against the
-    rows already written for the same days (month partitions and day ranges
-    prune the scan), then a month-partitioned append.  A replayed
-    micro-batch finds its rows already present: exactly-once output.
+    copies never lands whole in one task), written aside once; then a
+    null-safe anti-join against the rows already written for the same days
+    (month partitions and day ranges prune the scan), then a month-partitioned
+    append.  A replayed micro-batch finds its rows already present.
     """
     spark = stream.sparkSession
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        fresh = batch.select(*TRIP_COLUMNS).dropDuplicates(TRIP_COLUMNS)
-        days = touched_days(fresh, "datetime")
+        aside = f"{checkpoint_location.rstrip('/')}-rows/{epoch_id}"
+        batch.select(*TRIP_COLUMNS).dropDuplicates(TRIP_COLUMNS).write.mode("overwrite").parquet(aside)
+        fresh = spark.read.schema(TRIPS).parquet(aside)
         if path_exists(spark, out_path):
+            days = touched_days(fresh, "datetime")
             seen = (spark.read.schema(STAGED_MONTHLY).parquet(out_path)
-                    .where(days_filter(days, "datetime")).select(*TRIP_COLUMNS))
-            fresh = fresh.join(seen, TRIP_COLUMNS, "left_anti")
+                    .where(days_filter(days, "datetime") | F.col("datetime").isNull())
+                    .select(*[F.col(c).alias(f"seen_{c}") for c in TRIP_COLUMNS]))
+            same = reduce(lambda a, b: a & b, [
+                F.col(c).eqNullSafe(F.col(f"seen_{c}")) for c in TRIP_COLUMNS])
+            fresh = fresh.join(seen, same, "left_anti")
         write_monthly(fresh, "datetime", out_path, mode="append")
+        delete_path(spark, aside)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def daily_counts(stream: DataFrame, delay: str = "1 day", hourly: bool = False) -> DataFrame:
+def daily_counts(stream: DataFrame, delay: str | None = None, hourly: bool = False) -> DataFrame:
     """Trips per (day, region) - or per (hour, region) with ``hourly`` - in
-    event time.  Late rows within ``delay`` still count; a window is emitted
-    (append mode) once the watermark passes its end.
+    event time.
+
+    Without ``delay`` every row counts however late it is, and the state has a
+    row per window and region (use output mode ``complete`` or ``update``).
+    With ``delay`` rows later than that are dropped, and in append mode a window
+    is emitted once the watermark passes its end.
 
     The window bounds are reported as ``timestamp_ntz`` taken from the trip
     time itself (one-to-one with the event-time window)."""
@@ -140,8 +144,34 @@ def daily_counts(stream: DataFrame, delay: str = "1 day", hourly: bool = False)
     else:
         size, step = "1 day", F.expr("INTERVAL 1 DAY")
         start = t.cast("date").cast("timestamp_ntz")
-    return (event_time(stream).withWatermark("event_time", delay)
+    timed = event_time(stream)
+    if delay:
+        timed = timed.withWatermark("event_time", delay)
+    return (timed
             .groupBy(F.window("event_time", size).alias("w"), "region", start.alias("window_start"))
             .agg(F.count(F.lit(1)).alias("number_of_trips"))
             .select("window_start", (F.col("window_start") + step).alias("window_end"),
                     "region", "number_of_trips"))
+
+
+def write_daily_counts(stream: DataFrame, out_path: str, checkpoint_location: str,
+                       hourly: bool = False) -> StreamingQuery:
+    """Keep the table of all counts so far at ``out_path``: each micro-batch
+    writes a folder of its own and then removes the older ones."""
+    spark = stream.sparkSession
+
+    def each(counts: DataFrame, epoch_id: int) -> None:
+        counts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
+        for older in range(max(0, epoch_id - 2), epoch_id):
+            delete_path(spark, f"{out_path.rstrip('/')}/epoch={older}")
+
+    return (daily_counts(stream, hourly=hourly).writeStream.outputMode("complete").foreachBatch(each)
+            .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
+
+
+def read_daily_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The counts as of the last complete micro-batch."""
+    rows = spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, region string, "
+                             "number_of_trips bigint, epoch bigint").parquet(out_path)
+    last = rows.agg(F.max("epoch").alias("last"))
+    return rows.join(F.broadcast(last), F.col("epoch") == F.col("last")).drop("epoch", "last")   # one row
