@@ -76,7 +76,9 @@ def _coverage(found: DataFrame, words: DataFrame) -> DataFrame:
     sizes = F.sequence(F.lit(DICTIONARY_LETTERS), F.least(F.length("candidate"), F.lit(DICTIONARY_LONGEST)))
     at = each.select("candidate", F.explode(sizes).alias("size")).select("candidate", "size", F.explode(
         F.sequence(F.lit(1), F.length("candidate") - F.col("size") + 1)).alias("at"))
-    pieces = at.withColumn("piece", F.lower(F.substring(F.col("candidate"), F.col("at"), F.col("size"))))
+    # The planner takes the exploded side for as small as the candidates it comes from.
+    pieces = at.withColumn("piece", F.lower(F.substring(
+        F.col("candidate"), F.col("at"), F.col("size")))).hint("merge")
     known = pieces.join(words, pieces.piece == words.word).select("candidate", F.explode(
         F.sequence(F.col("at"), F.col("at") + F.col("size") - 1)).alias("place")).distinct()
     return known.groupBy(F.col("candidate").alias("spelled")).agg(
