@@ -20,9 +20,8 @@ WINDOW = 12
 SUBSTITUTIONS = 2
 # Positions of each spaced seed.
 MASKS = [
-    (0, 1, 2, 4, 6, 7),
-    (0, 1, 3, 5, 6, 7),
-    (0, 1, 2, 5, 8, 9),
+    (0, 1, 2, 4, 5),
+    (0, 1, 3, 6, 7),
 ]
 MAX_BROADCAST_SEEDS = 1_000_000    # seed rows of the items (32 bytes each); more are joined by shuffle
 
