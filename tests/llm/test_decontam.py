@@ -17,13 +17,21 @@ def tokens(text):
     return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
 
 
-def brute(rows, items, w=12, s=2):
+def brute(rows, items, w=12, s=2, every=True):
+    """All relative places, or only those with 4 equal tokens in a row (every
+    window of 12 tokens of which 2 differ has them)."""
     out = set()
+    bodies = [(item, u, {tuple(u[j:j + 4]): j for j in range(len(u) - 3)}) for item, u in (
+        (item, tokens(body)) for item, body in items)]
     for doc, text in rows:
         t = tokens(text)
-        for item, body in items:
-            u = tokens(body)
-            for shift in range(-len(u), len(t) + 1):
+        for item, u, grams in bodies:
+            shifts = range(-len(u), len(t) + 1)
+            if not every:
+                shifts = {i - j for i in range(len(t) - 3) for j in range(len(u) - 3)
+                          if t[i] == u[j] and t[i:i + 4] == u[j:j + 4]} if not grams.keys().isdisjoint(
+                    zip(t, t[1:], t[2:], t[3:])) else ()
+            for shift in shifts:
                 same = [0 <= k + shift < len(t) and t[k + shift] == x for k, x in enumerate(u)]
                 good = [i for i in range(len(u) - w + 1) if sum(same[i:i + w]) >= w - s]
                 if good:
