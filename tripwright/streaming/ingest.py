@@ -26,7 +26,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import PipelineOptions, run_pipeline
 from ..schemas import TRIPS
-from ..sources.adapter import read_sf, stage_from_events
 from ..sources.csv_trips import DIALECT
 from ..session import delete_path, path_exists
 from ..sources.tables import TablePaths, days_filter, touched_days, write_monthly
@@ -47,20 +46,6 @@ def trips_file_stream(spark: SparkSession, path: str, fmt: str = "csv",
     return r.format(fmt).load(path)
 
 
-def trips_stream_from_events(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
-    """Driver ``events`` read as a file stream and mapped to trips by a
-    stream-static join with customer and nation.  ``copies`` > 1 reads the
-    same file that many times (a file delivered repeatedly)."""
-    sf = sf_dir.rstrip("/")
-    schema = read_sf(spark, sf, "events").schema
-    glob = f"{sf}/events.parque[t]"   # file sources take a directory or a glob
-    streams = [spark.readStream.schema(schema).parquet(glob) for _ in range(copies)]
-    ev = streams[0]
-    for s in streams[1:]:
-        ev = ev.unionByName(s)
-    return stage_from_events(ev, read_sf(spark, sf, "customer"), read_sf(spark, sf, "nation"))
-
-
 def event_time(df: DataFrame, ts_col: str = "datetime") -> DataFrame:
     """``event_time``: the trip's wall-clock time read as UTC.  Built from
     the fields rather than cast, so event-time windows align to calendar
