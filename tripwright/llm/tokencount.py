@@ -46,7 +46,7 @@ class Trie(dict):
     def __init__(self, scores: dict[bytes, float], max_nodes: int = MAX_NODES):
         super().__init__()
         self.scores, self.max_nodes = scores, max_nodes
-        self.longest = max(map(len, scores), default=1)
+        self.tails = {p[k:] for p in scores for k in range(len(p))}
         self._start()
 
     def _start(self):
@@ -57,7 +57,8 @@ class Trie(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self.best) > self.max_nodes:
             self._start()
-        child, best, count, scores = self.child, self.best, self.count, self.scores
+        child, best, count = self.child, self.best, self.count
+        scores, tails = self.scores, self.tails
         token = MARKER + word
         node, path = 0, [0]
         for i, byte in enumerate(token, 1):
@@ -66,8 +67,11 @@ class Trie(dict):
             if node is None:
                 node = child[edge] = len(best)
                 top, pieces = -math.inf, 0
-                for j in range(max(0, i - self.longest), i):
-                    s = scores.get(token[j:i])
+                for j in range(i - 1, -1, -1):
+                    piece = token[j:i]
+                    if piece not in tails:       # and so no longer one is a piece
+                        break
+                    s = scores.get(piece)
                     if s is not None:
                         above = path[j]
                         s += best[above]
