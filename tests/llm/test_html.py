@@ -1,3 +1,5 @@
+import re
+
 from tripwright.llm import html_text as H
 from tripwright.llm.common import read
 
@@ -51,3 +53,30 @@ def test_data(spark):
     # After its heading, every page is a document.
     assert all(" ".join(r.text.split("\n\n", 1)[1].split()) in texts and r.n_chars == len(r.text) for r in got)
     assert rows_of(H.extract(pages), "page_id") == rows_of(pages, "page_id")
+
+
+def test_shared_articles_are_no_template(spark):
+    """A third of the pages carry one article, each under its own menu and advert."""
+    pages = read(spark, SF.replace("0.001", "0.1"), "pages").collect()
+    body = re.compile("<article>.*</article>", re.S)
+    one = body.search(pages[0].html)[0]
+    rows = [(r.page_id, r.url, body.sub(lambda m: one, r.html) if i % 3 == 0 else r.html) for i, r in enumerate(pages)]
+    assert len({r[2] for r in rows}) == len(rows)
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for number, _, html in rows:
+        assert got[number] == H.main_text(html) != ""
+    # So are paragraphs that different articles of a host share.
+    lost = [57, 651, 730, 923, 1438]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(
+        [tuple(r) for r in pages], pages[0].__fields__)).collect()}
+    assert all("The and attion to thanedble the, anea. Eriner thanea." in got[i].split("\n\n") for i in lost)
+
+
+def test_copies_without_article_tags(spark):
+    """Prose under different menus is one page; teasers that recur are a template."""
+    prose = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, "http://copies.example.com/", f"<div>Menu {i}</div><div><p>{prose}</p></div>") for i in range(9)]
+    rows += [(20 + i, "http://cards.example.com/", f"<article><p>own {prose} {i}</p></article>"
+              "<div><article><p>Read this too</p></article></div>") for i in range(9)]
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Menu {i}\n\n{prose}" and got[20 + i] == f"own {prose} {i}" for i in range(9))

@@ -3,7 +3,8 @@
 Every element of a page is hashed with all that is below it.  Spark counts, per
 host, on how many different pages a subtree occurs; subtrees that recur on many
 of them are the site's template and are deleted, besides elements that are never
-main text by their tag, role or class.
+main text by their tag, role or class.  What lies in an article is the page's
+own, also if other pages share it, and pages with the same main text count once.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from .common import save
 
 MIN_PAGES = 5        # different pages of a host that share a template subtree,
 MIN_SHARE = 0.2      # and this share of the host's different pages
+PROSE_WORDS = 20     # words of a block that is prose and no caption or label
 
 # Fixed values.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -140,17 +142,59 @@ def parse(page: str) -> Element:
             stack.append(element)
 
 
-def hash_subtrees(root: Element) -> list[Element]:
-    """Sets the hash of every element and lists the elements that can be a
-    template: those that hold text, but no inline ones."""
+def articles(root: Element) -> list[Element]:
+    """The outermost articles of a page that are not in a dropped element."""
+    found, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        if e.never:
+            continue
+        if e.tag in ("article", "main"):
+            found.append(e)
+            continue
+        todo += [x for x in reversed(e.parts) if isinstance(x, Element)]
+    return found
+
+
+def own_articles(root: Element) -> list[Element]:
+    """The articles that are the page's own: those with prose and the longest;
+    the others are teasers, which can be a site's template."""
+    texts = [(e, _blocks([e])) for e in articles(root)]
+    longest = max((sum(map(len, t)) for _, t in texts), default=0)
+    return [e for e, t in texts if t and (
+        sum(map(len, t)) == longest or any(len(x.split()) >= PROSE_WORDS for x in t))]
+
+
+def content(root: Element, own: list[Element]) -> int:
+    """Hash of what makes a page different from others: the text of its own
+    articles; without any, its prose if that is most of its text, else all."""
+    from xxhash import xxh64_intdigest
+    blocks = _blocks(own or [root])
+    if not own:
+        prose = [x for x in blocks if len(x.split()) >= PROSE_WORDS]
+        if 2 * sum(map(len, prose)) > sum(map(len, blocks)):
+            blocks = prose
+    h = xxh64_intdigest("\n".join(blocks).encode("utf-8", "replace"))
+    return h - (1 << 64) if h >> 63 else h
+
+
+def hash_subtrees(root: Element, own: list[Element]) -> list[Element]:
+    """Sets the hash of the elements outside the page's own articles and lists
+    those that can be a template: they hold text and no such article, and are
+    no inline ones."""
     from xxhash import xxh64_intdigest
+    kept = {id(e) for e in own}
     order, todo = [], [root]
     while todo:
         e = todo.pop()
         order.append(e)
-        todo += [x for x in e.parts if isinstance(x, Element)]
+        if id(e) not in kept:
+            todo += [x for x in e.parts if isinstance(x, Element)]
     found = []
     for e in reversed(order):
+        if id(e) in kept or any(isinstance(x, Element) and id(x) in kept for x in e.parts):
+            kept.add(id(e))
+            continue
         said = [e.tag]
         for x in e.parts:
             if isinstance(x, Element):
@@ -204,19 +248,10 @@ def main_text(page: str | None, template=frozenset()) -> str:
         return ""
     root = parse(page)
     if template:
-        for e in hash_subtrees(root):
+        for e in hash_subtrees(root, own_articles(root)):
             if e.hash in template:
                 e.never = True
-    articles, todo = [], [root]
-    while todo:
-        e = todo.pop()
-        if e.never:
-            continue
-        if e.tag in ("article", "main"):
-            articles.append(e)
-            continue
-        todo += [x for x in reversed(e.parts) if isinstance(x, Element)]
-    return "\n\n".join(_blocks(articles) or _blocks([root]))
+    return "\n\n".join(_blocks(articles(root)) or _blocks([root]))
 
 
 def host(url):
@@ -227,26 +262,28 @@ def host(url):
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(host, template)``: per host the hashes of the subtrees that occur on
     at least ``MIN_PAGES`` and ``MIN_SHARE`` of its different pages.  Pages with
-    the same html are one page, so a copied article is no template."""
+    the same main text are one page, whatever is around it, and no subtree of
+    or around a page's own article counts, so a shared article is no template."""
     def subtrees(batches):
         for b in batches:
             hosts, hashes, owners = [], [], []
-            for site, page, owner in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                mine = {e.hash for e in hash_subtrees(parse(page.as_py()))}
+            for site, page in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                root = parse(page.as_py())
+                own = own_articles(root)
+                # No hash: the page itself.
+                mine = [None, *{e.hash for e in hash_subtrees(root, own)}]
                 hosts += [site] * len(mine)
                 hashes += mine
-                owners += [owner] * len(mine)
+                owners += [content(root, own)] * len(mine)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(owners, pa.int64())],
                 ["host", "subtree", "page"])
 
-    texts = pages.where(F.col(html_col).isNotNull()).select(
-        host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"), F.xxhash64(html_col).alias("page"))
-    size = texts.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(
-        F.col("pages") >= MIN_PAGES)
-    seen = (texts.mapInArrow(subtrees, "host string, subtree long, page long").distinct()
-            .groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES))
-    return (seen.join(size, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
+    texts = pages.where(F.col(html_col).isNotNull()).select(host(F.col(url_col)).alias("host"), F.col(html_col))
+    seen = save(texts.mapInArrow(subtrees, "host string, subtree long, page long").distinct()
+                .groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES), "subtrees")
+    size = seen.where("subtree is null").select("host", F.col("n").alias("pages"))
+    return (seen.where("subtree is not null").join(size, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
             .groupBy("host").agg(F.collect_list("subtree").alias("template")))
 
 
