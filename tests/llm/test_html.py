@@ -80,3 +80,23 @@ def test_copies_without_article_tags(spark):
               "<div><article><p>Read this too</p></article></div>") for i in range(9)]
     got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Menu {i}\n\n{prose}" and got[20 + i] == f"own {prose} {i}" for i in range(9))
+
+
+def test_names_of_wrappers():
+    text = "<h1>Head</h1><p>The text of the article.</p>"
+    for page in (f"<div class='layout has-sidebar'><article>{text}</article><div class='sidebar'>no</div></div>",
+                 f"<div id='page' class='header-fixed'>{text}</div>",
+                 f"<article><div class='entry-header'><h1>Head</h1></div>{text[13:]}</article>",
+                 f"<article><div class='header'><h1>Head</h1></div>{text[13:]}</article>",
+                 f"<div class='sidebar right'><main>{text}</main></div><div class='widget'><p>no</p></div>",
+                 f"<main><div class='social'><article>{text}</article></div></main>",
+                 f"<div class='side'>{text}</div><p>no</p>".replace("<p>no</p>", ""),
+                 f"<div class='form-page searchable'>{text}</div><div class='search'><p>no</p></div>"):
+        assert H.main_text(page) == "Head\n\nThe text of the article.", page
+    long = "<p>" + "what others say " * 20 + "</p>"
+    for name in ("cookie-notice", "sidebar-left", "share_buttons", "related-posts", "site-header", "comments", "nav", "ad ad-300"):
+        page = f"<div><p>One text of the page.</p></div><div class='{name}'><p>no</p></div>"
+        assert H.main_text(page) == "One text of the page.", name
+    assert H.main_text(f"<div><p>One text.</p></div><div id='comments'>{long}</div>") == "One text."
+    assert H.main_text(f"<article><div class='side'>{text}</div><div class='share'><p>no</p></div></article>") == "Head\n\nThe text of the article."
+    assert H.main_text(f"<article>{text}<div id='comments'><article>{long}</article></div></article>") == "Head\n\nThe text of the article."

@@ -37,6 +37,13 @@ NEVER_NAMES = set("""ad ads adv advert advertisement advertising adsense banner
     alert popup modal overlay newsletter subscribe subscription signup login form search share sharing
     social follow related recommended recommendations comment comments commentlist respond reply replies
     disqus discussion feedback toolbar skip legal copyright""".split())
+# Parts that a name may have beside one of these: "sidebar-left", but not "has-sidebar".
+PLACES = set("""site main global left right top bottom primary secondary tertiary box block area section
+    container wrapper wrap inner outer list items item bar buttons button links link icons posts card cards
+    content label slot unit zone trail next prev previous""".split())
+HEADINGS = {"header", "masthead"}       # in an article, its own; beside fewer other parts
+HEADING_PLACES = set("site main global top bar container wrapper wrap inner outer".split())
+OTHERS = set("comment comments commentlist respond cookie cookies consent gdpr".split())   # may be longer than the text
 INLINE = set("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q
     rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
 # A start tag of the first closes an open one of the second, up to the third.
@@ -58,11 +65,28 @@ SPACE = re.compile(r"\s+")
 
 
 class Element:
-    """``parts`` are texts and elements in page order."""
-    __slots__ = ("tag", "never", "parts", "hash")
+    """``parts`` are texts and elements in page order; ``names`` those of its
+    class and id that are no main text."""
+    __slots__ = ("tag", "never", "names", "parts", "hash")
 
-    def __init__(self, tag: str, never: bool = False):
-        self.tag, self.never, self.parts, self.hash = tag, never, [], 0
+    def __init__(self, tag: str, never: bool = False, names=frozenset()):
+        self.tag, self.never, self.names, self.parts, self.hash = tag, never, names, [], 0
+
+
+def _names(attributes: str, in_article: bool) -> set[str]:
+    """The names in a whole class or id that is one of them or is made of names
+    and places only."""
+    found = set()
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for token in (a or b or c).lower().split():
+                parts = set(NAME_PART.findall(token))
+                names = parts & NEVER_NAMES
+                if in_article:
+                    names -= HEADINGS
+                if names and parts - names <= (HEADING_PLACES if names <= HEADINGS else PLACES):
+                    found |= names
+    return found
 
 
 def _is_never(tag: str, attributes: str) -> bool:
@@ -76,17 +100,56 @@ def _is_never(tag: str, attributes: str) -> bool:
             return True
         if name == "role" and value in NEVER_ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "main", "article") \
-                and not NEVER_NAMES.isdisjoint(NAME_PART.findall(value)):
-            return True
         if tag == "article" and name == "class" and "comment" in value:
             return True
     return False
 
 
 def parse(page: str) -> Element:
-    """Element tree of a page; tags that are open at an end tag or at the end
-    are closed, end tags without a start tag are ignored."""
+    """Element tree of a page with its dropped elements marked."""
+    root = _tree(page)
+    _drop_named(root)
+    return root
+
+
+def _drop_named(root: Element) -> None:
+    """Elements with names are dropped, besides those that hold an article or
+    most of the page's text in paragraphs (all of it, for those that may be
+    longer than the main text).  Articles in an article, as comments may be,
+    don't count."""
+    order, todo = [], [(root, False, False)]       # element, in an article, in a paragraph
+    named = False
+    while todo:
+        e, inside, spoken = todo.pop()
+        order.append((e, inside, spoken))
+        if e.never:
+            continue
+        named |= bool(e.names)
+        inside |= e.tag == "article"
+        spoken |= e.tag == "p"
+        todo += [(x, inside, spoken) for x in e.parts if isinstance(x, Element)]
+    if not named:
+        return
+    said, holds = {}, {}        # characters in paragraphs; an article with text
+    text = {}
+    for e, inside, spoken in reversed(order):
+        below = [] if e.never else e.parts
+        own = sum(len(x.strip()) for x in below if isinstance(x, str))
+        below = [id(x) for x in below if isinstance(x, Element)]
+        text[id(e)] = own + sum(text[x] for x in below)
+        said[id(e)] = (own if spoken or e.tag == "p" else 0) + sum(said[x] for x in below)
+        holds[id(e)] = any(holds[x] for x in below) or (
+            e.tag in ("article", "main") and not e.never and not inside and text[id(e)] > 0)
+    most = said if said[id(root)] else text
+    for e, _, _ in order:
+        mine, page = most[id(e)], most[id(root)]
+        if e.names and not holds[id(e)] and (mine < page if e.names & OTHERS else 2 * mine <= page):
+            e.never = True
+
+
+def _tree(page: str) -> Element:
+    """Tags that are open at an end tag or at the end are closed, end tags
+    without a start tag are ignored."""
     root = Element("#page")
     stack, at = [root], 0
 
@@ -129,10 +192,14 @@ def parse(page: str) -> Element:
                     break
                 if stack[i].tag in limits:
                     break
-        never = _is_never(tag, attributes)
-        if tag == "header" and any(e.tag in ("article", "main") for e in stack):
-            never = False                        # an article's own heading
-        element = Element(tag, never)
+        never, names = _is_never(tag, attributes), frozenset()
+        if tag == "header" or "class" in attributes.lower() or "id" in attributes.lower():
+            in_article = any(e.tag in ("article", "main") for e in stack)
+            if tag == "header" and in_article:
+                never = False                    # an article's own heading
+            if tag not in ("html", "body", "main", "article"):
+                names = _names(attributes, in_article)
+        element = Element(tag, never, names)
         stack[-1].parts.append(element)
         if tag in RAW:
             stop = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
