@@ -38,3 +38,22 @@ def test_one_class_keeps_everything(make_docs):
 def test_main_path_is_native(spark):
     plan = R.scan(read(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_run_of_a_word(make_docs):
+    a, b, c = "AKIA" + "Q7b2" * 5, "wJal" + "x9Zk" * 8, "ghp_" + "m3Rt" * 8
+    rows = [(1, f'{{"access_key":"{a}","secret_key":"{b}"}}'), (2, f"tokens: {a},{b},{c} end"),
+            (3, f"https://host.example/a/long/path/to/some/file.txt?x&token={c}"), (4, f"{a}:{b}"),
+            (5, ",".join([a, b] * 2000)), (6, f'token = "{a}"'), (7, "x" * 30)]
+    got = R.scan(make_docs(rows)).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.word_no, r.run_no)):
+        found.setdefault(r.doc_id, []).append(r.candidate)
+        assert r.probability is not None
+    assert found == {1: [a, b], 2: [a, b, c], 3: ["example/a/long/path/to/some/file", f"token={c}"], 4: [a, b],
+                     5: [a, b] * 2000, 6: [a], 7: ["x" * 30]}
+    assert [r.run_no for r in sorted(got, key=lambda r: r.run_no) if r.doc_id == 5] == list(range(4000))
+    # Each is labelled by the name just before it.
+    assert {(r.candidate, r.label) for r in got if r.doc_id in (1, 6)} == {(a, 1.0), (b, 1.0)}
+    near = {(r.id, r.run_no): (r.before, r.after) for r in R.candidates(make_docs(rows), "doc_id", "text").collect()}
+    assert near[1, 1] == (['","secret_key":"'], None) and near[2, 0] == (["tokens:"], ",") and near[4, 1] == ([":"], None)

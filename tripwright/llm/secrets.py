@@ -1,7 +1,7 @@
 """Secret scan: candidates by shape, a random forest to remove false positives.
 
-DataFrame and ML-pipeline operations only.  A candidate is a word with a long
-unbroken run of key characters.  Its features are its length, the transitions
+DataFrame and ML-pipeline operations only.  A candidate is a long unbroken run
+of key characters; a word, as a whole minified file, may hold many.  Its features are its length, the transitions
 between character classes, how much of it is spelled by the corpus' dictionary,
 the path it was found at and the words around it.  A forest is trained from
 labelled findings and gives every candidate a probability.
@@ -22,6 +22,7 @@ DICTIONARY_COUNT = 20         # times a word of at least DICTIONARY_LETTERS lett
 DICTIONARY_LETTERS = 4        # occurs in the corpus to be in the dictionary
 DICTIONARY_LONGEST = 12       # letters of its longest words
 NEIGHBOURS = 3                # words before a candidate; one after it
+NEIGHBOUR_CHARS = 200         # of a neighbour; a word may be a whole file
 NEIGHBOUR_BUCKETS = 32
 PATH_BUCKETS = 8
 TREES, DEPTH, SEED = 20, 6, 7
@@ -42,8 +43,10 @@ def _count(text: Column, pattern: str) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None = None) -> DataFrame:
-    """``(k1, k2, id, path, word_no, candidate, before, after)``: the
-    candidates of every text.  Rows equal in id and text are one."""
+    """``(k1, k2, id, path, word_no, run_no, candidate, before, after)``: the
+    candidates of every text.  Rows equal in id and text are one.  What stands
+    between two runs of a word, and what names a run in its own word, are
+    neighbours like words."""
     k1, k2 = marks(F.col(id_col), F.col(text_col))
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     suspect = docs.where(F.col(text_col).rlike(RUN)).select(
@@ -51,14 +54,26 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
         F.split(F.col(text_col), r"[\x20\x09-\x0D]+", -1).alias("words"))
     places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (
         F.length(F.get("words", i)) >= MIN_RUN) & F.get("words", i).rlike(RUN))
-    found = suspect.withColumn("hits", F.transform(places, lambda i: F.struct(
-        i.alias("word_no"), F.regexp_extract(F.get("words", i), RUN, 0).alias("candidate"),
-        F.slice("words", F.greatest(i - NEIGHBOURS, F.lit(0)) + 1,
-                F.least(i, F.lit(NEIGHBOURS))).alias("before"),
-        F.get("words", i + 1).alias("after"))))
+    near = F.transform(F.col("words"), lambda w: F.substring(w, -NEIGHBOUR_CHARS, NEIGHBOUR_CHARS))
+    found = suspect.withColumn("near", near).withColumn("hits", F.transform(places, lambda i: F.struct(
+        i.alias("word_no"), F.regexp_extract_all(F.get("words", i), F.lit(RUN), 0).alias("runs"),
+        F.split(F.get("words", i), RUN, -1).alias("gaps"),
+        F.slice("near", F.greatest(i - NEIGHBOURS, F.lit(0)) + 1, F.least(i, F.lit(NEIGHBOURS))).alias("before"),
+        F.substring(F.get("words", i + 1), 1, NEIGHBOUR_CHARS).alias("after"))))
     # explode_outer: a plain explode would test the whole expression in a pushed filter as well.
-    return found.select("k1", "k2", "id", "path", F.explode_outer("hits").alias("x")).where(
+    words = found.select("k1", "k2", "id", "path", F.explode_outer("hits").alias("x")).where(
         F.col("x").isNotNull()).select("k1", "k2", "id", "path", "x.*")
+    runs = words.select("k1", "k2", "id", "path", "word_no", "before", "after", F.explode_outer(F.transform(
+        "runs", lambda run, j: F.struct(
+            j.alias("run_no"), run.alias("candidate"),
+            F.substring(F.get("gaps", j), -NEIGHBOUR_CHARS, NEIGHBOUR_CHARS).alias("lead"),
+            F.when(j + 1 < F.size("runs"), F.substring(F.get("gaps", j + 1), 1, NEIGHBOUR_CHARS)).alias("next")))).alias("x"))
+    lead = F.col("x.lead")
+    led = F.concat("before", F.array(lead))
+    return runs.select("k1", "k2", "id", "path", "word_no", "x.run_no", "x.candidate",
+                       F.when(lead.rlike(r"[\p{L}=:]"), F.slice(led, F.greatest(F.size(led) - NEIGHBOURS, F.lit(0)) + 1, NEIGHBOURS))
+                       .otherwise(F.col("before")).alias("before"),
+                       F.coalesce("x.next", "after").alias("after"))
 
 
 def dictionary(docs: DataFrame, text_col: str) -> DataFrame:
@@ -122,7 +137,7 @@ def weak_labels(found: DataFrame) -> Column:
     repeats one character; else null."""
     last = F.get("before", F.size("before") - 1)
     named = F.exists("before", lambda w: w.rlike(CREDENTIAL)) & (
-        last.isin("=", ":", "=>", ":=") | last.rlike(r"[=:]$"))
+        last.isin("=", ":", "=>", ":=") | last.rlike(r"[=:][\"'`]?$"))
     plain = F.col("candidate").rlike(r"^(?:[A-Za-z]+|[0-9]+|[_+/=-]+|(.)\1+)$")
     return F.when(plain, 0.0).when(named, 1.0)
 
@@ -132,7 +147,7 @@ def train(labelled: DataFrame, bound: int = TRAINING_ROWS) -> RandomForestClassi
     ``bound`` of each class, those first in the order of a hash.  None if a
     class has no row."""
     order = F.xxhash64("k1", "k2", "word_no")
-    part = [labelled.where(F.col("label") == y).orderBy(order, "k1", "k2", "word_no").limit(bound) for y in (0, 1)]
+    part = [labelled.where(F.col("label") == y).orderBy(order, "k1", "k2", "word_no", "run_no").limit(bound) for y in (0, 1)]
     rows = save(part[0].union(part[1]).select("label", "features"), "labelled-findings")
     if len(rows.select("label").distinct().limit(2).collect()) < 2:
         return None
@@ -143,7 +158,7 @@ def train(labelled: DataFrame, bound: int = TRAINING_ROWS) -> RandomForestClassi
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source",
          labels=weak_labels) -> DataFrame:
     """Every candidate with its probability: id, word_no (its place among the
-    words), candidate, the numeric features, probability, is_secret.
+    words), run_no (its place among the word's runs, from 0), candidate, the numeric features, probability, is_secret.
 
     ``labels`` maps findings to their label column (null: not labelled).  A null
     or empty text has no candidate; a null id or path is a value like any other;
@@ -162,5 +177,5 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
         scored = model.setProbabilityCol("__p").setPredictionCol("").setRawPredictionCol("").transform(
             rows).withColumn("probability", vector_to_array("__p")[1])
     keep = F.coalesce(F.col("probability") >= THRESHOLD, F.lit(True))
-    return scored.select(F.col("id").alias(id_col), "word_no", "candidate", *NUMBERS, "label",
+    return scored.select(F.col("id").alias(id_col), "word_no", "run_no", "candidate", *NUMBERS, "label",
                          "probability", keep.alias("is_secret"))
