@@ -43,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all remaining documents with their place in a sequence."""
     worker_path(spark)
-    return packing.pack_documents(docs, vocabulary())
+    return packing.pack_documents(docs, vocabulary(), added=True)
 
 
 STAGES = [

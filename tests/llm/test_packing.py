@@ -113,3 +113,24 @@ def test_gap_partitions_exchange(spark):
     items = spark.createDataFrame([(i, 6 if i % 2 else 4) for i in range(200)], "doc_id long, length long")
     got = P.pack(items, capacity=10, group=5)
     assert got.select("sequence_id").distinct().count() <= 106
+
+
+def test_added_tokens_as_in_tokenizers(spark, make_docs, tmp_path):
+    """The query's ids are those of tokenizers at its default settings."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    from tripwright.llm.queries import op5_packing
+    rows = [(1, "end<|endoftext|>begin"), (2, "<|endoftext|><|endoftext|>"), (3, " <|endoftext|>  a <|endoftext|"),
+            (4, "no such text"), (5, ""), (6, "x<|endoftext|>" * 3000), (7, "<|endof<|endoftext|>text|>")]
+    encode = Tokenizer.from_file(vocabulary()).encode
+    want = []
+    for doc, text in rows:
+        ids = [*encode(text, add_special_tokens=False).ids, 0]
+        want += [(doc, i, a, n, zlib.crc32(np.array(ids[a:a + n], "<u4").tobytes()))
+                 for i, (a, n) in enumerate(P.cut(len(ids), P.CAPACITY))]
+    docs = make_docs(rows, clash=False)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for got in (op5_packing(spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path))):
+        assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got.collect()) == want
+    made = P.sequences(docs, P.pack_documents(docs, vocabulary(), added=True), vocabulary(), added=True)
+    assert sum(len(r.input_ids) for r in made.collect()) == sum(w[3] for w in want)

@@ -31,32 +31,36 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # ---- tokens ---------------------------------------------------------------------
 
-_CODERS: dict[str, object] = {}
+_CODERS: dict[tuple[str, bool], object] = {}
 
 
-def coder(path: str):
+def coder(path: str, added: bool = False):
     """``text -> ids`` of a byte-level BPE vocabulary file (JSON of
     ``tokenizers``), kept by the worker.
 
     The file's vocabulary in id order is its merge order, so the faster of the
     public libraries for such vocabularies gives the same ids (tests compare
-    them); strings of special tokens in a text are ordinary text.
+    them).  ``added``: a string of an added token in a text is that token, as
+    in ``tokenizers`` at its default settings; else it is ordinary text.
     """
-    if path not in _CODERS:
+    if (path, added) not in _CODERS:
         import json
 
         import public_tokenizers
         import tiktoken
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if added and any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens are matched as they are written only")
         byte = {c: b for b, c in enumerate(byte_alphabet())}
         ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items()
                  if token not in special}
-        _CODERS[path] = tiktoken.Encoding(
-            "vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-            special_tokens={}).encode_ordinary
-    return _CODERS[path]
+        encoding = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                     special_tokens=special if added else {})
+        _CODERS[path, added] = (lambda text: encoding.encode(text, allowed_special="all")) \
+            if added else encoding.encode_ordinary
+    return _CODERS[path, added]
 
 
 def byte_alphabet() -> list[str]:
@@ -80,11 +84,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-           capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+           capacity: int = CAPACITY, with_ids: bool = False, added: bool = False) -> DataFrame:
     """The pieces of each document: its ids, then id 0, in one piece if it
-    fits and else cut.  ``with_ids`` adds the ids themselves."""
+    fits and else cut.  ``with_ids`` adds the ids themselves, ``added`` is that
+    of :func:`coder`."""
     def run(batches):
-        encode = coder(vocabulary)
+        encode = coder(vocabulary, added)
         for b in batches:
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -219,19 +224,19 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
-                   capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+                   capacity: int = CAPACITY, group: int = GROUP, added: bool = False) -> DataFrame:
     """Pieces of all documents with their place: doc_id, piece, start, length,
-    ids_crc32, sequence_id, offset.
+    ids_crc32, sequence_id, offset.  ``added`` is that of :func:`coder`.
 
     A null or empty text has the closing id only; a null id stays null; a
     repeated row is packed as often as it occurs; an empty table gives an empty
     result.  Columns other than the two named are not read.
     """
-    return pack(pieces(docs, vocabulary, id_col, text_col, capacity), capacity, group)
+    return pack(pieces(docs, vocabulary, id_col, text_col, capacity, added=added), capacity, group)
 
 
 def sequences(docs: DataFrame, placed: DataFrame, vocabulary: str, id_col: str = "doc_id",
-              text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+              text_col: str = "text", capacity: int = CAPACITY, added: bool = False) -> DataFrame:
     """The packed sequences themselves: ``sequence_id`` and ``input_ids``.
     A piece is found by document, number and checksum, so repeated rows each
     fill the places that were given to them."""
@@ -239,7 +244,7 @@ def sequences(docs: DataFrame, placed: DataFrame, vocabulary: str, id_col: str =
         return df.withColumn("__copy", F.row_number().over(number))
     from pyspark.sql import Window as W
     same = ["doc_id", "piece", "ids_crc32"]
-    cut_ = key(pieces(docs, vocabulary, id_col, text_col, capacity, with_ids=True),
+    cut_ = key(pieces(docs, vocabulary, id_col, text_col, capacity, with_ids=True, added=added),
                W.partitionBy(*same).orderBy("start")).select(*same, "__copy", "ids")
     where = key(placed, W.partitionBy(*same).orderBy("sequence_id", "offset"))
     match = cut_["doc_id"].eqNullSafe(where["doc_id"])

@@ -44,7 +44,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     worker_path(spark)
-    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary())
+    return packing.pack_documents(read(spark, sf_dir, "documents"), vocabulary(), added=True)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
