@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontam, html_text, langid, lines, packing, quality, secrets, simhash, suffix,
-               tokencount)
+from . import (codes, decontam, html_text, interaction, langid, lines, packing, pii, quality,
+               secrets, simhash, suffix, tokencount)
 from .common import read, worker_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,11 +72,29 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    worker_path(spark)
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    worker_path(spark)
+    return interaction.interactions(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    worker_path(spark)
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_decontamination, op3_html_extraction, op4_simhash, op5_packing,
-    op6_quality_rules, op7_suffix_dedup, op8_line_dedup, op9_token_counts, op10_language_id)}
+    op6_quality_rules, op7_suffix_dedup, op8_line_dedup, op9_token_counts, op10_language_id,
+    op11_vector_codes, op12_filter_interactions, op13_personal_data)}
 
 ORACLE_SQL = {
     "op2_decontamination": decontam.OVERLAPS_SQL,
     "op8_line_dedup": lines.LINE_REPORT_SQL,
+    "op11_vector_codes": codes.COMPRESS_SQL,
+    "op12_filter_interactions": interaction.INTERACTIONS_SQL,
 }
