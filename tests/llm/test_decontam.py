@@ -1,7 +1,9 @@
 import itertools
 import random
 import re
+import time
 
+from pyspark.sql import functions as F
 from tripwright.llm import decontam as D
 
 from .conftest import rows_of
@@ -31,12 +33,22 @@ def brute(rows, items, w=12, s=2, every=True):
                 shifts = {i - j for i in range(len(t) - 3) for j in range(len(u) - 3)
                           if t[i] == u[j] and t[i:i + 4] == u[j:j + 4]} if not grams.keys().isdisjoint(
                     zip(t, t[1:], t[2:], t[3:])) else ()
-            for shift in shifts:
+            confirmed = []
+            for shift in sorted(shifts):
                 same = [0 <= k + shift < len(t) and t[k + shift] == x for k, x in enumerate(u)]
                 good = [i for i in range(len(u) - w + 1) if sum(same[i:i + w]) >= w - s]
                 if good:
                     a, b = good[0], good[-1] + w
-                    out.add((doc, item, a + shift, a, b - a, sum(same[a:b])))
+                    confirmed.append((shift, a, b, sum(same[a:b])))
+            places = []                   # shifts less than a window apart are one place
+            for x in confirmed:
+                if places and x[0] - places[-1][-1][0] < w:
+                    places[-1].append(x)
+                else:
+                    places.append([x])
+            for place in places:
+                shift, a, b, n = max(place, key=lambda x: (x[3], -x[0]))
+                out.add((doc, item, a + shift, a, b - a, n))
     return sorted(out, key=repr)
 
 
@@ -76,6 +88,7 @@ def test_shuffled_seeds_give_the_same(make_docs, spark, monkeypatch):
     rows, items = cases()
     bench = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(D, "MAX_BROADCAST_SEEDS", 3)
+    monkeypatch.setattr(D, "MAX_BROADCAST_ROWS", 3)
     assert rows_of(D.overlaps(make_docs(rows), bench), "doc_id", "item_id", "doc_token", "item_token",
                    "n_tokens", "n_same") == brute(rows, items)
 
@@ -87,7 +100,22 @@ def test_empty(make_docs, spark):
     assert D.clean(make_docs([(1, "a b")]), none).count() == 1
 
 
-def test_main_path_is_native(make_docs, spark):
-    bench = spark.createDataFrame(cases()[1], "item_id long, text string")
-    plan = D.overlaps(make_docs([(1, "a b")]), bench)._jdf.queryExecution().toString()
+def test_repeated_tokens(make_docs, spark):
+    """Periodic texts and items: many relative places, one result for those less
+    than a window apart, and no more memory than the numbers of the places."""
+    items = [(1, "a " * 40), (2, "a b " * 20), (3, "x " * 5 + "y " * 30), (4, "p q r s t u v w k l m n o z " * 3)]
+    rows = [(1, "a " * 300), (2, "a b " * 100), (3, "b a " * 90), (4, "y " * 50), (5, "a " * 20 + "b " * 20 + "a " * 20),
+            (6, "p q r s t u v w k l m n o z " * 9)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = rows_of(D.overlaps(make_docs(rows), bench), "doc_id", "item_id", "doc_token", "item_token", "n_tokens", "n_same")
+    assert got == brute(rows, items)
+    start = time.time()
+    bench = spark.createDataFrame([(1, "same " * 400)], "item_id long, text string")
+    got = D.overlaps(make_docs([(1, "same " * 20_000), (2, "other " * 100_000), (3, "a" + " " * 1_000_000)]), bench).collect()
+    assert [(r.doc_id, r.n_same) for r in got] == [(1, 400)] and time.time() - start < 120
+
+
+def test_hits_are_native(make_docs, spark):
+    bench = spark.createDataFrame(cases()[1], "item_id long, text string").select("item_id", D.token_hashes(F.col("text")).alias("t"))
+    plan = D.hits(make_docs([(1, "a b")]), bench, "doc_id", "text")._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

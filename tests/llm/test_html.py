@@ -1,4 +1,5 @@
 import re
+import time
 
 from tripwright.llm import html_text as H
 from tripwright.llm.common import read
@@ -100,3 +101,22 @@ def test_names_of_wrappers():
     assert H.main_text(f"<div><p>One text.</p></div><div id='comments'>{long}</div>") == "One text."
     assert H.main_text(f"<article><div class='side'>{text}</div><div class='share'><p>no</p></div></article>") == "Head\n\nThe text of the article."
     assert H.main_text(f"<article>{text}<div id='comments'><article>{long}</article></div></article>") == "Head\n\nThe text of the article."
+
+
+def test_broken_pages_take_linear_time():
+    n = 1_000_000
+    units = ("<a ", "<div>", "</x>", "<", "<!", "<b>", "<a '", '<a "', "<a '>'", "<p>", "<li>", "<!--", "<script>", "<i><b>",
+             "<div class=a>", "</", '<a b=">', "&", "a ")
+    pages = [u * (n // len(u)) for u in units]
+    pages += ["<div>" * 90_000 + "</x>" * 90_000, "<i><div>" + "<b>" * 90_000 + "</i>" * 90_000, "<a " + " " * n + ">",
+              "<ul>" + "<b>" * 90_000 + "<li>" * 90_000, "<script>" + "</script " * 90_000]
+    for page in pages:
+        start = time.time()
+        H.main_text(page)
+        assert time.time() - start < 30, page[:20]
+
+
+def test_tags_with_quotes_that_never_end():
+    assert H.main_text("<p>a<b c='>d</b></p><p>e</p>") == "ad\n\ne"
+    assert H.main_text("<p>a<b c='x>y'>d</b>") == "ad"
+    assert H.main_text("<p>a <b") == "a <b"

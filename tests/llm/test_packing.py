@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import defaultdict
 
@@ -134,3 +135,16 @@ def test_added_tokens_as_in_tokenizers(spark, make_docs, tmp_path):
         assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got.collect()) == want
     made = P.sequences(docs, P.pack_documents(docs, vocabulary(), added=True), vocabulary(), added=True)
     assert sum(len(r.input_ids) for r in made.collect()) == sum(w[3] for w in want)
+
+
+@pytest.mark.parametrize("added", [False, True])
+def test_texts_that_the_fast_coder_refuses(added):
+    """Same ids from ``tokenizers``, at its settings for added tokens."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(vocabulary())
+    t.encode_special_tokens = not added
+    encode = P.coder(vocabulary(), added)
+    for text in ("a" + " " * 1_000_000 + "b<|endoftext|>", "\n" * 500_000, "word " * 200_000, "x" * 1_000_000):
+        start = time.time()
+        assert list(encode(text)) == t.encode(text, add_special_tokens=False).ids
+        assert time.time() - start < 60

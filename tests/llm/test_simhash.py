@@ -88,7 +88,7 @@ def test_vantage_tree_is_exact(points, reach):
 
 
 def test_keep_one(make_docs):
-    rows = corpus(20) + EDGES
+    rows = [(i + 1000, t) for i, t in corpus(20)] + EDGES       # ids of their own
     docs = make_docs(rows)
     kept = S.keep_one(docs)
     assert kept.columns == docs.columns

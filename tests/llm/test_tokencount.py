@@ -1,4 +1,6 @@
 import math
+import time
+import tracemalloc
 
 import public_tokenizers
 from tripwright.llm import tokencount as T
@@ -36,3 +38,19 @@ def test_rows(make_docs):
     got = T.token_counts(make_docs(rows), path)
     assert rows_of(got, "doc_id", "n_words", "n_tokens", "n_bytes") == want
     assert T.token_counts(make_docs([]), path).collect() == []
+
+
+def test_long_words_make_no_nodes():
+    scores = T.piece_scores(public_tokenizers.path("piece_bpe_32k.model"))
+    trie = T.Trie(scores)
+    text = "".join(chr(97 + i * i % 26) for i in range(T.LONG * 3))
+    for word in (text.encode(), b"a" * (T.LONG + 1), ("\u00fcber" * T.LONG).encode()):
+        nodes = len(trie.best)
+        assert trie[word] == brute(word, scores) and len(trie.best) == nodes and word not in trie
+    for word in (b"ab" * 20, text[:T.LONG].encode()):        # short ones agree either way
+        assert trie.of_long(word) == trie[word]
+    tracemalloc.start()
+    start = time.time()
+    assert trie[b"ab" * 500_000] > 0
+    assert time.time() - start < 60 and tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()

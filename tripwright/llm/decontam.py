@@ -11,10 +11,10 @@ a few tokens confirms the overlap.  The masks are lossless: every window of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import marks, save
+from .common import drop, marks, save
 
 WINDOW = 12
 SUBSTITUTIONS = 2
@@ -23,6 +23,7 @@ MASKS = [
     (0, 1, 2, 4, 5),
     (0, 1, 3, 6, 7),
 ]
+MAX_BROADCAST_ROWS = 1_000_000     # hashes of rows with a hit (16 bytes each); more are joined by shuffle
 MAX_BROADCAST_SEEDS = 1_000_000    # seed rows of the items (32 bytes each); more are joined by shuffle
 
 
@@ -67,18 +68,41 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataF
         "k1", "k2", "item_id", (_place(F.col("pos"), F.col("n")) - F.col("at")).alias("shift")).distinct()
 
 
-def _judge(tokens: str, hits: str, window: int, least: int) -> Column:
-    """Of an array of hits those with a confirmed window, with the first window
-    and the end of the last as item positions and the agreement per token."""
-    laid = F.transform(hits, lambda x: F.struct(
-        x["item_id"].alias("item_id"), x["shift"].alias("shift"),
-        F.transform(x["item"], lambda token, j: F.coalesce(
-            F.get(F.col(tokens), j + x["shift"]) == token, F.lit(False)).cast("int")).alias("same")))
-    good = F.transform(laid, lambda x: F.struct(
-        x["item_id"].alias("item_id"), x["shift"].alias("shift"), x["same"].alias("same"),
-        F.filter(F.sequence(F.lit(0), F.size(x["same"]) - window), lambda s: F.aggregate(
-            F.slice(x["same"], s + 1, window), F.lit(0), lambda a, b: a + b) >= least).alias("good")))
-    return F.filter(good, lambda x: F.size(x["good"]) > 0)
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _judged(tokens: Column, item: Column, shifts: Column, window: int, substitutions: int) -> Column:
+    """Of an array of shifts those with a confirmed window, ascending, with the
+    first window's start and the last one's end as item positions and the number
+    of equal tokens between.  Nothing is kept of a shift but these numbers.
+
+    Between the places before and after a run of ``substitutions`` differing
+    tokens all windows are good ones; so the differing places tell them."""
+    m = F.size(item)
+
+    def laid(shift):
+        bad = F.filter(F.sequence(F.lit(0), m - 1), lambda j: ~F.coalesce(
+            F.get(tokens, j + shift) == F.get(item, j), F.lit(False)))
+        return _bound(bad, lambda bad: _bound(
+            F.concat(F.array(F.lit(-1)), bad, F.array_repeat(m, substitutions + 1)), lambda edges: _bound(
+                F.filter(F.sequence(F.lit(0), F.size(bad)), lambda i: F.get(
+                    edges, i + substitutions + 1) - F.get(edges, i) > window), lambda good: F.when(
+                        F.size(good) > 0, _bound(F.struct(
+                            (F.get(edges, F.get(good, 0)) + 1).alias("first"),
+                            F.get(edges, F.element_at(good, -1) + substitutions + 1).alias("stop")), lambda x: F.struct(
+                                shift.alias("shift"), x["first"].alias("first"), x["stop"].alias("stop"),
+                                (x["stop"] - x["first"] - F.size(F.filter(bad, lambda j: (j >= x["first"]) & (
+                                    j < x["stop"])))).alias("n_same")))))))
+
+    return F.filter(F.transform(F.array_sort(shifts), laid), lambda x: x.isNotNull())
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """Row hashes, broadcast if they are few: the texts are then joined to them
+    where they are read, and not shuffled."""
+    return F.broadcast(keys) if keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else keys
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -88,42 +112,51 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     doc_token and item_token (where the overlap begins), n_tokens, n_same.
 
     An overlap is a stretch of an item laid over a text that begins and ends
-    with ``window`` tokens of which at most ``substitutions`` differ.  One row
-    for each row of ``docs``, item and relative place.  Tokens are lower-cased
-    runs of letters and digits.  Null and empty texts, and items of fewer than
-    ``window`` tokens, match nothing; a null id is an id like any other; rows
-    equal in id and text are one row and give one result; an empty table on
-    either side gives an empty result.  Only the named columns are read.
+    with ``window`` tokens of which at most ``substitutions`` differ.  Relative
+    places of a row and an item that follow each other by less than ``window``
+    tokens are one: the one with most equal tokens, of such the first.  Tokens
+    are lower-cased runs of letters and digits.  Null and empty texts, and items
+    of fewer than ``window`` tokens, match nothing; a null id is an id like any
+    other; rows equal in id and text are one row and give one result; an empty
+    table on either side gives an empty result.  Only the named columns are read.
     """
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     items = save(benchmark.select(F.col(item_col).alias("item_id"), token_hashes(
-        F.col(item_text)).alias("t")).where(F.size("t") >= window), "items")
-    found = save(hits(rows, items, "__id", "__text"), "seed-hits")
-    by_row = (found.join(items, found.item_id.eqNullSafe(items.item_id))
-              .groupBy("k1", "k2").agg(F.collect_set(
-                  F.struct(items["item_id"], "shift", F.col("t").alias("item"))).alias("hits")))
+        F.col(item_text)).alias("item")).where(F.size("item") >= window), "items")
+    found = save(hits(rows, items.withColumnRenamed("item", "t"), "__id", "__text"), "seed-hits")
+    near = save(found.select(F.col("k1").alias("d1"), F.col("k2").alias("d2")).distinct(), "hit-rows")
     k1, k2 = marks(F.col("__id"), F.col("__text"))
-    texts = rows.withColumns({"d1": k1, "d2": k2})
-    near = (texts.join(by_row, (F.col("d1") == F.col("k1")) & (F.col("d2") == F.col("k2")))
-            .dropDuplicates(["d1", "d2"])
-            .select("k1", "k2", "__id", token_hashes(F.col("__text")).alias("tokens"), "hits"))
+    texts = rows.withColumns({"k1": k1, "k2": k2}).join(
+        _small(near), (F.col("k1") == F.col("d1")) & (F.col("k2") == F.col("d2")), "left_semi")
+    texts = texts.dropDuplicates(["k1", "k2"]).select("k1", "k2", "__id", token_hashes(F.col("__text")).alias("tokens"))
+    laid = (found.groupBy("k1", "k2", "item_id").agg(F.collect_set("shift").alias("shifts"))     # of one text
+            .join(texts, ["k1", "k2"]))
+    laid = laid.join(items.withColumnRenamed("item_id", "__item"), F.col("item_id").eqNullSafe(F.col("__item")))
     # explode_outer: a plain explode would test the whole expression in a pushed filter as well.
-    x = near.select("k1", "k2", "__id", F.explode_outer(_judge(
-        "tokens", "hits", window, window - substitutions)).alias("x")).where(F.col("x").isNotNull())
-    first, stop = F.array_min("x.good"), F.array_max("x.good") + window
-    return x.select(
-        "k1", "k2", F.col("__id").alias(id_col), "x.item_id", (first + F.col("x.shift")).alias("doc_token"),
-        first.alias("item_token"), (stop - first).alias("n_tokens"),
-        F.aggregate(F.slice("x.same", first + 1, stop - first), F.lit(0), lambda a, b: a + b).alias("n_same"))
+    x = laid.select("k1", "k2", "__id", "item_id", F.explode_outer(_judged(
+        F.col("tokens"), F.col("item"), F.col("shifts"), window, substitutions)).alias("x")).where(F.col("x").isNotNull())
+    order = Window.partitionBy("k1", "k2", "item_id").orderBy("x.shift")
+    apart = F.coalesce(F.col("x.shift") - F.lag("x.shift").over(order) >= window, F.lit(True)).cast("int")
+    x = x.withColumn("apart", apart).withColumn("place", F.sum("apart").over(order))
+    best = x.groupBy("k1", "k2", "item_id", "place").agg(
+        F.first("__id").alias(id_col),
+        F.max(F.struct("x.n_same", (-F.col("x.shift")).alias("back"), "x.first", "x.stop")).alias("x"))
+    out = save(best.select(
+        "k1", "k2", id_col, "item_id", (F.col("x.first") - F.col("x.back")).alias("doc_token"),
+        F.col("x.first").alias("item_token"), (F.col("x.stop") - F.col("x.first")).alias("n_tokens"), "x.n_same"), "overlaps")
+    drop(items, found, near)
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows without a confirmed overlap, with their columns."""
-    dirty = save(overlaps(docs, benchmark, id_col, text_col).select("k1", "k2").distinct(), "contaminated")
+    found = overlaps(docs, benchmark, id_col, text_col)
+    dirty = save(found.select(F.col("k1").alias("d1"), F.col("k2").alias("d2")).distinct(), "contaminated")
+    drop(found)
     k1, k2 = marks(F.col(id_col), F.col(text_col))
     rows = docs.withColumns({"__k1": k1, "__k2": k2})
-    return rows.join(dirty, (F.col("__k1") == dirty.k1) & (F.col("__k2") == dirty.k2),
-                     "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(_small(dirty).select(F.col("d1").alias("__d1"), F.col("d2").alias("__d2")),
+                     (F.col("__k1") == F.col("__d1")) & (F.col("__k2") == F.col("__d2")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 # Every such window has at least 4 equal tokens in a row, so 4-grams find all.
@@ -141,9 +174,18 @@ agree AS (
   FROM laid JOIN d USING (doc_id) JOIN b USING (item_id)),
 judged AS (
   SELECT *, list_filter(range(len(same) - {WINDOW - 1}),
-                        lambda s: list_sum(same[s + 1:s + {WINDOW}]) >= {WINDOW - SUBSTITUTIONS}) AS good FROM agree)
-SELECT doc_id, item_id, (list_min(good) + shift)::INT AS doc_token, list_min(good)::INT AS item_token,
-       (list_max(good) + {WINDOW} - list_min(good))::INT AS n_tokens,
-       list_sum(same[list_min(good) + 1:list_max(good) + {WINDOW}])::INT AS n_same
-FROM judged WHERE len(good) > 0
+                        lambda s: list_sum(same[s + 1:s + {WINDOW}]) >= {WINDOW - SUBSTITUTIONS}) AS good FROM agree),
+confirmed AS (
+  SELECT doc_id, item_id, shift, list_min(good) AS a, list_max(good) + {WINDOW} AS b,
+         list_sum(same[list_min(good) + 1:list_max(good) + {WINDOW}]) AS n_same
+  FROM judged WHERE len(good) > 0),
+begun AS (
+  SELECT *, coalesce(shift - lag(shift) OVER (PARTITION BY doc_id, item_id ORDER BY shift) >= {WINDOW}, true) AS new
+  FROM confirmed),
+placed AS (
+  SELECT *, sum(new::INT) OVER (PARTITION BY doc_id, item_id ORDER BY shift) AS place FROM begun),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, place ORDER BY n_same DESC, shift) AS nth FROM placed)
+SELECT doc_id, item_id, (a + shift)::INT AS doc_token, a::INT AS item_token, (b - a)::INT AS n_tokens, n_same::INT AS n_same
+FROM ranked WHERE nth = 1
 """

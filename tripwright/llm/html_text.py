@@ -56,9 +56,10 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select", "datalist"}),
 }
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+MARK = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+ATTRIBUTES = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+BROKEN = 8       # start tags of a page with a quote that never ends, before quotes are ignored
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME_PART = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -147,66 +148,105 @@ def _drop_named(root: Element) -> None:
             e.never = True
 
 
+class _Open:
+    """The open elements of a page, the root first.  Where the topmost one of a
+    name is, and the topmost that is no inline one, is known without a search,
+    so a page of any depth costs no more than its tags."""
+
+    def __init__(self, root: Element):
+        self.stack, self.at, self.blocks = [root], {root.tag: [0]}, [0]
+
+    def push(self, e: Element) -> None:
+        self.at.setdefault(e.tag, []).append(len(self.stack))
+        if e.tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(e)
+
+    def close(self, to: int) -> None:
+        for e in reversed(self.stack[to:]):
+            self.at[e.tag].pop()
+            if e.tag not in INLINE:
+                self.blocks.pop()
+        del self.stack[to:]
+
+    def top(self, tags) -> int:
+        """Place of the topmost of the tags, 0 for none (the root has none)."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def end(self, tag: str) -> None:
+        """An end tag: of an inline element, only up to the next block."""
+        i = self.top((tag,))
+        if i and not (tag in INLINE and i < self.blocks[-1]):
+            self.close(i)
+
+    def before(self, tag: str) -> None:
+        """What a start tag ends."""
+        if tag not in INLINE and self.stack[self.blocks[-1]].tag == "p":
+            self.close(self.blocks[-1])          # a block ends an open paragraph
+        if tag in CLOSES:
+            ends, limits = CLOSES[tag]
+            i = self.top(ends)
+            if i > self.top(limits - ends):
+                self.close(i)
+
+
 def _tree(page: str) -> Element:
     """Tags that are open at an end tag or at the end are closed, end tags
-    without a start tag are ignored."""
+    without a start tag are ignored, a tag that never ends is text.  Linear in
+    the page, whatever is broken in it."""
     root = Element("#page")
-    stack, at = [root], 0
+    opened, at, broken = _Open(root), 0, 0
+    last = page.rfind(">")
 
-    def close(to: int):
-        del stack[to:]
+    def say(text: str):
+        if text:
+            opened.stack[-1].parts.append(text)
 
     while True:
-        m = TOKEN.search(page, at)
-        text = page[at:m.start()] if m else page[at:]
-        if text:
-            stack[-1].parts.append(text)
+        m = MARK.search(page, at)
         if not m:
+            say(page[at:])
             return root
-        at = m.end()
-        end, start, attributes = m.groups()
-        if end:
-            end = end.lower()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == end:
-                    close(i)
-                    break
-                if end in INLINE and stack[i].tag not in INLINE:
-                    break
+        start, kind = m.start(), m.group()
+        if kind == "<!--":
+            say(page[at:start])
+            stop = page.find("-->", start + 4)
+            at = stop + 3 if stop >= 0 else len(page)
             continue
-        if not start:
+        if start > last:                             # no tag ends any more
+            say(page[at:])
+            return root
+        say(page[at:start])
+        if kind in ("<!", "<?"):
+            at = page.find(">", start) + 1
             continue
-        tag = start.lower()
-        if tag not in INLINE:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":          # a block ends an open paragraph
-                    close(i)
-                    break
-                if stack[i].tag not in INLINE:
-                    break
-        if tag in CLOSES:
-            ends, limits = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    close(i)
-                    break
-                if stack[i].tag in limits:
-                    break
+        name = NAME.match(page, m.end() - 1)
+        tag = name.group().lower()
+        if kind[1] == "/":
+            at = page.find(">", name.end()) + 1
+            opened.end(tag)
+            continue
+        rest = ATTRIBUTES.match(page, name.end()) if broken < BROKEN else None
+        if not rest:
+            broken += 1
+        at = rest.end() if rest else page.find(">", name.end()) + 1
+        attributes = page[name.end():at - 1]
+        opened.before(tag)
         never, names = _is_never(tag, attributes), frozenset()
         if tag == "header" or "class" in attributes.lower() or "id" in attributes.lower():
-            in_article = any(e.tag in ("article", "main") for e in stack)
+            in_article = opened.top(("article", "main")) > 0
             if tag == "header" and in_article:
                 never = False                    # an article's own heading
             if tag not in ("html", "body", "main", "article"):
                 names = _names(attributes, in_article)
         element = Element(tag, never, names)
-        stack[-1].parts.append(element)
+        opened.stack[-1].parts.append(element)
         if tag in RAW:
-            stop = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
+            stop = re.compile(f"</{tag}\\s*+>", re.I).search(page, at)
             element.parts.append(page[at:stop.start()] if stop else page[at:])
             at = stop.end() if stop else len(page)
         elif tag not in VOID:
-            stack.append(element)
+            opened.push(element)
 
 
 def articles(root: Element) -> list[Element]:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,10 @@ def coder(path: str, added: bool = False):
 
     The file's vocabulary in id order is its merge order, so the faster of the
     public libraries for such vocabularies gives the same ids (tests compare
-    them).  ``added``: a string of an added token in a text is that token, as
-    in ``tokenizers`` at its default settings; else it is ordinary text.
+    them).  A text that it refuses - its splitting pattern gives up on runs of
+    some 100,000 blanks - goes to ``tokenizers`` itself.  ``added``: a string of
+    an added token in a text is that token, as in ``tokenizers`` at its default
+    settings; else it is ordinary text.
     """
     if (path, added) not in _CODERS:
         import json
@@ -58,8 +61,23 @@ def coder(path: str, added: bool = False):
                  if token not in special}
         encoding = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens=special if added else {})
-        _CODERS[path, added] = (lambda text: encoding.encode(text, allowed_special="all")) \
-            if added else encoding.encode_ordinary
+        def fast(text: str) -> list[int]:
+            return encoding.encode(text, allowed_special="all" if added else set(), disallowed_special=())
+
+        @cache
+        def slow():
+            from tokenizers import Tokenizer
+            t = Tokenizer.from_file(path)
+            t.encode_special_tokens = not added
+            return t
+
+        def encode(text: str) -> list[int]:
+            try:
+                return fast(text)
+            except ValueError:
+                return slow().encode(text, add_special_tokens=False).ids
+
+        _CODERS[path, added] = encode
     return _CODERS[path, added]
 
 

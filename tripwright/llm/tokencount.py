@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 MARKER = "▁".encode()
 MAX_NODES = 500_000        # of a task's trie; then it starts anew (counts don't change)
+LONG = 1024                # bytes of a word that is scored without nodes: it shares no more than that
 BYTE_PENALTY = 10.0        # a byte outside the vocabulary scores so much below its rarest piece
 
 
@@ -47,6 +48,7 @@ class Trie(dict):
         super().__init__()
         self.scores, self.max_nodes = scores, max_nodes
         self.tails = {p[k:] for p in scores for k in range(len(p))}
+        self.longest = max(map(len, scores)) + 1
         self._start()
 
     def _start(self):
@@ -57,6 +59,8 @@ class Trie(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self.best) > self.max_nodes:
             self._start()
+        if len(word) > LONG:
+            return self.of_long(word)
         child, best, count = self.child, self.best, self.count
         scores, tails = self.scores, self.tails
         token = MARKER + word
@@ -84,6 +88,27 @@ class Trie(dict):
         self[word] = n = count[node]
         return n
 
+    def of_long(self, word: bytes) -> int:
+        """The token count of a word of any length, by the same recurrence over
+        as many scores as the longest piece has bytes."""
+        scores, tails, longest = self.scores, self.tails, self.longest
+        token = MARKER + word
+        best, count = [0.0] * longest, [0] * longest          # by prefix length, in a ring
+        for i in range(1, len(token) + 1):
+            top, pieces = -math.inf, 0
+            for j in range(i - 1, max(i - longest, 0) - 1, -1):
+                piece = token[j:i]
+                if piece not in tails:
+                    break
+                s = scores.get(piece)
+                if s is not None:
+                    above = j % longest
+                    s += best[above]
+                    if s > top or (s == top and count[above] + 1 < pieces):
+                        top, pieces = s, count[above] + 1
+            best[i % longest], count[i % longest] = top, pieces
+        return count[len(token) % longest]
+
 
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                  max_nodes: int = MAX_NODES) -> DataFrame:
