@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +9,7 @@ from tripwright.operators.oplog import last_event
 from tripwright.plans import analytics as A
 from tripwright.plans.pipeline import PipelineOptions, Warehouse, run_pipeline
 from tripwright.sources.csv_trips import file_id_from_share_uri, read_trips
-from tripwright.sources.tables import TablePaths
+from tripwright.sources.tables import TablePaths, stage_batch
 from helpers import write_csv
 
 # Invented trips: two cities, three apps, May 2018, plus one June row.
@@ -109,20 +111,37 @@ def test_failfast_csv(spark, tmp_path):
         read_trips(spark, str(p)).collect()
 
 
-def test_full_and_touched_refresh_agree(spark, scratch, tmp_path):
-    paths_t = TablePaths(scratch + "_t")
-    paths_f = TablePaths(scratch + "_f")
-    for p, mode in ((paths_t, "touched"), (paths_f, "full")):
-        opts = PipelineOptions(group_refresh=mode)
-        run_pipeline(spark, p, read_trips(spark, csv_of(tmp_path, ROWS[:3], f"a{mode}.csv")), opts)
-        run_pipeline(spark, p, read_trips(spark, csv_of(tmp_path, ROWS[3:], f"b{mode}.csv")), opts)
-    for table in ("fact_group_trips", "fact_group_envelope"):
-        a = Warehouse(spark, paths_t).table(table)
-        b = Warehouse(spark, paths_f).table(table)
-        assert a.count() == 5 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    env = Warehouse(spark, paths_t).fact_group_envelope
-    want = group_trips(Warehouse(spark, paths_t).fact_trips, "envelope")
-    assert sorted(map(tuple, env.collect())) == sorted(map(tuple, want.collect()))
+def test_refresh_modes_agree(spark, scratch, tmp_path):
+    batches = [ROWS[:3], ROWS[3:], ROWS[1:4],                                       # a replay
+               [("Vienna", "POINT (7.0 44.0)", "POINT (8.0 46.0)", "2018-05-05 23:00:00", "fleet_go"),
+                ("Vienna", "", "POINT (8.0 46.0)", "2018-05-05 23:30:00", "fleet_go"),
+                ("Lisbon", "", "", "2018-07-05 23:30:00", "fleet_go")]]
+    built = {}
+    for mode in ("delta", "touched", "full"):
+        paths = TablePaths(f"{scratch}_{mode}")
+        for i, rows in enumerate(batches):
+            run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, rows, f"{mode}{i}.csv")),
+                         PipelineOptions(group_refresh=mode))
+        built[mode] = Warehouse(spark, paths)
+    for table, kind in (("fact_group_trips", "as_written"), ("fact_group_envelope", "envelope")):
+        want = sorted(map(tuple, group_trips(built["full"].fact_trips, kind).collect()), key=repr)
+        for mode, wh in built.items():
+            assert sorted(map(tuple, wh.table(table).collect()), key=repr) == want, (mode, table)
+
+
+def test_delta_refresh_reads_no_fact(spark, built, monkeypatch):
+    """The months of the state and the inserted rows are all that is read."""
+    import tripwright.plans.pipeline as P
+    read, plans = [], []
+    inserted = built.fact_trips.drop("year", "month").limit(2)
+    days = [built.fact_trips.first().event_timestamp.date()]
+    real, month = P.read_table, P.with_month_columns
+    monkeypatch.setattr(P, "read_table", lambda s, p, t: (read.append(t), real(s, p, t))[1])
+    monkeypatch.setattr(P, "with_month_columns", lambda df, c: (plans.append(df), month(df, c))[1])
+    P.refresh_groups(spark, built.paths, PipelineOptions(), days, inserted)
+    assert read == ["fact_group_state"]
+    plan = plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_lx" in plan and "PartitionFilters" in plans[0]._jdf.queryExecution().executedPlan().toString()
 
 
 def test_share_uri_file_id():
@@ -201,29 +220,58 @@ def test_stage_append_mode_accumulates_and_facts_stay_unique(spark, scratch, tmp
     run_pipeline(spark, paths, read_trips(spark, csv_of(tmp_path, ROWS[2:], "b.csv")), opts)
     wh = Warehouse(spark, paths)
     assert wh.trips.count() == 8            # the stage keeps both deliveries
+    plan = stage_batch(spark, paths, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and stage_batch(spark, paths, "x").count() == 0
     assert wh.fact_trips.count() == 6       # each trip once
     assert wh.fact_group_trips.count() == 5
 
 
-def test_crash_before_the_group_refresh_heals(spark, built, tmp_path, monkeypatch):
-    """The fact has a day that the groups have not: the next batch, of another
-    day, makes it good."""
+@pytest.mark.parametrize("step", ["before_append", "in_append", "refresh_groups", "group_boxes", "last_table", "rename_path"])
+def test_crash_heals_with_the_next_batch(spark, built, tmp_path, monkeypatch, step):
+    """Wherever a run dies after its rows are inserted, the next one, of another
+    day, leaves fact and groups as if it hadn't; no trip is counted twice."""
     import tripwright.plans.pipeline as P
-    more = [("Vienna", "POINT (7.6 45.0)", "POINT (7.7 45.1)", "2018-05-20 10:00:00", "fleet_go")]
+    from tripwright.session import path_exists
+    more = [("Vienna", "POINT (7.6 45.0)", "POINT (7.7 45.1)", f"2018-05-{d} 10:00:00", "fleet_go") for d in (20, 21)]
     other = [("Vienna", "POINT (7.6 45.0)", "POINT (7.7 45.1)", "2018-05-25 10:00:00", "fleet_go")]
 
     def crash(*a, **k):
         raise RuntimeError("lost driver")
 
+    real = P.write_monthly
+
+    def append(df, ts_col, path, **k):
+        if "fact_trips" in path and step == "in_append":
+            real(df.where(F.dayofmonth(ts_col) == 20), ts_col, path, **k)       # half of it
+            crash()
+        if "fact_trips" in path and step == "before_append" or "fact_group_state" in path and step == "last_table":
+            crash()
+        real(df, ts_col, path, **k)
+
     with monkeypatch.context() as m:
-        m.setattr(P, "refresh_groups", crash)
+        if step in ("before_append", "in_append", "last_table"):
+            m.setattr(P, "write_monthly", append)
+        else:
+            m.setattr(P, step, crash)
         with pytest.raises(RuntimeError):
             run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, more, "m.csv")))
     run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, other, "o.csv")))
-    assert built.fact_trips.count() == 8
-    for table in P.GROUP_TABLES:
-        assert built.table(table).agg(F.sum("number_of_trips")).first()[0] == 8
-    assert built.pending_days.count() == 0
+    assert built.fact_trips.count() == 9
+    for table, kind in P.GROUP_TABLES.items():
+        assert sorted(map(tuple, built.table(table).collect()), key=repr) == sorted(
+            map(tuple, group_trips(built.fact_trips, kind).collect()), key=repr)
+    assert not path_exists(spark, P.open_batch(built.paths))
+
+
+def test_warehouse_without_a_state_gets_one(spark, built, tmp_path):
+    import tripwright.plans.pipeline as P
+    from tripwright.session import delete_path
+    delete_path(spark, built.paths.path("fact_group_state"))
+    other = [("Vienna", "POINT (7.6 45.0)", "POINT (7.7 45.1)", "2018-05-25 10:00:00", "fleet_go")]
+    run_pipeline(spark, built.paths, read_trips(spark, csv_of(tmp_path, other, "o.csv")))
+    for table, kind in P.GROUP_TABLES.items():
+        assert sorted(map(tuple, built.table(table).collect()), key=repr) == sorted(
+            map(tuple, group_trips(built.fact_trips, kind).collect()), key=repr)
 
 
 def test_stale_groups_fail_the_check(spark, built):
@@ -231,8 +279,9 @@ def test_stale_groups_fail_the_check(spark, built):
     from tripwright.session import delete_path
     group = built.paths.path("fact_group_envelope")
     delete_path(spark, f"{group}/year=2018/month=6")
+    P.check_batch(spark, built.paths, [dt.date(2018, 5, 5)])
     with pytest.raises(DataQualityError):
-        P.check_batch(spark, built.paths, [])
+        P.check_batch(spark, built.paths, [dt.date(2018, 6, 1)])
 
 
 def test_retried_append_stages_each_row_once(spark, scratch, tmp_path, monkeypatch):

@@ -85,3 +85,30 @@ def box_contains(box_col, x, y) -> Column:
     x = x if isinstance(x, Column) else F.lit(float(x))
     y = y if isinstance(y, Column) else F.lit(float(y))
     return (b["x0"] <= x) & (x <= b["x1"]) & (b["y0"] <= y) & (y <= b["y1"])
+
+
+# The range of longitudes and latitudes that the curve spans.
+WORLD = (-180.0, -90.0, 180.0, 90.0)
+CURVE_BITS = 16      # per axis
+# The shifts and masks that put a zero bit after each of 16 bits.
+SPREAD = [(8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)]
+
+
+def _spread_bits(v: Column) -> Column:
+    for shift, mask in SPREAD:
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+    return v
+
+
+def curve_position(x, y, extent: tuple[float, float, float, float] = WORLD) -> Column:
+    """Place of a point on the Z-order curve over ``extent`` (a bigint): points
+    that are near each other are mostly near each other in this order as well.
+    Points outside are taken to the edge; a NULL or NaN coordinate counts as the
+    low edge."""
+    def cell(v, low, high):
+        v = F.coalesce(F.nanvl(_col(v), F.lit(low)), F.lit(low))
+        n = 1 << CURVE_BITS
+        return F.greatest(F.least(F.floor((v - F.lit(low)) / F.lit(high - low) * n), F.lit(n - 1)),
+                          F.lit(0)).cast("long")
+    x0, y0, x1, y1 = extent
+    return _spread_bits(cell(x, x0, x1)).bitwiseOR(F.shiftleft(_spread_bits(cell(y, y0, y1)), 1))

@@ -117,6 +117,19 @@ def group_extremes(fact: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).cast("bigint").alias("number_of_trips")))
 
 
+# How rows of one (day, region) merge, column by column.
+MERGE = {"min_lx": F.min, "min_ly": F.min, "max_lx": F.max, "max_ly": F.max, "max_hx": F.max,
+         "max_hy": F.max, "number_of_trips": F.sum}
+
+
+def merge_extremes(state: DataFrame, more: DataFrame) -> DataFrame:
+    """``group_extremes`` of all trips from those of some and those of the rest:
+    minima, maxima and sums, so no trip is read again."""
+    columns = [*GROUP_KEY, *MERGE]
+    return (state.select(*columns).unionByName(more.select(*columns)).groupBy(*GROUP_KEY)
+            .agg(*[f(c).alias(c) for c, f in MERGE.items()]))
+
+
 def group_boxes(extremes: DataFrame, kind: str = "as_written") -> DataFrame:
     """Group rows of ``group_extremes``: bounding box of the trips and their count.
 

@@ -11,39 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import format_timestamp
-from ..sources.tables import append_log_row
+from ..sources.tables import append_log_rows
 
 _log = logging.getLogger("tripwright")
 
 
 class LogWriter:
-    """Appends log rows in order from one background thread, so the small
-    log writes overlap with the pipeline's own jobs.  ``flush`` waits for all
-    rows handed over so far."""
+    """Keeps a run's log rows and appends them in two files: the first row as
+    soon as it is there, so that a run that dies leaves its start, the others
+    together when the writer is closed.  Writes go through a background thread
+    and overlap with the run's own jobs."""
 
     def __init__(self, spark: SparkSession, log_path: str | None):
         self.spark = spark
         self.log_path = log_path
         self._pool = ThreadPoolExecutor(max_workers=1, thread_name_prefix="tripwright-log")
-        self._pending = []
+        self._started = False
+        self._rows: list[dict] = []
 
     def write(self, row: dict) -> None:
-        if self.log_path:
-            self._pending.append(self._pool.submit(self._write, dict(row)))
-
-    def _write(self, row: dict) -> None:
+        if not self.log_path:
+            return
+        if self._started:
+            self._rows.append(dict(row))
+        else:
+            self._started = True
+            self._pool.submit(self._append, [dict(row)])
+
+    def _append(self, rows: list[dict]) -> None:
         try:
-            append_log_row(self.spark, self.log_path, row)
+            append_log_rows(self.spark, self.log_path, rows)
         except Exception as exc:  # noqa: BLE001 - logging must not break the task
-            _log.warning("could not write log row: %s", exc)
-
-    def flush(self) -> None:
-        pending, self._pending = self._pending, []
-        for f in pending:
-            f.result()
+            _log.warning("could not write log rows: %s", exc)
 
     def close(self) -> None:
-        self.flush()
+        rows, self._rows = self._rows, []
+        self._pool.submit(self._append, rows)
         self._pool.shutdown(wait=True)
 
 
@@ -52,7 +55,7 @@ def logged(spark: SparkSession, log: "str | LogWriter | None", log_name: str, ev
            pipeline_version_instance: str = "v1"):
     """Log ``start`` before the block and ``end``/``failed`` after it, with
     the elapsed seconds.  A failing log write never fails the task.  ``log``
-    is a log folder (rows written synchronously) or a shared ``LogWriter``."""
+    is a log folder or the ``LogWriter`` of a run with several tasks."""
     own = not isinstance(log, LogWriter)
     writer = LogWriter(spark, log) if own else log
     start = dt.datetime.now()

@@ -3,11 +3,16 @@
 Each step reads the tables the previous step wrote, so lineage is cut at
 every step (a lost executor only re-runs tasks of the current step), and
 every write is re-runnable: dimensions and the fact are insert-if-absent, the
-stage and the quarantine overwrite the folder of their batch, the group fact is
-an overwrite.  Days whose group rows are to be rebuilt are noted in a table
-before the fact changes and stay there until they are, so a run that dies in
-between is made good by the next one, whatever it loads.  A single writer per
-warehouse is assumed.
+stage and the quarantine overwrite the folder of their batch, the group tables
+are overwritten by month.
+
+The group tables follow from ``fact_group_state``, mergeable extremes and counts
+per (day, region).  A batch is merged into it through the rows it inserted, never
+by reading the fact again.  That must happen exactly once, so the inserted rows
+are written to a folder of the open batch before the fact changes, and the merged
+months beside them before the state does; a run that dies leaves the folder, and
+the next one, whatever it loads, takes up where that one stopped.  A single writer
+per warehouse is assumed.
 """
 
 from __future__ import annotations
@@ -27,17 +32,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dims import fill_event_time, upsert_dim
-from ..operators.facts import build_delta, group_boxes, group_extremes, insert_if_absent
+from ..operators.facts import (build_delta, group_boxes, group_extremes, insert_if_absent,
+                               merge_extremes)
 from ..operators.oplog import LogWriter, logged
 from ..operators.quality import (check_non_empty, enforce_lengths, group_total_report,
                                  key_report, require, split_malformed)
 from ..schemas import PRIMARY_KEYS
-from ..session import delete_path, path_exists, work_root
+from ..session import delete_path, path_exists, rename_path, touch, work_root
 from ..sources.adapter import stage_from_sf
 from ..sources.csv_trips import read_trips
 from ..sources.ledger import FILES, new_files, record_files
 from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
-                              touched_days, write_monthly, write_stage)
+                              stage_batch, touched_days, with_month_columns, write_by_place,
+                              write_monthly, write_stage)
 
 
 @dataclass(frozen=True)
@@ -45,7 +52,9 @@ class PipelineOptions:
     stage_mode: str = "overwrite"        # 'overwrite' (replace) or 'append'
     on_duplicate: str = "drop"           # 'drop', 'fail' or 'keep'
     strict: bool = True                  # malformed points raise; else quarantine
-    group_refresh: str = "touched"       # 'touched' days only, or 'full' rebuild
+    # 'delta': merge the inserted rows; 'touched': recompute the batch's days
+    # from the fact; 'full': rebuild from the whole fact.
+    group_refresh: str = "delta"
     batch_id: str | None = None          # names the batch; loading it again replaces it
     check_quality: bool = True
     # Also check fact/group keys on the touched days.  Insert-if-absent
@@ -73,11 +82,11 @@ def with_retries(fn, attempts: int, wait: tuple[float, float]):
 
 def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
                opts: PipelineOptions) -> list[dt.date]:
-    """Write the staging table; return the calendar days the staged rows cover.
+    """Write the batch to the staging table; return the calendar days it covers.
 
-    The set of days is observed while the stage is written (no extra pass);
-    it is bounded by the batch's calendar span.  With ``append`` the stage
-    also holds earlier batches, so the days come from the whole table.
+    The set of days is observed while the stage is written (no extra pass); it
+    is bounded by the batch's calendar span.  With ``append`` the stage also
+    holds earlier batches, which the later steps don't read.
     """
     root, batch = paths.root.rstrip("/"), opts.batch_id or uuid.uuid4().hex
     landing = None
@@ -96,15 +105,14 @@ def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
     write_stage(observed, paths.path("trips"), opts.stage_mode, batch)
     if landing:
         delete_path(spark, landing)
-    if opts.stage_mode == "append":
-        return touched_days(read_table(spark, paths, "trips"), "datetime")
     return list(obs.get.get("days") or [])
 
 
-def update_dimensions(spark: SparkSession, paths: TablePaths, days: list[dt.date]) -> None:
+def update_dimensions(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
+                      days: list[dt.date]) -> None:
     """The three dimensions are independent: their jobs are submitted from a
     small thread pool and share the cluster (Spark schedules concurrent jobs)."""
-    stage = read_table(spark, paths, "trips")
+    stage = stage_batch(spark, paths, opts.batch_id)
 
     def surrogate(table, key, id_col):
         dim = read_table(spark, paths, table)
@@ -127,24 +135,21 @@ def update_dimensions(spark: SparkSession, paths: TablePaths, days: list[dt.date
 
 def update_facts(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
                  days: list[dt.date]) -> None:
-    stage = read_table(spark, paths, "trips")
+    finish_open_batch(spark, paths, opts)         # what an earlier run left undone
+    stage = stage_batch(spark, paths, opts.batch_id)
     delta = build_delta(stage, read_table(spark, paths, "dim_region"),
                         read_table(spark, paths, "dim_datasource"), opts.on_duplicate, opts.strict)
-    # Days that an earlier run left undone, and this batch's: noted before the
-    # fact changes.  Both are calendar days, a bounded list.
-    days = sorted({r.day for r in read_table(spark, paths, "pending_days").collect()} | set(days))
-    pending = paths.path("pending_days")
-    if days:
-        (spark.createDataFrame([(d,) for d in days], paths.schema("pending_days")).coalesce(1)
-         .write.mode("append").parquet(pending))
-    merge_delta(spark, paths, delta, dedupe=opts.on_duplicate == "keep", days=days)
-    refresh_groups(spark, paths, opts, days)
-    delete_path(spark, pending)
+    merge_delta(spark, paths, delta, opts.on_duplicate == "keep", days, opts)
+
+
+def open_batch(paths: TablePaths) -> str:
+    return f"{paths.root.rstrip('/')}/_staging/open_batch"
 
 
 def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe: bool = False,
-                days: list[dt.date] | None = None) -> list[dt.date]:
-    """Write the delta table, then append its rows absent from the fact.
+                days: list[dt.date] | None = None, opts: PipelineOptions = PipelineOptions()) -> list[dt.date]:
+    """Write the delta table, insert its rows absent from the fact, and bring
+    the group tables up to date.
 
     The fact side of the anti-join is narrowed to the days the delta covers;
     when they are not given they are observed while the delta is written.
@@ -159,67 +164,101 @@ def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe
         delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
     written = read_table(spark, paths, "fact_delta_trips")
     existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
-    write_monthly(insert_if_absent(written, existing, dedupe=dedupe), "event_timestamp",
-                  paths.path("fact_trips"), mode="append")
+    folder = open_batch(paths)
+    insert_if_absent(written, existing, dedupe=dedupe).write.mode("overwrite").parquet(f"{folder}/inserted")
+    finish_open_batch(spark, paths, opts, days)
     return days
 
 
+def finish_open_batch(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
+                      days: list[dt.date] | None = None) -> None:
+    """Append the open batch's inserted rows to the fact, merge them into the
+    group tables, and close it.  Each part is done once, however often it is
+    begun: an append that may have died half way is made good by an anti-join
+    with the fact, and the merged months are only computed while the state is
+    still the old one."""
+    folder = open_batch(paths)
+    if not path_exists(spark, f"{folder}/inserted/_SUCCESS"):
+        delete_path(spark, folder)                # it died before the fact changed
+        return
+    inserted = spark.read.schema(paths.schema("fact_delta_trips")).parquet(f"{folder}/inserted")
+    if days is None:
+        days = touched_days(inserted, "event_timestamp")
+    if not path_exists(spark, f"{folder}/appended"):
+        rows = inserted
+        if path_exists(spark, f"{folder}/appending"):
+            there = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+            rows = insert_if_absent(inserted, there, dedupe=False)
+        touch(spark, f"{folder}/appending")
+        write_monthly(rows, "event_timestamp", paths.path("fact_trips"), mode="append")
+        touch(spark, f"{folder}/appended")
+    if opts.group_refresh != "delta" or not inserted.isEmpty():
+        refresh_groups(spark, paths, opts, days, inserted)
+    # Closed by one rename: a folder that is half deleted would look open.
+    closed = f"{folder}-closed-{uuid.uuid4().hex}"
+    rename_path(spark, folder, closed)
+    delete_path(spark, closed)
+
+
 GROUP_TABLES = {"fact_group_trips": "as_written", "fact_group_envelope": "envelope"}
 
 
 def refresh_groups(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
-                   days: list[dt.date]) -> None:
-    """Rebuild both (day, region) aggregates from one pass over the fact.
-
-    ``full``: from the whole fact.  ``touched``: only the given days are
-    recomputed from the fact (partition- and row-group-pruned); the other days
-    of those months are carried over from the aggregates themselves.  The
-    extremes, and the merged months, are written to a staging folder first,
-    then swapped in with a dynamic partition overwrite - an aggregate is never
-    overwritten by a job that reads it.
+                   days: list[dt.date], inserted: DataFrame) -> None:
+    """Bring ``fact_group_state`` and both group tables up to date.
+
+    ``delta``: the months of the state that the batch touches are merged with
+    the extremes of its inserted rows.  ``touched``: the given days are computed
+    anew from the fact (partition- and row-group-pruned), the other days of
+    their months stay.  ``full``, or a warehouse without a state: all from the
+    fact.  The new months are written beside the open batch first, complete or
+    not at all, and all three tables are then overwritten from there - so none
+    is overwritten by a job that reads it, and a second attempt changes nothing.
     """
-    if opts.group_refresh not in ("full", "touched"):
-        raise ValueError(f"group_refresh must be full or touched, not {opts.group_refresh!r}")
-    if opts.group_refresh == "touched" and not days:
+    mode = opts.group_refresh
+    if mode not in ("delta", "touched", "full"):
+        raise ValueError(f"group_refresh must be delta, touched or full, not {mode!r}")
+    known = path_exists(spark, paths.path("fact_group_state"))
+    if mode != "full" and known and not days:
         return
-    fact = read_table(spark, paths, "fact_trips")
-    if opts.group_refresh == "touched":
-        fact = fact.where(days_filter(days, "event_timestamp"))
-    staging = f"{paths.root.rstrip('/')}/_staging/groups/{uuid.uuid4().hex}"
-    extremes = group_extremes(fact)
-    extremes.write.parquet(f"{staging}/extremes")
-    extremes = spark.read.schema(extremes.schema).parquet(f"{staging}/extremes")
-    for table, kind in GROUP_TABLES.items():
-        fresh, target = group_boxes(extremes, kind), paths.path(table)
-        if opts.group_refresh == "full":
-            write_monthly(fresh, "event_date", target, mode="overwrite", dynamic=False)
-            continue
-        if any(path_exists(spark, f"{target}/year={y}/month={m}") for y, m in months_of(days)):
-            kept = (read_table(spark, paths, table)
-                    .where(months_filter(months_of(days)))
-                    .where(~days_filter(days, "event_date")))
-            fresh.unionByName(kept).write.parquet(f"{staging}/{table}")
-            fresh = spark.read.schema(paths.schema(table)).parquet(f"{staging}/{table}")
-        write_monthly(fresh, "event_date", target, mode="overwrite", dynamic=True)
-    delete_path(spark, staging)
+    aside = f"{open_batch(paths)}/state"
+    if not path_exists(spark, f"{aside}/_SUCCESS"):
+        state = read_table(spark, paths, "fact_group_state").where(months_filter(months_of(days)))
+        if mode == "delta" and known:
+            fresh = merge_extremes(state, group_extremes(inserted))
+        elif mode == "touched" and known:
+            fact = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+            kept = state.where(~days_filter(days, "event_date")).drop("year", "month")
+            fresh = group_extremes(fact).unionByName(kept)
+        else:
+            fresh = group_extremes(read_table(spark, paths, "fact_trips"))
+        with_month_columns(fresh, "event_date").write.mode("overwrite").parquet(aside)
+    fresh = spark.read.schema(paths.schema("fact_group_state")).parquet(aside)
+    dynamic = mode != "full" and known
+
+    def overwrite(table):
+        if table in GROUP_TABLES:
+            write_by_place(group_boxes(fresh, GROUP_TABLES[table]), "event_date", paths.path(table), dynamic=dynamic)
+        else:
+            write_monthly(fresh, "event_date", paths.path(table), mode="overwrite", dynamic=dynamic)
+
+    for table in GROUP_TABLES:
+        overwrite(table)
+    overwrite("fact_group_state")         # last: it says that a state is there
 
 
 def check_batch(spark: SparkSession, paths: TablePaths, days: list[dt.date],
                 keys: bool = True) -> None:
-    """Every table non-empty and every trip counted in both group tables; with
-    ``keys`` also the fact and group keys
-    unique and not NULL on the days this batch touched (only they can have
-    changed, so the key check never shuffles the whole fact)."""
-    require(check_non_empty(quality_tables(spark, paths)))
-    fact = read_table(spark, paths, "fact_trips")
-    require(reduce(DataFrame.unionByName, [
-        group_total_report(fact, read_table(spark, paths, t), t) for t in GROUP_TABLES]))
-    if not keys:
-        return
-    fact = fact.where(days_filter(days, "event_timestamp"))
-    group = read_table(spark, paths, "fact_group_trips").where(days_filter(days, "event_date"))
-    require(key_report(fact, PRIMARY_KEYS["fact_trips"], "fact_trips")
-            .unionByName(key_report(group, PRIMARY_KEYS["fact_group_trips"], "fact_group_trips")))
+    """Every table non-empty, and every trip of the days this batch touched
+    counted in both group tables (only they can have changed); with ``keys``
+    also the fact and group keys unique and not NULL on those days."""
+    require(check_non_empty(quality_tables(spark, paths), counted=False))
+    fact = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+    groups = {t: read_table(spark, paths, t).where(days_filter(days, "event_date")) for t in GROUP_TABLES}
+    require(group_total_report(fact, groups))
+    if keys:
+        require(key_report(fact, PRIMARY_KEYS["fact_trips"], "fact_trips").unionByName(key_report(
+            groups["fact_group_trips"], PRIMARY_KEYS["fact_group_trips"], "fact_group_trips")))
 
 
 def quality_tables(spark: SparkSession, paths: TablePaths) -> dict[str, DataFrame]:
@@ -241,7 +280,7 @@ def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
                 return with_retries(fn, opts.step_attempts, opts.retry_wait)
 
         days = step("load_stage", lambda: load_stage(spark, paths, source, opts))
-        step("update_dimension_tables", lambda: update_dimensions(spark, paths, days))
+        step("update_dimension_tables", lambda: update_dimensions(spark, paths, opts, days))
         step("update_fact_tables", lambda: update_facts(spark, paths, opts, days))
         if opts.check_quality:
             step("data_quality", lambda: check_batch(spark, paths, days, opts.check_keys))

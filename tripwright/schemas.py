@@ -90,8 +90,21 @@ TRIPS_LOG = T.StructType([
 # Column with the original text of a line that a lenient reader could not split.
 CORRUPT = "_corrupt_record"
 
-# Days whose group rows must be rebuilt from the fact (see plans.pipeline).
-PENDING_DAYS = T.StructType([T.StructField("day", T.DateType())])
+# What the daily group rows of both kinds follow from, and what a batch can be
+# merged into: the extremes of the trips' lower and upper corners and their number.
+GROUP_STATE = T.StructType([
+    T.StructField("event_date", T.TimestampNTZType()),
+    T.StructField("region_id", T.IntegerType()),
+    T.StructField("min_lx", T.DoubleType()),
+    T.StructField("min_ly", T.DoubleType()),
+    T.StructField("max_lx", T.DoubleType()),
+    T.StructField("max_ly", T.DoubleType()),
+    T.StructField("max_hx", T.DoubleType()),
+    T.StructField("max_hy", T.DoubleType()),
+    T.StructField("number_of_trips", T.LongType()),
+    T.StructField("year", T.IntegerType()),
+    T.StructField("month", T.IntegerType()),
+])
 
 # Primary keys as declared for each table (checked by quality.key_report).
 PRIMARY_KEYS = {

@@ -92,6 +92,22 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder we created, via its file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.rename(hpath, jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path} to {to}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark that a step of a protocol is done."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hpath, True).close()
+
+
 def default_parallelism(spark: SparkSession) -> int:
     try:
         return int(spark.sparkContext.defaultParallelism)

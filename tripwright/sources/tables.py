@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.geo import curve_position
 from ..functions.timeparts import ntz_literal
 from ..session import path_exists
 
@@ -25,12 +26,12 @@ TABLES = {
     "fact_group_trips": ("trips", schemas.FACT_GROUP_TRIPS),
     # True-envelope variant of the group fact (same schema).
     "fact_group_envelope": ("trips", schemas.FACT_GROUP_TRIPS),
-    "pending_days": ("trips", schemas.PENDING_DAYS),
+    "fact_group_state": ("trips", schemas.GROUP_STATE),
     "trips_log": ("logs", schemas.TRIPS_LOG),
 }
 
 # Tables stored with month partitions (year=/month= folders).
-MONTHLY = {"dim_event_time", "fact_trips", "fact_group_trips", "fact_group_envelope"}
+MONTHLY = {"dim_event_time", "fact_trips", "fact_group_trips", "fact_group_envelope", "fact_group_state"}
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,25 @@ def write_monthly(df: DataFrame, ts_col: str, path: str, mode: str = "append",
         .parquet(path))
 
 
+def write_by_place(df: DataFrame, ts_col: str, path: str, box_col: str = "box_coord",
+                   dynamic: bool = True) -> None:
+    """Replace the months of ``df`` (all months without ``dynamic``) with its
+    rows in the order of a space-filling curve through their boxes' centres.
+
+    Inside a month, files and row groups then hold boxes that lie together, so
+    the four comparisons of a position lookup skip nearly all of them by their
+    statistics; in order of time each would span every region."""
+    b = F.col(box_col)
+    out = df if "year" in df.columns and "month" in df.columns else with_month_columns(df, ts_col)
+    out = out.withColumn("_place", curve_position((b["x0"] + b["x1"]) / 2, (b["y0"] + b["y1"]) / 2))
+    order = ["year", "month", "_place", ts_col]
+    (out.repartitionByRange(*order).sortWithinPartitions(*order).drop("_place")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .partitionBy("year", "month")
+        .parquet(path))
+
+
 def month_predicate(start: dt.datetime | str, end: dt.datetime | str,
                     ts_col: str = "event_timestamp") -> Column:
     """Half-open ``[start, end)`` filter on ``ts_col`` plus the equivalent
@@ -126,9 +146,6 @@ def months_filter(months: list[tuple[int, int]]) -> Column:
     return (F.col("year") * 100 + F.col("month")).isin(keys)
 
 
-_NEXT_LOG_ID: dict[str, int] = {}
-
-
 def days_filter(days: list[dt.date], ts_col: str) -> Column:
     """Rows whose ``ts_col`` falls on one of ``days``: the month partition
     filter plus one half-open range per day (merged when consecutive), so
@@ -169,19 +186,23 @@ def touched_days(df: DataFrame, ts_col: str) -> list[dt.date]:
     return sorted(r.d for r in rows)
 
 
-def append_log_row(spark: SparkSession, path: str, row: dict) -> None:
-    """Append one log row.  log_id continues from the largest id present; the
-    largest id is read once per log folder and then counted in the driver
-    (one writer per warehouse)."""
-    if path not in _NEXT_LOG_ID:
-        current = 0
-        if path_exists(spark, path):
-            mx = spark.read.schema(schemas.TRIPS_LOG).parquet(path).agg(F.max("log_id")).first()[0]
-            current = int(mx or 0)
-        _NEXT_LOG_ID[path] = current + 1
-    values = dict(row)
-    values["log_id"] = _NEXT_LOG_ID[path]
-    rec = [values.get(f.name) for f in schemas.TRIPS_LOG.fields]
-    spark.createDataFrame([rec], schemas.TRIPS_LOG).coalesce(1).write.mode("append").parquet(path)
-    _NEXT_LOG_ID[path] += 1
+def append_log_rows(spark: SparkSession, path: str, rows: list[dict]) -> None:
+    """Append log rows as one file.  ``log_id`` continues from the largest id
+    present (one writer per warehouse)."""
+    if not rows:
+        return
+    largest = 0
+    if path_exists(spark, path):
+        largest = spark.read.schema(schemas.TRIPS_LOG).parquet(path).agg(F.max("log_id")).first()[0] or 0
+    values = [[{**row, "log_id": largest + i}.get(f.name) for f in schemas.TRIPS_LOG.fields]
+              for i, row in enumerate(rows, 1)]
+    spark.createDataFrame(values, schemas.TRIPS_LOG).coalesce(1).write.mode("append").parquet(path)
 
+
+def stage_batch(spark: SparkSession, paths: TablePaths, batch_id: str) -> DataFrame:
+    """The staged rows of one batch; the folders of others are not read."""
+    path = paths.path("trips")
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schemas.TRIPS)
+    schema = T.StructType([*schemas.TRIPS.fields, T.StructField("batch_id", T.StringType())])
+    return spark.read.schema(schema).parquet(path).where(F.col("batch_id") == f"b-{batch_id}").drop("batch_id")
