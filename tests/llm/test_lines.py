@@ -7,19 +7,22 @@ from .conftest import rows_of
 BLANK = " \t\n\v\f\r"
 
 
-def brute(rows, w):
+def brute(rows, most, min_words=50):
     seen, out = {}, []
     rows = list(dict.fromkeys(rows))
     worded = {r: [i for i, x in enumerate((r[1] or "").split("\n")) if x.strip(BLANK)] for r in rows}
     places = {}
     for r in rows:
         ls = (r[1] or "").split("\n")
-        for i in range(len(worded[r]) - w + 1):
-            places.setdefault(tuple(ls[k] for k in worded[r][i:i + w]), []).append((r, i))
+        for w in range(1, most + 1):
+            for i in range(len(worded[r]) - w + 1):
+                body = tuple(ls[k] for k in worded[r][i:i + w])
+                if w == most or sum(len(x.encode().split()) for x in body) >= min_words:
+                    places.setdefault(body, []).append((r, i))
     order = lambda p: ((p[0][0] is not None, p[0][0] or 0), p[1])
     later = {r: set() for r in rows}
-    for found in places.values():
-        first = min(found, key=order)
+    for body, found in places.items():
+        w, first = len(body), min(found, key=order)
         for p in found:
             if p != first:
                 later[p[0]].update(worded[p[0]][p[1]:p[1] + w])
@@ -36,6 +39,10 @@ def corpus():
     rows = [(1000, None), (1001, ""), (1002, "\n\n"), (None, "a\nb\nc"), (1003, "a\nb\nc\nd"), (1004, "x\nx\nx\nx\nx"),
             (1005, " a\n\nb\n \nc"), (1006, "a\n\nb\nc"), (1007, "tie\ntie"), (1008, "\n".join("L%d" % i for i in range(900))),
             (1009, "\n".join("L%d" % i for i in range(100, 800)))]
+    long = " ".join(f"word{i}" for i in range(50))
+    rows += [(1100, long), (1101, f"head\n{long}\nown end"), (1102, f"other\n{long}"), (1103, long[:-8]), (1104, long[:-8]),
+             (1105, f"{long[:200]}\n\n{long[200:]} x"), (1106, f"y\n{long[:200]}\n{long[200:]} x"), (1107, long + "\n" + long),
+             (1108, "\t".join(["w"] * 49)), (1109, "\t".join(["w"] * 49)), (1110, long + " "), (1111, f"head\n{long}")]
     for i in range(40):
         own = ["own %d %d" % (i, k) for k in range(rng.randrange(0, 5))]
         at = rng.randrange(len(own) + 1)

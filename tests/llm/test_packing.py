@@ -148,3 +148,16 @@ def test_texts_that_the_fast_coder_refuses(added):
         start = time.time()
         assert list(encode(text)) == t.encode(text, add_special_tokens=False).ids
         assert time.time() - start < 60
+
+
+def test_gap_is_reported(make_docs):
+    """Rounds go on while they save bins; what a packing lacks to its bound is told."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join("word" for _ in range(int(rng.integers(1, 60))))) for i in range(600)]
+    one = P.pack_documents(make_docs(rows), vocabulary(), capacity=64)
+    many = P.pack_documents(make_docs(rows), vocabulary(), capacity=64, group=40)
+    for placed in (one, many):
+        r = P.gap(placed, 64).first()
+        assert r.n_sequences == check(rows, placed.collect(), 64)
+        assert r.gap == r.n_sequences - r.lower_bound and 0 <= r.gap <= 0.03 * r.n_sequences
+    assert tuple(P.gap(P.pack_documents(make_docs([]), vocabulary())).first()) == (0, 0, 0)

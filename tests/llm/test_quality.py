@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 from tripwright.llm import quality as Q
 from tripwright.llm.common import read
 
@@ -46,11 +47,59 @@ def test_learns_an_ordered_list():
     bad = rng.random(n) < 0.2
     rows[bad, 2] = rows[bad, 0]                   # as many symbols as words
     rules = Q.learn(rows, ~bad, rng.random(n) < 0.3)
-    assert rules and not any(r.keep for r in rules)
-    hit = np.zeros(n, bool)
-    for r in rules:
-        hit |= Q._covered(Q.features(rows), r.conditions)
-    assert (hit == bad).mean() > 0.99
+    assert rules[-1].conditions == () and all(r.conditions for r in rules[:-1])
+    assert (decide(rows, rules) == ~bad).mean() > 0.99
+
+
+def decide(rows, rules):
+    """The first rule that holds, row by row."""
+    x = Q.features(rows)
+    out = np.ones(len(x), bool)
+    for i in range(len(x)):
+        out[i] = next((r.keep for r in rules if Q._covered(x[i:i + 1], r.conditions)[0]), True)
+    return out
+
+
+def exceptions():
+    """Many marks are bad, unless much is repeated; nothing tells the rest."""
+    rng = np.random.default_rng(5)
+    n = 6000
+    words = rng.integers(60, 1000, n)
+    marks, repeats = (np.where(rng.random(n) < 0.3, words, 0) for _ in range(2))
+    zero = np.zeros(n)
+    rows = np.stack([words, words * 5, zero, zero, repeats, zero, marks, words], axis=1)
+    good = np.where(repeats > 0, True, np.where(marks > 0, False, rng.random(n) < 0.7))
+    return rows, good, rng.random(n) < 0.4
+
+
+def test_order_of_rules_decides():
+    """Both classes have rules, and another order gives other verdicts."""
+    rows, good, held = exceptions()
+    rules = Q.learn(rows, good, held)
+    assert {r.keep for r in rules[:-1]} == {True, False}
+    got = decide(rows, rules)
+    told = (rows[:, 4] > 0) | (rows[:, 6] > 0)
+    assert (got == good)[told].mean() > 0.98 and got[~told].mean() > 0.9
+    other = [*sorted(rules[:-1], key=lambda r: r.keep), rules[-1]], [*sorted(rules[:-1], key=lambda r: not r.keep), rules[-1]]
+    assert any((decide(rows, o) != got).any() for o in other)
+
+
+def test_list_as_a_case_expression(spark):
+    rows, good, held = exceptions()
+    rules = Q.learn(rows, good, held)
+    want = decide(rows[:400], rules)
+    df = spark.createDataFrame([(i, *map(int, r)) for i, r in enumerate(rows[:400])], "i long, " + ", ".join(f"{n} long" for n in Q.STATS))
+    got = df.select("i", Q.verdict(F.struct(*Q.STATS), rules).alias("keep")).orderBy("i").collect()
+    assert [r.keep for r in got] == want.tolist()
+
+
+def test_ties_and_one_class():
+    """Rows alike in all features, or of one class, teach no rule."""
+    alike = np.tile(np.array([100, 500, 3, 0, 0, 1, 0, 60]), (200, 1))
+    held = np.arange(200) % 3 == 0
+    assert Q.learn(alike, np.arange(200) % 2 == 0, held) == []
+    for one in (np.ones(200, bool), np.zeros(200, bool)):
+        assert Q.learn(exceptions()[0][:200], one, held) == []
 
 
 def test_no_labels_reject_nothing(make_docs, spark):

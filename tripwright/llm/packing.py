@@ -6,7 +6,7 @@ whose bins are as few as its volume needs is certified and gives back only its
 emptiest bin, a group with a gap gives back every bin with room.  What was given
 back is held against dual-feasible-function bounds: if its bins are as few as
 these allow, it stays; else it is dealt anew (pieces of different groups meet)
-and packed again, until it fits one group.
+and packed again, until it fits one group or a round hardly saves a bin.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from functools import cache
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from .common import drop, save
 CAPACITY = 2048
 END = 0                    # id closing each document
 GROUP = 100_000            # pieces per group
-ROUNDS = 8
+LEAST_FALL = 0.001         # share of the bins given back that a round must save, or it is the last
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -213,11 +214,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
     columns = items.columns
     rest = save(items.withColumn("__row", F.monotonically_increasing_id()), "pieces")
     schema = items.schema.simpleString()[7:-1].replace(":", " ")
-    done = None
-    for turn in range(ROUNDS):
+    done, before = None, None
+    for turn in count_up():
         n = rest.count()
         groups = max(1, -(-n // group))
-        last = groups == 1 or turn == ROUNDS - 1
+        last = groups == 1
 
         dealt = rest.withColumn("__group", F.pmod(F.xxhash64("__row", F.lit(turn)), F.lit(groups)))
         placed = save(dealt.groupBy("__group").applyInArrow(
@@ -231,7 +232,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
             number = np.zeros(capacity + 1, np.int64)
             for r in count:
                 number[r["length"]] = r["n"]
-            last = bins <= least_bins_of(number)
+            # Or if another round would hardly save any; :func:`gap` tells what is left.
+            last = bins <= least_bins_of(number) or (before is not None and bins > before * (1 - LEAST_FALL))
+            before = bins
             if last:
                 placed = placed.withColumn("__stays", F.lit(True))
         stay = placed.where("__stays").select(*columns, "sequence_id", "offset")
@@ -241,6 +244,19 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
         rest = placed.where("not __stays").select(*columns, "__row")
 
 
+def gap(placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row on packed pieces: ``n_sequences``, ``lower_bound`` (sequences that
+    any packing needs, by the dual feasible functions over all lengths) and
+    ``gap``, their difference: 0 certifies the packing as optimal."""
+    count = placed.groupBy("length").agg(F.count("*").alias("n")).collect()       # at most `capacity` rows
+    number = np.zeros(capacity + 1, np.int64)
+    for r in count:
+        number[r["length"]] = r["n"]
+    bound = F.lit(least_bins_of(number) if count else 0).cast("long")
+    return placed.select("sequence_id").distinct().agg(F.count("*").alias("n_sequences")).select(
+        "n_sequences", bound.alias("lower_bound"), (F.col("n_sequences") - bound).alias("gap"))
+
+
 def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = CAPACITY, group: int = GROUP, added: bool = False) -> DataFrame:
     """Pieces of all documents with their place: doc_id, piece, start, length,

@@ -1,9 +1,10 @@
 """Quality rules: an ordered decision list learned by sequential covering.
 
 Statistics of whole texts are one Arrow-batched column.  From labelled rows the
-learner grows conjunctions of thresholds by information gain, prunes them on
-held-back rows, keeps a rule only if it is precise there, removes what it
-covers, and goes on.  The result is a plain ordered Spark CASE expression.
+learner grows conjunctions of thresholds for either class by information gain,
+prunes them on held-back rows, takes the surer one if it is precise there, removes
+what it covers, and goes on.  Rules that keep and rules that reject follow each
+other, and the first that holds decides: a plain ordered Spark CASE expression.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ MAX_REPEAT_PERCENT = 50
 MAX_RULES = 12
 MAX_CONDITIONS = 4
 MIN_COVER = 8                # held-out rows behind a rule
-MIN_PRECISION = 0.9          # of a rejecting rule, on held-out rows
+MIN_PRECISION = 0.9          # of a rule, on held-out rows
+TRIES = 3                    # imprecise rules of a class before it has none
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
@@ -152,42 +154,74 @@ def _grow(x: np.ndarray, y: np.ndarray) -> list[Condition]:
 
 
 def _prune(x: np.ndarray, y: np.ndarray, rule: list[Condition]) -> list[Condition]:
-    """Drop trailing conditions while that doesn't lower (p - n) / (p + n)."""
+    """Drop conditions, whichever it is best to lose, while that doesn't lower
+    (p - n) / (p + n)."""
     def worth(conditions):
         hit = _covered(x, conditions)
         return (2 * y[hit].sum() - hit.sum()) / max(1, hit.sum())
-    while len(rule) > 1 and worth(rule[:-1]) >= worth(rule):
-        rule = rule[:-1]
+    while len(rule) > 1:
+        shorter = max(([c for c in rule if c is not gone] for gone in reversed(rule)), key=worth)
+        if worth(shorter) < worth(rule):
+            break
+        rule = shorter
     return rule
 
 
-def learn(rows: np.ndarray, good: np.ndarray, held: np.ndarray) -> list[Rule]:
-    """Rejecting rules in order.  ``rows`` has the ``STATS``; ``held`` marks the
-    rows used for pruning and for judging rules only."""
-    x, y = features(rows), ~good.astype(bool)
-    left, rules = np.ones(len(x), bool), []
-    while len(rules) < MAX_RULES:
-        grow, judge = left & ~held, left & held
+def _candidate(x: np.ndarray, y: np.ndarray, left: np.ndarray, held: np.ndarray):
+    """The first precise rule for the rows with ``y`` among those ``left``, with
+    its right and covered held-out rows; None if ``TRIES`` were not precise.
+    What an imprecise one covers is set aside for the next."""
+    tried = np.zeros(len(x), bool)
+    for _ in range(TRIES):
+        grow, judge = left & ~held & ~tried, left & held
         if not y[grow].any() or not y[judge].any():
-            break
+            return None
         rule = _grow(x[grow], y[grow])
         if not rule:
-            break
+            return None
         rule = _prune(x[judge], y[judge], rule)
         hit = judge & _covered(x, rule)
         cover, right = int(hit.sum()), int(y[hit].sum())
-        if cover < MIN_COVER or right < MIN_PRECISION * cover:
+        if cover >= MIN_COVER and right >= MIN_PRECISION * cover:
+            return rule, right, cover
+        tried |= _covered(x, rule)
+    return None
+
+
+def learn(rows: np.ndarray, good: np.ndarray, held: np.ndarray) -> list[Rule]:
+    """The decision list: rules for either class in the order in which they
+    decide, and last a default without conditions.  ``rows`` has the ``STATS``;
+    ``held`` marks the rows used for pruning and for judging rules only.
+
+    Of the best rule of each class the one that is surer on held-out rows comes
+    first; what it covers is decided, and the rest is learned from.  The default
+    is the class of most rows that are left, but to reject it must be as precise
+    as a rule.  Equal rules of both classes: the rejecting one.
+    """
+    x, good = features(rows), good.astype(bool)
+    left, rules = np.ones(len(x), bool), []
+    while len(rules) < MAX_RULES:
+        found = [(c, keep) for keep in (False, True) if (c := _candidate(x, good == keep, left, held))]
+        if not found:
             break
-        rules.append(Rule(tuple(rule), False, right / cover, cover))
+        (rule, right, cover), keep = max(found, key=lambda f: ((f[0][1] + 1) / (f[0][2] + 2), not f[1]))
+        rules.append(Rule(tuple(rule), keep, right / cover, cover))
         left &= ~_covered(x, rule)
+    rest = left & held
+    cover, bad = int(rest.sum()), int((rest & ~good).sum())
+    reject = cover >= MIN_COVER and bad >= MIN_PRECISION * cover
+    if rules:
+        rules.append(Rule((), not reject, (bad if reject else cover - bad) / max(1, cover), cover))
     return rules
 
 
 def verdict(stat: Column, rules: list[Rule]) -> Column:
-    """The decision list as one ordered CASE expression: first rule that holds
-    decides, rows that none covers stay."""
+    """The decision list as one ordered CASE expression: the first rule that
+    holds decides; an empty list keeps all."""
     out = None
     for rule in rules:
+        if not rule.conditions:
+            return F.lit(rule.keep) if out is None else out.otherwise(F.lit(rule.keep))
         hit = F.lit(True)
         for c in rule.conditions:
             v = feature(stat, c.name)

@@ -27,9 +27,9 @@ SHINGLE = 3            # words per shingle
 MAX_BITS = 2           # fingerprints this close link
 SEED = 42
 SHARD = 32_768         # distinct fingerprints per shard aimed at
-MAX_DEPTH = 20         # of the top tree
+MAX_DEPTH = 16         # of the top tree; beyond 2^16 times SHARD points shards grow
 SAMPLE_PER_SHARD = 64  # sampled fingerprints per shard of the top tree
-SAMPLE_MIN = 20_000    # and at least these: with MAX_DEPTH at most 2^26 longs
+SAMPLE_MIN = 20_000    # and at least these: with MAX_DEPTH at most 2^22 longs (32 MB)
 LEAF = 96              # points compared directly
 
 
@@ -161,7 +161,7 @@ def links(distinct: DataFrame, reach: int = MAX_BITS, shard: int = SHARD) -> Dat
     depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(max(1, n) / shard)))))
     sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(
         max(SAMPLE_MIN, SAMPLE_PER_SHARD << depth)) if depth else distinct.limit(0)
-    points = np.array([r.fp for r in sample.collect()], np.int64).view(np.uint64)
+    points = sample.select("fp").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64)
     tree = distinct.sparkSession.sparkContext.broadcast(top_tree(points, depth))
 
     def deal(batches):
@@ -194,7 +194,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = save(docs.select(F.col(id_col).alias("id"),
                             fingerprints(F.col(text_col), shingle).alias("fp")), "fingerprints")
-    return rows.join(components(rows, max_bits), "fp").select(
+    # Written, so that both sides are plain shuffles and a fingerprint of many rows can be split.
+    found = save(components(rows, max_bits).select("fp", "component_id"), "components")
+    return rows.join(found, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id")
 
@@ -224,12 +226,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mark = marks(*columns)
     rows = save(docs.select(F.col(id_col).alias("id"), mark[0].alias("r1"), mark[1].alias("r2"),
                             fingerprints(F.col(text_col), shingle).alias("fp")), "fingerprints")
-    assigned = components(rows.select("id", "fp"), max_bits)
-    keep = (rows.join(assigned.select("fp", "root"), "fp").groupBy("root")
+    assigned = save(components(rows.select("id", "fp"), max_bits).select("fp", "root"), "components")
+    keep = (rows.join(assigned, "fp").groupBy("root")
             .agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "r1", "r2")).alias("best"))
             .select("best.r1", "best.r2"))
     keep = save(keep, "survivors")
-    drop(rows)
+    drop(rows, assigned)
     marked = docs.withColumns({"__r1": mark[0], "__r2": mark[1]})
     kept = marked.join(keep, (marked["__r1"] == keep["r1"]) & (marked["__r2"] == keep["r2"]), "left_semi")
     return kept.dropDuplicates(["__r1", "__r2"]).drop("__r1", "__r2")

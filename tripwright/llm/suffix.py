@@ -82,32 +82,33 @@ def anchors_of(text: bytes, length: int = LENGTH):
     return [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 4
 
 
-ANCHORS = "k1 long, k2 long, gram long, context long, at int, low int, high int"
+ANCHORS = "k1 long, k2 long, gram long, context binary, at int, low int, high int"
 
 
 def anchors(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Anchors of all texts of ``(k1, k2, text)``."""
+    """Anchors of all texts of ``(k1, k2, text)``.  A context is told by 128 bits
+    of a cryptographic digest of all its bytes: contexts equal in it are removed
+    without being compared again."""
     def run(batches):
-        from xxhash import xxh64_intdigest
         for b in batches:
             k1, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
-            out, owner = [], []
+            out, owner, contexts = [], [], []
             for i, t in enumerate(b.column(2)):
                 text = t.as_py() or b""
                 if len(text) < length:
                     continue
                 gram, at, low, high = anchors_of(text, length)
-                context = np.array([xxh64_intdigest(text[x:y + length]) for x, y in
-                                    zip(low.tolist(), high.tolist(), strict=True)], np.uint64).view(np.int64)
-                out.append((gram, context, at, low, high))
+                contexts += [hashlib.blake2b(text[x:y + length], digest_size=16).digest()
+                             for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+                out.append((gram, at, low, high))
                 owner.append(np.full(len(gram), i))
             if not out:
                 continue
-            gram, context, at, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
+            gram, at, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
             owner = np.concatenate(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (k1[owner], k2[owner], gram, context, at.astype(np.int32),
-                                       low.astype(np.int32), high.astype(np.int32))],
+                [pa.array(x) for x in (k1[owner], k2[owner], gram)] + [pa.array(contexts, pa.binary())]
+                + [pa.array(x.astype(np.int32)) for x in (at, low, high)],
                 ["k1", "k2", "gram", "context", "at", "low", "high"])
     return rows.select("k1", "k2", F.col("text").cast("binary")).mapInArrow(run, ANCHORS)
 
@@ -306,13 +307,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(k1, k2, spans)``: byte spans, unmerged, that repeated strings cover in
     each text of ``(k1, k2, text)``."""
     every = save(anchors(rows, length), "anchors")
-    often = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # Written first: with plain shuffles on both sides of the join a gram of many rows can be split.
+    often = save(every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "grams-often")
     known = save(every.join(often, "gram"), "anchors-often")
-    drop(every)
+    drop(every, often)
     by_context = save(known.groupBy("gram", "context").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "low", "high")).alias("first")), "contexts")
     several = by_context.groupBy("gram").agg(F.count("*").alias("contexts"), F.min("n").alias("least"))
-    several = several.where("contexts > 1 and least = 1").select("gram", "contexts")
+    several = save(several.where("contexts > 1 and least = 1").select("gram", "contexts"), "grams-open")
 
     whole = known.join(by_context.where("n > 1").select("gram", "context"), ["gram", "context"]).select(
         "k1", "k2", F.col("low").alias("start"), (F.col("high") + length).alias("stop"))
@@ -334,7 +336,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     if not hot.isEmpty():
         spans = spans.union(_narrowed_spans(hot, length))
     out = save(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
-    drop(known, by_context, contexts)
+    drop(known, by_context, several, contexts)
     return out
 
 
