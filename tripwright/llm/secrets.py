@@ -3,8 +3,14 @@
 DataFrame and ML-pipeline operations only.  A candidate is a long unbroken run
 of key characters; a word, as a whole minified file, may hold many.  Its features are its length, the transitions
 between character classes, how much of it is spelled by the corpus' dictionary,
-the path it was found at and the words around it.  A forest is trained from
-labelled findings and gives every candidate a probability.
+the path it was found at and words before it.  A forest is trained from labelled
+findings and gives every candidate a probability.
+
+Labels come from the words next to a candidate, features from what it is made of
+and from words further away: the forest can't read a label off its features, so
+where a name beside a candidate promises a secret and the value looks like those
+in running prose, the forest says so.  A quarter of the different candidates is
+never labelled; what the forest says of these measures it.
 """
 
 from __future__ import annotations
@@ -18,10 +24,11 @@ from .common import marks, save
 
 MIN_RUN = 20                  # key characters in a row
 TRAINING_ROWS = 10_000        # bound on the labelled findings of each class
-DICTIONARY_COUNT = 20         # times a word of at least DICTIONARY_LETTERS letters
-DICTIONARY_LETTERS = 4        # occurs in the corpus to be in the dictionary
-DICTIONARY_LONGEST = 12       # letters of its longest words
-NEIGHBOURS = 3                # words before a candidate; one after it
+DICTIONARY_RATE = 5e-6        # share of the corpus' words that a word of the dictionary is
+DICTIONARY_LETTERS = 4        # letters of its shortest words
+DICTIONARY_LONGEST = 20       # and of its longest
+NEIGHBOURS = 6                # words before a candidate; one after it
+LABEL_NEIGHBOURS = 3          # of these the nearest make labels and are no features
 NEIGHBOUR_CHARS = 200         # of a neighbour; a word may be a whole file
 NEIGHBOUR_BUCKETS = 32
 PATH_BUCKETS = 8
@@ -76,12 +83,15 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str | None
                        F.coalesce("x.next", "after").alias("after"))
 
 
-def dictionary(docs: DataFrame, text_col: str) -> DataFrame:
-    """Letter words (lower case) that are frequent in the whole corpus."""
+def dictionary(docs: DataFrame, text_col: str, rate: float = DICTIONARY_RATE) -> DataFrame:
+    """Letter words (lower case) that are at least ``rate`` of all the corpus'
+    words of such a length, whatever its size; one that occurs once is none."""
     words = F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}]+", -1))
-    return (docs.select(words.alias("word"))
-            .where(F.length("word").between(DICTIONARY_LETTERS, DICTIONARY_LONGEST))
-            .groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= DICTIONARY_COUNT).select("word"))
+    counts = save(docs.select(words.alias("word"))
+                  .where(F.length("word").between(DICTIONARY_LETTERS, DICTIONARY_LONGEST))
+                  .groupBy("word").agg(F.count("*").alias("n")), "word-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where(F.col("n") >= max(2.0, rate * total)).select("word")
 
 
 def _coverage(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -120,7 +130,8 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     covered = _coverage(found, words)
     rows = found.join(covered, found.candidate == covered.spelled, "left").withColumns(
         numbers | {"dictionary_share": F.coalesce("dictionary_share", F.lit(0.0))})
-    near = F.transform(F.concat("before", F.array(F.coalesce("after", F.lit("")))), lambda w: F.pmod(
+    far = F.slice("before", 1, F.greatest(F.size("before") - LABEL_NEIGHBOURS, F.lit(0)))
+    near = F.transform(far, lambda w: F.pmod(
         F.xxhash64(F.regexp_replace(F.lower(w), r"[^\p{L}=:]", "")), F.lit(NEIGHBOUR_BUCKETS)))
     rows = rows.withColumn("__near", near)
     place = F.pmod(F.xxhash64("path"), F.lit(PATH_BUCKETS))
@@ -132,14 +143,22 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> Column:
-    """Label of a finding where its surroundings tell: 1 for a value assigned
-    to the name of a credential, 0 for a plain word, a number, or a value that
-    repeats one character; else null."""
-    last = F.get("before", F.size("before") - 1)
-    named = F.exists("before", lambda w: w.rlike(CREDENTIAL)) & (
-        last.isin("=", ":", "=>", ":=") | last.rlike(r"[=:][\"'`]?$"))
-    plain = F.col("candidate").rlike(r"^(?:[A-Za-z]+|[0-9]+|[_+/=-]+|(.)\1+)$")
-    return F.when(plain, 0.0).when(named, 1.0)
+    """Label of a finding where the words next to it tell, whatever it looks
+    like: 1 for a value assigned to the name of a credential, 0 for one in running
+    prose, between words that name nothing; else null."""
+    size = F.size("before")
+    near = F.slice("before", F.greatest(size - LABEL_NEIGHBOURS, F.lit(0)) + 1, LABEL_NEIGHBOURS)
+    last = F.get("before", size - 1)
+    assigned = last.isin("=", ":", "=>", ":=") | last.rlike(r"[=:][\"'`]?$")
+    named = F.exists(near, lambda w: w.rlike(CREDENTIAL))
+    prose = last.rlike(r"^\p{L}+[.,;!?]*$") & F.coalesce(F.col("after").rlike(r"^\p{L}+[.,;!?]*$"), F.lit(False))
+    return F.when(named & assigned, 1.0).when(prose & ~named, 0.0)
+
+
+def never_labelled(candidate: Column) -> Column:
+    """A quarter of all different candidates, by their hash: equal ones are all
+    learned from or all held out."""
+    return F.pmod(F.xxhash64(candidate, F.lit(11)), F.lit(4)) == 2
 
 
 def train(labelled: DataFrame, bound: int = TRAINING_ROWS) -> RandomForestClassificationModel | None:
@@ -160,7 +179,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     """Every candidate with its probability: id, word_no (its place among the
     words), run_no (its place among the word's runs, from 0), candidate, the numeric features, probability, is_secret.
 
-    ``labels`` maps findings to their label column (null: not labelled).  A null
+    ``labels`` maps findings to their label column (null: not labelled); the
+    findings of :func:`never_labelled` candidates are not learned from.  A null
     or empty text has no candidate; a null id or path is a value like any other;
     rows equal in id, text and path give one result; several candidates of a
     text, also equal ones, are results of their own; if the labels have one
@@ -169,7 +189,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     """
     found = save(candidates(docs, id_col, text_col, path_col).distinct(), "candidates")
     words = dictionary(docs, text_col)
-    rows = save(features(found, words).withColumn("label", labels(found)), "findings")
+    label = F.when(~never_labelled(F.col("candidate")), labels(found))
+    rows = save(features(found, words).withColumn("label", label), "findings")
     model = train(rows.where(F.col("label").isNotNull()))
     if model is None:
         scored = rows.withColumn("probability", F.lit(None).cast("double"))
