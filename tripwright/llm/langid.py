@@ -23,8 +23,8 @@ SMOOTHING = 0.5
 ROWS_PER_LANGUAGE = 5_000    # bound on a language's labelled texts that the model sees
 MAX_LANGUAGES = 256          # labels that are learned: the most frequent ones
 STEP = 1 << 20               # code points hashed at once
-ENTRIES = 1 << 18            # different n-grams of texts that are scored together, about
-PRODUCT = 1 << 20            # numbers of a product held at once
+ENTRIES = 1 << 16            # different n-grams of texts that are scored together, about
+PRODUCT = 1 << 18            # numbers of a product held at once
 UNKNOWN = "und"
 
 
@@ -124,38 +124,35 @@ def batch_scores(texts, table: np.ndarray):
     """
     languages = table.shape[1]
     step = max(1, PRODUCT // max(1, languages))
-    out, at, n, sizes = [], [], [], []
+    at, n = (np.empty(ENTRIES + BUCKETS, np.int32) for _ in range(2))      # the matrix: column and value of its entries,
+    ends: list[int] = []                                                   # by text
+    out = []
 
     def flush():
-        ends = np.cumsum(sizes)
-        buckets, counts = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, n))
-        owner = np.repeat(np.arange(len(sizes)), sizes)
+        sizes = np.diff([0, *ends])
         total = np.zeros((len(sizes), languages))
-        for i in range(0, len(buckets), step):
-            part = slice(i, i + step)
-            first = np.concatenate([[0], np.nonzero(np.diff(owner[part]))[0] + 1])
-            product = table[buckets[part]] * counts[part, None].astype(np.float64)
-            total[owner[part][first]] += np.add.reduceat(product, first, axis=0)
-        for k, size in enumerate(np.diff(np.concatenate([[0], ends]))):
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        for i in range(0, len(owner), step):
+            mine = owner[i:i + step]
+            first = np.concatenate([[0], np.nonzero(np.diff(mine))[0] + 1])
+            product = table[at[i:i + len(mine)]] * n[i:i + len(mine), None].astype(np.float64)
+            total[mine[first]] += np.add.reduceat(product, first, axis=0)
+        best = total.argmax(axis=1) if languages else None
+        for k, size in enumerate(sizes.tolist()):
             if not size or not languages:
                 out.append((-1, 0.0))
             else:
-                best = int(np.argmax(total[k]))
-                out.append((best, float(1 / np.exp(total[k] - total[k, best]).sum())))
-        for x in (at, n, sizes):
-            x.clear()
+                out.append((int(best[k]), float(1 / np.exp(total[k] - total[k, best[k]]).sum())))
+        ends.clear()
 
-    held = 0
     for text in texts:
         b, c = sparse_counts(text)
-        at.append(b)
-        n.append(c)
-        sizes.append(len(b))
-        held += len(b)
-        if held > ENTRIES:
+        have = ends[-1] if ends else 0
+        at[have:have + len(b)], n[have:have + len(b)] = b, np.minimum(c, np.iinfo(np.int32).max)
+        ends.append(have + len(b))
+        if ends[-1] > ENTRIES:
             flush()
-            held = 0
-    if sizes:
+    if ends:
         flush()
     return out
 
