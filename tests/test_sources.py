@@ -134,3 +134,51 @@ def test_new_files_are_loaded_once(spark, scratch, tmp_path):
     assert ingest_new_files(spark, paths, str(src / "*.csv")) == 1
     assert ingest_new_files(spark, paths, str(src / "*.csv")) == 0
     assert Warehouse(spark, paths).fact_trips.count() == 3
+
+
+def test_batches_are_cut_by_bytes_and_files(spark):
+    from tripwright.sources.ledger import deal_batches
+    start = dt.datetime(2018, 5, 1)
+    rows = [(f"f{i:04d}", 10 + i % 7, start + dt.timedelta(minutes=i // 3)) for i in range(500)]
+    files = spark.createDataFrame(rows, "path string, length long, modificationTime timestamp")
+    for size, number in ((100, 10_000), (10 ** 9, 7), (60, 5), (1, 1)):
+        got = sorted(deal_batches(files, size, number).collect(), key=lambda r: (r.modificationTime, r.path))
+        assert [r.path for r in got] == [r[0] for r in sorted(rows, key=lambda r: (r[2], r[0]))]
+        assert all(a.batch <= b.batch for a, b in zip(got, got[1:]))
+        for k in {r.batch for r in got}:
+            mine = [r.length for r in got if r.batch == k]
+            assert len(mine) <= number and sum(mine[:-1]) < size
+    assert deal_batches(files.where("false")).collect() == []
+
+
+def test_a_plan_goes_on_after_a_restart(spark, scratch, tmp_path, monkeypatch):
+    """Batches of one file; the run dies in the second, a file comes in, and the
+    next run does the rest with the batch ids of the first plan."""
+    import tripwright.plans.pipeline as P
+    src = tmp_path / "many"
+    src.mkdir()
+    for i in range(3):
+        write_csv(src / f"{i}.csv", [["Vienna", "POINT (1 1)", "POINT (2 2)", f"2018-05-0{i + 1} 08:00:00", "a"]] * 2)
+    paths, ran = TablePaths(scratch), []
+    real = P.update_facts
+
+    def dies(spark, paths, opts, days):
+        real(spark, paths, opts, days)
+        ran.append(opts.batch_id)
+        if len(ran) == 2:
+            raise RuntimeError("lost driver")
+
+    opts = P.PipelineOptions(stage_mode="append")
+    with monkeypatch.context() as m:
+        m.setattr(P, "update_facts", dies)
+        try:
+            P.ingest_new_files(spark, paths, str(src / "*.csv"), opts, batch_files=1)
+            raise AssertionError("it should have died")
+        except RuntimeError:
+            pass
+        write_csv(src / "late.csv", ROWS[:1])
+        assert P.ingest_new_files(spark, paths, str(src / "*.csv"), opts, batch_files=1) == 3     # two of the plan, one new
+    assert ran[2] == ran[1] and len(set(ran)) == 4
+    wh = P.Warehouse(spark, paths)
+    assert wh.fact_trips.count() == 4 and wh.trips.count() == 7
+    assert P.ingest_new_files(spark, paths, str(src / "*.csv"), opts) == 0

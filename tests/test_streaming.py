@@ -115,3 +115,36 @@ def test_all_windows_without_delay(spark, scratch, tmp_path):
     write_daily_counts(stream, out, f"{scratch}/_ck").awaitTermination()
     got = {(r.window_start.day, r.region): r.number_of_trips for r in read_daily_counts(spark, out).collect()}
     assert got == {(20, "Vienna"): 1, (1, "Vienna"): 3, (2, "Lisbon"): 2}
+
+
+def test_bad_lines_go_to_quarantine_and_the_stream_goes_on(spark, scratch, tmp_path, monkeypatch):
+    import pytest
+    import tripwright.plans.pipeline as P
+    src = tmp_path / "dirty"
+    src.mkdir()
+    write_csv(src / "1.csv", rows(1, 2) + [["V", "POINT (1 1)", "POINT (2 2)", "noon", "a"], ["V", "too few"]])
+    write_csv(src / "2.csv", rows(2, 1) + [["V", "POINT (1)", "POINT (2 2)", "2018-05-02 10:00:00", "a"]])
+    write_csv(src / "3.csv", rows(3, 1) + [["x" * 51, "POINT (1 1)", "POINT (2 2)", "2018-05-03 10:00:00", "a"]])
+    paths, ck, opts = TablePaths(scratch), f"{scratch}/_checkpoint", P.PipelineOptions(strict=False)
+    real, calls = P.check_batch, []
+
+    def dies_once(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost driver")
+        return real(*a, **k)
+
+    def stream():
+        return trips_file_stream(spark, str(src), max_files_per_trigger=1, strict=False)
+
+    monkeypatch.setattr(P, "check_batch", dies_once)
+    with pytest.raises(Exception):
+        ingest_stream(stream(), paths, ck, opts).awaitTermination()
+    ingest_stream(stream(), paths, ck, opts).awaitTermination()          # the second micro-batch again
+    wh = Warehouse(spark, paths)
+    assert wh.fact_trips.count() == 4
+    q = spark.read.parquet(f"{scratch}/trips_stage/quarantine").collect()
+    assert sorted(r.reason for r in q) == ["line", "line", "origin_coord", "region_length"]
+    assert {r["_corrupt_record"] for r in q if r.reason == "line"} == {"V,POINT (1 1),POINT (2 2),noon,a", "V,too few"}
+    with pytest.raises(ValueError):
+        ingest_stream(stream(), paths, ck)

@@ -18,7 +18,6 @@ per warehouse is assumed.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import random
 import threading
 import time
@@ -41,7 +40,7 @@ from ..schemas import PRIMARY_KEYS
 from ..session import delete_path, path_exists, rename_path, touch, work_root
 from ..sources.adapter import stage_from_sf
 from ..sources.csv_trips import read_trips
-from ..sources.ledger import FILES, new_files, record_files
+from ..sources.ledger import BATCH_BYTES, BATCH_FILES, open_plan, plan_batches, record_files
 from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
                               stage_batch, touched_days, with_month_columns, write_by_place,
                               write_monthly, write_stage)
@@ -290,21 +289,30 @@ def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
 
 
 def ingest_new_files(spark: SparkSession, paths: TablePaths, pattern: str,
-                     opts: PipelineOptions = PipelineOptions()) -> int:
-    """Load the trip files under ``pattern`` that were not loaded before;
-    returns how many.  They are recorded in the ledger after the load: a run
-    that dies in between loads them again, which changes nothing."""
-    ledger = f"{paths.root.rstrip('/')}/logs/ingested_files"
-    fresh = new_files(spark, pattern, ledger).collect()       # file names, no contents
-    if not fresh:
-        return 0
-    files = spark.createDataFrame(fresh, FILES)
-    batch = opts.batch_id or hashlib.md5("\n".join(sorted(f"{r.path} {r.length} {r.modificationTime}"
-                                                          for r in fresh)).encode()).hexdigest()
-    run_pipeline(spark, paths, read_trips(spark, [unquote(r.path) for r in fresh], opts.strict),
-                 replace(opts, batch_id=batch))
-    record_files(files, ledger, batch)
-    return len(fresh)
+                     opts: PipelineOptions = PipelineOptions(), batch_bytes: int = BATCH_BYTES,
+                     batch_files: int = BATCH_FILES) -> int:
+    """Load the trip files under ``pattern`` that were not loaded before, batch
+    by batch; returns how many files were.
+
+    A batch has at most ``batch_files`` files and, but for the last of them,
+    ``batch_bytes``; its names, and no others, are handed to the reader.  It is
+    recorded in the ledger after its load: a run that dies in between goes on
+    with it, under the same batch id, and loading rows again changes nothing.
+    """
+    logs = f"{paths.root.rstrip('/')}/logs"
+    ledger, loaded = f"{logs}/ingested_files", 0
+    plan = open_plan(spark, f"{logs}/ingest_plans", pattern, ledger, batch_bytes, batch_files)
+    while plan:
+        folder, plan_id = plan
+        for batch_id, files in plan_batches(spark, folder, plan_id, ledger):
+            names = [unquote(r.path) for r in files.select("path").limit(batch_files).toLocalIterator()]
+            run_pipeline(spark, paths, read_trips(spark, names, opts.strict), replace(opts, batch_id=batch_id))
+            record_files(files, ledger, batch_id)
+            loaded += len(names)
+        delete_path(spark, folder)
+        # A plan that an earlier run had begun may not hold the newest files.
+        plan = open_plan(spark, f"{logs}/ingest_plans", pattern, ledger, batch_bytes, batch_files)
+    return loaded
 
 
 class Warehouse:

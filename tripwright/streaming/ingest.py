@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import PipelineOptions, run_pipeline
-from ..schemas import TRIPS
+from ..schemas import CORRUPT, TRIPS
 from ..sources.csv_trips import DIALECT
 from ..session import delete_path, path_exists
 from ..sources.tables import TablePaths, days_filter, touched_days, write_monthly
@@ -36,13 +36,19 @@ STAGED_MONTHLY = T.StructType(TRIPS.fields + [T.StructField("year", T.IntegerTyp
 
 
 def trips_file_stream(spark: SparkSession, path: str, fmt: str = "csv",
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of trip files (CSV with header, or parquet) under ``path``."""
-    r = spark.readStream.schema(TRIPS)
+                      max_files_per_trigger: int | None = None, strict: bool = True) -> DataFrame:
+    """Stream of trip files (CSV with header, or parquet) under ``path``.
+
+    With ``strict`` a line that is no trip ends the stream, and a restart meets
+    it again.  Otherwise it comes with its text in ``_corrupt_record``, for the
+    quarantine, and the stream goes on."""
+    lenient = not strict and fmt == "csv"
+    r = spark.readStream.schema(T.StructType([*TRIPS.fields, T.StructField(CORRUPT, T.StringType())]) if lenient else TRIPS)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        return r.options(**DIALECT).option("mode", "FAILFAST").csv(path)
+        return (r.options(**DIALECT).option("mode", "PERMISSIVE" if lenient else "FAILFAST")
+                .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return r.format(fmt).load(path)
 
 
@@ -59,12 +65,20 @@ def event_time(df: DataFrame, ts_col: str = "datetime") -> DataFrame:
 def ingest_stream(stream: DataFrame, paths: TablePaths, checkpoint_location: str,
                   opts: PipelineOptions = PipelineOptions(), available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
-    """Run the batch pipeline on every micro-batch of ``stream``."""
+    """Run the batch pipeline on every micro-batch of ``stream``.
+
+    With ``opts.strict`` off, rows that a load would reject - malformed lines of
+    a lenient ``trips_file_stream``, points, times and over-long texts - go to a
+    quarantine folder of their micro-batch, and the others on.  The folder has
+    the micro-batch's number, so one that is run again replaces it."""
+    if CORRUPT in stream.columns and opts.strict:
+        raise ValueError("a lenient stream needs PipelineOptions(strict=False)")
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_pipeline(batch.sparkSession, paths, batch.select(*TRIP_COLUMNS),
+        columns = [*TRIP_COLUMNS, *([CORRUPT] if CORRUPT in batch.columns else [])]
+        run_pipeline(batch.sparkSession, paths, batch.select(*columns),
                      replace(opts, batch_id=f"epoch-{epoch_id}"))
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
