@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +32,24 @@ def scratch(spark: SparkSession, name: str) -> str:
     return work_root(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+_LEFT: dict[str, SparkSession] = {}      # tables written by save() and not dropped yet
+
+
+@atexit.register
+def _clean_up() -> None:
+    """Results are read until Python exits; what they read goes then."""
+    for path, spark in list(_LEFT.items()):
+        with contextlib.suppress(Exception):     # the session may be gone already
+            delete_path(spark, path)
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back: cuts the lineage, so a
-    lost executor costs a re-read and not a recomputation."""
+    lost executor costs a re-read and not a recomputation.  The table goes with
+    :func:`drop`, or when Python exits."""
     spark = df.sparkSession
     path = scratch(spark, name)
+    _LEFT[path] = spark
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
@@ -47,6 +62,7 @@ def drop(*saved: DataFrame) -> None:
         path = getattr(df, "_saved_at", None)
         if path:
             delete_path(df.sparkSession, path)
+            _LEFT.pop(path, None)
 
 
 def marks(*cols) -> list:

@@ -52,17 +52,16 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str, w: int, min_word
     # explode_outer: a plain explode would test the whole expression in a pushed filter as well.
     rows = save(rows.select("id", "k1", "k2", F.explode_outer(F.concat(*map(windows, range(1, w + 1)))).alias("x"))
                 .where(F.col("x").isNotNull()).select("id", "k1", "k2", "x.*"), "line-windows")
-    # Written, like those below: with plain shuffles on both sides of a join a hot value can be split.
+    # Written, like those below, and merged at any size: with plain shuffles on both
+    # sides of a join a hot value can be split.
     often = save(rows.where("first").groupBy("fp").count().where("count > 1").select("fp"), "fingerprints-often")
-    hit = save(rows.join(often, "fp").select("fp", "key", "id", "k1", "k2", "i", "numbers"), "line-hits")
+    hit = save(rows.join(often.hint("merge"), "fp").select("fp", "key", "id", "k1", "k2", "i", "numbers"), "line-hits")
     drop(rows, often)
     place = F.struct("id", "k1", "k2", "i")
     origin = save(hit.groupBy("fp", "key").agg(F.min(place).alias("origin"), F.count("*").alias("n"))
                   .where("n > 1").drop("n"), "line-origins")
-    gone = save(hit.join(origin, ["fp", "key"]).where(place > F.col("origin"))
-                .groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("gone")), "lines-gone")
-    drop(hit, origin)
-    return gone
+    return (hit.join(origin.hint("merge"), ["fp", "key"]).where(place > F.col("origin"))
+            .groupBy("k1", "k2").agg(F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("gone")))
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str, w: int) -> DataFrame:
