@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripwright.llm import decontam, lines, packing, quality, simhash
-from tripwright.llm.common import read, save, worker_path
+from tripwright.llm.common import drop, read, save, worker_path
 from tripwright.llm.queries import vocabulary
 
 
@@ -62,5 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = save(stage(spark, docs, sf_dir), name)
+        kept = save(stage(spark, docs, sf_dir), name)
+        drop(docs)                   # what the stage before wrote has been read
+        docs = kept
     return docs

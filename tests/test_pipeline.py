@@ -57,7 +57,7 @@ def test_named_queries(built):
         built.fact_trips, built.dim_region, built.dim_datasource, 2).collect()}
     assert top == {"Vienna": "city_hop", "Lisbon": "bike_net"}
     avg = {r.region: r.avg_weekly_trips for r in A.weekly_avg_trips(
-        built.fact_group_trips, built.dim_region, built.dim_event_time).collect()}
+        built.fact_group_trips, built.dim_region, built.dim_day).collect()}
     # Vienna: week 18 (05-05) 2 trips, week 19 (05-08) 1 trip.
     assert avg["Vienna"] == pytest.approx(1.5)
 

@@ -103,3 +103,52 @@ def test_hot_user_is_split_by_aqe(spark, scratch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_boxes_along_the_curve_are_skipped(spark, scratch, tmp_path):
+    """A month of daily boxes of many places: laid in order of time every file
+    holds boxes from everywhere, along the curve few can hold a probe."""
+    import random
+
+    import pyarrow.parquet as pq
+    from tripwright.functions.geo import curve_position
+    from tripwright.sources.tables import write_by_place
+    rng = random.Random(4)
+    rows = []
+    for region in range(400):
+        x, y = rng.uniform(-170, 170), rng.uniform(-80, 80)
+        rows += [(dt.datetime(2018, 5, 1 + d), region, (x - 0.1, y - 0.1, x + 0.1, y + 0.1), 1) for d in range(28)]
+    box = "struct<x0:double,y0:double,x1:double,y1:double>"
+    df = spark.createDataFrame(rows, f"event_date timestamp_ntz, region_id int, box_coord {box}, number_of_trips long").repartition(8)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        write_by_place(df, "event_date", f"{scratch}/place")
+        write_monthly(df, "event_date", f"{scratch}/time", mode="overwrite")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+    def may_hold(folder, x, y):
+        """Files whose statistics let the four pushed comparisons through."""
+        n = 0
+        for path in spark.read.parquet(folder).inputFiles():
+            meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+            stats = {}
+            for g in range(meta.num_row_groups):
+                for c in range(meta.num_columns):
+                    col = meta.row_group(g).column(c)
+                    stats.setdefault(col.path_in_schema, []).append(col.statistics)
+            n += any(a.min <= x and b.min <= y and c.max >= x and d.max >= y for a, b, c, d in zip(
+                *(stats[f"box_coord.{k}"] for k in ("x0", "y0", "x1", "y1"))))
+        return n
+
+    files = len(spark.read.parquet(f"{scratch}/place").inputFiles())
+    assert files >= 6 and len(spark.read.parquet(f"{scratch}/time").inputFiles()) >= 6
+    for _, region, (x0, y0, _, _), _ in rows[::1400]:
+        x, y = x0 + 0.1, y0 + 0.1
+        assert may_hold(f"{scratch}/place", x, y) <= 2 and may_hold(f"{scratch}/time", x, y) >= 6
+        from tripwright.functions.geo import box_contains
+        hits = [spark.read.parquet(f"{scratch}/{k}").where(box_contains("box_coord", x, y)) for k in ("place", "time")]
+        assert sorted(tuple(r) for r in hits[0].collect()) == sorted(tuple(r) for r in hits[1].collect()) != []
+    odd = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0), (1e300, -1e300), (float("inf"), 0.0), (0.0, 0.0)], "x double, y double")
+    assert all(0 <= r.p < 1 << 32 for r in odd.select(curve_position("x", "y").alias("p")).collect())

@@ -88,7 +88,7 @@ def test_sql_text_matches_dataframe_queries(spark, scratch, tmp_path):
     same(run_query(spark, T.LATEST_DATASOURCE_TOP, {"k": 2}),
          A.latest_datasource_top(wh.fact_trips, wh.dim_region, wh.dim_datasource, 2))
     same(run_query(spark, T.WEEKLY_AVG_TRIPS),
-         A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_event_time))
+         A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_day))
     same(run_query(spark, T.CHECK_POSITION, {"x": 7.60, "y": 45.00}),
          A.check_position(wh.fact_group_trips, wh.dim_region, 7.60, 45.00))
     same(run_query(spark, T.LIST_REGIONS), wh.dim_region)

@@ -1,5 +1,6 @@
 import random
 
+from pyspark.sql import functions as F
 
 from tripwright.operators.spatial import box_cells, point_cells, points_in_boxes
 
@@ -83,3 +84,28 @@ def test_equal_columns_join_too(spark):
     got = points_in_boxes(pdf, bdf, box_col="b", on=["d"])
     assert got.columns.count("d") == 1 and [r.pid for r in got.collect()] == [1]
     assert points_in_boxes(pdf, bdf.where("false"), box_col="b", on=["d"]).columns.count("d") == 1
+
+
+def test_a_crowded_cell_is_split(spark):
+    """Nine tenths of the points in one cell: the same pairs from quarters, and
+    that cell's rows in many tasks."""
+    from tripwright.operators import spatial as P
+    rng = random.Random(7)
+    points = [(i, 7 + rng.random(), 45 + rng.random()) for i in range(1800)]
+    points += [(2000 + i, rng.uniform(-20, 20), rng.uniform(-20, 20)) for i in range(200)]
+    points += [(3000, 7.0, 45.0), (3001, 8.0, 46.0), (3002, 7.5, 45.5), (3003, None, 1.0)]
+    boxes = []
+    for i in range(300):
+        x, y, w = 7 + rng.random(), 45 + rng.random(), rng.choice([0.0, 0.01, 0.3, 1.0])
+        boxes.append((i, (x, y, x + w, y + w)))
+    boxes += [(900, (7.0, 45.0, 8.0, 46.0)), (901, (-50.0, -50.0, 50.0, 50.0)), (902, (7.5, 45.5, 7.5, 45.5))]
+    pdf = spark.createDataFrame(points, "pid int, x double, y double")
+    bdf = spark.createDataFrame(boxes, "bid int, box_coord struct<x0:double,y0:double,x1:double,y1:double>")
+    want = {(p, b) for p, x, y in points if x is not None for b, (x0, y0, x1, y1) in boxes if x0 <= x <= x1 and y0 <= y <= y1}
+    whole = P.points_in_boxes(pdf, bdf)
+    split = P.points_in_boxes(pdf, bdf, split_points=50, sample=1.0)
+    for got in (whole, split):
+        rows = [(r.pid, r.bid) for r in got.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
+    cells = P.point_cells(pdf, [0], "x", "y").withColumn("one", F.lit(1))
+    assert P.crowded_cells(cells, ["_lvl", "_cx", "_cy"], 50, 1.0).where("_cx = 7 and _cy = 45").first()._depth == 3

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import day_start, event_time_parts
@@ -61,3 +63,11 @@ def fill_event_time(stage: DataFrame, dim_time: DataFrame,
                     months: list[tuple[int, int]] | None = None) -> DataFrame:
     """New time-dimension rows with hour/day/week/month/year/weekday."""
     return event_time_rows(new_event_times(stage, dim_time, months))
+
+
+def fill_days(spark: SparkSession, days: list[dt.date], dim_day: DataFrame) -> DataFrame:
+    """New rows of the day table: the time-dimension rows of the starts of
+    ``days`` (a batch's calendar days, a bounded list) that it hasn't yet."""
+    starts = spark.createDataFrame([(d,) for d in days], "day date").select(
+        F.col("day").cast("timestamp_ntz").alias("event_timestamp"))
+    return event_time_rows(starts.join(dim_day.select("event_timestamp"), "event_timestamp", "left_anti"))

@@ -69,25 +69,14 @@ def latest_datasource_top(fact: DataFrame, dim_region: DataFrame, dim_datasource
         "region", "last.datasource", F.col("last.latest").alias("event_timestamp"))
 
 
-def _midnights(dim_event_time: DataFrame) -> DataFrame:
-    """Time-dimension rows of day starts.  ``hour = 0`` is pushed to the
-    parquet scan; the exact midnight test then drops the other hour-0 rows.
-
-    The dimension's files are sorted by timestamp, so a row group inside one
-    day covers a contiguous run of hours and the pushed ``hour = 0`` skips
-    every row group without an hour-0 row: about 1/24 of the table is read.
-    """
-    return (dim_event_time.where(F.col("hour") == 0)
-            .where(F.col("event_timestamp") == day_start("event_timestamp")))
-
-
-def weekly_trips(group: DataFrame, dim_region: DataFrame, dim_event_time: DataFrame,
+def weekly_trips(group: DataFrame, dim_region: DataFrame, dim_day: DataFrame,
                  by_year: bool = False) -> DataFrame:
-    """Trips per (ISO week, region).  The week comes from the time dimension
-    joined on the day-start timestamp.  by_year=False groups by week number
-    only (weeks of different years merge, as the original query does);
+    """Trips per (ISO week, region).  The week comes from the day starts of the
+    time dimension, which have a small table of their own: a row per calendar
+    day, where the dimension has one per trip time.  by_year=False groups by week
+    number only (weeks of different years merge, as the original query does);
     by_year=True adds the ISO week-based year."""
-    mid = _midnights(dim_event_time).select(F.col("event_timestamp").alias("event_date"), "week")
+    mid = dim_day.select(F.col("event_timestamp").alias("event_date"), "week")
     j = (group.select("event_date", "region_id", "number_of_trips")
               .join(mid, "event_date", "inner")
               .join(dim_region, "region_id", "inner"))
@@ -98,10 +87,10 @@ def weekly_trips(group: DataFrame, dim_region: DataFrame, dim_event_time: DataFr
     return j.groupBy(*keys).agg(F.sum("number_of_trips").cast("bigint").alias("number_of_trips"))
 
 
-def weekly_avg_trips(group: DataFrame, dim_region: DataFrame, dim_event_time: DataFrame,
+def weekly_avg_trips(group: DataFrame, dim_region: DataFrame, dim_day: DataFrame,
                      by_year: bool = False) -> DataFrame:
     """Average weekly trip count per region (average over its weeks)."""
-    w = weekly_trips(group, dim_region, dim_event_time, by_year)
+    w = weekly_trips(group, dim_region, dim_day, by_year)
     return w.groupBy("region").agg(F.avg("number_of_trips").alias("avg_weekly_trips"))
 
 

@@ -30,15 +30,17 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dims import fill_event_time, upsert_dim
+from ..operators.dims import fill_days, fill_event_time, upsert_dim
 from ..operators.facts import (build_delta, group_boxes, group_extremes, insert_if_absent,
                                merge_extremes)
 from ..operators.oplog import LogWriter, logged
 from ..operators.quality import (check_non_empty, enforce_lengths, group_total_report,
                                  key_report, require, split_malformed)
+from ..functions.timeparts import day_start
 from ..schemas import PRIMARY_KEYS
 from ..session import delete_path, path_exists, rename_path, touch, work_root
 from ..sources.adapter import stage_from_sf
+from ..sources.compaction import compact_months, finish_compaction
 from ..sources.csv_trips import read_trips
 from ..sources.ledger import BATCH_BYTES, BATCH_FILES, open_plan, plan_batches, record_files
 from ..sources.tables import (TablePaths, days_filter, months_filter, months_of, read_table,
@@ -61,6 +63,7 @@ class PipelineOptions:
     check_keys: bool = False
     pipeline_version_instance: str = "v1"
     log_name: str = "trips"
+    compact: bool = True                 # rewrite months that got too many small files
     step_attempts: int = 1               # whole-step retries (steps are re-runnable)
     retry_wait: tuple[float, float] = (1.0, 2.0)   # random wait between attempts, seconds
 
@@ -109,7 +112,7 @@ def load_stage(spark: SparkSession, paths: TablePaths, source: DataFrame,
 
 def update_dimensions(spark: SparkSession, paths: TablePaths, opts: PipelineOptions,
                       days: list[dt.date]) -> None:
-    """The three dimensions are independent: their jobs are submitted from a
+    """The dimensions are independent: their jobs are submitted from a
     small thread pool and share the cluster (Spark schedules concurrent jobs)."""
     stage = stage_batch(spark, paths, opts.batch_id)
 
@@ -124,10 +127,18 @@ def update_dimensions(spark: SparkSession, paths: TablePaths, opts: PipelineOpti
         write_monthly(fill_event_time(stage, dim_time), "event_timestamp",
                       paths.path("dim_event_time"), mode="append")
 
-    with ThreadPoolExecutor(max_workers=3, thread_name_prefix="tripwright-dims") as pool:
+    def day_starts():
+        if not path_exists(spark, paths.path("dim_day")):      # a warehouse from before it was kept
+            times = read_table(spark, paths, "dim_event_time").where(F.col("hour") == 0)
+            times.where(F.col("event_timestamp") == day_start("event_timestamp")).coalesce(1).write.parquet(
+                paths.path("dim_day"))
+        fill_days(spark, days, read_table(spark, paths, "dim_day")).coalesce(1).write.mode("append").parquet(
+            paths.path("dim_day"))
+
+    with ThreadPoolExecutor(max_workers=4, thread_name_prefix="tripwright-dims") as pool:
         futures = [pool.submit(surrogate, "dim_datasource", "datasource", "datasource_id"),
                    pool.submit(surrogate, "dim_region", "region", "region_id"),
-                   pool.submit(event_time)]
+                   pool.submit(event_time), pool.submit(day_starts)]
         for f in futures:
             f.result()
 
@@ -266,6 +277,17 @@ def quality_tables(spark: SparkSession, paths: TablePaths) -> dict[str, DataFram
                       "fact_group_trips")}
 
 
+# Appended tables and their time columns.
+APPENDED = {"fact_trips": "event_timestamp", "dim_event_time": "event_timestamp"}
+
+
+def compact_tables(spark: SparkSession, paths: TablePaths, days: list[dt.date]) -> None:
+    """Rewrite the batch's months of the appended tables where they got too many
+    small files."""
+    for table, ts_col in APPENDED.items():
+        compact_months(spark, paths, table, months_of(days), ts_col)
+
+
 def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
                  opts: PipelineOptions = PipelineOptions()) -> TablePaths:
     """Run every step in dependency order, each logged to ``trips_log``."""
@@ -278,9 +300,13 @@ def run_pipeline(spark: SparkSession, paths: TablePaths, source: DataFrame,
             with logged(spark, log, opts.log_name, event, v):
                 return with_retries(fn, opts.step_attempts, opts.retry_wait)
 
+        for table, ts_col in APPENDED.items():      # what an earlier run may have left half swapped
+            finish_compaction(spark, paths, table, ts_col)
         days = step("load_stage", lambda: load_stage(spark, paths, source, opts))
         step("update_dimension_tables", lambda: update_dimensions(spark, paths, opts, days))
         step("update_fact_tables", lambda: update_facts(spark, paths, opts, days))
+        if opts.compact:
+            compact_tables(spark, paths, days)
         if opts.check_quality:
             step("data_quality", lambda: check_batch(spark, paths, days, opts.check_keys))
     finally:

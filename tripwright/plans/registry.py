@@ -24,9 +24,10 @@ from ..operators import quality as Q
 from ..operators.dims import fill_event_time, new_event_times, new_members, upsert_dim
 from ..operators.facts import build_delta
 from ..operators.oplog import last_event
+from ..operators.zones import zone_key_report
 from ..session import delete_path, work_root
 from ..sources.adapter import read_sf, stage_from_sf
-from ..sources.csv_trips import DIALECT, read_trips
+from ..sources.csv_trips import DIALECT, read_trips, share_file_id
 from ..sources.sql import register_catalog, run_query
 from ..sources.tables import TablePaths, month_predicate, read_table, write_stage
 from ..streaming.ingest import (ingest_stream, read_daily_counts, trips_file_stream,
@@ -34,7 +35,8 @@ from ..streaming.ingest import (ingest_stream, read_daily_counts, trips_file_str
 from . import analytics as A
 from . import scenarios as S
 from . import sql_text
-from .pipeline import ingest_new_files, merge_delta, warehouse_for
+from .pipeline import (PipelineOptions, ingest_new_files, merge_delta, run_pipeline, warehouse_for,
+                       with_retries)
 
 # Fixed query parameters.
 PROBE_X, PROBE_Y = 7.5, 50.5
@@ -97,13 +99,76 @@ def q_csv_round_trip(spark, sf):
     return read_trips(spark, f"{paths.root}/files")
 
 
+def q_csv_multiline(spark, sf):
+    """The same rows with line breaks and quotes inside a field, read in byte ranges."""
+    paths = _scratch(spark, "csv_multiline")
+    good, _ = Q.split_malformed(S.dirty_stage(spark, sf))
+    broken = good.withColumn("datasource", F.concat(F.col("datasource"), F.lit('\n"x",\n\ny')))
+    broken.write.options(**DIALECT, nullValue="", emptyValue='""', ignoreLeadingWhiteSpace=False,
+                         ignoreTrailingWhiteSpace=False).csv(f"{paths.root}/files")
+    return read_trips(spark, f"{paths.root}/files", multiline=True)
+
+
+def q_share_file_ids(spark, sf):
+    """The file id of a share link for every event."""
+    ev = read_sf(spark, sf, "events")
+    links = ev.select("event_id", F.concat(F.lit("https://share.example/file/d/"), F.md5(F.concat_ws(
+        "-", "event_id", "event_type")), F.lit("/view?usp=sharing")).alias("uri"))
+    return links.select("event_id", share_file_id("uri").alias("file_id"))
+
+
+def q_first_run_setup(spark, sf):
+    """Rows per table before anything was written, when each reads as empty, and
+    after the first load."""
+    paths = _scratch(spark, "setup")
+    names = ("trips", "dim_datasource", "dim_region", "dim_event_time", "fact_trips", "fact_group_trips")
+    before = {t: read_table(spark, paths, t).count() for t in names}
+    run_pipeline(spark, paths, stage_from_sf(spark, sf))
+    after = Q.check_non_empty({t: read_table(spark, paths, t) for t in names})
+    known = spark.createDataFrame(list(before.items()), "table_name string, rows_before long")
+    return after.join(F.broadcast(known), "table_name").select("table_name", "rows_before", "row_count")   # a row per table
+
+
+def q_run_log(spark, sf):
+    """The log of a good load and of a strict load of the dirty delivery, which
+    fails: rows by run, event and type, with the first and last place of each."""
+    paths = _scratch(spark, "run_log")
+    run_pipeline(spark, paths, stage_from_sf(spark, sf), PipelineOptions(log_name="good"))
+    try:
+        run_pipeline(spark, paths, S.dirty_stage(spark, sf), PipelineOptions(log_name="dirty"))
+    except Exception:      # noqa: BLE001 - the log is what is asked for
+        pass
+    log = read_table(spark, paths, "trips_log")
+    return log.groupBy("log_name", "event", "event_type").agg(
+        F.count("*").alias("n"), F.min("log_id").alias("log_id"),
+        F.min(F.col("duration_sec") >= 0).alias("timed"))
+
+
+def q_retried_stage_append(spark, sf):
+    """Batches appended to the stage by a step that fails after its first write:
+    the second attempt leaves each row once."""
+    paths = _scratch(spark, "retry")
+    failed = set()
+
+    def step(name):
+        write_stage(S.calendar_batch(spark, sf, name), paths.path("trips"), "append", name)
+        if name not in failed:
+            failed.add(name)
+            raise RuntimeError("after the write")
+
+    for name in ("A", "B"):
+        with_retries(lambda: step(name), attempts=3, wait=(0.0, 0.0))      # noqa: B023 - run at once
+    return read_table(spark, paths, "trips")
+
+
 def q_ledger_ingest(spark, sf):
-    """Two deliveries of CSV files in one folder; each run loads what is new."""
+    """Two deliveries of CSV files in one folder; each run loads what is new, in
+    batches of a few files."""
     paths = _scratch(spark, "ledger")
     folder = f"{paths.root}/files"
     for name in ("A", "B"):
         S.calendar_batch(spark, sf, name).write.options(**DIALECT).mode("append").csv(folder)
-        ingest_new_files(spark, paths, f"{folder}/*.csv")
+        ingest_new_files(spark, paths, f"{folder}/*.csv", batch_files=4)
     if ingest_new_files(spark, paths, f"{folder}/*.csv"):
         raise AssertionError("files were loaded twice")
     return flat_fact(read_table(spark, paths, "fact_trips"))
@@ -295,17 +360,17 @@ def q_latest_datasource_top2(spark, sf):
 
 def q_weekly_trips(spark, sf):
     wh = warehouse_for(spark, sf)
-    return A.weekly_trips(wh.fact_group_trips, wh.dim_region, wh.dim_event_time)
+    return A.weekly_trips(wh.fact_group_trips, wh.dim_region, wh.dim_day)
 
 
 def q_weekly_avg_trips(spark, sf):
     wh = warehouse_for(spark, sf)
-    return A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_event_time)
+    return A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_day)
 
 
 def q_weekly_avg_trips_by_year(spark, sf):
     wh = warehouse_for(spark, sf)
-    return A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_event_time, by_year=True)
+    return A.weekly_avg_trips(wh.fact_group_trips, wh.dim_region, wh.dim_day, by_year=True)
 
 
 def q_last_event(spark, sf):
@@ -416,8 +481,10 @@ def q_dq_row_counts(spark, sf):
 def q_dq_primary_keys(spark, sf):
     wh = warehouse_for(spark, sf)
     reps = [Q.key_report(wh.table(t), schemas.PRIMARY_KEYS[t], t)
-            for t in ("dim_datasource", "dim_region", "dim_event_time", "fact_trips",
-                      "fact_group_trips")]
+            for t in ("dim_datasource", "dim_region", "fact_group_trips")]
+    # Sorted by time inside their files: no shuffle of the table.
+    reps += [zone_key_report(spark.read.schema(wh.paths.schema(t)).parquet(wh.paths.path(t)),
+                             "event_timestamp", schemas.PRIMARY_KEYS[t], t) for t in ("dim_event_time", "fact_trips")]
     reps.append(Q.key_report(S.dirty_stage(spark, sf), STAGE_KEY, "trips"))
     out = reps[0]
     for r in reps[1:]:
@@ -472,6 +539,11 @@ QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_append": q_stage_append,
     "csv_round_trip": q_csv_round_trip,
+    "csv_multiline": q_csv_multiline,
+    "share_file_ids": q_share_file_ids,
+    "first_run_setup": q_first_run_setup,
+    "run_log": q_run_log,
+    "retried_stage_append": q_retried_stage_append,
     "ledger_ingest": q_ledger_ingest,
     "list_regions": q_list_regions,
     "list_datasources": q_list_datasources,

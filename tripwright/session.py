@@ -92,6 +92,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Files below a folder and their bytes, from the file system's own summary;
+    zeros for one that isn't there."""
+    if not path_exists(spark, path):
+        return 0, 0
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hpath)
+    return found.getFileCount(), found.getLength()
+
+
 def rename_path(spark: SparkSession, path: str, to: str) -> None:
     """Rename a folder we created, via its file system."""
     jvm = spark.sparkContext._jvm

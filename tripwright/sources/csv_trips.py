@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -43,3 +43,8 @@ def read_trips(spark: SparkSession, paths: str | Iterable[str], strict: bool = T
 def file_id_from_share_uri(uri: str) -> str:
     """File id of a share link ``.../d/<id>/view`` - the second-last segment."""
     return uri.split("/")[-2]
+
+
+def share_file_id(uri) -> Column:
+    """The same of a column of links; NULL for one without two segments."""
+    return F.try_element_at(F.split(uri, "/"), F.lit(-2))

@@ -22,6 +22,8 @@ TABLES = {
     "dim_region": ("trips", schemas.DIM_REGION),
     "dim_datasource": ("trips", schemas.DIM_DATASOURCE),
     "dim_event_time": ("trips", schemas.DIM_EVENT_TIME),
+    # The day starts of dim_event_time on their own: a row per calendar day.
+    "dim_day": ("trips", schemas.DIM_EVENT_TIME),
     "fact_trips": ("trips", schemas.FACT_TRIPS),
     "fact_group_trips": ("trips", schemas.FACT_GROUP_TRIPS),
     # True-envelope variant of the group fact (same schema).
@@ -77,17 +79,18 @@ def with_month_columns(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def write_monthly(df: DataFrame, ts_col: str, path: str, mode: str = "append",
-                  dynamic: bool = True) -> None:
+                  dynamic: bool = True, files: int | None = None) -> None:
     """Write with ``year=/month=`` partitions derived from ``ts_col``.
 
     Rows are range-partitioned on (year, month, ts): a hot month is split by
     time over several tasks, a batch over many months makes about as many files
     as tasks and months together, and each file holds a narrow time range of its
     own, so filters on ``ts_col`` skip files and row groups.
-    ``mode='overwrite'`` with ``dynamic`` replaces only the months present.
+    ``mode='overwrite'`` with ``dynamic`` replaces only the months present;
+    ``files`` asks for about so many ranges.
     """
     out = df if "year" in df.columns and "month" in df.columns else with_month_columns(df, ts_col)
-    (out.repartitionByRange("year", "month", ts_col)
+    (out.repartitionByRange(*([files] if files else []), "year", "month", ts_col)
         .sortWithinPartitions("year", "month", ts_col)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
