@@ -66,5 +66,11 @@ def test_trailing_blanks_do_not_count(spark):
 
 def test_group_total(spark):
     fact, group = spark.range(5), spark.createDataFrame([(3,), (1,)], "number_of_trips long")
-    r = Q.group_total_report(fact, group, "g").first()
-    assert (r["row_count"], r["group_total"], r["passed"]) == (5, 4, False)
+    report = Q.group_total_report(fact, {"g": group, "h": group.union(group.limit(1).selectExpr("1L"))})
+    assert sorted(map(tuple, report.collect())) == [("g", 5, 4, False), ("h", 5, 5, True)]
+
+
+def test_non_empty_without_counting(spark):
+    report = Q.check_non_empty({"some": spark.range(1000), "none": spark.range(0)}, counted=False)
+    assert sorted(map(tuple, report.collect())) == [("none", 0, False), ("some", 1, True)]
+    assert "Limit" in report._jdf.queryExecution().optimizedPlan().toString()

@@ -252,8 +252,8 @@ def refresh_groups(spark: SparkSession, paths: TablePaths, opts: PipelineOptions
         else:
             write_monthly(fresh, "event_date", paths.path(table), mode="overwrite", dynamic=dynamic)
 
-    for table in GROUP_TABLES:
-        overwrite(table)
+    with ThreadPoolExecutor(max_workers=len(GROUP_TABLES), thread_name_prefix="tripwright-groups") as pool:
+        list(pool.map(overwrite, GROUP_TABLES))
     overwrite("fact_group_state")         # last: it says that a state is there
 
 
