@@ -30,15 +30,16 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timeparts import day_start
 from ..operators.dims import fill_days, fill_event_time, upsert_dim
 from ..operators.facts import (build_delta, group_boxes, group_extremes, insert_if_absent,
                                merge_extremes)
 from ..operators.oplog import LogWriter, logged
 from ..operators.quality import (check_non_empty, enforce_lengths, group_total_report,
                                  key_report, require, split_malformed)
-from ..functions.timeparts import day_start
+from ..operators.sketch import may_match
 from ..schemas import PRIMARY_KEYS
-from ..session import delete_path, path_exists, rename_path, touch, work_root
+from ..session import delete_path, folder_size, path_exists, rename_path, touch, work_root
 from ..sources.adapter import stage_from_sf
 from ..sources.compaction import compact_months, finish_compaction
 from ..sources.csv_trips import read_trips
@@ -63,6 +64,9 @@ class PipelineOptions:
     check_keys: bool = False
     pipeline_version_instance: str = "v1"
     log_name: str = "trips"
+    # Bytes of the touched months from which a batch's keys are sketched to prune
+    # the fact's side of the anti-join (two more passes over the batch); None: never.
+    sketch_bytes: int | None = 8 << 30
     compact: bool = True                 # rewrite months that got too many small files
     step_attempts: int = 1               # whole-step retries (steps are re-runnable)
     retry_wait: tuple[float, float] = (1.0, 2.0)   # random wait between attempts, seconds
@@ -174,6 +178,9 @@ def merge_delta(spark: SparkSession, paths: TablePaths, delta: DataFrame, dedupe
         delta.write.mode("overwrite").parquet(paths.path("fact_delta_trips"))
     written = read_table(spark, paths, "fact_delta_trips")
     existing = read_table(spark, paths, "fact_trips").where(days_filter(days, "event_timestamp"))
+    if opts.sketch_bytes is not None and opts.sketch_bytes <= sum(folder_size(
+            spark, f"{paths.path('fact_trips')}/year={y}/month={m}")[1] for y, m in months_of(days)):
+        existing = may_match(existing, PRIMARY_KEYS["fact_trips"], written, written.count())
     folder = open_batch(paths)
     insert_if_absent(written, existing, dedupe=dedupe).write.mode("overwrite").parquet(f"{folder}/inserted")
     finish_open_batch(spark, paths, opts, days)
