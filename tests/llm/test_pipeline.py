@@ -48,7 +48,7 @@ def test_run_is_the_stages(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "labels"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.execute(queries.ORACLE_SQL[name]).df()
