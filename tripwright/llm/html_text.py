@@ -46,6 +46,7 @@ HEADING_PLACES = set("site main global top bar container wrapper wrap inner oute
 OTHERS = set("comment comments commentlist respond cookie cookies consent gdpr".split())   # may be longer than the text
 INLINE = set("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q
     rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
+SPOKEN = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd".split())
 # A start tag of the first closes an open one of the second, up to the third.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -315,6 +316,28 @@ def hash_subtrees(root: Element, own: list[Element]) -> list[Element]:
     return found
 
 
+def beside_prose(root: Element, template) -> set[int]:
+    """Ids of the paragraphs that stay although they recur: those in a container,
+    not the page's body, with a paragraph of prose of its own beside them.  A
+    site's template has elements of its own around its text; a licence line or a
+    passage that many articles share stands among their paragraphs."""
+    order, todo = [], [root]
+    while todo:
+        e = todo.pop()
+        order.append(e)
+        todo += [x for x in e.parts if isinstance(x, Element) and not x.never]
+    words: dict[int, int] = {}           # below each element
+    stay = set()
+    for e in reversed(order):
+        below = [x for x in e.parts if isinstance(x, Element) and not x.never]
+        words[id(e)] = sum(words[id(x)] for x in below) + sum(len(x.split()) for x in e.parts if isinstance(x, str))
+        spoken = [x for x in below if x.tag in SPOKEN]
+        if e.tag not in ("#page", "html", "body") and e.hash not in template and any(
+                x.hash not in template and words[id(x)] >= PROSE_WORDS for x in spoken):
+            stay |= {id(x) for x in spoken}
+    return stay
+
+
 def _blocks(top: list[Element]) -> list[str]:
     """Texts of the blocks below ``top`` in page order."""
     out, line = [], []
@@ -355,9 +378,10 @@ def main_text(page: str | None, template=frozenset()) -> str:
         return ""
     root = parse(page)
     if template:
-        for e in hash_subtrees(root, own_articles(root)):
-            if e.hash in template:
-                e.never = True
+        found = [e for e in hash_subtrees(root, own_articles(root)) if e.hash in template]
+        stay = beside_prose(root, template) if found else ()
+        for e in found:
+            e.never = e.never or id(e) not in stay
     return "\n\n".join(_blocks(articles(root)) or _blocks([root]))
 
 
