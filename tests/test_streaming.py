@@ -1,3 +1,5 @@
+import os
+
 from tripwright.plans.pipeline import Warehouse
 from tripwright.sources.tables import TablePaths
 from tripwright.streaming.ingest import daily_counts, ingest_stream, trips_file_stream
@@ -148,3 +150,45 @@ def test_bad_lines_go_to_quarantine_and_the_stream_goes_on(spark, scratch, tmp_p
     assert {r["_corrupt_record"] for r in q if r.reason == "line"} == {"V,POINT (1 1),POINT (2 2),noon,a", "V,too few"}
     with pytest.raises(ValueError):
         ingest_stream(stream(), paths, ck)
+
+
+def test_hot_days_by_keyed_state(spark, scratch, tmp_path, monkeypatch):
+    """Out-of-order deliveries with copies: nothing lost or doubled, written rows
+    of hot days are not read again, and a run that dies after its append is made
+    good."""
+    import pytest
+    import tripwright.streaming.ingest as I
+    src = tmp_path / "hot"
+    src.mkdir()
+    files = [rows(5, 4) + rows(6, 3), rows(6, 5) + rows(7, 2), rows(7, 4) * 2 + rows(6, 3), rows(1, 2) + rows(7, 1),
+             rows(8, 2) + rows(1, 3) + rows(5, 6)]
+    for i, f in enumerate(files):
+        write_csv(src / f"{i}.csv", f)
+        os.utime(src / f"{i}.csv", (1_500_000_000 + i, 1_500_000_000 + i))         # a file stream goes by age
+    out, ck, read = f"{scratch}/out", f"{scratch}/_ck", []
+    real, follow, died = I.unseen, I.HotKeys.follow, []
+
+    def unseen(fresh, path):
+        read.append(sorted({r.datetime.day for r in fresh.collect()}))
+        return real(fresh, path)
+
+    def dies_once(self, epoch, *a):
+        if epoch == 2 and not died:
+            died.append(1)
+            raise RuntimeError("lost driver")
+        follow(self, epoch, *a)
+
+    monkeypatch.setattr(I, "unseen", unseen)
+    monkeypatch.setattr(I.HotKeys, "follow", dies_once)
+
+    def run():
+        I.write_deduplicated(trips_file_stream(spark, str(src), max_files_per_trigger=1), out, ck, hot_days=2).awaitTermination()
+
+    with pytest.raises(Exception):
+        run()
+    run()
+    got = sorted((r.datetime.day, r.origin_coord) for r in spark.read.parquet(out).collect())
+    assert got == sorted({(int(r[3][8:10]), r[1]) for f in files for r in f})
+    # The first file, the second run of the third, then days older than the last two.
+    assert read == [[5, 6], [6, 7], [1], [1, 5]]
+    assert len([n for n in I.child_names(spark, f"{ck}-keys") if n.startswith("epoch=")]) <= 2

@@ -458,6 +458,16 @@ def q_stream_dedupe(spark, sf):
     return spark.read.parquet(out).select(*TRIP_COLUMNS)
 
 
+def q_stream_dedupe_hot(spark, sf):
+    """Overlapping deliveries out of order, A, B, A and the dirty one twice: each
+    distinct row written once, those of the last days by the keyed state."""
+    paths = _scratch(spark, "stream_dedupe_hot")
+    out, dirty = paths.path("trips"), S.dirty_stage(spark, sf)
+    batches = [S.calendar_batch(spark, sf, n) for n in ("A", "B", "A")] + [dirty, dirty]
+    _finished(write_deduplicated(_deliveries(spark, paths, batches), out, f"{paths.root}/_checkpoint", hot_days=10))
+    return spark.read.parquet(out).select(*TRIP_COLUMNS)
+
+
 def q_stream_daily_counts(spark, sf):
     """Trips per (day, region); the later half of the month arrives first."""
     paths = _scratch(spark, "stream_daily")
@@ -587,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "sql_table_rows": q_sql_table_rows,
     "stream_ingest_fact": q_stream_ingest_fact,
     "stream_dedupe": q_stream_dedupe,
+    "stream_dedupe_hot": q_stream_dedupe_hot,
     "stream_daily_counts": q_stream_daily_counts,
     "dq_row_counts": q_dq_row_counts,
     "dq_primary_keys": q_dq_primary_keys,

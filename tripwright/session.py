@@ -84,6 +84,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(hpath)]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Recursively delete a folder we created (staging), via its file system."""
     jvm = spark.sparkContext._jvm

@@ -19,7 +19,7 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.pipeline import PipelineOptions, run_pipeline
 from ..schemas import CORRUPT, TRIPS
 from ..sources.csv_trips import DIALECT
-from ..session import delete_path, path_exists
+from ..session import child_names, delete_path, path_exists, touch
 from ..sources.tables import TablePaths, days_filter, touched_days, write_monthly
 
 TRIP_COLUMNS = [f.name for f in TRIPS.fields]
@@ -87,8 +87,68 @@ def ingest_stream(stream: DataFrame, paths: TablePaths, checkpoint_location: str
     return w.start()
 
 
+def _key() -> Column:
+    """A digest of all fields of a trip, NULLs included: what makes two one."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*TRIP_COLUMNS), {"ignoreNullFields": "false"}), 256))
+
+
+def unseen(fresh: DataFrame, out_path: str) -> DataFrame:
+    """The rows of ``fresh`` that are not among those written for the same days;
+    month partitions and day ranges prune the scan."""
+    spark = fresh.sparkSession
+    if not path_exists(spark, out_path):
+        return fresh
+    days = touched_days(fresh, "datetime")
+    seen = (spark.read.schema(STAGED_MONTHLY).parquet(out_path)
+            .where(days_filter(days, "datetime") | F.col("datetime").isNull())
+            .select(*[F.col(c).alias(f"seen_{c}") for c in TRIP_COLUMNS]))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"seen_{c}")) for c in TRIP_COLUMNS])
+    return fresh.join(seen, same, "left_anti")
+
+
+class HotKeys:
+    """Keyed state of a de-duplicating stream: the digests of all trips written
+    for the last ``days`` calendar days, a version per micro-batch.
+
+    A version is written after the rows it knows of.  A micro-batch that is run
+    again starts from the version before it and finds its mark, which says that
+    some of its rows may be written already."""
+
+    def __init__(self, spark: SparkSession, root: str, days: int):
+        self.spark, self.root, self.days = spark, root.rstrip("/"), days
+
+    def last(self, epoch: int) -> int | None:
+        """The newest complete version before a micro-batch."""
+        found = [int(n.removeprefix("epoch=")) for n in child_names(self.spark, self.root) if n.startswith("epoch=")]
+        done = [n for n in found if n < epoch and path_exists(self.spark, f"{self.root}/epoch={n}/_SUCCESS")]
+        return max(done, default=None)
+
+    def keys(self, version: int) -> DataFrame:
+        return self.spark.read.schema("day date, key binary").parquet(f"{self.root}/epoch={version}")
+
+    def begin(self, epoch: int) -> bool:
+        """Marks a micro-batch; whether it was begun before."""
+        mark = f"{self.root}/begun-{epoch}"
+        if path_exists(self.spark, mark):
+            return True
+        touch(self.spark, mark)
+        return False
+
+    def follow(self, epoch: int, version: int | None, written: DataFrame) -> None:
+        """The version after a micro-batch, from the one before and the keys that
+        are written now; days that are no longer hot go."""
+        known = written if version is None else self.keys(version).union(written)
+        newest = known.agg(F.max("day").alias("newest"))
+        hot = known.join(F.broadcast(newest), F.col("day") > F.date_sub("newest", self.days)).select("day", "key")   # one row
+        hot.distinct().write.mode("overwrite").parquet(f"{self.root}/epoch={epoch}")
+        for n in child_names(self.spark, self.root):        # the version before stays for a second run
+            number = n.removeprefix("epoch=").removeprefix("begun-")
+            if number.isdigit() and int(number) < (epoch if version is None else version):
+                delete_path(self.spark, f"{self.root}/{n}")
+
+
 def write_deduplicated(stream: DataFrame, out_path: str, checkpoint_location: str,
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True, hot_days: int = 0) -> StreamingQuery:
     """Append each distinct trip to ``out_path`` once, however often and
     however late it is delivered; NULL fields are equal to each other, and
     trips without a time are kept as well (in the partition without a month).
@@ -97,10 +157,16 @@ def write_deduplicated(stream: DataFrame, out_path: str, checkpoint_location: st
     collapses copies inside each task before the shuffle, so a hot group of
     copies never lands whole in one task), written aside once; then a
     null-safe anti-join against the rows already written for the same days
-    (month partitions and day ranges prune the scan), then a month-partitioned
-    append.  A replayed micro-batch finds its rows already present.
+    (``unseen``), then a month-partitioned append.  A replayed micro-batch finds
+    its rows already present.
+
+    With ``hot_days`` the trips of so many newest calendar days are held against
+    the keyed state of those days (``HotKeys``) instead, and what is written for
+    them is not read again; later ones, and those of a micro-batch that is run
+    again, take the exact way.
     """
     spark = stream.sparkSession
+    state = HotKeys(spark, f"{checkpoint_location.rstrip('/')}-keys", hot_days) if hot_days else None
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
@@ -108,15 +174,25 @@ def write_deduplicated(stream: DataFrame, out_path: str, checkpoint_location: st
         aside = f"{checkpoint_location.rstrip('/')}-rows/{epoch_id}"
         batch.select(*TRIP_COLUMNS).dropDuplicates(TRIP_COLUMNS).write.mode("overwrite").parquet(aside)
         fresh = spark.read.schema(TRIPS).parquet(aside)
-        if path_exists(spark, out_path):
-            days = touched_days(fresh, "datetime")
-            seen = (spark.read.schema(STAGED_MONTHLY).parquet(out_path)
-                    .where(days_filter(days, "datetime") | F.col("datetime").isNull())
-                    .select(*[F.col(c).alias(f"seen_{c}") for c in TRIP_COLUMNS]))
-            same = reduce(lambda a, b: a & b, [
-                F.col(c).eqNullSafe(F.col(f"seen_{c}")) for c in TRIP_COLUMNS])
-            fresh = fresh.join(seen, same, "left_anti")
-        write_monthly(fresh, "datetime", out_path, mode="append")
+        day = F.col("datetime").cast("date")
+        version = state.last(epoch_id) if state else None
+        again = state.begin(epoch_id) if state else False
+        since = state.keys(version).agg(F.date_sub(F.max("day"), hot_days - 1)).first()[0] if version is not None else None
+        if since is None or again:
+            new = unseen(fresh, out_path)
+        else:
+            hot = F.coalesce(day >= F.lit(since), F.lit(False))
+            new = (fresh.where(hot).withColumn("key", _key()).join(state.keys(version).select("key"), "key", "left_anti")
+                   .select(*TRIP_COLUMNS))
+            late = fresh.where(~hot)
+            if not late.isEmpty():
+                new = new.union(unseen(late, out_path))
+        write_monthly(new, "datetime", out_path, mode="append")
+        if state:
+            rows = fresh
+            if version is None:                   # the first version knows all that was written before
+                rows = spark.read.schema(STAGED_MONTHLY).parquet(out_path)
+            state.follow(epoch_id, version, rows.where(day.isNotNull()).select(day.alias("day"), _key().alias("key")))
         delete_path(spark, aside)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
