@@ -68,7 +68,7 @@ def counters_for(rows: int) -> int:
 
 def slots(digests: pa.Array, counters: int) -> np.ndarray:
     """The counters of each digest, a row of ``HASHES`` numbers."""
-    words = np.frombuffer(b"".join(digests.to_pylist()), np.uint64).reshape(len(digests), -1)
+    words = np.frombuffer(b"".join(digests.to_pylist()), np.uint64).reshape(len(digests), 4)
     return (words[:, :HASHES] & np.uint64(counters - 1)).astype(np.int64)
 
 
