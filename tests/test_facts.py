@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tripwright import schemas
 from tripwright.operators.dims import upsert_dim
@@ -73,3 +74,22 @@ def test_insert_if_absent_replay(spark):
         fact = fact.checkpoint()
     assert fact.count() == 12
     assert fact.select("event_timestamp", "event_id").distinct().count() == 12
+
+
+def test_points_are_parsed_once(spark):
+    """Each coordinate's text is matched and cast once a row, and gives what
+    ``point_xy`` gives."""
+    from tripwright.functions.geo import point_xy, with_points
+
+    texts = ["POINT (7.5 45.25)", "POINT (7.1)", "POINT (45.0d 1)", "POINT (1e400 2)", "POINT (1 2 3)", "", "POINT (-1.5e2 .5)", None]
+    df = spark.createDataFrame([(i, t, texts[-1 - i]) for i, t in enumerate(texts)], "i int, p string, q string")
+    flat = with_points(df, ("p", "q"), strict=False)
+    want = df.select("i", *[c for t in ("p", "q") for c in (F.col(t).isNull(), *point_xy(t, False))])
+    assert sorted(map(tuple, flat.collect())) == sorted(map(tuple, want.collect()))
+    stage = stage_df(spark, [("Vienna", "POINT (1 2)", None, "2018-05-01 00:00:00", "app")])
+    region = spark.createDataFrame([(1, "Vienna")], schemas.DIM_REGION)
+    source = spark.createDataFrame([(1, "app")], schemas.DIM_DATASOURCE)
+    delta = build_delta(stage, region, source)
+    assert [(r.origin_coord, r.destination_coord) for r in delta.collect()] == [((1.0, 2.0), None)]
+    plan = delta._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE(") == 4 and plan.count("try_cast(") == 4

@@ -7,7 +7,7 @@ types are disabled by default, and four flat doubles push down to parquet.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The well-known-text wrapper of a point, e.g. "POINT (7.66 45.07)".
@@ -21,22 +21,40 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def point_parts(text) -> tuple[Column, Column]:
-    """The x and y text of ``POINT (x y)``: strip the wrapper, split on blank."""
-    t = _col(text)
-    body = F.replace(F.replace(t, F.lit(WKT_POINT_PREFIX), F.lit("")),
+def _body(text) -> Column:
+    return F.replace(F.replace(_col(text), F.lit(WKT_POINT_PREFIX), F.lit("")),
                      F.lit(WKT_POINT_SUFFIX), F.lit(""))
+
+
+def _parts(body: Column) -> tuple[Column, Column]:
     return (F.split_part(body, F.lit(WKT_SEPARATOR), F.lit(1)),
             F.split_part(body, F.lit(WKT_SEPARATOR), F.lit(2)))
 
 
+def point_parts(text) -> tuple[Column, Column]:
+    """The x and y text of ``POINT (x y)``: strip the wrapper, split on blank."""
+    return _parts(_body(text))
+
+
+def _number(t: Column) -> Column:
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+
+
+def _finite(value: Column) -> Column:
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def coordinate(text) -> Column:
     """Double of a plain decimal number (sign, digits, point, exponent), else
     NULL.  A cast alone would also take ``45.0d``, ``1f``, ``NaN`` or
     ``Infinity``; a number too large for a double is NULL as well."""
-    t = _col(text)
-    value = F.when(t.rlike(NUMBER), t.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return _finite(_number(_col(text)))
+
+
+def _checked(t: Column, x: Column, y: Column) -> Column:
+    """x, but an error where the text does not parse to two numbers."""
+    bad = t.isNotNull() & (x.isNull() | y.isNull())
+    return F.when(bad, F.raise_error(F.concat(F.lit("malformed point: "), t)).cast("double")).otherwise(x)
 
 
 def point_xy(text, strict: bool = True) -> tuple[Column, Column]:
@@ -45,11 +63,32 @@ def point_xy(text, strict: bool = True) -> tuple[Column, Column]:
     whatever the session's ANSI setting."""
     t = _col(text)
     x, y = (coordinate(c) for c in point_parts(t))
-    if strict:
-        bad = t.isNotNull() & (x.isNull() | y.isNull())
-        x = F.when(bad, F.raise_error(F.concat(F.lit("malformed point: "), t)).cast("double")) \
-             .otherwise(x)
-    return x, y
+    return (_checked(t, x, y) if strict else x), y
+
+
+def with_points(df: DataFrame, columns: tuple[str, ...], strict: bool = True) -> DataFrame:
+    """``df`` with each text column ``c`` replaced, at the end, by ``_c_null``,
+    ``_c_x`` and ``_c_y``: whether the text is NULL, and its ``point_xy``.
+
+    A projection per step: what a later step uses more than once is then
+    evaluated once a row.  In one expression each use parses the text anew.
+    """
+    others = [c for c in df.columns if c not in columns]
+
+    def step(rows: DataFrame, make) -> DataFrame:
+        return rows.select(*others, *columns, *[new for c in columns for new in make(c)])
+
+    def both(make):
+        return lambda c: [make(F.col(f"_{c}_{a}")).alias(f"_{c}_{a}") for a in "xy"]
+
+    rows = step(df, lambda c: [_body(c).alias(f"_{c}_body")])
+    rows = step(rows, lambda c: [p.alias(f"_{c}_{a}") for p, a in zip(_parts(F.col(f"_{c}_body")), "xy")])
+    rows = step(step(rows, both(_number)), both(_finite))
+    out = []
+    for c in columns:
+        x, y = F.col(f"_{c}_x"), F.col(f"_{c}_y")
+        out += [F.col(c).isNull().alias(f"_{c}_null"), (_checked(F.col(c), x, y) if strict else x).alias(f"_{c}_x"), y]
+    return rows.select(*others, *out)
 
 
 def point_is_valid(text) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import box, case_lower, case_upper, point_xy
+from ..functions.geo import box, case_lower, case_upper, with_points
 from ..functions.keys import event_id
 from ..functions.timeparts import day_start
 from ..schemas import PRIMARY_KEYS
@@ -75,9 +75,7 @@ def build_delta(stage: DataFrame, dim_region: DataFrame, dim_datasource: DataFra
             event_id().alias("event_id"),
             F.col("region_id").cast("int").alias("region_id"),
             F.col("datasource_id").cast("int").alias("datasource_id")]
-    for c in POINT_COLUMNS:
-        cols += _unpacked(c, *point_xy(c, strict))
-    flat = j.select(*cols)
+    flat = with_points(j.select(*cols, *POINT_COLUMNS), POINT_COLUMNS, strict)
     if on_duplicate == "drop":
         flat = flat.dropDuplicates(FACT_KEY)
     elif on_duplicate == "fail":
