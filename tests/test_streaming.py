@@ -3,7 +3,7 @@ import os
 from tripwright.plans.pipeline import Warehouse
 from tripwright.sources.tables import TablePaths
 from tripwright.streaming.ingest import daily_counts, ingest_stream, trips_file_stream
-from helpers import write_csv
+from helpers import stage_df, write_csv
 
 
 def rows(day, n, region="Vienna"):
@@ -192,3 +192,18 @@ def test_hot_days_by_keyed_state(spark, scratch, tmp_path, monkeypatch):
     # The first file, the second run of the third, then days older than the last two.
     assert read == [[5, 6], [6, 7], [1], [1, 5]]
     assert len([n for n in I.child_names(spark, f"{ck}-keys") if n.startswith("epoch=")]) <= 2
+
+
+def test_a_delivery_has_a_file_for_each_core(spark, scratch, monkeypatch):
+    """Deliveries are written and read by all cores, a micro-batch each."""
+    from tripwright.plans import registry
+    from tripwright.session import child_names
+
+    monkeypatch.setattr(registry, "default_parallelism", lambda spark: 5)
+    rows = [("Vienna", f"POINT ({i} 2)", None, "2018-05-01 00:00:00", "app") for i in range(100)]
+    paths, seen = TablePaths(scratch), []
+    stream = registry._deliveries(spark, paths, [stage_df(spark, rows)] * 2)
+    stream.writeStream.foreachBatch(lambda b, i: seen.append(b.count())).option(
+        "checkpointLocation", f"{scratch}/_checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert sum(n.endswith(".parquet") and n.startswith("part-") for n in child_names(spark, f"{paths.root}/files")) == 10
+    assert seen == [100, 100]

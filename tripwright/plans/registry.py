@@ -25,7 +25,7 @@ from ..operators.dims import fill_event_time, new_event_times, new_members, upse
 from ..operators.facts import build_delta
 from ..operators.oplog import last_event
 from ..operators.zones import zone_key_report
-from ..session import delete_path, work_root
+from ..session import default_parallelism, delete_path, work_root
 from ..sources.adapter import read_sf, stage_from_sf
 from ..sources.csv_trips import DIALECT, read_trips, share_file_id
 from ..sources.sql import register_catalog, run_query
@@ -425,7 +425,7 @@ def q_sql_table_rows(spark, sf):
 
 # ---- streaming -----------------------------------------------------------------
 
-FILES_PER_DELIVERY = 2
+FILES_PER_DELIVERY = 2     # at least; else one for each core, all are written and read at once
 
 
 def _finished(query) -> None:
@@ -436,8 +436,9 @@ def _finished(query) -> None:
 
 def _deliveries(spark, paths, batches):
     """A stream with a micro-batch for each of the batches."""
-    folder = S.delivery_files(spark, batches, f"{paths.root}/files", FILES_PER_DELIVERY)
-    return trips_file_stream(spark, folder, "parquet", FILES_PER_DELIVERY)
+    files = max(FILES_PER_DELIVERY, default_parallelism(spark))
+    folder = S.delivery_files(spark, batches, f"{paths.root}/files", files)
+    return trips_file_stream(spark, folder, "parquet", files)
 
 
 def q_stream_ingest_fact(spark, sf):
